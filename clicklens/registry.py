@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from clicklens import oracle as O
 from clicklens.config import use_utc
 from clicklens.model import DEFAULT_FLOW, TOP_CATEGORIES, TOP_SESSIONS
+from clicklens.plans import ads
 from clicklens.plans import categories as cat
 from clicklens.plans import conversion as conv
 from clicklens.sources import fixtures as fx
@@ -195,3 +196,160 @@ def _page_conversion_rate(spark, sf):
           "select * from rates")
 def _page_conversion_pct(spark, sf):
     return conv.page_conversion(fx.visits(spark, sf), FLOW, percent=True)
+
+
+# ------------------------------------------------------------------ ad clicks
+
+# Fixture parameters (FIXTURES.md section 4): the reference's 60 s / 10 s / 10 s
+# trend and threshold 100 leave nothing to see in the fixture data.
+TREND_W, TREND_S, TREND_B = "6 hours", "1 hour", "1 hour"
+THRESHOLD = 2
+TOP_N_ADS = 3
+
+_LINES = """
+lines as (
+  select event_id,
+         concat(cast(cast(floor(epoch_us(ts) / 1000) as bigint) as varchar), ' ', replace(area, ' ', '_'),
+                ' ', city, ' ', uid, ' ', adid) as value
+  from clicks
+)"""
+
+
+@register("ad_line_parse", O.with_(O.CLICKS, _LINES) + """
+select event_id, p[1] as time, p[2] as area, p[3] as cid, p[4] as uid, p[5] as adid
+from (select event_id, string_split(value, ' ') as p from lines) where len(p) >= 5""")
+def _ad_line_parse(spark, sf):
+    """Ad-log lines split into their five fields (short lines quarantined)."""
+    return ads.parse_lines(fx.ad_lines(spark, sf))[0]
+
+
+_DAILY = """
+daily as (
+  select cast(ts as date) as day, area, city, adid, count(*) as click_count
+  from clicks group by cast(ts as date), area, city, adid
+)"""
+
+
+@register("daily_ad_totals", O.with_(O.CLICKS, _DAILY) + "select * from daily")
+def _daily_ad_totals(spark, sf):
+    """Q4: clicks per (day, area, city, ad)."""
+    return ads.daily_totals(fx.clicks(spark, sf))
+
+
+_TOP_ADS = f"""
+area_counts as (
+  select cast(ts as date) as day, area, adid, count(*) as click_count
+  from clicks group by cast(ts as date), area, adid
+),
+top_ads as (
+  select day, area, adid, click_count, cast(rk as integer) as rk from (
+    select *, row_number() over (partition by day, area order by click_count desc, adid) as rk
+    from area_counts) where rk <= {TOP_N_ADS}
+)"""
+
+
+@register("top3_ads_per_area", O.with_(O.CLICKS, _TOP_ADS) + "select * from top_ads")
+def _top3_ads(spark, sf):
+    """Q5: best three ads per (day, area)."""
+    return ads.top_ads_per_area(fx.clicks(spark, sf), TOP_N_ADS)
+
+
+@register("top3_ads_json", None)
+def _top3_ads_json(spark, sf):
+    """Q5 key-value form: ``{"ad":count,...}`` per (day, area) in rank order."""
+    return ads.top_ads_json(ads.top_ads_per_area(fx.clicks(spark, sf), TOP_N_ADS))
+
+
+@register("trend_buckets", O.with_(O.CLICKS) + """
+select adid, date_trunc('hour', ts) as bucket_start, count(*) as click_count
+from clicks group by adid, date_trunc('hour', ts)""")
+def _trend_buckets(spark, sf):
+    return ads.trend_buckets(fx.clicks(spark, sf), TREND_B)
+
+
+_TREND = """
+trend as (
+  select ws as window_start, ws + interval 6 hour as window_end, adid, bucket_start, count(*) as click_count
+  from (select adid, date_trunc('hour', ts) as bucket_start,
+               unnest([date_trunc('hour', ts) - to_hours(i) for i in range(0, 6)]) as ws
+        from clicks)
+  group by ws, adid, bucket_start
+)"""
+
+
+@register("trend_sliding", O.with_(O.CLICKS, _TREND) + "select * from trend")
+def _trend_sliding(spark, sf):
+    """Q6: per sliding window and ad, clicks per bucket (6 h / 1 h / 1 h)."""
+    return ads.trend(fx.clicks(spark, sf), TREND_W, TREND_S, TREND_B)
+
+
+@register("trend_json", None)
+def _trend_json(spark, sf):
+    """Q6 key-value form: ``[{"mm:ss":count},...]`` per window and ad."""
+    return ads.trend_json(ads.trend(fx.clicks(spark, sf), TREND_W, TREND_S, TREND_B))
+
+
+_BAN_BATCH = f"""
+per_batch as (
+  select cast(ts as date) as day, uid, adid, batch_id, count(*) as n
+  from clicks group by cast(ts as date), uid, adid, batch_id
+),
+bans as (
+  select uid, min(batch_id) as ban_batch from (
+    select *, sum(n) over (partition by day, uid, adid order by batch_id
+                           rows between unbounded preceding and current row) as running
+    from per_batch) where running >= {THRESHOLD} group by uid
+),
+accepted as (
+  select c.* from clicks c left join bans b on c.uid = b.uid
+  where b.ban_batch is null or c.batch_id <= b.ban_batch
+)"""
+
+
+@register("user_day_ad_counts", O.with_(O.CLICKS, _BAN_BATCH) + """
+select cast(ts as date) as day, uid, adid, count(*) as click_count
+from accepted group by cast(ts as date), uid, adid""")
+def _user_day_ad_counts(spark, sf):
+    """Q7 counter hash: counted clicks per (day, user, ad)."""
+    return ads.user_day_ad_counts(ads.accepted_per_batch(fx.clicks(spark, sf), THRESHOLD))
+
+
+@register("banned_users", O.with_(O.CLICKS, _BAN_BATCH) + "select uid, ban_batch from bans")
+def _banned_users(spark, sf):
+    """Q7 blacklist: user and the batch at whose end they were banned."""
+    return ads.ban_batches(fx.clicks(spark, sf), THRESHOLD)
+
+
+@register("clicks_accepted_per_batch", O.with_(O.CLICKS, _BAN_BATCH) + "select * from accepted")
+def _accepted_per_batch(spark, sf):
+    """Q7a: clicks the live (per micro-batch) ban job counts."""
+    return ads.accepted_per_batch(fx.clicks(spark, sf), THRESHOLD)
+
+
+_BAN_EVENT = f"""
+nth as (
+  select * from (
+    select uid, ts, event_id,
+           row_number() over (partition by cast(ts as date), uid, adid order by ts, event_id) as r
+    from clicks) where r = {THRESHOLD}
+),
+ev_bans as (
+  select uid, ts as ban_ts, event_id as ban_event_id from (
+    select *, row_number() over (partition by uid order by ts, event_id) as r2 from nth) where r2 = 1
+),
+accepted_ev as (
+  select c.* from clicks c left join ev_bans b on c.uid = b.uid
+  where b.ban_ts is null or c.ts < b.ban_ts or (c.ts = b.ban_ts and c.event_id <= b.ban_event_id)
+)"""
+
+
+@register("banned_users_per_event", O.with_(O.CLICKS, _BAN_EVENT) + "select * from ev_bans")
+def _banned_users_per_event(spark, sf):
+    """Q7b blacklist: user and the click that banned them."""
+    return ads.ban_events(fx.clicks(spark, sf), THRESHOLD)
+
+
+@register("clicks_accepted_per_event", O.with_(O.CLICKS, _BAN_EVENT) + "select * from accepted_ev")
+def _accepted_per_event(spark, sf):
+    """Q7b: clicks accepted when every click is checked as it arrives."""
+    return ads.accepted_per_event(fx.clicks(spark, sf), THRESHOLD)
