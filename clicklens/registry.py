@@ -13,13 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicklens import oracle as O
-from clicklens.config import use_utc
+from clicklens.config import shared_dir, use_utc
 from clicklens.model import DEFAULT_FLOW, TOP_CATEGORIES, TOP_SESSIONS
 from clicklens.plans import ads
 from clicklens.plans import categories as cat
 from clicklens.plans import conversion as conv
 from clicklens.sources import fixtures as fx
+from clicklens.sources.stream import event_stream, file_stream
 from clicklens.sources.tables import time_range
+from clicklens.streaming import ads_streams as streams
+from clicklens.streaming.replay import write_batches
 
 # Fixed run id, so that Spark and the oracle write the same task id.
 TASK_ID = "run-1"
@@ -353,3 +356,54 @@ def _banned_users_per_event(spark, sf):
 def _accepted_per_event(spark, sf):
     """Q7b: clicks accepted when every click is checked as it arrives."""
     return ads.accepted_per_event(fx.clicks(spark, sf), THRESHOLD)
+
+
+# ---------------------------------------------------------------- streaming
+
+TREND_LATENESS = "1 hour"
+
+
+def _click_stream(spark, sf):
+    return fx.clicks_from_events(event_stream(spark, sf), fx.read_table(spark, sf, "nation"),
+                                 fx.read_table(spark, sf, "region"))
+
+
+@register("daily_ad_totals_stream", O.with_(O.CLICKS, _DAILY) + "select * from daily")
+def _daily_ad_totals_stream(spark, sf):
+    """Q4 as a stream (update mode) into the keyed snapshot, read back."""
+    job = streams.daily_totals_job(spark, _click_stream(spark, sf))
+    streams.run_to_end(job.query)
+    return job.stores["totals"].read()
+
+
+@register("top3_ads_per_area_stream", O.with_(O.CLICKS, _TOP_ADS) + "select * from top_ads")
+def _top3_ads_stream(spark, sf):
+    """Q5 as a stream (complete mode, ranked per micro-batch), read back."""
+    job = streams.top_ads_job(spark, _click_stream(spark, sf), TOP_N_ADS)
+    streams.run_to_end(job.query)
+    return job.stores["ranks"].read()
+
+
+@register("trend_sliding_stream", O.with_(O.CLICKS, _TREND) + """
+select * from trend where window_end <= (select max(ts) from clicks) - interval 1 hour""")
+def _trend_stream(spark, sf):
+    """Q6 as a stream: append mode emits each window once it is closed by the watermark."""
+    job = streams.trend_job(spark, _click_stream(spark, sf), TREND_W, TREND_S, TREND_B, TREND_LATENESS)
+    streams.run_to_end(job.query)
+    return job.stores["flat"].read().select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "adid",
+        F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"), "click_count")
+
+
+@register("clicks_accepted_stream", O.with_(O.CLICKS, _BAN_BATCH) + "select * from accepted")
+def _accepted_stream(spark, sf):
+    """Q7a live: clicks replayed one micro-batch per ``batch_id``; the ban of
+    batch b applies from batch b+1."""
+    clicks = fx.clicks(spark, sf)
+    folder = shared_dir(spark, "replay", "clicks")
+    write_batches(clicks, "batch_id", folder)
+    stream = file_stream(spark, folder, clicks.schema, max_files_per_trigger=1)
+    job = streams.ban_job(spark, stream, THRESHOLD)
+    streams.run_to_end(job.query)
+    return job.stores["accepted"].read().withColumnRenamed("source_batch", "batch_id")
