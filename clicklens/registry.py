@@ -19,6 +19,7 @@ from clicklens.plans import ads
 from clicklens.plans import categories as cat
 from clicklens.plans import conversion as conv
 from clicklens.sources import fixtures as fx
+from clicklens.sinks.tables import overwrite_table
 from clicklens.sources.stream import event_stream, file_stream
 from clicklens.sources.tables import time_range
 from clicklens.streaming import ads_streams as streams
@@ -407,3 +408,38 @@ def _accepted_stream(spark, sf):
     job = streams.ban_job(spark, stream, THRESHOLD)
     streams.run_to_end(job.query)
     return job.stores["accepted"].read().withColumnRenamed("source_batch", "batch_id")
+
+
+# -------------------------------------------------------------------- sinks
+
+@register("table_overwrite_roundtrip", O.with_(O.VISITS) + f"select {_VISIT_COLS} from visits")
+def _table_roundtrip(spark, sf):
+    """The visit log saved as a catalog table (drop and replace, twice) and read back."""
+    v = fx.visits(spark, sf)
+    path = shared_dir(spark, "tables", "user_visit_action")
+    overwrite_table(v, "clicklens_user_visit_action", path=path, partition_by=["date"])
+    overwrite_table(v, "clicklens_user_visit_action", path=path, partition_by=["date"])
+    return spark.table("clicklens_user_visit_action").select(*fx_visit_cols())
+
+
+def fx_visit_cols() -> list[str]:
+    return [c.strip() for c in _VISIT_COLS.split(",")]
+
+
+@register("keyed_snapshot_roundtrip", O.with_(O.CLICKS, _DAILY) + """
+select 'date:area:city:ads' as hash_key,
+       concat_ws(':', cast(day as varchar), area, city, adid) as field,
+       cast(click_count as varchar) as value
+from daily""")
+def _snapshot_roundtrip(spark, sf):
+    """Absolute upserts of the totals hash over two batches, the second one
+    replayed: the read-back equals one clean run."""
+    from clicklens.sinks.snapshot import KeyedSnapshot
+    from clicklens.streaming.ads_streams import KV_SCHEMA
+    c = fx.clicks(spark, sf)
+    store = KeyedSnapshot(spark, shared_dir(spark, "snapshots", "totals"), ["hash_key", "field"], KV_SCHEMA, "set")
+    half = c.where(F.col("batch_id") < F.lit(10))
+    store.write(ads.daily_totals_kv(ads.daily_totals(half)), 0)
+    store.write(ads.daily_totals_kv(ads.daily_totals(c)), 1)
+    store.write(ads.daily_totals_kv(ads.daily_totals(c)), 1)   # replay of batch 1
+    return store.read()
