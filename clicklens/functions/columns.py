@@ -100,11 +100,17 @@ def day_of(ts: Column | str) -> Column:
 
 
 def floor_time(ts: Column | str, seconds: int) -> Column:
-    """Start of the ``seconds``-wide bucket holding ``ts``, aligned to the epoch.
+    """Start of the ``seconds``-wide bucket holding ``ts``, aligned to the epoch,
+    as a ``timestamp_ntz`` (NULL stays NULL; no row is dropped)."""
+    us = int(seconds) * 1_000_000
+    micros = ntz_epoch_micros(_c(ts).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", F.floor(micros / F.lit(us)).cast("long") * F.lit(us), _epoch_ntz())
 
-    Works on ``timestamp`` and ``timestamp_ntz`` and keeps the input type.
-    """
-    return F.window(_c(ts), f"{int(seconds)} seconds").start
+
+def bucket_index(ts: Column | str, seconds: int) -> Column:
+    """Number of the ``seconds``-wide bucket holding ``ts`` (a long, monotone in ``ts``)."""
+    us = int(seconds) * 1_000_000
+    return F.floor(ntz_epoch_micros(_c(ts).cast("timestamp_ntz")) / F.lit(us)).cast("long")
 
 
 def clock_label(ts: Column | str) -> Column:

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklens.functions.columns import floor_time
+from clicklens.functions.columns import bucket_index
 from clicklens.model import DEFAULT_FLOW
 from clicklens.operators.adjacent import with_next
 
@@ -55,7 +55,7 @@ def page_transitions(visits: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECON
     (``event_id`` of the first visit of the pair)."""
     v = visits.select("session_id", "action_time", "event_id", "page_id")
     nx = with_next(v, "session_id", ["action_time", "event_id"], "page_id",
-                   floor_time("action_time", chunk_seconds), next_col="to_page")
+                   bucket_index("action_time", chunk_seconds), next_col="to_page")
     return (nx.where(F.col("to_page").isNotNull())
             .select("session_id", "event_id", F.col("page_id").alias("from_page"), "to_page"))
 
@@ -89,7 +89,7 @@ def page_conversion(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_FLOW,
     sources = sorted({a for a, _ in pairs})
     v = visits.select("session_id", "action_time", "event_id", "page_id")
     nx = with_next(v, "session_id", ["action_time", "event_id"], "page_id",
-                   floor_time("action_time", chunk_seconds), next_col="next_page")
+                   bucket_index("action_time", chunk_seconds), next_col="next_page")
     frm, nxt = F.col("page_id"), F.col("next_page")
     g = (nx.where(frm.isin(sources))
          .select(frm.alias("from_page"),
