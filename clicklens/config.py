@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Call-site capture costs JVM round trips on every Column call.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -49,6 +49,15 @@ def category_action_counts(visits: DataFrame) -> DataFrame:
             .groupBy("category_id", "action").agg(F.count(F.lit(1)).alias("action_count")))
 
 
+def category_action_map(visits: DataFrame) -> DataFrame:
+    """The accumulator's histogram as one value per category:
+    ``(category_id, actions)`` with ``actions`` = JSON ``{"click":n,...}``
+    (kinds in name order; at most three entries per category)."""
+    entries = F.array_sort(F.collect_list(F.struct("action", "action_count")))
+    return (category_action_counts(visits).groupBy("category_id")
+            .agg(F.to_json(F.map_from_entries(entries)).alias("actions")))
+
+
 def category_counts(visits: DataFrame) -> DataFrame:
     """Wide form: one row per category with click, order and pay counts (0 when absent)."""
     a = F.col("action")

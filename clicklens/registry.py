@@ -88,6 +88,15 @@ def _category_action_counts(spark, sf):
     return cat.category_action_counts(fx.visits(spark, sf))
 
 
+@register("category_action_map", O.with_(O.VISITS, O.ACTIONS) + """
+select category_id, to_json(map_from_entries(list(struct_pack(k := action, v := n) order by action))) as actions
+from (select category_id, action, count(*) as n from actions group by category_id, action)
+group by category_id""")
+def _category_action_map(spark, sf):
+    """The category histogram as one JSON map per category."""
+    return cat.category_action_map(fx.visits(spark, sf))
+
+
 @register("category_action_pivot", O.with_(O.VISITS, O.ACTIONS, O.CATEGORY_COUNTS) +
           "select * from category_counts")
 def _category_action_pivot(spark, sf):
@@ -377,6 +386,14 @@ def _daily_ad_totals_stream(spark, sf):
     return job.stores["totals"].read()
 
 
+@register("daily_ad_totals_delta_stream", O.with_(O.CLICKS, _DAILY) + "select * from daily")
+def _daily_ad_totals_delta_stream(spark, sf):
+    """Q4 variant: stateless stream, per-batch increments summed by the snapshot."""
+    job = streams.daily_totals_job(spark, _click_stream(spark, sf), state="delta")
+    streams.run_to_end(job.query)
+    return job.stores["totals"].read()
+
+
 @register("top3_ads_per_area_stream", O.with_(O.CLICKS, _TOP_ADS) + "select * from top_ads")
 def _top3_ads_stream(spark, sf):
     """Q5 as a stream (complete mode, ranked per micro-batch), read back."""
@@ -443,3 +460,15 @@ def _snapshot_roundtrip(spark, sf):
     store.write(ads.daily_totals_kv(ads.daily_totals(c)), 1)
     store.write(ads.daily_totals_kv(ads.daily_totals(c)), 1)   # replay of batch 1
     return store.read()
+
+
+@register("clicks_accepted_per_event_stream", O.with_(O.CLICKS, _BAN_EVENT) + "select * from accepted_ev")
+def _accepted_per_event_stream(spark, sf):
+    """Q7b live: per-event ban with per-user state, clicks replayed in batches."""
+    clicks = fx.clicks(spark, sf)
+    folder = shared_dir(spark, "replay", "clicks")
+    write_batches(clicks, "batch_id", folder)
+    stream = file_stream(spark, folder, clicks.schema, max_files_per_trigger=1)
+    job = streams.per_event_ban_job(spark, stream, THRESHOLD)
+    streams.run_to_end(job.query)
+    return job.stores["accepted"].read().withColumnRenamed("source_batch", "batch_id")
