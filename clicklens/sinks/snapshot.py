@@ -13,6 +13,13 @@ wrote before and nothing is counted twice. Readers merge the partitions:
 ``read(upto=b)`` gives the state as of the end of batch ``b``, which is what
 a batch needs to see of its predecessors. All merges are Spark aggregates
 over the stored partitions: nothing goes through the driver.
+
+Compaction: ``compact(b)`` writes the merged state as of batch ``b`` as a
+base version (``<path>_base/upto=<b>``). Reads start from the newest base at
+or before the requested batch and merge only the later batch partitions
+(partition pruning on ``batch_id``), so the cost of a read follows the
+state size plus the batches since the last compaction, not the stream's age.
+A base is visible only once its write has committed.
 """
 
 from __future__ import annotations
@@ -24,9 +31,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH_COL = "batch_id"
+BASE_COL = "upto"
 MODES = ("set", "add", "member")
 
 
+def _missing(e: Exception) -> bool:
+    s = str(e)
+    return "PATH_NOT_FOUND" in s or "does not exist" in s or "UNABLE_TO_INFER_SCHEMA" in s
+
+
 class KeyedSnapshot:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
                  schema: T.StructType, mode: str = "set"):
@@ -37,39 +50,81 @@ class KeyedSnapshot:
             raise ValueError(f"keys not in schema: {missing}")
         self.spark, self.path, self.keys, self.schema, self.mode = spark, path, list(keys), schema, mode
         self.values = [f for f in schema.fieldNames() if f not in self.keys]
+        self.base_path = f"{path.rstrip('/')}_base"
+        self._stored_schema = T.StructType(schema.fields + [T.StructField(BATCH_COL, T.LongType())])
+        self._base_schema = T.StructType(self._stored_schema.fields + [T.StructField(BASE_COL, T.LongType())])
 
     # ------------------------------------------------------------------ write
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Store ``df`` as batch ``batch_id`` (replaces an earlier write of that batch)."""
         out = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields],
                         F.lit(int(batch_id)).cast("long").alias(BATCH_COL))
-        (out.write.mode("overwrite")
+        self._overwrite_partition(out, self.path, BATCH_COL)
+
+    @staticmethod
+    def _overwrite_partition(df: DataFrame, path: str, col: str) -> None:
+        (df.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COL)
-         .parquet(self.path))
+         .partitionBy(col)
+         .parquet(path))
+
+    def compact(self, upto: int) -> None:
+        """Write the stored rows as of batch ``upto`` in merged form as a base."""
+        merged = self._merged_versions(upto).withColumn(BASE_COL, F.lit(int(upto)).cast("long"))
+        self._overwrite_partition(merged, self.base_path, BASE_COL)
 
     # ------------------------------------------------------------------- read
-    def _stored(self) -> DataFrame:
-        full = T.StructType(self.schema.fields + [T.StructField(BATCH_COL, T.LongType())])
+    def _read(self, path: str, schema: T.StructType, part_col: str = BATCH_COL) -> DataFrame | None:
+        # Read through the partition folders only: a folder that exists but holds
+        # no partition yet counts as missing, so the partition column is always
+        # a real partition column (a later refresh of a cached plan then matches).
         try:
-            return self.spark.read.schema(full).parquet(self.path)
+            return (self.spark.read.schema(schema).option("basePath", path)
+                    .parquet(f"{path}/{part_col}=*"))
         except Exception as e:  # noqa: BLE001 - nothing written yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return self.spark.createDataFrame([], full)
+            if _missing(e):
+                return None
             raise
 
+    def _base_id(self, upto: int | None) -> int | None:
+        bases = self._read(self.base_path, self._base_schema, BASE_COL)
+        if bases is None:
+            return None
+        ids = bases.select(BASE_COL)
+        if upto is not None:
+            ids = ids.where(F.col(BASE_COL) <= upto)
+        return ids.agg(F.max(BASE_COL)).first()[0]   # one number, from partition values
+
     def versions(self, upto: int | None = None) -> DataFrame:
-        """Stored rows with their batch id, optionally up to batch ``upto``."""
-        s = self._stored()
-        return s if upto is None else s.where(F.col(BATCH_COL) <= upto)
+        """Stored rows with their batch id as of batch ``upto`` (newest base +
+        later batch partitions)."""
+        base_id = self._base_id(upto)
+        parts = self._read(self.path, self._stored_schema)
+        if parts is None:
+            parts = self.spark.createDataFrame([], self._stored_schema)
+        if upto is not None:
+            parts = parts.where(F.col(BATCH_COL) <= upto)
+        if base_id is None:
+            return parts
+        base = (self._read(self.base_path, self._base_schema, BASE_COL)
+                .where(F.col(BASE_COL) == base_id).drop(BASE_COL))
+        return base.unionByName(parts.where(F.col(BATCH_COL) > base_id))
 
-    def read(self, upto: int | None = None) -> DataFrame:
+    def _merged_versions(self, upto: int | None) -> DataFrame:
+        """Merged state that keeps a ``batch_id`` column (so it can be merged again)."""
         s = self.versions(upto)
         if self.mode == "add":
             return s.groupBy(*self.keys).agg(*[F.sum(v).cast(self.schema[v].dataType).alias(v)
-                                               for v in self.values])
+                                               for v in self.values],
+                                             F.max(BATCH_COL).alias(BATCH_COL))
         if self.mode == "member":
-            return s.groupBy(*self.keys).agg(F.min(BATCH_COL).alias(f"first_{BATCH_COL}"))
+            return s.groupBy(*self.keys).agg(*[F.min_by(v, BATCH_COL).alias(v) for v in self.values],
+                                             F.min(BATCH_COL).alias(BATCH_COL))
         latest = F.max(BATCH_COL).over(Window.partitionBy(*self.keys))
-        return (s.withColumn("_latest", latest).where(F.col(BATCH_COL) == F.col("_latest"))
-                .select(*self.schema.fieldNames()))
+        return s.withColumn("_latest", latest).where(F.col(BATCH_COL) == F.col("_latest")).drop("_latest")
+
+    def read(self, upto: int | None = None) -> DataFrame:
+        m = self._merged_versions(upto)
+        if self.mode == "member":
+            return m.select(*self.schema.fieldNames(), F.col(BATCH_COL).alias(f"first_{BATCH_COL}"))
+        return m.select(*self.schema.fieldNames())

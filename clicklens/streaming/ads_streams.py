@@ -36,9 +36,24 @@ from clicklens.plans import ads
 from clicklens.sinks.snapshot import KeyedSnapshot
 
 AVAILABLE_NOW = "available_now"
+# Every this many micro-batches a job folds its snapshots into a base version.
+COMPACT_EVERY = 50
 
 
-def _start(df: DataFrame, mode: str, sink, checkpoint: str, trigger: str, name: str | None) -> StreamingQuery:
+def _compacting(sink, stores, every: int):
+    """Run ``sink``, then every ``every`` batches compact ``stores`` as of this
+    batch. A replayed batch rewrites the same base, so this stays idempotent."""
+    def run(df: DataFrame, batch_id: int) -> None:
+        sink(df, batch_id)
+        if every and (batch_id + 1) % every == 0:
+            for s in stores:
+                s.compact(batch_id)
+    return run
+
+
+def _start(df: DataFrame, mode: str, sink, checkpoint: str, trigger: str, name: str | None,
+           stores=(), compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    sink = _compacting(sink, list(stores), compact_every)
     w = (df.writeStream.outputMode(mode).foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if trigger == AVAILABLE_NOW else w.trigger(processingTime=trigger)
@@ -84,7 +99,8 @@ def daily_totals_job(spark: SparkSession, clicks: DataFrame, trigger: str = AVAI
         def add(df: DataFrame, batch_id: int) -> None:
             store.write(ads.daily_totals(df), batch_id)
 
-        return StreamJob(_start(clicks, "append", add, f"{base}/checkpoint", trigger, None), {"totals": store})
+        return StreamJob(_start(clicks, "append", add, f"{base}/checkpoint", trigger, None, [store]),
+                         {"totals": store})
     store = KeyedSnapshot(spark, f"{base}/totals", ["day", "area", "city", "adid"], TOTALS_SCHEMA, "set")
     if max_lateness:
         c = clicks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", max_lateness)
@@ -97,7 +113,7 @@ def daily_totals_job(spark: SparkSession, clicks: DataFrame, trigger: str = AVAI
     def sink(df: DataFrame, batch_id: int) -> None:
         store.write(df, batch_id)
 
-    q = _start(totals, "update", sink, f"{base}/checkpoint", trigger, None)
+    q = _start(totals, "update", sink, f"{base}/checkpoint", trigger, None, [store])
     return StreamJob(q, {"totals": store})
 
 
@@ -127,7 +143,7 @@ def top_ads_job(spark: SparkSession, clicks: DataFrame, n: int = TOP_ADS, trigge
         finally:
             ranked.unpersist()
 
-    q = _start(counts, "complete", sink, f"{base}/checkpoint", trigger, None)
+    q = _start(counts, "complete", sink, f"{base}/checkpoint", trigger, None, [ranks, kv])
     return StreamJob(q, {"ranks": ranks, "kv": kv})
 
 
@@ -171,7 +187,7 @@ def trend_job(spark: SparkSession, clicks: DataFrame, window: str = TREND_WINDOW
             df.unpersist()
 
     q = _start(trend_stream(clicks, window, slide, bucket, lateness), "append", sink,
-               f"{base}/checkpoint", trigger, None)
+               f"{base}/checkpoint", trigger, None, [kv])
     return StreamJob(q, {"flat": flat, "kv": kv})
 
 
@@ -202,9 +218,11 @@ def ban_step(batch: DataFrame, batch_id: int, counters: KeyedSnapshot, blacklist
         total = (delta.join(before, ["day", "uid", "adid"], "left")
                  .select("uid", (F.col("click_count") + F.coalesce("before", F.lit(0))).alias("total")))
         new_bans = total.where(F.col("total") >= threshold).select("uid").distinct()
+        # The blacklist goes last: writing a path refreshes cached plans that
+        # read it, and ``ok`` (cached) reads the blacklist.
+        accepted.write(ok, batch_id)
         counters.write(delta, batch_id)
         blacklist.write(new_bans, batch_id)
-        accepted.write(ok, batch_id)
     finally:
         ok.unpersist()
 
@@ -217,7 +235,8 @@ ACCEPTED_SCHEMA = T.StructType([
 
 
 def ban_job(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHOLD,
-            trigger: str = AVAILABLE_NOW, base: str | None = None) -> StreamJob:
+            trigger: str = AVAILABLE_NOW, base: str | None = None,
+            compact_every: int = COMPACT_EVERY) -> StreamJob:
     base = base or shared_dir(spark, "streams", "ban")
     counters = KeyedSnapshot(spark, f"{base}/counters", ["day", "uid", "adid"], COUNTER_SCHEMA, "add")
     blacklist = KeyedSnapshot(spark, f"{base}/blacklist", ["uid"], MEMBER_SCHEMA, "member")
@@ -230,7 +249,8 @@ def ban_job(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHO
         ban_step(df.withColumnRenamed("batch_id", "source_batch") if "batch_id" in df.columns else df,
                  batch_id, counters, blacklist, accepted, threshold)
 
-    q = _start(clicks, "append", sink, f"{base}/checkpoint", trigger, None)
+    q = _start(clicks, "append", sink, f"{base}/checkpoint", trigger, None, [counters, blacklist],
+               compact_every)
     return StreamJob(q, {"counters": counters, "blacklist": blacklist, "accepted": accepted})
 
 

@@ -101,3 +101,41 @@ def test_trend_stream_emits_closed_windows(spark, scratch):
     cols = ["window_start", "window_end", "adid", "bucket_start", "click_count"]
     assert rows_of(got, cols) == rows_of(want, cols)
     assert job.stores["kv"].read().count() > 0
+
+
+def test_snapshot_compaction_keeps_every_mode_equal(spark, scratch):
+    d = dt.date(2024, 1, 1)
+    batches = [[(d, "u", "1", 1), (d, "v", "1", 2)], [(d, "u", "1", 3)], [(d, "w", "2", 1)],
+               [(d, "u", "1", 5), (d, "v", "1", 1)], [(d, "w", "2", 4)]]
+    for mode in ("set", "add", "member"):
+        schema = S.COUNTER_SCHEMA if mode != "member" else S.MEMBER_SCHEMA
+        keys = ["day", "uid", "adid"] if mode != "member" else ["uid"]
+        plain = KeyedSnapshot(spark, f"{scratch}/{mode}/plain", keys, schema, mode)
+        comp = KeyedSnapshot(spark, f"{scratch}/{mode}/comp", keys, schema, mode)
+        for b, rows in enumerate(batches):
+            df = spark.createDataFrame(rows if mode != "member" else [(r[1],) for r in rows], schema)
+            plain.write(df, b)
+            comp.write(df, b)
+            if b == 2:
+                comp.compact(2)
+        comp.write(spark.createDataFrame(batches[3] if mode != "member" else [(r[1],) for r in batches[3]],
+                                         schema), 3)   # replay after the compaction
+        for upto in (None, 1, 2, 3):
+            a = sorted(tuple(r) for r in plain.read(upto).collect())
+            b = sorted(tuple(r) for r in comp.read(upto).collect())
+            assert a == b, (mode, upto)
+    got = {r["uid"]: r["click_count"] for r in KeyedSnapshot(
+        spark, f"{scratch}/add/comp", ["day", "uid", "adid"], S.COUNTER_SCHEMA, "add").read().collect()}
+    assert got == {"u": 9, "v": 3, "w": 5}
+
+
+def test_ban_stream_with_frequent_compaction(spark, scratch):
+    c = fx.clicks(spark, SF001).withColumn("batch_id", F.floor(F.col("event_id") / 100).cast("long"))
+    write_batches(c, "batch_id", f"{scratch}/in")
+    job = S.ban_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), 2,
+                    base=f"{scratch}/job", compact_every=3)
+    S.run_to_end(job.query)
+    acc = {r["event_id"] for r in job.stores["accepted"].read().collect()}
+    assert acc == {r["event_id"] for r in ads.accepted_per_batch(c, 2).collect()}
+    bans = {r["uid"]: r["first_batch_id"] for r in job.stores["blacklist"].read().collect()}
+    assert len(bans) > 0
