@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicklens.functions.columns import ntz_epoch_micros
+
 
 def with_next(df: DataFrame, session: str, order: Sequence[str], value: str,
               chunk: Column, next_col: str = "next_value") -> DataFrame:
@@ -39,3 +41,30 @@ def with_next(df: DataFrame, session: str, order: Sequence[str], value: str,
                 .withColumn(next_col, F.col("_stitch"))
                 .drop("_stitch"))
     return inner.unionByName(stitched).drop("_chunk", "_first")
+
+
+def time_chunks(df: DataFrame, session: str, ts: str, seconds: int,
+                max_rows: int = 2_000_000) -> DataFrame:
+    """``df`` plus ``_chunk``: the ``seconds``-wide time bucket of ``ts``, and
+    for a hot session (more than ``max_rows`` rows) a bucket narrow enough
+    that its rows fall into about ``count / max_rows`` chunks.
+
+    The session sizes come from one partial aggregate (a row per session
+    after the map side). Only sessions over ``max_rows`` are kept; there can
+    be at most ``total rows / max_rows`` of them (500,000 per 10^12 rows at
+    the default), so that list is broadcast. Chunks stay monotone in time
+    inside each session, as ``with_next`` needs.
+    """
+    us = ntz_epoch_micros(F.col(ts).cast("timestamp_ntz"))
+    stats = (df.select(session, us.alias("_us"))
+             .groupBy(session)
+             .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
+             .where(F.col("_n") > max_rows))
+    pieces = F.ceil(F.col("_n") / F.lit(max_rows))
+    hot = stats.select(session, F.greatest(F.lit(1).cast("long"),
+                                           F.floor((F.col("_hi") - F.col("_lo") + 1) / pieces))
+                       .cast("long").alias("_width"))
+    width = F.coalesce(F.col("_width"), F.lit(int(seconds) * 1_000_000).cast("long"))
+    return (df.join(F.broadcast(hot), session, "left")
+            .withColumn("_chunk", F.floor(us / width).cast("long"))
+            .drop("_width"))

@@ -20,12 +20,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklens.functions.columns import bucket_index
 from clicklens.model import DEFAULT_FLOW
-from clicklens.operators.adjacent import with_next
+from clicklens.operators.adjacent import time_chunks, with_next
 
-# Width of the time chunks that split a session across tasks.
+# Width of the time chunks that split a session across tasks, and the row
+# count above which a session gets narrower chunks of its own.
 DEFAULT_CHUNK_SECONDS = 3600
+HOT_SESSION_ROWS = 2_000_000
 
 
 def flow_pages(flow: str | Sequence[int]) -> list[int]:
@@ -50,12 +51,18 @@ def _is_target(frm: Column, to: Column, pairs: list[tuple[int, int]]) -> Column:
     return reduce(lambda a, b: a | b, [(frm == a) & (to == b) for a, b in pairs])
 
 
+def _next_page(visits: DataFrame, chunk_seconds: int, next_col: str,
+               hot_rows: int = HOT_SESSION_ROWS) -> DataFrame:
+    v = time_chunks(visits.select("session_id", "action_time", "event_id", "page_id"),
+                    "session_id", "action_time", chunk_seconds, hot_rows)
+    return with_next(v, "session_id", ["action_time", "event_id"], "page_id",
+                     F.col("_chunk"), next_col=next_col)
+
+
 def page_transitions(visits: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Every adjacent visit pair: ``(session_id, event_id, from_page, to_page)``
     (``event_id`` of the first visit of the pair)."""
-    v = visits.select("session_id", "action_time", "event_id", "page_id")
-    nx = with_next(v, "session_id", ["action_time", "event_id"], "page_id",
-                   bucket_index("action_time", chunk_seconds), next_col="to_page")
+    nx = _next_page(visits, chunk_seconds, "to_page")
     return (nx.where(F.col("to_page").isNotNull())
             .select("session_id", "event_id", F.col("page_id").alias("from_page"), "to_page"))
 
@@ -87,9 +94,7 @@ def page_conversion(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_FLOW,
     truncated, when ``percent``)."""
     pairs = flow_pairs(flow)
     sources = sorted({a for a, _ in pairs})
-    v = visits.select("session_id", "action_time", "event_id", "page_id")
-    nx = with_next(v, "session_id", ["action_time", "event_id"], "page_id",
-                   bucket_index("action_time", chunk_seconds), next_col="next_page")
+    nx = _next_page(visits, chunk_seconds, "next_page")
     frm, nxt = F.col("page_id"), F.col("next_page")
     g = (nx.where(frm.isin(sources))
          .select(frm.alias("from_page"),

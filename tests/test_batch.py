@@ -6,7 +6,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from clicklens.operators.adjacent import with_next
+from clicklens.operators.adjacent import time_chunks, with_next
 from clicklens.plans import categories as cat
 from clicklens.plans import conversion as conv
 
@@ -123,3 +123,17 @@ def test_with_next_equals_plain_lead(spark):
     a = sorted(tuple(r) for r in chunked.collect())
     b = sorted(tuple(r) for r in plain.collect())
     assert len(a) == 3000 and a == b
+
+
+def test_hot_sessions_get_narrow_chunks_and_same_pairs(spark):
+    rnd = random.Random(11)
+    rows = [(e, rnd.choice(["hot"] * 8 + ["a", "b"]), rnd.randint(1, 6), rnd.randint(0, 3600), -1, None, None)
+            for e in range(2000)]
+    v = visits(spark, rows).select("session_id", "action_time", "event_id", "page_id")
+    c = time_chunks(v, "session_id", "action_time", 3600, max_rows=300)
+    per = {r["session_id"]: r["n"] for r in c.groupBy("session_id").agg(F.countDistinct("_chunk").alias("n")).collect()}
+    assert per["hot"] >= 4 and per["a"] <= 2      # only the hot session is split
+    order = ["action_time", "event_id"]
+    chunked = with_next(c, "session_id", order, "page_id", F.col("_chunk"), next_col="nxt")
+    plain = v.withColumn("nxt", F.lead("page_id").over(Window.partitionBy("session_id").orderBy(*order)))
+    assert sorted(tuple(r) for r in chunked.collect()) == sorted(tuple(r) for r in plain.collect())
