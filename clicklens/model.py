@@ -85,6 +85,18 @@ EVENTS_SCHEMA = T.StructType([
     T.StructField("props", T.StringType()),
 ])
 
+# Columns of the driver's dimension tables that the click view uses.
+NATION_SCHEMA = T.StructType([
+    T.StructField("n_nationkey", T.IntegerType()),
+    T.StructField("n_name", T.StringType()),
+    T.StructField("n_regionkey", T.IntegerType()),
+])
+REGION_SCHEMA = T.StructType([
+    T.StructField("r_regionkey", T.IntegerType()),
+    T.StructField("r_name", T.StringType()),
+])
+TABLE_SCHEMAS = {"events": EVENTS_SCHEMA, "nation": NATION_SCHEMA, "region": REGION_SCHEMA}
+
 # Fixed values of the reference jobs (defaults of the public functions).
 TOP_CATEGORIES = 10          # categories kept by the category ranking
 TOP_SESSIONS = 10            # sessions kept per top category

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicklens.functions.columns import ntz_epoch_millis
+from clicklens.model import TABLE_SCHEMAS
 
 # Fixed values of the fixture rule (shared with the oracle views).
 N_CATEGORIES = 20
@@ -27,7 +28,10 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """A driver table; known tables are read with their declared schema (no inference)."""
+    schema = TABLE_SCHEMAS.get(name)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(table_path(sf_dir, name))
 
 
 def _k(props: Column) -> Column:
