@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from clicklens import oracle as O
 from clicklens.config import shared_dir, use_utc
-from clicklens.model import DEFAULT_FLOW, TOP_CATEGORIES, TOP_SESSIONS
+from clicklens.model import DEFAULT_FLOW, TOP_CATEGORIES, TOP_SESSIONS, VISIT_COLUMNS
 from clicklens.plans import ads
 from clicklens.plans import categories as cat
 from clicklens.plans import conversion as conv
@@ -56,10 +56,7 @@ def oracle_sql() -> dict[str, str]:
 
 # ---------------------------------------------------------------- visit log
 
-_VISIT_COLS = ", ".join(["event_id", "date", "user_id", "session_id", "page_id", "action_time",
-                         "search_keyword", "click_category_id", "click_product_id",
-                         "order_category_ids", "order_product_ids", "pay_category_ids",
-                         "pay_product_ids", "city_id"])
+_VISIT_COLS = ", ".join(VISIT_COLUMNS)
 
 
 @register("visits_typed", O.with_(O.VISITS) + f"select {_VISIT_COLS} from visits")
@@ -436,11 +433,7 @@ def _table_roundtrip(spark, sf):
     path = shared_dir(spark, "tables", "user_visit_action")
     overwrite_table(v, "clicklens_user_visit_action", path=path, partition_by=["date"])
     overwrite_table(v, "clicklens_user_visit_action", path=path, partition_by=["date"])
-    return spark.table("clicklens_user_visit_action").select(*fx_visit_cols())
-
-
-def fx_visit_cols() -> list[str]:
-    return [c.strip() for c in _VISIT_COLS.split(",")]
+    return spark.table("clicklens_user_visit_action").select(*VISIT_COLUMNS)
 
 
 @register("keyed_snapshot_roundtrip", O.with_(O.CLICKS, _DAILY) + """

@@ -139,3 +139,34 @@ def test_ban_stream_with_frequent_compaction(spark, scratch):
     assert acc == {r["event_id"] for r in ads.accepted_per_batch(c, 2).collect()}
     bans = {r["uid"]: r["first_batch_id"] for r in job.stores["blacklist"].read().collect()}
     assert len(bans) > 0
+
+
+def test_per_event_ban_stream_equals_batch(spark, scratch):
+    th = 2
+    t = dt.datetime(2024, 1, 1, 12)
+    s = dt.timedelta(seconds=1)
+    rows = [(1, t, "N", "c", "u1", "1", 0), (2, t + s, "N", "c", "u2", "1", 0),
+            (3, t + 2 * s, "N", "c", "u1", "1", 0),          # u1 banned by this click (accepted)
+            (4, t + 3 * s, "N", "c", "u1", "2", 0),          # same batch, after the ban: dropped
+            (5, t + 4 * s, "N", "c", "u2", "2", 1), (6, t + 5 * s, "N", "c", "u1", "3", 1),
+            (7, t + 6 * s, "N", "c", "u2", "1", 2), (8, t + 7 * s, "N", "c", "u2", "1", 2)]
+    c = spark.createDataFrame(rows, SCHEMA)
+    write_batches(c, "batch_id", f"{scratch}/in")
+    job = S.per_event_ban_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1),
+                              th, base=f"{scratch}/job")
+    S.run_to_end(job.query)
+    acc = {r["event_id"] for r in job.stores["accepted"].read().collect()}
+    assert acc == {r["event_id"] for r in ads.accepted_per_event(c, th).collect()}
+    assert acc == {1, 2, 3, 5, 7}
+
+
+def test_top_ads_stream_ranks_running_totals(spark, scratch):
+    c = fx.clicks(spark, SF001).withColumn("batch_id", F.floor(F.col("event_id") / 250).cast("long"))
+    write_batches(c, "batch_id", f"{scratch}/in")
+    job = S.top_ads_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), 3,
+                        base=f"{scratch}/job")
+    S.run_to_end(job.query)
+    cols = ["day", "area", "adid", "click_count", "rk"]
+    assert rows_of(job.stores["ranks"].read(), cols) == rows_of(ads.top_ads_per_area(c, 3), cols)
+    kv = {(r["hash_key"], r["field"]) for r in job.stores["kv"].read().collect()}
+    assert len(kv) == ads.top_ads_per_area(c, 3).select("day", "area").distinct().count()
