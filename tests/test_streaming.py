@@ -170,3 +170,17 @@ def test_top_ads_stream_ranks_running_totals(spark, scratch):
     assert rows_of(job.stores["ranks"].read(), cols) == rows_of(ads.top_ads_per_area(c, 3), cols)
     kv = {(r["hash_key"], r["field"]) for r in job.stores["kv"].read().collect()}
     assert len(kv) == ads.top_ads_per_area(c, 3).select("day", "area").distinct().count()
+
+
+def test_bounded_state_variants_equal_batch(spark, scratch):
+    c = fx.clicks(spark, SF001).withColumn("batch_id", F.floor(F.col("event_id") / 250).cast("long"))
+    write_batches(c, "batch_id", f"{scratch}/in")
+    src = lambda: file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1)
+    top = S.top_ads_job(spark, src(), 3, base=f"{scratch}/top", max_lateness="400 days")
+    S.run_to_end(top.query)
+    cols = ["day", "area", "adid", "click_count", "rk"]
+    assert rows_of(top.stores["ranks"].read(), cols) == rows_of(ads.top_ads_per_area(c, 3), cols)
+    tot = S.daily_totals_job(spark, src(), base=f"{scratch}/tot", max_lateness="400 days")
+    S.run_to_end(tot.query)
+    cols = ["day", "area", "city", "adid", "click_count"]
+    assert rows_of(tot.stores["totals"].read(), cols) == rows_of(ads.daily_totals(c), cols)
