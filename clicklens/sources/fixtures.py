@@ -78,8 +78,10 @@ def visits_from_events(events: DataFrame) -> DataFrame:
 def clicks_from_events(events: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """Ad clicks: one row per click event with area (region) and city (nation).
 
-    ``nation`` and ``region`` are fixed-size dimension tables (25 and 5 rows);
-    Spark's size-checked broadcast picks them up without a hint.
+    ``nation`` and ``region`` are fixed-size dimension tables (25 and 5 rows
+    at every scale factor), so their join is broadcast by hint. Without it,
+    Spark's size estimate for a join (the product of its inputs) can make
+    the dimension side look larger than a small fact table.
     """
     geo = (nation.join(region, nation.n_regionkey == region.r_regionkey)
            .select(F.col("n_nationkey").cast("long").alias("_nk"),
@@ -87,7 +89,7 @@ def clicks_from_events(events: DataFrame, nation: DataFrame, region: DataFrame)
     c = (events.where(F.col("event_type") == "click")
          .select("event_id", "ts", "user_id", "props")
          .withColumn("_nk", F.col("user_id") % N_CITIES))
-    return (c.join(geo, "_nk")
+    return (c.join(F.broadcast(geo), "_nk")
             .select("event_id", "ts", "area", "city",
                     F.col("user_id").cast("string").alias("uid"),
                     (_k(F.col("props")) % N_ADS + 1).cast("string").alias("adid"),
