@@ -38,6 +38,9 @@ def register(name: str, sql: str | None):
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             use_utc(spark)
+            if streams.STATE_PARTITIONS is None:
+                # fixture streams are small: one state partition per core
+                streams.STATE_PARTITIONS = max(1, spark.sparkContext.defaultParallelism)
             return fn(spark, sf_dir)
         run.__name__ = name
         run.__doc__ = fn.__doc__

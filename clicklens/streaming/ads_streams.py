@@ -51,6 +51,12 @@ def _compacting(sink, stores, every: int):
     return run
 
 
+# Number of state-store partitions of new stateful queries (None: the
+# session's spark.sql.shuffle.partitions). A query keeps the number it was
+# first started with, for the life of its checkpoint.
+STATE_PARTITIONS: int | None = None
+
+
 def _start(df: DataFrame, mode: str, sink, checkpoint: str, trigger: str, name: str | None,
            stores=(), compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     sink = _compacting(sink, list(stores), compact_every)
@@ -59,7 +65,16 @@ def _start(df: DataFrame, mode: str, sink, checkpoint: str, trigger: str, name:
     w = w.trigger(availableNow=True) if trigger == AVAILABLE_NOW else w.trigger(processingTime=trigger)
     if name:
         w = w.queryName(name)
-    return w.start()
+    if STATE_PARTITIONS is None:
+        return w.start()
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(STATE_PARTITIONS))   # read once, when the query starts
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, old)
 
 
 def run_to_end(q: StreamingQuery, timeout_s: int = 1800) -> None:
@@ -259,9 +274,13 @@ ACCEPTED_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType())])
 
 
-def ban_job(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHOLD,
-            trigger: str = AVAILABLE_NOW, base: str | None = None,
-            compact_every: int = COMPACT_EVERY) -> StreamJob:
+def ban_job_snapshot(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHOLD,
+                     trigger: str = AVAILABLE_NOW, base: str | None = None,
+                     compact_every: int = COMPACT_EVERY) -> StreamJob:
+    """The ban job shaped like the reference's: each batch reads the blacklist
+    and the counters it touches from the snapshots. Each read scans the
+    stored state (compaction bounds the versions, not the state size);
+    ``ban_job`` keeps the same state in the stream's state store instead."""
     base = base or shared_dir(spark, "streams", "ban")
     counters = KeyedSnapshot(spark, f"{base}/counters", ["day", "uid", "adid"], COUNTER_SCHEMA, "add")
     blacklist = KeyedSnapshot(spark, f"{base}/blacklist", ["uid"], MEMBER_SCHEMA, "member")
@@ -345,3 +364,71 @@ def per_event_ban_job(spark: SparkSession, clicks: DataFrame, threshold: int = B
         accepted.write(df.withColumnRenamed("batch_id", "source_batch"), batch_id)
 
     return StreamJob(_start(out, "append", sink, f"{base}/checkpoint", trigger, None), {"accepted": accepted})
+
+
+# ------------------------------------------ per-batch ban (state store)
+
+def _per_batch_ban(threshold: int, columns: list[str]):
+    """State per user: banned flag and click counts per ``day:ad``.
+
+    A user banned in an earlier batch loses all rows; otherwise every row of
+    this batch is accepted and counted, and the user is banned (from the next
+    batch on) when a counter reaches the threshold. Chunks are handled one at
+    a time, so a hot user's rows are never gathered in one frame.
+    """
+    def fn(key, pdfs, state):
+        if state.exists:
+            banned, keys, counts = state.get
+        else:
+            banned, keys, counts = False, [], []
+        if banned:
+            for _ in pdfs:      # drain: everything of a banned user is dropped
+                pass
+            return
+        totals = dict(zip(keys or [], counts or []))
+        for pdf in pdfs:
+            k = pdf["ts"].dt.strftime("%Y-%m-%d") + ":" + pdf["adid"].astype(str)
+            for name, n in k.value_counts().items():
+                totals[name] = totals.get(name, 0) + int(n)
+            yield pdf[columns].assign(ban_now=False)
+        now = any(v >= threshold for v in totals.values())
+        state.update((now, list(totals.keys()), [int(v) for v in totals.values()]))
+        if now:
+            marker = {c: [None] for c in columns}
+            marker["uid"] = [key[0]]
+            import pandas as pd
+            yield pd.DataFrame(marker).assign(ban_now=True)
+
+    return fn
+
+
+def ban_job(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHOLD,
+            trigger: str = AVAILABLE_NOW, base: str | None = None) -> StreamJob:
+    """Per-batch ban with the per-user state in Spark's state store.
+
+    Same results as ``ban_job_snapshot``; a batch costs work for the users in
+    it only. Outputs (write-only snapshots keyed by batch id): accepted
+    clicks, counter increments (``add``), blacklist (``member``).
+    """
+    base = base or shared_dir(spark, "streams", "ban_state")
+    cols = clicks.columns
+    out_schema = T.StructType(clicks.schema.fields + [T.StructField("ban_now", T.BooleanType())])
+    out = clicks.groupBy("uid").applyInPandasWithState(
+        _per_batch_ban(threshold, cols), out_schema, BAN_STATE, "append", "NoTimeout")
+    counters = KeyedSnapshot(spark, f"{base}/counters", ["day", "uid", "adid"], COUNTER_SCHEMA, "add")
+    blacklist = KeyedSnapshot(spark, f"{base}/blacklist", ["uid"], MEMBER_SCHEMA, "member")
+    acc_schema = _renamed(T.StructType([f for f in ACCEPTED_SCHEMA.fields if f.name in cols]))
+    accepted = KeyedSnapshot(spark, f"{base}/accepted", ["event_id"], acc_schema, "set")
+
+    def sink(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        try:
+            rows = df.where(~F.col("ban_now")).drop("ban_now")
+            accepted.write(rows.withColumnRenamed("batch_id", "source_batch"), batch_id)
+            counters.write(ads.user_day_ad_counts(rows), batch_id)
+            blacklist.write(df.where(F.col("ban_now")).select("uid"), batch_id)
+        finally:
+            df.unpersist()
+
+    q = _start(out, "append", sink, f"{base}/checkpoint", trigger, None, [counters, blacklist])
+    return StreamJob(q, {"counters": counters, "blacklist": blacklist, "accepted": accepted})

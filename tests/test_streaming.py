@@ -65,7 +65,11 @@ def test_snapshot_replay_is_idempotent(spark, scratch):
     assert sorted(tuple(r) for r in members.read().collect()) == [("u", 3), ("w", 4)]
 
 
-def test_ban_stream_equals_batch_twin(spark, scratch):
+import pytest
+
+
+@pytest.mark.parametrize("job", ["ban_job", "ban_job_snapshot"])
+def test_ban_stream_equals_batch_twin(spark, scratch, job):
     th = 2
     t = dt.datetime(2024, 1, 1, 12)
     rows = [(1, t, "N", "c", "u1", "1", 0), (2, t, "N", "c", "u1", "1", 0), (3, t, "N", "c", "u1", "1", 0),
@@ -74,11 +78,14 @@ def test_ban_stream_equals_batch_twin(spark, scratch):
             (8, t, "N", "c", "u2", "1", 2), (9, t, "N", "c", "u2", "3", 2), (10, t, "N", "c", "u3", "1", 2)]
     c = spark.createDataFrame(rows, SCHEMA)
     write_batches(c, "batch_id", f"{scratch}/in")
-    job = S.ban_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), th,
-                    base=f"{scratch}/job")
+    job = getattr(S, job)(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), th,
+                          base=f"{scratch}/job")
     S.run_to_end(job.query)
     acc = {r["event_id"] for r in job.stores["accepted"].read().collect()}
     assert acc == {r["event_id"] for r in ads.accepted_per_batch(c, th).collect()}
+    counts = {(r["uid"], r["adid"]): r["click_count"] for r in job.stores["counters"].read().collect()}
+    assert counts == {(r["uid"], r["adid"]): r["click_count"]
+                      for r in ads.user_day_ad_counts(ads.accepted_per_batch(c, th)).collect()}
     # u1 is banned at the end of batch 0 and dropped from batch 1 on; u2 and u3
     # reach the threshold in batch 2, where all their clicks still count.
     assert acc == {1, 2, 3, 4, 6, 7, 8, 9, 10}
@@ -132,8 +139,8 @@ def test_snapshot_compaction_keeps_every_mode_equal(spark, scratch):
 def test_ban_stream_with_frequent_compaction(spark, scratch):
     c = fx.clicks(spark, SF001).withColumn("batch_id", F.floor(F.col("event_id") / 100).cast("long"))
     write_batches(c, "batch_id", f"{scratch}/in")
-    job = S.ban_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), 2,
-                    base=f"{scratch}/job", compact_every=3)
+    job = S.ban_job_snapshot(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), 2,
+                             base=f"{scratch}/job", compact_every=3)
     S.run_to_end(job.query)
     acc = {r["event_id"] for r in job.stores["accepted"].read().collect()}
     assert acc == {r["event_id"] for r in ads.accepted_per_batch(c, 2).collect()}
