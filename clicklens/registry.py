@@ -38,9 +38,6 @@ def register(name: str, sql: str | None):
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             use_utc(spark)
-            if streams.STATE_PARTITIONS is None:
-                # fixture streams are small: one state partition per core
-                streams.STATE_PARTITIONS = max(1, spark.sparkContext.defaultParallelism)
             return fn(spark, sf_dir)
         run.__name__ = name
         run.__doc__ = fn.__doc__
@@ -373,6 +370,11 @@ def _accepted_per_event(spark, sf):
 TREND_LATENESS = "1 hour"
 
 
+def _parts(spark) -> int:
+    """State partitions of the fixture streams: one per core (the data is small)."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _click_stream(spark, sf):
     return fx.clicks_from_events(event_stream(spark, sf), fx.read_table(spark, sf, "nation"),
                                  fx.read_table(spark, sf, "region"))
@@ -381,7 +383,7 @@ def _click_stream(spark, sf):
 @register("daily_ad_totals_stream", O.with_(O.CLICKS, _DAILY) + "select * from daily")
 def _daily_ad_totals_stream(spark, sf):
     """Q4 as a stream (update mode) into the keyed snapshot, read back."""
-    job = streams.daily_totals_job(spark, _click_stream(spark, sf))
+    job = streams.daily_totals_job(spark, _click_stream(spark, sf), state_partitions=_parts(spark))
     streams.run_to_end(job.query)
     return job.stores["totals"].read()
 
@@ -389,7 +391,8 @@ def _daily_ad_totals_stream(spark, sf):
 @register("daily_ad_totals_delta_stream", O.with_(O.CLICKS, _DAILY) + "select * from daily")
 def _daily_ad_totals_delta_stream(spark, sf):
     """Q4 variant: stateless stream, per-batch increments summed by the snapshot."""
-    job = streams.daily_totals_job(spark, _click_stream(spark, sf), state="delta")
+    job = streams.daily_totals_job(spark, _click_stream(spark, sf), state="delta",
+                                   state_partitions=_parts(spark))
     streams.run_to_end(job.query)
     return job.stores["totals"].read()
 
@@ -397,7 +400,7 @@ def _daily_ad_totals_delta_stream(spark, sf):
 @register("top3_ads_per_area_stream", O.with_(O.CLICKS, _TOP_ADS) + "select * from top_ads")
 def _top3_ads_stream(spark, sf):
     """Q5 as a stream (complete mode, ranked per micro-batch), read back."""
-    job = streams.top_ads_job(spark, _click_stream(spark, sf), TOP_N_ADS)
+    job = streams.top_ads_job(spark, _click_stream(spark, sf), TOP_N_ADS, state_partitions=_parts(spark))
     streams.run_to_end(job.query)
     return job.stores["ranks"].read()
 
@@ -406,7 +409,8 @@ def _top3_ads_stream(spark, sf):
 select * from trend where window_end <= (select max(ts) from clicks) - interval 1 hour""")
 def _trend_stream(spark, sf):
     """Q6 as a stream: append mode emits each window once it is closed by the watermark."""
-    job = streams.trend_job(spark, _click_stream(spark, sf), TREND_W, TREND_S, TREND_B, TREND_LATENESS)
+    job = streams.trend_job(spark, _click_stream(spark, sf), TREND_W, TREND_S, TREND_B, TREND_LATENESS,
+                           state_partitions=_parts(spark))
     streams.run_to_end(job.query)
     return job.stores["flat"].read().select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
@@ -422,7 +426,7 @@ def _accepted_stream(spark, sf):
     folder = shared_dir(spark, "replay", "clicks")
     write_batches(clicks, "batch_id", folder)
     stream = file_stream(spark, folder, clicks.schema, max_files_per_trigger=1)
-    job = streams.ban_job(spark, stream, THRESHOLD)
+    job = streams.ban_job(spark, stream, THRESHOLD, state_partitions=_parts(spark))
     streams.run_to_end(job.query)
     return job.stores["accepted"].read().withColumnRenamed("source_batch", "batch_id")
 
@@ -465,6 +469,6 @@ def _accepted_per_event_stream(spark, sf):
     folder = shared_dir(spark, "replay", "clicks")
     write_batches(clicks, "batch_id", folder)
     stream = file_stream(spark, folder, clicks.schema, max_files_per_trigger=1)
-    job = streams.per_event_ban_job(spark, stream, THRESHOLD)
+    job = streams.per_event_ban_job(spark, stream, THRESHOLD, state_partitions=_parts(spark))
     streams.run_to_end(job.query)
     return job.stores["accepted"].read().withColumnRenamed("source_batch", "batch_id")

@@ -51,26 +51,24 @@ def _compacting(sink, stores, every: int):
     return run
 
 
-# Number of state-store partitions of new stateful queries (None: the
-# session's spark.sql.shuffle.partitions). A query keeps the number it was
-# first started with, for the life of its checkpoint.
-STATE_PARTITIONS: int | None = None
-
-
 def _start(df: DataFrame, mode: str, sink, checkpoint: str, trigger: str, name: str | None,
-           stores=(), compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+           stores=(), compact_every: int = COMPACT_EVERY,
+           state_partitions: int | None = None) -> StreamingQuery:
+    """Start a ``foreachBatch`` query. ``state_partitions``: number of state
+    store partitions (default: the session's ``spark.sql.shuffle.partitions``);
+    a query keeps the number it first started with for its checkpoint's life."""
     sink = _compacting(sink, list(stores), compact_every)
     w = (df.writeStream.outputMode(mode).foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if trigger == AVAILABLE_NOW else w.trigger(processingTime=trigger)
     if name:
         w = w.queryName(name)
-    if STATE_PARTITIONS is None:
+    if state_partitions is None:
         return w.start()
     spark = df.sparkSession
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
-    spark.conf.set(key, str(STATE_PARTITIONS))   # read once, when the query starts
+    spark.conf.set(key, str(state_partitions))   # read once, when the query starts
     try:
         return w.start()
     finally:
@@ -103,7 +101,8 @@ class StreamJob:
 
 def daily_totals_job(spark: SparkSession, clicks: DataFrame, trigger: str = AVAILABLE_NOW,
                      base: str | None = None, max_lateness: str | None = None,
-                     state: str = "spark") -> StreamJob:
+                     state: str = "spark",
+                     state_partitions: int | None = None) -> StreamJob:
     """``state="spark"``: running totals in the stream's state store, changed
     keys upserted. ``state="delta"``: no stream state at all; each batch's own
     counts are stored as an increment and the snapshot sums them on read."""
@@ -114,8 +113,9 @@ def daily_totals_job(spark: SparkSession, clicks: DataFrame, trigger: str = AVAI
         def add(df: DataFrame, batch_id: int) -> None:
             store.write(ads.daily_totals(df), batch_id)
 
-        return StreamJob(_start(clicks, "append", add, f"{base}/checkpoint", trigger, None, [store]),
-                         {"totals": store})
+        q = _start(clicks, "append", add, f"{base}/checkpoint", trigger, None, [store],
+                   state_partitions=state_partitions)
+        return StreamJob(q, {"totals": store})
     store = KeyedSnapshot(spark, f"{base}/totals", ["day", "area", "city", "adid"], TOTALS_SCHEMA, "set")
     if max_lateness:
         c = clicks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", max_lateness)
@@ -128,7 +128,8 @@ def daily_totals_job(spark: SparkSession, clicks: DataFrame, trigger: str = AVAI
     def sink(df: DataFrame, batch_id: int) -> None:
         store.write(df, batch_id)
 
-    q = _start(totals, "update", sink, f"{base}/checkpoint", trigger, None, [store])
+    q = _start(totals, "update", sink, f"{base}/checkpoint", trigger, None, [store],
+               state_partitions=state_partitions)
     return StreamJob(q, {"totals": store})
 
 
@@ -149,7 +150,8 @@ AREA_COUNT_SCHEMA = T.StructType([
 
 
 def top_ads_job(spark: SparkSession, clicks: DataFrame, n: int = TOP_ADS, trigger: str = AVAILABLE_NOW,
-                base: str | None = None, max_lateness: str | None = None) -> StreamJob:
+                base: str | None = None, max_lateness: str | None = None,
+                state_partitions: int | None = None) -> StreamJob:
     """Without ``max_lateness``: running counts in ``complete`` mode, every
     (day, area) re-ranked each batch, as the reference does. With it: the day
     is an event-time window under a watermark (``update`` mode, finished days
@@ -169,7 +171,7 @@ def top_ads_job(spark: SparkSession, clicks: DataFrame, n: int = TOP_ADS, trigge
 
     if not max_lateness:
         q = _start(ads.area_ad_counts(clicks), "complete", publish, f"{base}/checkpoint", trigger, None,
-                   [ranks, kv])
+                   [ranks, kv], state_partitions=state_partitions)
         return StreamJob(q, {"ranks": ranks, "kv": kv})
 
     counts_store = KeyedSnapshot(spark, f"{base}/counts", ["day", "area", "adid"], AREA_COUNT_SCHEMA, "set")
@@ -183,7 +185,8 @@ def top_ads_job(spark: SparkSession, clicks: DataFrame, n: int = TOP_ADS, trigge
         touched = df.select("day", "area").distinct()
         publish(counts_store.read(upto=batch_id).join(touched, ["day", "area"], "left_semi"), batch_id)
 
-    q = _start(counts, "update", sink, f"{base}/checkpoint", trigger, None, [counts_store, ranks, kv])
+    q = _start(counts, "update", sink, f"{base}/checkpoint", trigger, None, [counts_store, ranks, kv],
+               state_partitions=state_partitions)
     return StreamJob(q, {"ranks": ranks, "kv": kv, "counts": counts_store})
 
 
@@ -209,7 +212,8 @@ def trend_stream(clicks: DataFrame, window: str = TREND_WINDOW, slide: str = TRE
 
 def trend_job(spark: SparkSession, clicks: DataFrame, window: str = TREND_WINDOW, slide: str = TREND_SLIDE,
               bucket: str = TREND_BUCKET, lateness: str = "10 seconds", trigger: str = AVAILABLE_NOW,
-              base: str | None = None) -> StreamJob:
+              base: str | None = None,
+              state_partitions: int | None = None) -> StreamJob:
     base = base or shared_dir(spark, "streams", "trend")
     flat = KeyedSnapshot(spark, f"{base}/flat", ["window_start", "adid", "bucket_start"], TREND_SCHEMA, "set")
     kv = KeyedSnapshot(spark, f"{base}/kv", ["hash_key", "field"], KV_SCHEMA, "set")
@@ -227,7 +231,7 @@ def trend_job(spark: SparkSession, clicks: DataFrame, window: str = TREND_WINDOW
             df.unpersist()
 
     q = _start(trend_stream(clicks, window, slide, bucket, lateness), "append", sink,
-               f"{base}/checkpoint", trigger, None, [kv])
+               f"{base}/checkpoint", trigger, None, [kv], state_partitions=state_partitions)
     return StreamJob(q, {"flat": flat, "kv": kv})
 
 
@@ -276,7 +280,8 @@ ACCEPTED_SCHEMA = T.StructType([
 
 def ban_job_snapshot(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHOLD,
                      trigger: str = AVAILABLE_NOW, base: str | None = None,
-                     compact_every: int = COMPACT_EVERY) -> StreamJob:
+                     compact_every: int = COMPACT_EVERY,
+                     state_partitions: int | None = None) -> StreamJob:
     """The ban job shaped like the reference's: each batch reads the blacklist
     and the counters it touches from the snapshots. Each read scans the
     stored state (compaction bounds the versions, not the state size);
@@ -294,7 +299,7 @@ def ban_job_snapshot(spark: SparkSession, clicks: DataFrame, threshold: int = BA
                  batch_id, counters, blacklist, accepted, threshold)
 
     q = _start(clicks, "append", sink, f"{base}/checkpoint", trigger, None, [counters, blacklist],
-               compact_every)
+               compact_every, state_partitions=state_partitions)
     return StreamJob(q, {"counters": counters, "blacklist": blacklist, "accepted": accepted})
 
 
@@ -349,7 +354,8 @@ def _per_event_ban(threshold: int, columns: list[str]):
 
 
 def per_event_ban_job(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHOLD,
-                      trigger: str = AVAILABLE_NOW, base: str | None = None) -> StreamJob:
+                      trigger: str = AVAILABLE_NOW, base: str | None = None,
+                      state_partitions: int | None = None) -> StreamJob:
     """Per-event ban on a live stream (the reference's commented variant),
     keyed by user with ``applyInPandasWithState``. A micro-batch's rows of one
     user are one pandas frame, so ``maxOffsetsPerTrigger`` / file limits bound it."""
@@ -363,7 +369,8 @@ def per_event_ban_job(spark: SparkSession, clicks: DataFrame, threshold: int = B
     def sink(df: DataFrame, batch_id: int) -> None:
         accepted.write(df.withColumnRenamed("batch_id", "source_batch"), batch_id)
 
-    return StreamJob(_start(out, "append", sink, f"{base}/checkpoint", trigger, None), {"accepted": accepted})
+    q = _start(out, "append", sink, f"{base}/checkpoint", trigger, None, state_partitions=state_partitions)
+    return StreamJob(q, {"accepted": accepted})
 
 
 # ------------------------------------------ per-batch ban (state store)
@@ -403,7 +410,8 @@ def _per_batch_ban(threshold: int, columns: list[str]):
 
 
 def ban_job(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHOLD,
-            trigger: str = AVAILABLE_NOW, base: str | None = None) -> StreamJob:
+            trigger: str = AVAILABLE_NOW, base: str | None = None,
+            state_partitions: int | None = None) -> StreamJob:
     """Per-batch ban with the per-user state in Spark's state store.
 
     Same results as ``ban_job_snapshot``; a batch costs work for the users in
@@ -430,5 +438,6 @@ def ban_job(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHO
         finally:
             df.unpersist()
 
-    q = _start(out, "append", sink, f"{base}/checkpoint", trigger, None, [counters, blacklist])
+    q = _start(out, "append", sink, f"{base}/checkpoint", trigger, None, [counters, blacklist],
+               state_partitions=state_partitions)
     return StreamJob(q, {"counters": counters, "blacklist": blacklist, "accepted": accepted})
