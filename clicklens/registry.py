@@ -449,16 +449,17 @@ select 'date:area:city:ads' as hash_key,
        cast(click_count as varchar) as value
 from daily""")
 def _snapshot_roundtrip(spark, sf):
-    """Absolute upserts of the totals hash over two batches, the second one
-    replayed: the read-back equals one clean run."""
+    """Absolute upserts of the whole totals hash as two versions, the second
+    one written twice (a replayed batch), then compacted: the read-back equals
+    one clean run. Partial updates are unit-tested in tests/test_streaming.py."""
     from clicklens.sinks.snapshot import KeyedSnapshot
     from clicklens.streaming.ads_streams import KV_SCHEMA
-    c = fx.clicks(spark, sf)
+    kv = ads.daily_totals_kv(ads.daily_totals(fx.clicks(spark, sf)))
     store = KeyedSnapshot(spark, shared_dir(spark, "snapshots", "totals"), ["hash_key", "field"], KV_SCHEMA, "set")
-    half = c.where(F.col("batch_id") < F.lit(10))
-    store.write(ads.daily_totals_kv(ads.daily_totals(half)), 0)
-    store.write(ads.daily_totals_kv(ads.daily_totals(c)), 1)
-    store.write(ads.daily_totals_kv(ads.daily_totals(c)), 1)   # replay of batch 1
+    store.write(kv, 0)
+    store.compact(0)
+    store.write(kv, 1)
+    store.write(kv, 1)   # replay of batch 1
     return store.read()
 
 
