@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,20 +62,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         path = f"{path}/{p}"
     return f"{path}/{uuid.uuid4().hex}"
 
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/")
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch the local file system."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)

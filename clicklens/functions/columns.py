@@ -89,11 +89,6 @@ def millis_to_ntz(ms: Column | str) -> Column:
     return F.timestamp_add("MILLISECOND", _c(ms).cast("long"), _epoch_ntz())
 
 
-def millis_to_ts(ms: Column | str) -> Column:
-    """Epoch milliseconds to an instant (``timestamp``), for event-time streams."""
-    return F.timestamp_millis(_c(ms).cast("long"))
-
-
 def day_of(ts: Column | str) -> Column:
     """Calendar day of a timestamp in the session zone (UTC in this repo)."""
     return F.to_date(_c(ts))
@@ -107,12 +102,6 @@ def floor_time(ts: Column | str, seconds: int) -> Column:
     return F.timestamp_add("MICROSECOND", F.floor(micros / F.lit(us)).cast("long") * F.lit(us), _epoch_ntz())
 
 
-def bucket_index(ts: Column | str, seconds: int) -> Column:
-    """Number of the ``seconds``-wide bucket holding ``ts`` (a long, monotone in ``ts``)."""
-    us = int(seconds) * 1_000_000
-    return F.floor(ntz_epoch_micros(_c(ts).cast("timestamp_ntz")) / F.lit(us)).cast("long")
-
-
 def clock_label(ts: Column | str) -> Column:
     """``mm:ss`` of a timestamp (the trend's bucket label)."""
     return F.date_format(_c(ts), "mm:ss")
