@@ -264,7 +264,10 @@ def _top3_ads(spark, sf):
     return ads.top_ads_per_area(fx.clicks(spark, sf), TOP_N_ADS)
 
 
-@register("top3_ads_json", None)
+@register("top3_ads_json", O.with_(O.CLICKS, _TOP_ADS) + """
+select concat('top3_ads_per_day:', cast(day as varchar)) as hash_key, area as field,
+       to_json(map_from_entries(list(struct_pack(k := adid, v := click_count) order by rk))) as value
+from top_ads group by day, area""")
 def _top3_ads_json(spark, sf):
     """Q5 key-value form: ``{"ad":count,...}`` per (day, area) in rank order."""
     return ads.top_ads_json(ads.top_ads_per_area(fx.clicks(spark, sf), TOP_N_ADS))
@@ -293,7 +296,11 @@ def _trend_sliding(spark, sf):
     return ads.trend(fx.clicks(spark, sf), TREND_W, TREND_S, TREND_B)
 
 
-@register("trend_json", None)
+@register("trend_json", O.with_(O.CLICKS, _TREND) + """
+select window_start, window_end, 'time:advert:click:trend' as hash_key, adid as field,
+       to_json(list(map_from_entries([struct_pack(k := strftime(bucket_start, '%M:%S'), v := click_count)])
+                    order by bucket_start)) as value
+from trend group by window_start, window_end, adid""")
 def _trend_json(spark, sf):
     """Q6 key-value form: ``[{"mm:ss":count},...]`` per window and ad."""
     return ads.trend_json(ads.trend(fx.clicks(spark, sf), TREND_W, TREND_S, TREND_B))
