@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from clicklens import oracle as O
 from clicklens.config import shared_dir, use_utc
-from clicklens.model import DEFAULT_FLOW, TOP_CATEGORIES, TOP_SESSIONS, VISIT_COLUMNS
+from clicklens.model import (CATEGORY_TOP10_SCHEMA, DEFAULT_FLOW, TOP_CATEGORIES, TOP_SESSIONS,
+                             VISIT_COLUMNS)
 from clicklens.plans import ads
 from clicklens.plans import categories as cat
 from clicklens.plans import conversion as conv
 from clicklens.sources import fixtures as fx
-from clicklens.sinks.tables import overwrite_table
+from clicklens.sinks.tables import append_rows, overwrite_table
 from clicklens.sources.stream import event_stream, file_stream
 from clicklens.sources.tables import time_range
 from clicklens.streaming import ads_streams as streams
@@ -145,6 +146,24 @@ def _top10_sessions(spark, sf):
     return cat.top_sessions_per_category(fx.visits(spark, sf), n=TOP_SESSIONS, task_id=TASK_ID)
 
 
+@register("top10_sessions_from_stored_runs", O.with_(
+    O.VISITS, O.ACTIONS, O.CATEGORY_COUNTS, O.top_categories_cte("run-2", TOP_CATEGORIES), _TOP_CLICKS,
+    _CS_COUNTS) + f"""
+select task_id, category_id, session_id, click_count from (
+  select *, row_number() over (partition by category_id order by click_count desc, session_id) as rk
+  from cs_counts) where rk <= {TOP_SESSIONS}""")
+def _top10_sessions_stored(spark, sf):
+    """Q2 as the reference runs it: two runs of Q1 append to a result table;
+    the session job reads the list of all runs back (one task id per
+    category, the largest) and ranks sessions in those categories."""
+    v = fx.visits(spark, sf)
+    path = shared_dir(spark, "tables", "category_top10")
+    for run in ("run-1", "run-2"):
+        append_rows(cat.top_categories(v, TOP_CATEGORIES, run), path)
+    stored = spark.read.schema(CATEGORY_TOP10_SCHEMA).parquet(path)
+    return cat.top_sessions_per_category(v, cat.top_list(stored), TOP_SESSIONS, top_rows=None)
+
+
 # ---------------------------------------------------------- page conversion
 
 _PAIRS = O.target_pairs_sql(conv.flow_pairs(FLOW))

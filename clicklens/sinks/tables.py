@@ -18,6 +18,12 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None,
     w.saveAsTable(name)
 
 
+def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Append a run's rows to a shared result table (the file-table form of a
+    JDBC append: every run adds its rows, earlier runs stay)."""
+    df.write.mode("append").format(fmt).save(path)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
                mode: str = "append", batchsize: int = 10_000, num_partitions: int | None = None) -> None:
     """Append rows over JDBC: one connection per task, batched inserts.
