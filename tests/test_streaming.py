@@ -191,3 +191,41 @@ def test_bounded_state_variants_equal_batch(spark, scratch):
     S.run_to_end(tot.query)
     cols = ["day", "area", "city", "adid", "click_count"]
     assert rows_of(tot.stores["totals"].read(), cols) == rows_of(ads.daily_totals(c), cols)
+
+
+@pytest.mark.parametrize("job", ["ban_job", "daily_totals_job"])
+def test_crash_mid_batch_then_restart(spark, scratch, monkeypatch, job):
+    """A batch that dies after writing part of its output is run again on
+    restart (its offsets are logged, its commit is not); state and outputs
+    end exactly as in a clean run."""
+    c = fx.clicks(spark, SF001).withColumn("batch_id", F.floor(F.col("event_id") / 200).cast("long"))
+    write_batches(c, "batch_id", f"{scratch}/in")
+    src = lambda: file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1)
+    start = (lambda: S.ban_job(spark, src(), 2, base=f"{scratch}/job", state_partitions=2)) if job == "ban_job" \
+        else (lambda: S.daily_totals_job(spark, src(), base=f"{scratch}/job", state_partitions=2))
+    real_write = KeyedSnapshot.write
+    calls = {"n": 0}
+
+    def crashing_write(self, df, batch_id):
+        real_write(self, df, batch_id)
+        if batch_id == 2:
+            calls["n"] += 1
+            if calls["n"] == 1:
+                raise RuntimeError("simulated crash after a partial batch")
+
+    monkeypatch.setattr(KeyedSnapshot, "write", crashing_write)
+    first = start()
+    with pytest.raises(Exception):
+        S.run_to_end(first.query)
+    monkeypatch.setattr(KeyedSnapshot, "write", real_write)
+    again = start()                     # same checkpoint and output folders
+    S.run_to_end(again.query)
+    if job == "ban_job":
+        acc = sorted(r["event_id"] for r in again.stores["accepted"].read().collect())
+        assert acc == sorted(r["event_id"] for r in ads.accepted_per_batch(c, 2).collect())
+        cols = ["day", "uid", "adid", "click_count"]
+        assert rows_of(again.stores["counters"].read(), cols) == rows_of(
+            ads.user_day_ad_counts(ads.accepted_per_batch(c, 2)), cols)
+    else:
+        cols = ["day", "area", "city", "adid", "click_count"]
+        assert rows_of(again.stores["totals"].read(), cols) == rows_of(ads.daily_totals(c), cols)
