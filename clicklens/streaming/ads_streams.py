@@ -14,9 +14,15 @@ query checkpoint; a restarted query continues its totals.
   inside ``foreachBatch`` (a stream cannot rank directly).
 * trend: sliding event-time window + bucket, watermark, ``append`` mode:
   each (window, ad, bucket) count is written once, when its window closes.
-* ban: ``foreachBatch`` with two snapshots (counters, blacklist): the batch
-  drops users banned before it, adds the rest to the counters and bans users
-  whose counter reached the threshold, from the next batch on.
+* ban (``ban_job``): per-user state (banned flag, counters per day and ad)
+  in the state store via ``applyInPandasWithState``: a batch drops users
+  banned before it, counts the rest and bans users whose counter reached the
+  threshold, from the next batch on. ``ban_job_snapshot`` does the same with
+  the reference's shape (read the blacklist and counters each batch);
+  ``per_event_ban_job`` is the per-click variant.
+
+The jobs default to ``availableNow`` (process what is there, then stop);
+pass ``trigger="5 seconds"`` (``model.TOTALS_TRIGGER``) for a live job.
 """
 
 from __future__ import annotations
@@ -323,7 +329,8 @@ def _per_event_ban(threshold: int, columns: list[str]):
     Rows of one user in one micro-batch are taken in ``(ts, event_id)`` order;
     every click counts until one makes a ``(day, ad)`` counter reach the
     threshold; that click is the last one accepted, for ever. Vectorised with
-    pandas (cumulative counts per key), no per-row Python loop.
+    pandas (cumulative counts per key); the ordering needs the user's rows of
+    the batch in one frame, which the trigger's batch size bounds.
     """
     import pandas as pd
 
@@ -340,7 +347,7 @@ def _per_event_ban(threshold: int, columns: list[str]):
         pdf = pdf.reset_index(drop=True)
         k = pdf["ts"].dt.strftime("%Y-%m-%d") + ":" + pdf["adid"].astype(str)
         prior = dict(zip(keys or [], counts or []))
-        running = pdf.groupby(k).cumcount() + 1 + k.map(lambda x: prior.get(x, 0))
+        running = pdf.groupby(k).cumcount() + 1 + k.map(prior).fillna(0).astype("int64")
         hit = (running >= threshold).to_numpy().nonzero()[0]
         if len(hit):
             pdf, k = pdf.iloc[: hit[0] + 1], k.iloc[: hit[0] + 1]
@@ -383,6 +390,8 @@ def _per_batch_ban(threshold: int, columns: list[str]):
     batch on) when a counter reaches the threshold. Chunks are handled one at
     a time, so a hot user's rows are never gathered in one frame.
     """
+    import pandas as pd
+
     def fn(key, pdfs, state):
         if state.exists:
             banned, keys, counts = state.get
@@ -403,7 +412,6 @@ def _per_batch_ban(threshold: int, columns: list[str]):
         if now:
             marker = {c: [None] for c in columns}
             marker["uid"] = [key[0]]
-            import pandas as pd
             yield pd.DataFrame(marker).assign(ban_now=True)
 
     return fn
