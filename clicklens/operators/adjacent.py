@@ -53,7 +53,10 @@ def time_chunks(df: DataFrame, session: str, ts: str, seconds: int,
     after the map side). Only sessions over ``max_rows`` are kept; there can
     be at most ``total rows / max_rows`` of them (500,000 per 10^12 rows at
     the default), so that list is broadcast. Chunks stay monotone in time
-    inside each session, as ``with_next`` needs.
+    inside each session, as ``with_next`` needs. The width assumes the hot
+    session's rows spread over its time span; rows that share one timestamp
+    cannot be told apart by time and stay in one chunk (results stay exact,
+    only the balance suffers).
     """
     us = ntz_epoch_micros(F.col(ts).cast("timestamp_ntz"))
     stats = (df.select(session, us.alias("_us"))
