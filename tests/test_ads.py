@@ -3,6 +3,9 @@
 import datetime as dt
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from clicklens.plans import ads
 
 SCHEMA = ("event_id long, ts timestamp_ntz, area string, city string, uid string, "
@@ -52,7 +55,6 @@ def test_trend_hour_turn_and_windows(spark):
 
 
 def test_trend_rejects_misaligned_buckets():
-    import pytest
     with pytest.raises(ValueError):
         ads._check_trend("60 seconds", "15 seconds", "10 seconds")
 
@@ -91,3 +93,22 @@ def test_parse_lines_quarantine(spark):
     assert bad.count() == 2
     typed = ads.clicks_from_lines(lines).first()
     assert typed["ts"] == dt.datetime(2024, 1, 1) and typed["city"] == "c"
+
+
+@pytest.mark.parametrize("w,s,b", [("60 seconds", "10 seconds", "10 seconds"), ("6 hours", "1 hour", "1 hour"),
+                                   ("1 hour", "10 minutes", "5 minutes"), ("2 minutes", "1 minute", "30 seconds")])
+def test_trend_equals_spark_sliding_window(spark, w, s, b):
+    """Bucket counts expanded into windows == Spark's own sliding window per click."""
+    from clicklens.functions.columns import floor_time, interval_seconds
+    from clicklens.sources import fixtures as fx
+    c = fx.clicks(spark, "/root/testdata/sf0.001")
+    ours = ads.trend(c, w, s, b)
+    spark_w = (c.groupBy(F.window("ts", w, s).alias("win"), "adid",
+                         floor_time("ts", interval_seconds(b)).alias("bucket_start"))
+               .agg(F.count(F.lit(1)).alias("click_count"))
+               .select(F.col("win.start").alias("window_start"), F.col("win.end").alias("window_end"),
+                       "adid", "bucket_start", "click_count"))
+    cols = ["window_start", "window_end", "adid", "bucket_start", "click_count"]
+    a = sorted(tuple(r) for r in ours.select(*cols).collect())
+    z = sorted(tuple(r) for r in spark_w.select(*cols).collect())
+    assert len(a) > 0 and a == z

@@ -82,3 +82,32 @@ def test_time_range(spark):
     assert time_range(df, None, "2024-01-05 00:00:00").count() == 2
     assert time_range(df, "", None).count() == 3
     assert df.select(F.lit(1)).count() == 3
+
+
+def _java_split(s):
+    """Java's String.split(",") with limit 0: split, drop trailing empty strings;
+    no separator at all gives the input itself."""
+    if s is None:
+        return None
+    if "," not in s:
+        return [s]
+    parts = s.split(",")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_java_split_matches_java_rules(spark):
+    from hypothesis import given, settings, strategies as st
+    samples = []
+
+    @settings(max_examples=200, deadline=None, database=None)
+    @given(st.text(alphabet="1,", max_size=8))
+    def collect(s):
+        samples.append(s)
+
+    collect()
+    rows = [(s,) for s in sorted(set(samples))]
+    got = spark.createDataFrame(rows, "v string").select("v", C.java_split("v").alias("p")).collect()
+    for r in got:
+        assert r["p"] == _java_split(r["v"]), r["v"]
