@@ -137,3 +137,9 @@ def floor_instant(ts: Column | str, seconds: int) -> Column:
     """
     us = int(seconds) * 1_000_000
     return F.timestamp_micros(F.floor(F.unix_micros(_c(ts)) / F.lit(us)).cast("long") * F.lit(us))
+
+
+def key_columns(key: Column | str, sep: str, names: list[str]) -> list[Column]:
+    """Columns of a composite string key (``'2024-01-01:AREA:CITY:3'``), for
+    keys imported from a key-value store; keys built here stay real columns."""
+    return [F.split_part(_c(key), F.lit(sep), F.lit(i + 1)).alias(n) for i, n in enumerate(names)]

@@ -111,3 +111,9 @@ def test_java_split_matches_java_rules(spark):
     got = spark.createDataFrame(rows, "v string").select("v", C.java_split("v").alias("p")).collect()
     for r in got:
         assert r["p"] == _java_split(r["v"]), r["v"]
+
+
+def test_key_columns_round_trip(spark):
+    df = spark.createDataFrame([("2024-01-01:MIDDLE EAST:NATION_4:3",)], "field string")
+    r = df.select(*C.key_columns("field", ":", ["day", "area", "city", "adid"])).first()
+    assert tuple(r) == ("2024-01-01", "MIDDLE EAST", "NATION_4", "3")
