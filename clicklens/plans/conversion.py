@@ -59,10 +59,11 @@ def _next_page(visits: DataFrame, chunk_seconds: int, next_col: str,
                      F.col("_chunk"), next_col=next_col)
 
 
-def page_transitions(visits: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def page_transitions(visits: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+                     hot_rows: int = HOT_SESSION_ROWS) -> DataFrame:
     """Every adjacent visit pair: ``(session_id, event_id, from_page, to_page)``
     (``event_id`` of the first visit of the pair)."""
-    nx = _next_page(visits, chunk_seconds, "to_page")
+    nx = _next_page(visits, chunk_seconds, "to_page", hot_rows)
     return (nx.where(F.col("to_page").isNotNull())
             .select("session_id", "event_id", F.col("page_id").alias("from_page"), "to_page"))
 
@@ -89,12 +90,14 @@ def target_page_visits(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_FL
 
 def page_conversion(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_FLOW,
                     percent: bool = False,
-                    chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                    chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+                    hot_rows: int = HOT_SESSION_ROWS) -> DataFrame:
     """``(from_page, to_page, pair_count, page_count, rate)`` (+ ``rate_pct`` int,
-    truncated, when ``percent``)."""
+    truncated, when ``percent``). ``chunk_seconds`` / ``hot_rows`` only change
+    how sessions are spread over tasks, never the result."""
     pairs = flow_pairs(flow)
     sources = sorted({a for a, _ in pairs})
-    nx = _next_page(visits, chunk_seconds, "next_page")
+    nx = _next_page(visits, chunk_seconds, "next_page", hot_rows)
     frm, nxt = F.col("page_id"), F.col("next_page")
     g = (nx.where(frm.isin(sources))
          .select(frm.alias("from_page"),

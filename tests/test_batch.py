@@ -137,3 +137,17 @@ def test_hot_sessions_get_narrow_chunks_and_same_pairs(spark):
     chunked = with_next(c, "session_id", order, "page_id", F.col("_chunk"), next_col="nxt")
     plain = v.withColumn("nxt", F.lead("page_id").over(Window.partitionBy("session_id").orderBy(*order)))
     assert sorted(tuple(r) for r in chunked.collect()) == sorted(tuple(r) for r in plain.collect())
+
+
+def test_conversion_result_does_not_depend_on_chunking(spark):
+    """On the sf0.01 visit log: every session hot (narrow chunks) or tiny
+    fixed chunks give exactly the default result."""
+    from clicklens.sources import fixtures as fx
+    v = fx.visits(spark, "/root/testdata/sf0.01")
+    cols = ["from_page", "to_page", "pair_count", "page_count", "rate", "rate_pct"]
+    base = sorted(tuple(r) for r in conv.page_conversion(v, percent=True).select(*cols).collect())
+    hot = sorted(tuple(r) for r in conv.page_conversion(v, percent=True, hot_rows=5).select(*cols).collect())
+    tiny = sorted(tuple(r) for r in conv.page_conversion(v, percent=True, chunk_seconds=60).select(*cols).collect())
+    assert len(base) == 5 and base == hot == tiny
+    n = conv.page_transitions(v, hot_rows=5).count()
+    assert n == conv.page_transitions(v).count() == 7836
