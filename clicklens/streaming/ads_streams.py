@@ -205,11 +205,21 @@ TREND_SCHEMA = T.StructType([
 
 
 def trend_stream(clicks: DataFrame, window: str = TREND_WINDOW, slide: str = TREND_SLIDE,
-                 bucket: str = TREND_BUCKET, lateness: str = "10 seconds") -> DataFrame:
-    """Streaming form of ``plans.ads.trend`` (event time, watermark ``lateness``)."""
+                 bucket: str = TREND_BUCKET, lateness: str = "10 seconds",
+                 window_col: str = "ts") -> DataFrame:
+    """Streaming form of ``plans.ads.trend`` (watermark ``lateness``).
+
+    Buckets always use the click's own time ``ts``. The sliding window uses
+    ``window_col``: ``ts`` (event time, the default) or an arrival time such
+    as the Kafka record timestamp (``arrival_ts`` of ``ad_line_stream``),
+    which is what the reference's window is over.
+    """
     ads._check_trend(window, slide, bucket)
-    c = clicks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
-    return (c.groupBy(F.window("ts", window, slide).alias("_w"), "adid",
+    c = clicks.withColumn("ts", F.col("ts").cast("timestamp"))
+    if window_col != "ts":
+        c = c.withColumn(window_col, F.col(window_col).cast("timestamp"))
+    c = c.withWatermark(window_col, lateness)
+    return (c.groupBy(F.window(window_col, window, slide).alias("_w"), "adid",
                       floor_instant("ts", interval_seconds(bucket)).alias("bucket_start"))
             .agg(F.count(F.lit(1)).alias("click_count"))
             .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
@@ -218,7 +228,7 @@ def trend_stream(clicks: DataFrame, window: str = TREND_WINDOW, slide: str = TRE
 
 def trend_job(spark: SparkSession, clicks: DataFrame, window: str = TREND_WINDOW, slide: str = TREND_SLIDE,
               bucket: str = TREND_BUCKET, lateness: str = "10 seconds", trigger: str = AVAILABLE_NOW,
-              base: str | None = None,
+              base: str | None = None, window_col: str = "ts",
               state_partitions: int | None = None) -> StreamJob:
     base = base or shared_dir(spark, "streams", "trend")
     flat = KeyedSnapshot(spark, f"{base}/flat", ["window_start", "adid", "bucket_start"], TREND_SCHEMA, "set")
@@ -236,7 +246,7 @@ def trend_job(spark: SparkSession, clicks: DataFrame, window: str = TREND_WINDOW
         finally:
             df.unpersist()
 
-    q = _start(trend_stream(clicks, window, slide, bucket, lateness), "append", sink,
+    q = _start(trend_stream(clicks, window, slide, bucket, lateness, window_col), "append", sink,
                f"{base}/checkpoint", trigger, None, [kv], state_partitions=state_partitions)
     return StreamJob(q, {"flat": flat, "kv": kv})
 

@@ -229,3 +229,23 @@ def test_crash_mid_batch_then_restart(spark, scratch, monkeypatch, job):
     else:
         cols = ["day", "area", "city", "adid", "click_count"]
         assert rows_of(again.stores["totals"].read(), cols) == rows_of(ads.daily_totals(c), cols)
+
+
+def test_trend_stream_over_arrival_time(spark, scratch):
+    """Window over an arrival-time column, buckets over event time: with
+    arrivals one hour after the clicks, each bucket lands one window later."""
+    c = fx.clicks(spark, SF001).withColumn("arrival_ts", F.col("ts") + F.expr("interval 1 hour"))
+    c.coalesce(1).write.parquet(f"{scratch}/in")
+    job = S.trend_job(spark, file_stream(spark, f"{scratch}/in", c.schema), "6 hours", "1 hour", "1 hour",
+                      "1 hour", base=f"{scratch}/job", window_col="arrival_ts", state_partitions=2)
+    S.run_to_end(job.query)
+    got = job.stores["flat"].read().select(
+        F.col("window_start").cast("timestamp_ntz").alias("ws"), "adid",
+        F.col("bucket_start").cast("timestamp_ntz").alias("b"), "click_count")
+    shifted = (ads.trend(c, "6 hours", "1 hour", "1 hour")
+               .select((F.col("window_start") + F.expr("interval 1 hour")).alias("ws"), "adid",
+                       F.col("bucket_start").alias("b"), "click_count"))
+    wm = c.agg(F.max("arrival_ts")).first()[0] - dt.timedelta(hours=1)
+    want = shifted.where(F.col("ws") + F.expr("interval 6 hours") <= F.lit(wm))
+    cols = ["ws", "adid", "b", "click_count"]
+    assert rows_of(got, cols) == rows_of(want, cols) and len(rows_of(got, cols)) > 0
