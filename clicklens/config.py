@@ -62,3 +62,41 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         path = f"{path}/{p}"
     return f"{path}/{uuid.uuid4().hex}"
 
+
+
+MB = 1 << 20
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               shuffle_fraction: float = 0.3, partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a cluster run, derived from the input size and cluster shape.
+
+    * ``spark.sql.shuffle.partitions``: the widest shuffle here carries about
+      ``shuffle_fraction`` of the input (four or five narrow columns of the
+      visit or click rows), cut into ``partition_mb`` pieces, and never fewer
+      than three waves of the cluster's cores; AQE then coalesces small ones
+      toward the advisory size.
+    * ``spark.sql.files.maxPartitionBytes``: scan splits of ``partition_mb``.
+    * skew: a partition five times the advisory size (and over 1 GB) is split
+      by AQE's skew join.
+    * state: RocksDB state store with changelog checkpointing, so the ban and
+      totals state does not live on the JVM heap and checkpoints stay small.
+    """
+    cores = max(1, executors * cores_per_executor)
+    by_size = -(-int(input_bytes * shuffle_fraction) // (partition_mb * MB))
+    parts = max(3 * cores, by_size)
+    parts = -(-parts // cores) * cores          # whole waves
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{max(1024, 4 * partition_mb)}m",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -117,3 +117,14 @@ def test_key_columns_round_trip(spark):
     df = spark.createDataFrame([("2024-01-01:MIDDLE EAST:NATION_4:3",)], "field string")
     r = df.select(*C.key_columns("field", ":", ["day", "area", "city", "adid"])).first()
     assert tuple(r) == ("2024-01-01", "MIDDLE EAST", "NATION_4", "3")
+
+
+def test_scale_conf():
+    from clicklens.config import scale_conf
+    c = scale_conf(100 * (1 << 40), executors=1000, cores_per_executor=8)
+    parts = int(c["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and parts >= 3 * 8000
+    assert 100 * (1 << 40) * 0.3 / parts <= 256 * (1 << 20)       # <= 256 MB per shuffle partition
+    small = scale_conf(2 << 20, executors=1, cores_per_executor=8)
+    assert small["spark.sql.shuffle.partitions"] == "24"
+    assert "RocksDB" in c["spark.sql.streaming.stateStore.providerClass"]

@@ -249,3 +249,20 @@ def test_trend_stream_over_arrival_time(spark, scratch):
     want = shifted.where(F.col("ws") + F.expr("interval 6 hours") <= F.lit(wm))
     cols = ["ws", "adid", "b", "click_count"]
     assert rows_of(got, cols) == rows_of(want, cols) and len(rows_of(got, cols)) > 0
+
+
+def test_ban_stream_on_rocksdb_state(spark, scratch):
+    """The state store the cluster profile recommends (RocksDB) gives the same result."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        c = fx.clicks(spark, SF001).withColumn("batch_id", F.floor(F.col("event_id") / 250).cast("long"))
+        write_batches(c, "batch_id", f"{scratch}/in")
+        job = S.ban_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), 2,
+                        base=f"{scratch}/job", state_partitions=2)
+        S.run_to_end(job.query)
+    finally:
+        spark.conf.set(key, old)
+    acc = sorted(r["event_id"] for r in job.stores["accepted"].read().collect())
+    assert acc == sorted(r["event_id"] for r in ads.accepted_per_batch(c, 2).collect())
