@@ -22,11 +22,14 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "clicklens",
+def build_session(master: str | None = "local[*]", app: str = "clicklens",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
-    """Session for local runs and tests; on a cluster the launcher's conf wins."""
-    b = SparkSession.builder.master(master).appName(app)
+    """Session for local runs and tests. On a cluster pass ``master=None`` (the
+    launcher sets it) and ``extra=scale_conf(...)``."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
