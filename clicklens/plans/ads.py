@@ -17,7 +17,7 @@ Input: typed clicks ``(ts, area, city, uid, adid[, event_id, batch_id])``;
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicklens.functions.columns import (
@@ -171,16 +171,15 @@ def ban_batches(clicks: DataFrame, threshold: int = BAN_THRESHOLD) -> DataFrame:
     """``(uid, ban_batch)``: first batch at whose end some (day, user, ad)
     running count reaches ``threshold``.
 
-    Counts are first reduced to one row per (day, user, ad, batch) by a
-    partial aggregate; the running sum runs over that small table.
+    Counts grow by one per click, so that batch is the batch of the key's
+    threshold-th click in batch order (which click of a batch comes first
+    does not change its batch). ``nth_per_group`` keeps at most
+    ``threshold`` rows per key and map task before its shuffle, so neither a
+    hot key nor a long history puts much into one task.
     """
-    per = (clicks.groupBy(day_of("ts").alias("day"), "uid", "adid", "batch_id")
-           .agg(F.count(F.lit(1)).alias("n")))
-    w = (Window.partitionBy("day", "uid", "adid").orderBy("batch_id")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (per.withColumn("running", F.sum("n").over(w))
-            .where(F.col("running") >= threshold)
-            .groupBy("uid").agg(F.min("batch_id").alias("ban_batch")))
+    c = clicks.select(day_of("ts").alias("day"), "uid", "adid", "batch_id", "event_id")
+    nth = nth_per_group(c, ["day", "uid", "adid"], ["batch_id", "event_id"], threshold)
+    return nth.groupBy("uid").agg(F.min("batch_id").alias("ban_batch"))
 
 
 def accepted_per_batch(clicks: DataFrame, threshold: int = BAN_THRESHOLD,

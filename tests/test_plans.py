@@ -30,8 +30,9 @@ def test_top_sessions_limits_before_shuffle(spark):
     assert "partial_count" in p
 
 
-def test_ban_per_event_limits_before_shuffle(spark):
-    p = plan(spark, "banned_users_per_event")
+@pytest.mark.parametrize("name", ["banned_users_per_event", "banned_users"])
+def test_ban_limits_before_shuffle(spark, name):
+    p = plan(spark, name)
     assert p.count("WindowGroupLimit") == 2
 
 
