@@ -151,3 +151,20 @@ def test_conversion_result_does_not_depend_on_chunking(spark):
     assert len(base) == 5 and base == hot == tiny
     n = conv.page_transitions(v, hot_rows=5).count()
     assert n == conv.page_transitions(v).count() == 7836
+
+
+def test_lookup_joins_hint_only_bounded_sides(spark):
+    from clicklens.operators.lookup import MAX_BROADCAST_ROWS, drop_in, keep_in
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # only our hint may broadcast
+    try:
+        big = spark.range(1000).withColumnRenamed("id", "k")
+        small = spark.range(0, 1000, 100).withColumnRenamed("id", "k")
+        kept = keep_in(big, small, "k", max_rows=10)
+        assert sorted(r["k"] for r in kept.collect()) == list(range(0, 1000, 100))
+        assert "BroadcastHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
+        dropped = drop_in(big, small, "k", max_rows=None)             # no bound: no hint
+        assert dropped.count() == 990
+        assert "BroadcastHashJoin" not in dropped._jdf.queryExecution().executedPlan().toString()
+        assert keep_in(big, small, "k", max_rows=MAX_BROADCAST_ROWS + 1).count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
