@@ -104,6 +104,12 @@ class StreamJob:
     query: StreamingQuery
     stores: dict[str, KeyedSnapshot]
 
+    def late_rows_dropped(self) -> int:
+        """Rows the watermark dropped as too late, over the query's recent
+        progress reports (the ``max_lateness`` / ``lateness`` options)."""
+        return sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
+                   for p in self.query.recentProgress for op in p.get("stateOperators", []))
+
 
 def daily_totals_job(spark: SparkSession, clicks: DataFrame, trigger: str = AVAILABLE_NOW,
                      base: str | None = None, max_lateness: str | None = None,

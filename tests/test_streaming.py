@@ -266,3 +266,20 @@ def test_ban_stream_on_rocksdb_state(spark, scratch):
         spark.conf.set(key, old)
     acc = sorted(r["event_id"] for r in job.stores["accepted"].read().collect())
     assert acc == sorted(r["event_id"] for r in ads.accepted_per_batch(c, 2).collect())
+
+
+def test_bounded_state_reports_late_rows(spark, scratch):
+    """With max_lateness, a click older than the watermark is dropped, and the job says how many."""
+    # Spark judges lateness against the watermark of the batch before, so the
+    # late click comes in the third micro-batch.
+    t = dt.datetime(2024, 1, 10, 12)
+    on_time = spark.createDataFrame([(1, t, "N", "c", "u1", "1", 0), (2, t, "N", "c", "u2", "1", 1)], SCHEMA)
+    late = spark.createDataFrame([(3, t - dt.timedelta(days=2), "N", "c", "u3", "1", 2),
+                                  (4, t, "N", "c", "u3", "1", 2)], SCHEMA)
+    write_batches(on_time.unionByName(late), "batch_id", f"{scratch}/in")
+    job = S.daily_totals_job(spark, file_stream(spark, f"{scratch}/in", on_time.schema, max_files_per_trigger=1),
+                             base=f"{scratch}/job", max_lateness="1 hour", state_partitions=2)
+    S.run_to_end(job.query)
+    got = {(str(r["day"]), r["adid"]): r["click_count"] for r in job.stores["totals"].read().collect()}
+    assert got == {("2024-01-10", "1"): 3}
+    assert job.late_rows_dropped() == 1
