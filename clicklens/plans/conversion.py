@@ -6,10 +6,11 @@ consecutive pair of the target flow. Rate = transitions ``a -> b`` / all
 visits of page ``a``.
 
 Plan: one scan of four columns -> ``with_next`` (chunked window, see
-``operators.adjacent``) -> one partial/final aggregate keyed by
-``(from_page, to_page or NULL)``, which yields pair counts and page totals
-together -> a window over that tiny result for the denominator. No whole
-session is ever in one task, and nothing is collected to the driver.
+``operators.adjacent``) -> one partial/final aggregate keyed by the source
+page, which yields the page totals and the pair counts together (the flow's
+pairs are a parameter, so each is a conditional count) -> one row per seen
+pair. No whole session is ever in one task, and nothing is collected to the
+driver.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicklens.model import DEFAULT_FLOW
@@ -97,14 +98,23 @@ def page_conversion(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_FLOW,
     how sessions are spread over tasks, never the result."""
     pairs = flow_pairs(flow)
     sources = sorted({a for a, _ in pairs})
+    targets = sorted({b for _, b in pairs})
     nx = _next_page(visits, chunk_seconds, "next_page", hot_rows)
     frm, nxt = F.col("page_id"), F.col("next_page")
+    hit = _is_target(frm, nxt, pairs)
+    # One aggregate per source page gives its visit total and, per target page
+    # of the flow, how many of its visits went there next (a pair outside the
+    # flow counts 0); the counts are then turned into one row per seen pair.
     g = (nx.where(frm.isin(sources))
-         .select(frm.alias("from_page"),
-                 F.when(_is_target(frm, nxt, pairs), nxt).alias("to_page"))
-         .groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("pair_count")))
-    out = (g.withColumn("page_count", F.sum("pair_count").over(Window.partitionBy("from_page")))
-           .where(F.col("to_page").isNotNull())
+         .groupBy(frm.alias("from_page"))
+         .agg(F.count(F.lit(1)).alias("page_count"),
+              *[F.count(F.when(hit & (nxt == b), 1)).alias(f"_to{b}") for b in targets]))
+    per_target = F.explode(F.array(*[F.struct(F.lit(b).cast("long").alias("to_page"),
+                                              F.col(f"_to{b}").alias("pair_count")) for b in targets]))
+    out = (g.select("from_page", "page_count", per_target.alias("_p"))
+           .select("from_page", F.col("_p.to_page").alias("to_page"), F.col("_p.pair_count").alias("pair_count"),
+                   "page_count")
+           .where(F.col("pair_count") > 0)
            .withColumn("rate", F.col("pair_count").cast("double") / F.col("page_count")))
     if percent:
         out = out.withColumn("rate_pct", (F.col("pair_count") / F.col("page_count") * 100).cast("int"))
