@@ -77,12 +77,14 @@ def _visits_date_range(spark, sf):
 @register("category_actions_exploded", O.with_(O.VISITS, O.ACTIONS) +
           "select event_id, category_id, action from actions")
 def _category_actions(spark, sf):
+    """One row per counted (visit, category): click, each order id, each pay id."""
     return cat.category_actions(fx.visits(spark, sf))
 
 
 @register("category_action_counts", O.with_(O.VISITS, O.ACTIONS) +
           "select category_id, action, count(*) as action_count from actions group by category_id, action")
 def _category_action_counts(spark, sf):
+    """Long form: count per (category, action kind)."""
     return cat.category_action_counts(fx.visits(spark, sf))
 
 
@@ -98,6 +100,7 @@ def _category_action_map(spark, sf):
 @register("category_action_pivot", O.with_(O.VISITS, O.ACTIONS, O.CATEGORY_COUNTS) +
           "select * from category_counts")
 def _category_action_pivot(spark, sf):
+    """Wide form through pivot: click, order and pay counts per category."""
     return cat.category_counts_pivot(fx.visits(spark, sf))
 
 
@@ -120,6 +123,7 @@ _Q2_BASE = (O.VISITS, O.ACTIONS, O.CATEGORY_COUNTS, O.top_categories_cte(TASK_ID
 
 @register("visits_in_top_categories", O.with_(*_Q2_BASE) + "select * from top_clicks")
 def _visits_in_top(spark, sf):
+    """Click rows whose category is in this run's top 10, with the run's task id."""
     v = fx.visits(spark, sf)
     return cat.visits_in_top_categories(v, cat.top_categories(v, TOP_CATEGORIES, TASK_ID))
 
@@ -133,6 +137,7 @@ cs_counts as (
 
 @register("category_session_counts", O.with_(*_Q2_BASE, _CS_COUNTS) + "select * from cs_counts")
 def _category_session_counts(spark, sf):
+    """Clicks per (category, session) inside the top 10 categories."""
     v = fx.visits(spark, sf)
     return cat.category_session_counts(v, cat.top_categories(v, TOP_CATEGORIES, TASK_ID))
 
@@ -173,12 +178,14 @@ _PAGES = ", ".join(str(p) for p in sorted(set(conv.flow_pages(FLOW))))
 @register("page_transitions", O.with_(O.VISITS, O.transitions_cte()) +
           "select * from transitions where to_page is not null")
 def _page_transitions(spark, sf):
+    """Every adjacent visit pair of a session, in (action_time, event_id) order."""
     return conv.page_transitions(fx.visits(spark, sf))
 
 
 @register("target_pairs", O.with_(O.VISITS, O.transitions_cte()) +
           f"select * from transitions where to_page is not null and ({_PAIRS})")
 def _target_pairs(spark, sf):
+    """The adjacent pairs that are consecutive pages of the target flow."""
     return conv.target_transitions(fx.visits(spark, sf), FLOW)
 
 
@@ -196,11 +203,13 @@ page_counts as (
 @register("target_transition_counts", O.with_(O.VISITS, O.transitions_cte(), _PAIR_COUNTS) +
           "select * from pair_counts")
 def _target_transition_counts(spark, sf):
+    """Count of each target pair."""
     return conv.target_transition_counts(fx.visits(spark, sf), FLOW)
 
 
 @register("target_page_visits", O.with_(O.VISITS, _PAGE_COUNTS) + "select * from page_counts")
 def _target_page_visits(spark, sf):
+    """All visits of each page of the target flow (the rate's denominator)."""
     return conv.target_page_visits(fx.visits(spark, sf), FLOW)
 
 
@@ -223,6 +232,7 @@ def _page_conversion_rate(spark, sf):
 @register("page_conversion_pct", O.with_(O.VISITS, O.transitions_cte(), _PAIR_COUNTS, _PAGE_COUNTS, _RATES) +
           "select * from rates")
 def _page_conversion_pct(spark, sf):
+    """Q3 with the truncated whole-percent rate."""
     return conv.page_conversion(fx.visits(spark, sf), FLOW, percent=True)
 
 
@@ -295,6 +305,7 @@ def _top3_ads_json(spark, sf):
 select adid, date_trunc('hour', ts) as bucket_start, count(*) as click_count
 from clicks group by adid, date_trunc('hour', ts)""")
 def _trend_buckets(spark, sf):
+    """Clicks per ad and one-hour bucket."""
     return ads.trend_buckets(fx.clicks(spark, sf), TREND_B)
 
 
