@@ -68,10 +68,40 @@ class KeyedSnapshot:
          .partitionBy(col)
          .parquet(path))
 
-    def compact(self, upto: int) -> None:
-        """Write the stored rows as of batch ``upto`` in merged form as a base."""
+    def compact(self, upto: int, expire: bool = False) -> None:
+        """Write the stored rows as of batch ``upto`` in merged form as a base.
+
+        With ``expire``, storage older than the *previous* base is deleted once
+        the new base has committed: batch partitions up to the previous base
+        and older bases. A replay of batch ``upto`` still reads the previous
+        base and the partitions after it, so recovery is unaffected; only
+        ``read(upto=b)`` for a ``b`` before the previous base is given up.
+        """
+        previous = self._base_id(upto - 1) if expire else None
         merged = self._merged_versions(upto).withColumn(BASE_COL, F.lit(int(upto)).cast("long"))
         self._overwrite_partition(merged, self.base_path, BASE_COL)
+        if expire and previous is not None:
+            self._delete_partitions(self.path, BATCH_COL, lambda v: v <= previous)
+            self._delete_partitions(self.base_path, BASE_COL, lambda v: v < previous)
+
+    def _delete_partitions(self, path: str, col: str, drop) -> None:
+        """Delete ``col=<v>`` folders under ``path`` whose value passes ``drop``
+        (Hadoop file system of the path: HDFS, object stores, local)."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return
+        prefix = f"{col}="
+        for status in fs.listStatus(root):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith(prefix):
+                try:
+                    value = int(name[len(prefix):])
+                except ValueError:
+                    continue
+                if drop(value):
+                    fs.delete(status.getPath(), True)
 
     # ------------------------------------------------------------------- read
     def _read(self, path: str, schema: T.StructType, part_col: str = BATCH_COL) -> DataFrame | None:

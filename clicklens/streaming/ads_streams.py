@@ -46,14 +46,18 @@ AVAILABLE_NOW = "available_now"
 COMPACT_EVERY = 50
 
 
-def _compacting(sink, stores, every: int):
+# Delete snapshot storage older than the previous base after each compaction.
+EXPIRE_OLD = False
+
+
+def _compacting(sink, stores, every: int, expire: bool = EXPIRE_OLD):
     """Run ``sink``, then every ``every`` batches compact ``stores`` as of this
     batch. A replayed batch rewrites the same base, so this stays idempotent."""
     def run(df: DataFrame, batch_id: int) -> None:
         sink(df, batch_id)
         if every and (batch_id + 1) % every == 0:
             for s in stores:
-                s.compact(batch_id)
+                s.compact(batch_id, expire=expire)
     return run
 
 

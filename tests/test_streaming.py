@@ -283,3 +283,24 @@ def test_bounded_state_reports_late_rows(spark, scratch):
     got = {(str(r["day"]), r["adid"]): r["click_count"] for r in job.stores["totals"].read().collect()}
     assert got == {("2024-01-10", "1"): 3}
     assert job.late_rows_dropped() == 1
+
+
+def test_compaction_with_expiry_keeps_reads_and_drops_old_storage(spark, scratch):
+    import os
+    d = dt.date(2024, 1, 1)
+    plain = KeyedSnapshot(spark, f"{scratch}/plain", ["day", "uid", "adid"], S.COUNTER_SCHEMA, "add")
+    comp = KeyedSnapshot(spark, f"{scratch}/comp", ["day", "uid", "adid"], S.COUNTER_SCHEMA, "add")
+    for b in range(10):
+        df = spark.createDataFrame([(d, f"u{b % 3}", "1", b + 1)], S.COUNTER_SCHEMA)
+        plain.write(df, b)
+        comp.write(df, b)
+        if b in (3, 7):
+            comp.compact(b, expire=True)
+    for upto in (None, 9, 7, 5):
+        assert sorted(tuple(r) for r in comp.read(upto).collect()) == \
+            sorted(tuple(r) for r in plain.read(upto).collect()), upto
+    local = comp.path.replace("file://", "").replace("file:", "")
+    kept = sorted(int(n.split("=")[1]) for n in os.listdir(local) if n.startswith("batch_id="))
+    assert kept == [4, 5, 6, 7, 8, 9]       # up to the previous base (3) is gone
+    bases = sorted(n for n in os.listdir(local + "_base") if n.startswith("upto="))
+    assert bases == ["upto=3", "upto=7"]
