@@ -19,7 +19,8 @@ base version (``<path>_base/upto=<b>``). Reads start from the newest base at
 or before the requested batch and merge only the later batch partitions
 (partition pruning on ``batch_id``), so the cost of a read follows the
 state size plus the batches since the last compaction, not the stream's age.
-A base is visible only once its write has committed.
+A base is visible only once its write has committed. ``compact(b, expire=True)``
+also deletes what lies before the previous base (opt-in).
 """
 
 from __future__ import annotations
