@@ -25,7 +25,8 @@ visits as (
   from (select *, case event_id%3
           when 0 then cast(k%20+1 as varchar)
           when 1 then concat(cast(k%20+1 as varchar), ',', cast((k+7)%20+1 as varchar))
-          else concat(cast(k%20+1 as varchar), ',', cast((k+7)%20+1 as varchar), ',', cast((k+11)%20+1 as varchar)) end as ids
+          else concat(cast(k%20+1 as varchar), ',', cast((k+7)%20+1 as varchar),
+               ',', cast((k+11)%20+1 as varchar)) end as ids
         from (select *, cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as k from events))
   where event_type <> 'error'
 )"""
