@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +38,16 @@ def written(df: DataFrame, *name: str) -> DataFrame:
     path = shared_dir(spark, "llm", *name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def blocks(batch, col: int, limit: int = 8 << 20):
+    """An Arrow batch in slices of about ``limit`` bytes of its string column, one row at least."""
+    size, start = 0, 0
+    lengths = pc.fill_null(pc.binary_length(batch.column(col)), 0).to_pylist()
+    for i, n in enumerate(lengths):
+        if size and size + n > limit:
+            yield batch.slice(start, i - start)
+            size, start = 0, i
+        size += n
+    if start < batch.num_rows:
+        yield batch.slice(start)

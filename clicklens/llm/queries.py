@@ -9,18 +9,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clicklens.llm.bpe import encoded_and_decoded
 from clicklens.llm.common import table
 from clicklens.llm.decontaminate import contamination
 from clicklens.llm.exact_dedup import exact_groups
+from clicklens.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op1_bpe_round_trip(spark: SparkSession, sf_dir: str,
+                       path: str = public_tokenizers.path("byte_bpe_50k.json")) -> DataFrame:
+    """Operator 1 over ``documents``: every text to ids and back, with the vocabulary file at ``path``."""
+    out = encoded_and_decoded(table(spark, sf_dir, "documents"), path)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5 over ``documents``: shingles of 3 words, linked at 3 differing bits or fewer."""
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9 over ``documents`` and ``benchmark``: windows of 13 words, contaminated from one word in 20."""
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=13, share=20)
@@ -77,6 +94,8 @@ window g as (partition by t)
 
 
 _QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op1_bpe_round_trip": (op1_bpe_round_trip, None),
+    "op5_simhash_near_dedup": (op5_simhash_near_dedup, None),
     "op9_benchmark_decontamination": (op9_benchmark_decontamination, OP9_SQL),
     "op10_exact_dedup": (op10_exact_dedup, OP10_SQL),
 }
