@@ -13,11 +13,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clicklens.config import shared_dir
 from clicklens.llm.bpe import encoded_and_decoded
 from clicklens.llm.common import table
 from clicklens.llm.decontaminate import contamination
 from clicklens.llm.exact_dedup import exact_groups
+from clicklens.llm.secret_ledger import scan
 from clicklens.llm.simhash import near_duplicates
+from clicklens.llm.toxicity import learn as learn_toxicity
+from clicklens.llm.toxicity import scores as toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,11 +37,38 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str,
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _joined(spans):
+    """kind:start:end of spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _number(spans, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4 over ``documents``: every document a path, against a ledger of this run's own."""
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), shared_dir(spark, "llm", "ledger"))
+    spans = F.col("findings")
+    return found.select("doc_id", *[_number(spans, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                        F.sha2(_joined(spans), 256).alias("base_sha256"), _joined(spans).alias("spans"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 5 over ``documents``: shingles of 3 words, linked at 3 differing bits or fewer."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8 over ``documents``; learns from rows of ``labels`` outside fold 0 of 5."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lexicon = learn_toxicity(docs, labels.where(~held_out))
+    out = toxicity_scores(docs.select("doc_id", "text"), lexicon)
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9 over ``documents`` and ``benchmark``: windows of 13 words, contaminated from one word in 20."""
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=13, share=20)
@@ -95,7 +126,9 @@ window g as (partition by t)
 
 _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_bpe_round_trip": (op1_bpe_round_trip, None),
+    "op4_secret_ledger": (op4_secret_ledger, None),
     "op5_simhash_near_dedup": (op5_simhash_near_dedup, None),
+    "op8_toxicity": (op8_toxicity, None),
     "op9_benchmark_decontamination": (op9_benchmark_decontamination, OP9_SQL),
     "op10_exact_dedup": (op10_exact_dedup, OP10_SQL),
 }
