@@ -18,6 +18,9 @@ from clicklens.llm.bpe import encoded_and_decoded
 from clicklens.llm.common import table
 from clicklens.llm.decontaminate import contamination
 from clicklens.llm.exact_dedup import exact_groups
+from clicklens.llm.html_extract import extract
+from clicklens.llm.langid import learn as learn_languages
+from clicklens.llm.langid import predictions
 from clicklens.llm.secret_ledger import scan
 from clicklens.llm.simhash import near_duplicates
 from clicklens.llm.toxicity import learn as learn_toxicity
@@ -37,6 +40,20 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str,
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2 over ``documents``; learns from rows with a language outside fold 1 of 3."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    net = learn_languages(docs.where(~held_out & F.col("doc_id").isNotNull()))
+    return predictions(docs.select("doc_id", held_out.alias("held_out"), "text"), net)
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3 over ``pages``."""
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).withColumn(
+        "n_chars", F.char_length("text").cast("long"))
+
+
 def _joined(spans):
     """kind:start:end of spans, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -126,6 +143,8 @@ window g as (partition by t)
 
 _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_bpe_round_trip": (op1_bpe_round_trip, None),
+    "op2_language_id": (op2_language_id, None),
+    "op3_html_extraction": (op3_html_extraction, None),
     "op4_secret_ledger": (op4_secret_ledger, None),
     "op5_simhash_near_dedup": (op5_simhash_near_dedup, None),
     "op8_toxicity": (op8_toxicity, None),
