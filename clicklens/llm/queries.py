@@ -23,6 +23,7 @@ from clicklens.llm.langid import learn as learn_languages
 from clicklens.llm.langid import predictions
 from clicklens.llm.secret_ledger import scan
 from clicklens.llm.simhash import near_duplicates
+from clicklens.llm.suffix_dedup import removed
 from clicklens.llm.toxicity import learn as learn_toxicity
 from clicklens.llm.toxicity import scores as toxicity_scores
 
@@ -76,6 +77,14 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7 over ``documents``: strings of 50 bytes."""
+    out = removed(table(spark, sf_dir, "documents"), length=50)
+    lost = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", lost.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 8 over ``documents``; learns from rows of ``labels`` outside fold 0 of 5."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -147,6 +156,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op3_html_extraction": (op3_html_extraction, None),
     "op4_secret_ledger": (op4_secret_ledger, None),
     "op5_simhash_near_dedup": (op5_simhash_near_dedup, None),
+    "op7_suffix_dedup": (op7_suffix_dedup, None),
     "op8_toxicity": (op8_toxicity, None),
     "op9_benchmark_decontamination": (op9_benchmark_decontamination, OP9_SQL),
     "op10_exact_dedup": (op10_exact_dedup, OP10_SQL),
