@@ -21,6 +21,8 @@ from clicklens.llm.exact_dedup import exact_groups
 from clicklens.llm.html_extract import extract
 from clicklens.llm.langid import learn as learn_languages
 from clicklens.llm.langid import predictions
+from clicklens.llm.pii_crf import find as find_personal_data
+from clicklens.llm.pii_crf import learn as learn_personal_data
 from clicklens.llm.secret_ledger import scan
 from clicklens.llm.simhash import near_duplicates
 from clicklens.llm.suffix_dedup import removed
@@ -77,6 +79,15 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6 over ``documents``; counts and digest of the base spans, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_personal_data(docs, learn_personal_data(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select("doc_id", *[_number(base, k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+                        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 7 over ``documents``: strings of 50 bytes."""
     out = removed(table(spark, sf_dir, "documents"), length=50)
@@ -156,6 +167,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op3_html_extraction": (op3_html_extraction, None),
     "op4_secret_ledger": (op4_secret_ledger, None),
     "op5_simhash_near_dedup": (op5_simhash_near_dedup, None),
+    "op6_personal_data": (op6_personal_data, None),
     "op7_suffix_dedup": (op7_suffix_dedup, None),
     "op8_toxicity": (op8_toxicity, None),
     "op9_benchmark_decontamination": (op9_benchmark_decontamination, OP9_SQL),
