@@ -251,6 +251,6 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded")
     return df.select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(run, schema)
 
 
-def encoded_and_decoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids, decoded) of every document: the round trip of both operators."""
-    return decode(encode(docs.select(id_col, text_col), path, text_col), path)
+def encoded_and_decoded(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded`` in the place of the text: the round trip of both operators."""
+    return decode(encode(docs, path, text_col), path)

@@ -37,7 +37,7 @@ LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str,
                        path: str = public_tokenizers.path("byte_bpe_50k.json")) -> DataFrame:
     """Operator 1 over ``documents``: every text to ids and back, with the vocabulary file at ``path``."""
-    out = encoded_and_decoded(table(spark, sf_dir, "documents"), path)
+    out = encoded_and_decoded(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
