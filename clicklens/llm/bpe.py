@@ -20,6 +20,8 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -130,7 +132,7 @@ class Vocabulary:
 
 
 class Encoder(dict):
-    """Memo of fragment -> its ids as little-endian int32; emptied when it has ``MEMO`` entries."""
+    """Memo of fragment -> its ids as int32; emptied when it has ``MEMO`` entries."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
@@ -146,7 +148,7 @@ class Encoder(dict):
                     if len(part) <= LONG:
                         self.known[part] = got
                 ids += got
-        out = np.array(ids, "<i4").tobytes()
+        out = array("i", ids).tobytes()
         if len(self.known) >= MEMO:
             self.known.clear()
         if len(self) >= MEMO:
@@ -169,7 +171,7 @@ class Encoder(dict):
             return self.plain(text)
         out, at = [], 0
         for m in self.v.at_special.finditer(text):
-            out += [self.plain(text[at:m.start()]), np.array([self.v.special[m[0]]], "<i4").tobytes()]
+            out += [self.plain(text[at:m.start()]), array("i", [self.v.special[m[0]]]).tobytes()]
             at = m.end()
         return b"".join([*out, self.plain(text[at:])])
 
@@ -195,6 +197,17 @@ class Decoder:
         return self.buffer[shift + np.arange(shift.size)]
 
 
+@lru_cache(maxsize=2)
+def _vocabulary(file: bytes) -> Vocabulary:
+    return Vocabulary(file)
+
+
+@lru_cache(maxsize=2)
+def _encoder(file: bytes) -> Encoder:
+    """A Python worker's memo, kept from task to task."""
+    return Encoder(_vocabulary(file))
+
+
 def _file(df: DataFrame, path: str):
     with open(path, "rb") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
@@ -212,7 +225,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids") -
     file = _file(df, path)
 
     def run(batches):
-        memo = Encoder(Vocabulary(file.value))
+        memo = _encoder(file.value)
         for batch in batches:
             for b in blocks(batch, len(rest)):
                 made = [memo.encode(t) for t in b.column(len(rest)).to_pylist()]
@@ -236,7 +249,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded")
     file = _file(df, path)
 
     def run(batches):
-        decoder = Decoder(Vocabulary(file.value))
+        decoder = Decoder(_vocabulary(file.value))
         for batch in batches:
             ids = batch.column(rest.index(ids_col))
             texts = []
