@@ -35,7 +35,7 @@ from clicklens.llm.common import blocks
 
 #: Fixed value: the pattern of the byte-level pre-tokenizer.
 PIECE = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-MEMO = 300_000
+MEMO = 120_000
 LONG = 64
 NO_MERGE = 1 << 62
 READ_AT_ONCE = 1 << 16
