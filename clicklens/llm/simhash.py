@@ -89,7 +89,9 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
     near, far = masks(radius)
     even = F.bit_count("fp") % 2 == 0
     flips = F.when(even, F.lit(np.array(near + far, np.int64))).otherwise(F.lit(np.array(near, np.int64)))
-    emitted = fps.select("fp", F.explode(flips).alias("mask")).select(
+    # The fingerprints are small and their variants are not: spread them before they multiply.
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    emitted = fps.repartition(parts, "fp").select("fp", F.explode(flips).alias("mask")).select(
         "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"))
     away = F.bit_count(F.col("fp").bitwiseXOR(F.col("variant"))) > radius // 2
     order = W.partitionBy("variant").orderBy(away, "fp")
