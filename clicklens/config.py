@@ -50,13 +50,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` is read from the session.
-    Only when it is unset (a local test session) is one created and set.
+    Where it is unset, a ``local[...]`` session (driver and executors in one
+    process) gets a temporary one; on a cluster that would be each machine's
+    own disk, so it is an error there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         sc = spark.sparkContext
         base = sc.getCheckpointDir()
         if not base:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="clicklens-ckpt-")
             sc.setCheckpointDir(base)
             base = sc.getCheckpointDir() or base
@@ -82,6 +86,7 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
     * ``spark.sql.files.maxPartitionBytes``: scan splits of ``partition_mb``.
     * skew: a partition five times the advisory size (and over 1 GB) is split
       by AQE's skew join.
+    * group limit: ``row_number() <= n`` is limited before the shuffle for any n.
     * state: RocksDB state store with changelog checkpointing, so the ban and
       totals state does not live on the JVM heap and checkpoints stay small.
     """
@@ -98,6 +103,7 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{max(1024, 4 * partition_mb)}m",
+        "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -23,12 +23,13 @@ def java_split(c: Column | str, sep: str = ",") -> Column:
     """Split like Java's ``String.split``: trailing empty strings are dropped.
 
     ``'1,2,'`` -> ``[1, 2]``; ``','`` -> ``[]``; ``''`` -> ``['']``;
-    ``'1,,2'`` -> ``['1', '', '2']``; NULL stays NULL.
+    ``'1,,2'`` -> ``['1', '', '2']``; NULL stays NULL. A line end is a
+    character like any other (``\\z``, not ``$``, is the end of the text).
     """
     c = _c(c)
     s = re.escape(sep)
-    only_seps = c.rlike(f"^({s})+$")
-    trimmed = F.regexp_replace(c, f"({s})+$", "")
+    only_seps = c.rlike(rf"^({s})+\z")
+    trimmed = F.regexp_replace(c, rf"({s})+\z", "")
     return F.when(only_seps, F.array().cast("array<string>")).otherwise(F.split(trimmed, s))
 
 
@@ -85,8 +86,13 @@ def ntz_epoch_millis(ts: Column | str) -> Column:
 
 
 def millis_to_ntz(ms: Column | str) -> Column:
-    """Epoch milliseconds (number or numeric string) to a UTC wall clock."""
-    return F.timestamp_add("MILLISECOND", _c(ms).cast("long"), _epoch_ntz())
+    """Epoch milliseconds (number or numeric string) to a UTC wall clock; NULL for any other text."""
+    return F.timestamp_add("MILLISECOND", _c(ms).try_cast("long"), _epoch_ntz())
+
+
+def is_millis(text: Column | str) -> Column:
+    """Whether a text is a whole number of milliseconds (sign and digits only)."""
+    return _c(text).rlike(r"^[+-]?[0-9]+\z") & _c(text).try_cast("long").isNotNull()
 
 
 def day_of(ts: Column | str) -> Column:

@@ -1,73 +1,60 @@
-"""Next row of the same session, without putting a whole session in one task.
-
-A plain ``lead() over (partition by session order by t)`` sends every row of
-a session to one task; a session with a third of all rows would be a third
-of the job in one task. Here the window is partitioned by
-``(session, chunk)``, where ``chunk`` is a time bucket (monotone in the
-order), so a long, busy session spreads over many tasks. Only the first and
-last row of each chunk lose their true neighbour; those edge rows (at most
-two per chunk) are ranked again per session to stitch the chunks together.
-The result is exactly the plain ``lead``.
+"""Next row of the same session, without putting a hot session in one task.
+
+Most sessions are small: a plain ``lead() over (partition by session order by
+...)`` is the right plan for them, one shuffle by session. A session with more
+than ``hot_rows`` rows (a NULL session, i.e. all anonymous visitors, counts as
+one) is cut into pieces instead: its rows are range-partitioned by the full
+order key, so the cut points come from the data (Spark's sampled quantiles) and
+a burst, or many rows of one timestamp, is cut like anything else. ``lead`` runs
+inside each piece, and only the pieces' edge rows, two for each, are ranked
+again per session to join them. The result is exactly the plain ``lead``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklens.functions.columns import ntz_epoch_micros
+# Rows above which a session is cut into pieces.
+HOT_ROWS = 2_000_000
 
 
-def with_next(df: DataFrame, session: str, order: Sequence[str], value: str,
-              chunk: Column, next_col: str = "next_value") -> DataFrame:
-    """``df`` plus ``next_col``: ``value`` of the next row of the session in
-    ``order`` (NULL on the session's last row).
+def _lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
+    """``_next``: a struct around the neighbour's value, so that NULL means "no neighbour" only."""
+    return df.withColumn("_next", F.lead(F.struct(F.col(value).alias("v"))).over(
+        Window.partitionBy(*keys).orderBy(*order)))
 
-    ``order`` must be a total order inside a session (add a unique id last);
-    ``chunk`` must never decrease along ``order`` inside a session.
-    """
-    w_chunk = Window.partitionBy(session, "_chunk").orderBy(*order)
-    a = (df.withColumn("_chunk", chunk)
-         .withColumn(next_col, F.lead(value).over(w_chunk))
-         .withColumn("_first", F.row_number().over(w_chunk) == 1))
-    inner = a.where(F.col(next_col).isNotNull())
-    # Edge rows: the last row of each chunk needs the first row of the next chunk.
-    w_session = Window.partitionBy(session).orderBy(*order)
-    stitched = (a.where(F.col(next_col).isNull() | F.col("_first"))
-                .withColumn("_stitch", F.lead(value).over(w_session))
-                .where(F.col(next_col).isNull())
-                .withColumn(next_col, F.col("_stitch"))
-                .drop("_stitch"))
-    return inner.unionByName(stitched).drop("_chunk", "_first")
 
+def _cut_lead(df: DataFrame, session: str, order: Sequence[str], value: str) -> DataFrame:
+    """``_lead`` by session for hot sessions, over pieces of their range-partitioned rows."""
+    spread = df.repartitionByRange(session, *order).withColumn("_piece", F.spark_partition_id())
+    first = F.row_number().over(Window.partitionBy(session, "_piece").orderBy(*order)) == 1
+    a = _lead(spread, [session, "_piece"], order, value).withColumn("_first", first)
+    edges = _lead(a.where(F.col("_next").isNull() | F.col("_first")).withColumnRenamed("_next", "_own"),
+                  [session], order, value)
+    inner = a.where(F.col("_next").isNotNull())
+    return inner.unionByName(edges.where(F.col("_own").isNull()).drop("_own")).drop("_piece", "_first")
 
-def time_chunks(df: DataFrame, session: str, ts: str, seconds: int,
-                max_rows: int = 2_000_000) -> DataFrame:
-    """``df`` plus ``_chunk``: the ``seconds``-wide time bucket of ``ts``, and
-    for a hot session (more than ``max_rows`` rows) a bucket narrow enough
-    that its rows fall into about ``count / max_rows`` chunks.
 
-    The session sizes come from one partial aggregate (a row per session
-    after the map side). Only sessions over ``max_rows`` are kept; there can
-    be at most ``total rows / max_rows`` of them (500,000 per 10^12 rows at
-    the default), so that list is broadcast. Chunks stay monotone in time
-    inside each session, as ``with_next`` needs. The width assumes the hot
-    session's rows spread over its time span; rows that share one timestamp
-    cannot be told apart by time and stay in one chunk (results stay exact,
-    only the balance suffers).
+def with_next(df: DataFrame, session: str, order: Sequence[str], value: str,
+              next_col: str = "next_value", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``df`` plus ``next_col``: ``value`` of the next row of the session in
+    ``order`` (NULL on the session's last row, or where that value is NULL) and
+    ``has_next``.
+
+    ``order`` must be a total order inside a session (add a unique id last).
+    ``hot_rows`` chooses the plan only, never the result. Session sizes come
+    from one partial aggregate; they are joined back only if some are hot, and
+    never broadcast by hint.
     """
-    us = ntz_epoch_micros(F.col(ts).cast("timestamp_ntz"))
-    stats = (df.select(session, us.alias("_us"))
-             .groupBy(session)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
-             .where(F.col("_n") > max_rows))
-    pieces = F.ceil(F.col("_n") / F.lit(max_rows))
-    hot = stats.select(session, F.greatest(F.lit(1).cast("long"),
-                                           F.floor((F.col("_hi") - F.col("_lo") + 1) / pieces))
-                       .cast("long").alias("_width"))
-    width = F.coalesce(F.col("_width"), F.lit(int(seconds) * 1_000_000).cast("long"))
-    return (df.join(F.broadcast(hot), session, "left")
-            .withColumn("_chunk", F.floor(us / width).cast("long"))
-            .drop("_width"))
+    hot = (df.groupBy(F.col(session).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > hot_rows).select("_hot"))
+    if hot.isEmpty():
+        out = _lead(df, [session], order, value)
+    else:
+        same = F.col(session).eqNullSafe(F.col("_hot"))
+        out = _lead(df.join(hot, same, "left_anti"), [session], order, value).unionByName(
+            _cut_lead(df.join(hot, same, "left_semi"), session, order, value))
+    return out.withColumns({next_col: F.col("_next")["v"], "has_next": F.col("_next").isNotNull()}).drop("_next")

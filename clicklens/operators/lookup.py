@@ -1,9 +1,10 @@
 """Membership joins (keep / drop rows by a key list) with a checked broadcast.
 
-A side is broadcast by hint only when its row count has a proven bound (it
-is a top-n result, or a parameter list) below ``MAX_BROADCAST_ROWS``. Any
-other side (a blacklist that grows for ever) gets no hint: Catalyst's
-statistics and AQE's runtime sizes decide, and fall back to a shuffled join.
+A side is broadcast by hint only when its size is bounded or was measured: it
+is a top-n result or a parameter list of at most ``MAX_BROADCAST_ROWS`` rows, or
+``checked_side`` has materialised it and its table is small. Any other side (a
+blacklist that grows for ever) gets no hint: Catalyst's statistics and AQE's
+runtime sizes decide, and fall back to a shuffled join.
 """
 
 from __future__ import annotations
@@ -13,6 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.config import shared_dir
+
+# Bytes of a materialised side's files up to which it is broadcast.
+MAX_BROADCAST_BYTES = 16 << 20
 MAX_BROADCAST_ROWS = 1_000_000
 
 
@@ -38,3 +43,19 @@ def attach(df: DataFrame, small: DataFrame, on: str | Sequence[str], how: str =
            max_rows: int | None = None) -> DataFrame:
     """Join columns of a lookup table onto ``df``."""
     return df.join(_side(small, max_rows), on=on, how=how)
+
+
+def checked_side(side: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``side`` as a written table in the shared folder, with a broadcast hint if
+    its files are at most ``max_bytes``; joined by shuffle otherwise.
+
+    The side is computed once, before the join that needs it, so the other
+    side is not shuffled only to find that it need not be.
+    """
+    spark = side.sparkSession
+    path = shared_dir(spark, "sides")
+    side.write.parquet(path)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(root).getLength()
+    stored = spark.read.schema(side.schema).parquet(path)
+    return F.broadcast(stored) if size <= max_bytes else stored

@@ -16,11 +16,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
 
 def _cols(cols: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def _limit_groups(df: DataFrame, n: int) -> None:
+    """Spark limits groups before the shuffle up to a threshold on ``n`` (1000 by
+    default); raise it for a larger ``n``, so that no group is sent whole."""
+    conf = df.sparkSession.conf
+    if int(conf.get(GROUP_LIMIT)) < n:
+        conf.set(GROUP_LIMIT, str(n))
+
+
 def top_n(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
     """The first ``n`` rows in ``order`` (add a unique last key for determinism)."""
     return df.orderBy(*_cols(order)).limit(n)
@@ -29,6 +39,7 @@ def top_n(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
                     n: int, rank_col: str | None = "rk") -> DataFrame:
     """Rows ranked ``1..n`` inside each group; ties broken by ``order``'s last keys."""
+    _limit_groups(df, n)
     w = Window.partitionBy(*group).orderBy(*_cols(order))
     rk = rank_col or "_rk"
     out = df.withColumn(rk, F.row_number().over(w)).where(F.col(rk) <= n)
@@ -42,5 +53,6 @@ def nth_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column |
     Same plan shape as ``top_n_per_group``: at most ``n`` rows per group and
     map task cross the shuffle.
     """
+    _limit_groups(df, n)
     w = Window.partitionBy(*group).orderBy(*_cols(order))
     return df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") == n).drop("_rk")

@@ -7,8 +7,6 @@ one of the two. Column names match the Spark outputs.
 
 from __future__ import annotations
 
-from clicklens.sources.fixtures import CLICK_BATCH_ROWS
-
 VISITS = """
 visits as (
   select event_id, cast(cast(ts as date) as varchar) as date, user_id,
@@ -28,19 +26,42 @@ visits as (
           else concat(cast(k%20+1 as varchar), ',', cast((k+7)%20+1 as varchar),
                ',', cast((k+11)%20+1 as varchar)) end as ids
         from (select *, cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as k from events))
-  where event_type <> 'error'
 )"""
 
-CLICKS = f"""
+CLICKS = """
 clicks as (
   select event_id, ts, r_name as area, n_name as city, cast(user_id as varchar) as uid,
          cast(cast(regexp_extract(props, '([0-9]+)', 1) as bigint) % 6 + 1 as varchar) as adid,
-         cast(floor(event_id/{CLICK_BATCH_ROWS}) as bigint) as batch_id
+         cast(floor((epoch_ms(ts) + 43200000) / 432000000) as bigint) as batch_id
   from events join nation on n_nationkey = user_id % 25
               join region on r_regionkey = n_regionkey
   where event_type = 'click'
 )"""
 
+# Ad-log lines, broken ones among them, and the clicks that can be read from them.
+LINES = """
+lines as (
+  select event_id, batch_id,
+         case when event_id % 97 = 0 then 'x' || whole
+              when event_id % 89 = 0 then head
+              when event_id % 83 = 0 then whole || chr(10)
+              else whole end as value
+  from (select *, concat(head, ' ', uid, ' ', adid) as whole
+        from (select *, concat(cast(cast(floor(epoch_us(ts) / 1000) as bigint) as varchar), ' ',
+                               replace(area, ' ', '_'), ' ', replace(city, ' ', '_')) as head from clicks))
+)"""
+
+LINE_CLICKS = """
+parsed as (
+  select event_id, batch_id, p[1] as time, p[2] as area, p[3] as cid, p[4] as uid, p[5] as adid
+  from (select event_id, batch_id, string_split(value, ' ') as p from lines)
+  where len(p) >= 5 and regexp_full_match(p[1], '[+-]?[0-9]+')
+),
+line_clicks as (
+  select event_id, batch_id, make_timestamp(cast(time as bigint) * 1000) as ts, area, cid as city, uid, adid
+  from parsed
+)"""
+
 # Java-split of a comma list (trailing empties dropped), then one row per id.
 ACTIONS = """
 actions as (

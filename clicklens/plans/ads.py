@@ -17,15 +17,16 @@ Input: typed clicks ``(ts, area, city, uid, adid[, event_id, batch_id])``;
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklens.functions.columns import (
     ad_line_columns, ad_line_fields, ad_line_is_complete, clock_label, day_of, floor_time,
-    interval_seconds, map_json, millis_to_ntz, pair_list_json,
+    interval_seconds, is_millis, map_json, millis_to_ntz, pair_list_json,
 )
 from clicklens.model import BAN_THRESHOLD, TOP_ADS, TREND_BUCKET, TREND_SLIDE, TREND_WINDOW
-from clicklens.operators.topk import nth_per_group, top_n_per_group
+from clicklens.operators.lookup import checked_side
+from clicklens.operators.topk import top_n_per_group
 
 # Key-value names of the reference's result hashes (fixed values).
 TOTALS_HASH = "date:area:city:ads"
@@ -40,13 +41,14 @@ BLACKLIST_SET = "blacklist"
 def parse_lines(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """Split ad-log lines into ``(time, area, cid, uid, adid)``.
 
-    Returns ``(parsed, quarantined)``: lines with fewer than five fields go to
-    the second frame instead of failing the job. Other columns are kept.
+    Returns ``(parsed, quarantined)``: lines with fewer than five fields or a
+    ``time`` that is no number go to the second frame instead of failing the
+    job. Other columns are kept.
     """
     keep = [c for c in lines.columns if c != value]
     parts = ad_line_fields(value)
     df = lines.withColumn("_parts", parts)
-    ok = F.coalesce(ad_line_is_complete(F.col("_parts")), F.lit(False))
+    ok = F.coalesce(ad_line_is_complete(F.col("_parts")) & is_millis(F.get("_parts", F.lit(0))), F.lit(False))
     parsed = df.where(ok).select(*keep, *ad_line_columns(F.col("_parts")))
     quarantined = df.where(~ok).select(*keep, value)
     return parsed, quarantined
@@ -167,26 +169,43 @@ def trend_json(flat: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------- ban
 
+def _reaching(clicks: DataFrame, threshold: int) -> DataFrame:
+    """(day, uid, adid) whose clicks reach ``threshold``: a partial count first, so few keys are left."""
+    return user_day_ad_counts(clicks).where(F.col("click_count") >= threshold).select("day", "uid", "adid")
+
+
 def ban_batches(clicks: DataFrame, threshold: int = BAN_THRESHOLD) -> DataFrame:
     """``(uid, ban_batch)``: first batch at whose end some (day, user, ad)
     running count reaches ``threshold``.
 
-    Counts grow by one per click, so that batch is the batch of the key's
-    threshold-th click in batch order (which click of a batch comes first
-    does not change its batch). ``nth_per_group`` keeps at most
-    ``threshold`` rows per key and map task before its shuffle, so neither a
-    hot key nor a long history puts much into one task.
+    Clicks are counted per (day, user, ad, batch) where they are read; the
+    running sum goes over those counts, at most one row for each batch of a day.
+    """
+    key = ["day", "uid", "adid"]
+    per_batch = (clicks.groupBy(day_of("ts").alias("day"), "uid", "adid", "batch_id")
+                 .agg(F.count(F.lit(1)).alias("n")))
+    running = F.sum("n").over(Window.partitionBy(*key).orderBy("batch_id")
+                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (per_batch.withColumn("running", running).where(F.col("running") >= threshold)
+            .groupBy("uid").agg(F.min("batch_id").alias("ban_batch")))
+
+
+def _split_by_ban(clicks: DataFrame, bans: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clicks of users without a ban, clicks of banned users with their ban).
+
+    The bans are materialised first. If they are few enough they are broadcast
+    and no click is shuffled; otherwise both sides are joined by shuffle, where
+    AQE splits the clicks of a hot user.
     """
-    c = clicks.select(day_of("ts").alias("day"), "uid", "adid", "batch_id", "event_id")
-    nth = nth_per_group(c, ["day", "uid", "adid"], ["batch_id", "event_id"], threshold)
-    return nth.groupBy("uid").agg(F.min("batch_id").alias("ban_batch"))
+    bans = checked_side(bans)
+    return clicks.join(bans, "uid", "left_anti"), clicks.join(bans, "uid")
 
 
 def accepted_per_batch(clicks: DataFrame, threshold: int = BAN_THRESHOLD,
                        bans: DataFrame | None = None) -> DataFrame:
     """Clicks the live job counts: all clicks of a user up to and including
     the batch that bans them, none after."""
-    bans = ban_batches(clicks, threshold) if bans is None else bans
+    bans = checked_side(ban_batches(clicks, threshold) if bans is None else bans)
     j = clicks.join(bans, "uid", "left")
     return (j.where(F.col("ban_batch").isNull() | (F.col("batch_id") <= F.col("ban_batch")))
             .select(*clicks.columns))
@@ -198,24 +217,63 @@ def user_day_ad_counts(accepted: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("click_count")))
 
 
-def ban_events(clicks: DataFrame, threshold: int = BAN_THRESHOLD) -> DataFrame:
-    """``(uid, ban_ts, ban_event_id)``: earliest threshold-th click of the user
-    over all (day, ad), in ``(ts, event_id)`` order.
+def counters_kv(counts: DataFrame) -> DataFrame:
+    """Key-value form of the counters: hash ``date:user:advert:clickcount``, field ``day:user:ad``."""
+    return counts.select(F.lit(COUNTER_HASH).alias("hash_key"),
+                         F.concat_ws(":", F.col("day").cast("string"), "uid", "adid").alias("field"),
+                         F.col("click_count").cast("string").alias("value"))
 
-    ``nth_per_group`` keeps at most ``threshold`` rows per key and map task
-    before its shuffle, so a user with a third of all clicks stays cheap.
+
+def blacklist_members(banned: DataFrame) -> DataFrame:
+    """Set form of the banned users: ``(set_key, member)``, each user once."""
+    return banned.select(F.lit(BLACKLIST_SET).alias("set_key"), F.col("uid").alias("member")).distinct()
+
+
+def first_bans(clicks: DataFrame, reach: DataFrame, place: Column, threshold: int) -> DataFrame:
+    """``(uid, ban, equals)``: the place of the click that bans each user, and how
+    many of the clicks equal to it are accepted.
+
+    ``reach`` has the keys (day, uid, adid) that reach the threshold and ``need``,
+    the clicks it takes. It is materialised, and broadcast if small, so that only
+    those keys' clicks are ranked, at most ``threshold`` for each key and map task
+    crossing the shuffle.
     """
-    c = clicks.select(day_of("ts").alias("day"), "uid", "adid", "ts", "event_id")
-    nth = nth_per_group(c, ["day", "uid", "adid"], ["ts", "event_id"], threshold)
-    first = F.min(F.struct("ts", "event_id"))
-    return (nth.groupBy("uid").agg(first.alias("_b"))
-            .select("uid", F.col("_b.ts").alias("ban_ts"), F.col("_b.event_id").alias("ban_event_id")))
+    key = ["day", "uid", "adid"]
+    reach = checked_side(reach)
+    c = (clicks.select(day_of("ts").alias("day"), "uid", "adid", place.alias("ban"))
+         .join(reach, key, "left_semi"))
+    ranked = top_n_per_group(c, key, ["ban"], threshold, "nth")
+    w = Window.partitionBy(*key).orderBy("ban")
+    nth = (ranked.withColumn("equals", F.col("nth") - F.rank().over(w) + 1)
+           .join(reach, key).where(F.col("nth") == F.col("need")))
+    first = F.min(F.struct("ban", "equals"))
+    return nth.groupBy("uid").agg(first.alias("_b")).select("uid", "_b.ban", "_b.equals")
+
+
+def accepted_up_to(clicks: DataFrame, bans: DataFrame, place: Column) -> DataFrame:
+    """Clicks before each user's ban and, of those equal to the banning click, ``equals``."""
+    free, banned = _split_by_ban(clicks, bans)
+    banned = banned.withColumn("_place", place)
+    before = banned.where(F.col("_place") < F.col("ban"))
+    nth = F.row_number().over(Window.partitionBy("uid", "_place").orderBy(F.lit(0)))
+    at = banned.where(F.col("_place") == F.col("ban")).withColumn("_nth", nth).where("_nth <= equals")
+    cols = clicks.columns
+    return free.select(*cols).unionByName(before.select(*cols)).unionByName(at.select(*cols))
+
+
+def ban_events(clicks: DataFrame, threshold: int = BAN_THRESHOLD) -> DataFrame:
+    """``(uid, ban_ts, ban_event_id)``: earliest threshold-th click of the user
+    over all (day, ad), in ``(ts, event_id)`` order; keys are counted first and
+    only those that reach the threshold are ranked."""
+    reach = _reaching(clicks, threshold).withColumn("need", F.lit(threshold))
+    bans = first_bans(clicks, reach, F.struct("ts", "event_id"), threshold)
+    return bans.select("uid", F.col("ban.ts").alias("ban_ts"), F.col("ban.event_id").alias("ban_event_id"))
 
 
 def accepted_per_event(clicks: DataFrame, threshold: int = BAN_THRESHOLD) -> DataFrame:
     """Clicks accepted by a per-event check: everything up to and including
     the click that makes a counter reach ``threshold``."""
-    j = clicks.join(ban_events(clicks, threshold), "uid", "left")
+    j = clicks.join(checked_side(ban_events(clicks, threshold)), "uid", "left")
     ts, bt = F.col("ts"), F.col("ban_ts")
     keep = (bt.isNull() | (ts < bt) | ((ts == bt) & (F.col("event_id") <= F.col("ban_event_id"))))
     return j.where(keep).select(*clicks.columns)

@@ -86,15 +86,26 @@ def top_categories(visits: DataFrame, n: int = TOP_CATEGORIES, task_id: str | No
                     "click_count", "order_count", "pay_count"))
 
 
-def top_list(stored: DataFrame, task_id: str | None = None) -> DataFrame:
+def top_list(stored: DataFrame, task_id: str | None = None, all_runs: bool = False) -> DataFrame:
     """``(category_id, task_id)`` from a stored ranking table.
 
-    With ``task_id`` only that run; without, every run, one task id per
-    category (the largest), as a job reading all past runs would see it.
+    The list of the run ``task_id``, by default of the latest run (the largest
+    task id). With ``all_runs``, of every run: one task id per category (the
+    largest), as a job that reads the whole table would see it.
     """
+    if all_runs:
+        return stored.groupBy("category_id").agg(F.max("task_id").alias("task_id"))
     if task_id is not None:
         return stored.where(F.col("task_id") == task_id).select("category_id", "task_id")
-    return stored.groupBy("category_id").agg(F.max("task_id").alias("task_id"))
+    # One row: the id of the latest run.
+    latest = F.broadcast(stored.agg(F.max("task_id").alias("task_id")))
+    return stored.join(latest, "task_id", "left_semi").select("category_id", "task_id")
+
+
+def with_task_ids(counts: DataFrame, top: DataFrame, top_rows: int | None = TOP_CATEGORIES) -> DataFrame:
+    """``counts`` (with ``category_id``) and the task id of each category, ``""`` where ``top`` has none."""
+    out = attach(counts, top.select("category_id", "task_id"), "category_id", how="left", max_rows=top_rows)
+    return out.withColumn("task_id", F.coalesce("task_id", F.lit("")))
 
 
 def visits_in_top_categories(visits: DataFrame, top: DataFrame,

@@ -2,7 +2,9 @@
 
 Every query reads the driver's tables (through the fixture views) in full.
 Parameters follow FIXTURES.md: reference defaults where the data allows,
-test values (threshold 2, trend 6 h / 1 h / 1 h) where it does not.
+test values (threshold 2, trend 6 h / 1 h / 1 h besides the default 60 s /
+10 s / 10 s) where it does not. The oracle's constants are written out here,
+not taken from the code that they check.
 """
 
 from __future__ import annotations
@@ -21,10 +23,10 @@ from clicklens.plans import categories as cat
 from clicklens.plans import conversion as conv
 from clicklens.sinks.tables import append_rows, overwrite_table
 from clicklens.sources import fixtures as fx
+from clicklens.functions.columns import key_columns
 from clicklens.sources.stream import event_stream, file_stream
-from clicklens.sources.tables import time_range
+from clicklens.sources.tables import param_column, time_range
 from clicklens.streaming import ads_streams as streams
-from clicklens.streaming.replay import write_batches
 
 # Fixed run id, so that Spark and the oracle write the same task id.
 TASK_ID = "run-1"
@@ -151,28 +153,86 @@ def _top10_sessions(spark, sf):
     return cat.top_sessions_per_category(fx.visits(spark, sf), n=TOP_SESSIONS, task_id=TASK_ID)
 
 
-@register("top10_sessions_from_stored_runs", O.with_(
-    O.VISITS, O.ACTIONS, O.CATEGORY_COUNTS, O.top_categories_cte("run-2", TOP_CATEGORIES), _TOP_CLICKS,
-    _CS_COUNTS) + f"""
+_RUNS = f"""
+runs as (
+  select 'run-1' as task_id, category_id from top_first
+  union all select 'run-2', category_id from top_second
+)"""
+
+
+def _run_cte(name: str, start: str, end: str) -> str:
+    """Q1's top 10 over a range of days."""
+    return f"""
+{name} as (
+  select category_id from (
+    select category_id, count(*) filter (where action = 'click') as c, count(*) filter (where action = 'order') as o,
+           count(*) filter (where action = 'pay') as p
+    from actions join visits using (event_id)
+    where action_time >= timestamp '{start}' and action_time <= timestamp '{end}' group by category_id)
+  order by c desc, o desc, p desc, category_id limit 10
+)"""
+
+
+# Two runs over different days, so that the union of their lists is larger than one list.
+RUN_1 = ("2024-01-01 00:00:00", "2024-01-06 23:59:59")
+RUN_2 = ("2024-01-20 00:00:00", "2024-01-25 23:59:59")
+_STORED = (O.VISITS, O.ACTIONS, _run_cte("top_first", *RUN_1), _run_cte("top_second", *RUN_2), _RUNS)
+
+
+def _sessions_of(listed: str) -> str:
+    return f"""
 select task_id, category_id, session_id, click_count from (
   select *, row_number() over (partition by category_id order by click_count desc, session_id) as rk
-  from cs_counts) where rk <= {TOP_SESSIONS}""")
+  from (select t.task_id, t.category_id, v.session_id, count(*) as click_count
+        from visits v join ({listed}) t on cast(v.click_category_id as varchar) = t.category_id
+        where v.click_category_id <> -1 group by 1, 2, 3)) where rk <= 10"""
+
+
+def _stored_runs(spark, v):
+    path = shared_dir(spark, "tables", "category_top10")
+    for run, days in (("run-1", RUN_1), ("run-2", RUN_2)):
+        append_rows(cat.top_categories(time_range(v, *days), TOP_CATEGORIES, run), path)
+    return spark.read.schema(CATEGORY_TOP10_SCHEMA).parquet(path)
+
+
+@register("top10_sessions_from_stored_runs", O.with_(*_STORED) + _sessions_of(
+    "select category_id, max(task_id) as task_id from runs group by category_id"))
 def _top10_sessions_stored(spark, sf):
     """Q2 as the reference runs it: two runs of Q1 append to a result table;
     the session job reads the list of all runs back (one task id per
     category, the largest) and ranks sessions in those categories."""
     v = fx.visits(spark, sf)
-    path = shared_dir(spark, "tables", "category_top10")
-    for run in ("run-1", "run-2"):
-        append_rows(cat.top_categories(v, TOP_CATEGORIES, run), path)
-    stored = spark.read.schema(CATEGORY_TOP10_SCHEMA).parquet(path)
-    return cat.top_sessions_per_category(v, cat.top_list(stored), TOP_SESSIONS, top_rows=None)
+    return cat.top_sessions_per_category(v, cat.top_list(_stored_runs(spark, v), all_runs=True), TOP_SESSIONS,
+                                         top_rows=None)
+
+
+@register("top10_sessions_latest_run", O.with_(*_STORED) + _sessions_of(
+    "select category_id, task_id from runs where task_id = 'run-2'"))
+def _top10_sessions_latest(spark, sf):
+    """Q2 against the latest stored run (the default list)."""
+    v = fx.visits(spark, sf)
+    return cat.top_sessions_per_category(v, cat.top_list(_stored_runs(spark, v)), TOP_SESSIONS)
+
+
+@register("category_session_task_ids", O.with_(O.VISITS, O.ACTIONS, O.CATEGORY_COUNTS,
+                                               O.top_categories_cte("run-1", 10)) + """
+select coalesce(t.task_id, '') as task_id, c.category_id, c.session_id, c.click_count
+from (select cast(click_category_id as varchar) as category_id, session_id, count(*) as click_count
+      from visits where click_category_id <> -1 group by 1, 2) c
+left join top_categories t using (category_id)""")
+def _category_session_task_ids(spark, sf):
+    """Click counts of all (category, session), with the run's task id or ``""`` outside its top 10 (left outer)."""
+    v = fx.visits(spark, sf)
+    counts = (v.where(F.col("click_category_id") != -1)
+              .groupBy(F.col("click_category_id").cast("string").alias("category_id"), "session_id")
+              .agg(F.count(F.lit(1)).alias("click_count")))
+    return cat.with_task_ids(counts, cat.top_categories(v, TOP_CATEGORIES, TASK_ID))
 
 
 # ---------------------------------------------------------- page conversion
 
-_PAIRS = O.target_pairs_sql(conv.flow_pairs(FLOW))
-_PAGES = ", ".join(str(p) for p in sorted(set(conv.flow_pages(FLOW))))
+_PAIRS = O.target_pairs_sql([(1, 2), (2, 3), (3, 4), (4, 5), (5, 6)])
+_PAGES = "1, 2, 3, 4, 5, 6"
 
 
 @register("page_transitions", O.with_(O.VISITS, O.transitions_cte()) +
@@ -244,23 +304,27 @@ TREND_W, TREND_S, TREND_B = "6 hours", "1 hour", "1 hour"
 THRESHOLD = 2
 TOP_N_ADS = 3
 
-_LINES = """
-lines as (
-  select event_id,
-         concat(cast(cast(floor(epoch_us(ts) / 1000) as bigint) as varchar), ' ', replace(area, ' ', '_'),
-                ' ', city, ' ', uid, ' ', adid) as value
-  from clicks
-)"""
+_LINE_VIEWS = (O.CLICKS, O.LINES, O.LINE_CLICKS)
 
 
-@register("ad_line_parse", O.with_(O.CLICKS, _LINES) + """
-select event_id, p[1] as time, p[2] as area, p[3] as cid, p[4] as uid, p[5] as adid
-from (select event_id, string_split(value, ' ') as p from lines) where len(p) >= 5""")
+@register("ad_line_parse", O.with_(*_LINE_VIEWS) + "select * from parsed")
 def _ad_line_parse(spark, sf):
-    """Ad-log lines split into their five fields (short lines quarantined)."""
+    """Ad-log lines split into their five fields (those that can be read)."""
     return ads.parse_lines(fx.ad_lines(spark, sf))[0]
 
 
+@register("quarantined_lines", O.with_(*_LINE_VIEWS) + """
+select event_id, batch_id, value from lines where event_id not in (select event_id from parsed)""")
+def _quarantined_lines(spark, sf):
+    """The lines no job can read (too short, or a time that is no number), stored by a stream job of their own."""
+    folder = shared_dir(spark, "replay", "lines")
+    lines = fx.ad_lines(spark, sf)
+    lines.write.parquet(folder)
+    job = streams.quarantine_job(spark, file_stream(spark, folder, lines.schema))
+    streams.run_to_end(job.query)
+    return streams.log_read(job.stores["quarantined"])
+
+
 _DAILY = """
 daily as (
   select cast(ts as date) as day, area, city, adid, count(*) as click_count
@@ -309,30 +373,44 @@ def _trend_buckets(spark, sf):
     return ads.trend_buckets(fx.clicks(spark, sf), TREND_B)
 
 
-_TREND = """
+def _trend_cte(source: str, window: int, slide: int, bucket: int) -> str:
+    """Per sliding window and ad, clicks per bucket; widths in seconds."""
+    return f"""
 trend as (
-  select ws as window_start, ws + interval 6 hour as window_end, adid, bucket_start, count(*) as click_count
-  from (select adid, date_trunc('hour', ts) as bucket_start,
-               unnest([date_trunc('hour', ts) - to_hours(i) for i in range(0, 6)]) as ws
-        from clicks)
+  select ws as window_start, ws + to_seconds({window}) as window_end, adid, bucket_start, count(*) as click_count
+  from (select adid, time_bucket(to_seconds({bucket}), ts, timestamp '1970-01-01') as bucket_start,
+               unnest([time_bucket(to_seconds({slide}), ts, timestamp '1970-01-01') - to_seconds(i * {slide})
+                       for i in range(0, {window // slide})]) as ws
+        from {source})
   group by ws, adid, bucket_start
 )"""
 
 
+_TREND = _trend_cte("clicks", 21600, 3600, 3600)
+_TREND_DEFAULT = _trend_cte("clicks", 60, 10, 10)
+_TREND_JSON = """
+select window_start, window_end, 'time:advert:click:trend' as hash_key, adid as field,
+       to_json(list(map_from_entries([struct_pack(k := strftime(bucket_start, '%M:%S'), v := click_count)])
+                    order by bucket_start)) as value
+from trend group by window_start, window_end, adid"""
+
+
 @register("trend_sliding", O.with_(O.CLICKS, _TREND) + "select * from trend")
 def _trend_sliding(spark, sf):
     """Q6: per sliding window and ad, clicks per bucket (6 h / 1 h / 1 h)."""
     return ads.trend(fx.clicks(spark, sf), TREND_W, TREND_S, TREND_B)
 
 
-@register("trend_json", O.with_(O.CLICKS, _TREND) + """
-select window_start, window_end, 'time:advert:click:trend' as hash_key, adid as field,
-       to_json(list(map_from_entries([struct_pack(k := strftime(bucket_start, '%M:%S'), v := click_count)])
-                    order by bucket_start)) as value
-from trend group by window_start, window_end, adid""")
+@register("trend_sliding_default", O.with_(O.CLICKS, _TREND_DEFAULT) + "select * from trend")
+def _trend_sliding_default(spark, sf):
+    """Q6 at the reference's own widths: 60 s windows every 10 s, 10 s buckets."""
+    return ads.trend(fx.clicks(spark, sf))
+
+
+@register("trend_json", O.with_(O.CLICKS, _TREND_DEFAULT) + _TREND_JSON)
 def _trend_json(spark, sf):
-    """Q6 key-value form: ``[{"mm:ss":count},...]`` per window and ad."""
-    return ads.trend_json(ads.trend(fx.clicks(spark, sf), TREND_W, TREND_S, TREND_B))
+    """Q6 key-value form: ``[{"mm:ss":count},...]`` per window and ad, at the reference's widths."""
+    return ads.trend_json(ads.trend(fx.clicks(spark, sf)))
 
 
 _BAN_BATCH = f"""
@@ -403,9 +481,8 @@ def _accepted_per_event(spark, sf):
 
 # ---------------------------------------------------------------- streaming
 
-TREND_LATENESS = "1 hour"
-# Longer than the fixture's 30 days: the bounded-state variants drop nothing.
-KEEP_ALL_LATENESS = "400 days"
+# Clicks this much older than the newest one are set aside by the bounded totals.
+LATENESS = "3 days"
 
 
 def _parts(spark) -> int:
@@ -418,6 +495,18 @@ def _click_stream(spark, sf):
                                  fx.read_table(spark, sf, "region"))
 
 
+def _replayed(spark, sf, start, shape=None):
+    """The stores of a job after all micro-batches of the clicks."""
+    base, last = shared_dir(spark, "streams", "replayed"), []
+
+    def job(stream):
+        last[:] = [start(stream, base)]
+        return last[0]
+
+    fx.replayed(spark, sf, job, shape)
+    return last[0].stores
+
+
 @register("daily_ad_totals_stream", O.with_(O.CLICKS, _DAILY) + "select * from daily")
 def _daily_ad_totals_stream(spark, sf):
     """Q4 as a stream (update mode) into the keyed snapshot, read back."""
@@ -426,6 +515,16 @@ def _daily_ad_totals_stream(spark, sf):
     return job.stores["totals"].read()
 
 
+@register("daily_ad_totals_kv_stream", O.with_(O.CLICKS, _DAILY) + """
+select 'date:area:city:ads' as hash_key, concat_ws(':', cast(day as varchar), area, city, adid) as field,
+       cast(click_count as varchar) as value from daily""")
+def _daily_ad_totals_kv_stream(spark, sf):
+    """Q4's key-value hash as the stream writes it, over all micro-batches."""
+    stores = _replayed(spark, sf, lambda c, base: streams.daily_totals_job(
+        spark, c, base=base, state_partitions=_parts(spark)))
+    return stores["kv"].read()
+
+
 @register("daily_ad_totals_delta_stream", O.with_(O.CLICKS, _DAILY) + "select * from daily")
 def _daily_ad_totals_delta_stream(spark, sf):
     """Q4 variant: stateless stream, per-batch increments summed by the snapshot."""
@@ -435,57 +534,189 @@ def _daily_ad_totals_delta_stream(spark, sf):
     return job.stores["totals"].read()
 
 
-@register("daily_ad_totals_bounded_stream", O.with_(O.CLICKS, _DAILY) + "select * from daily")
+# Every tenth click arrives two batches (ten days) after its time.
+_ARRIVALS = """
+arrivals as (select *, batch_id + case when event_id % 10 = 0 then 2 else 0 end as arrival from clicks),
+marks as (
+  select a.arrival, (select max(ts) from arrivals b where b.arrival < a.arrival) - interval 3 day as mark
+  from (select distinct arrival from arrivals) a
+),
+late as (select a.* from arrivals a join marks m using (arrival) where m.mark is not null and a.ts < m.mark)"""
+
+
+def _bounded(spark, sf):
+    """The totals' stores after the clicks came in order of arrival, one micro-batch for each."""
+    base, folder = shared_dir(spark, "streams", "bounded"), shared_dir(spark, "replay", "arrivals")
+    clicks = fx.clicks(spark, sf)
+    late = F.when(F.col("event_id") % 10 == 0, 2).otherwise(0)
+    first, last = clicks.agg(F.min("batch_id"), F.max("batch_id")).first()
+    job = None
+    for b in range(first, last + 3):
+        some = clicks.where(F.col("batch_id").isin(b, b - 2) & (F.col("batch_id") + late == b))
+        some.write.mode("append").parquet(folder)
+        job = streams.daily_totals_job(spark, file_stream(spark, folder, clicks.schema), base=base,
+                                       max_lateness=LATENESS)
+        streams.run_to_end(job.query)
+    return job.stores
+
+
+@register("daily_ad_totals_bounded_stream", O.with_(O.CLICKS, _ARRIVALS) + """
+select cast(ts as date) as day, area, city, adid, count(*) as click_count
+from arrivals where event_id not in (select event_id from late) group by 1, 2, 3, 4""")
 def _daily_ad_totals_bounded_stream(spark, sf):
-    """Q4 with bounded state: one-day event-time windows under a watermark
-    (finished days leave the state store); the lateness keeps every fixture row."""
-    job = streams.daily_totals_job(spark, _click_stream(spark, sf), max_lateness=KEEP_ALL_LATENESS,
-                                   state_partitions=_parts(spark))
-    streams.run_to_end(job.query)
-    return job.stores["totals"].read()
+    """Q4 without clicks that come more than 3 days late; those are in ``late_clicks``."""
+    return _bounded(spark, sf)["totals"].read()
+
+
+@register("late_clicks", O.with_(O.CLICKS, _ARRIVALS) +
+          "select event_id, ts, area, city, uid, adid, batch_id from late")
+def _late_clicks(spark, sf):
+    """The side store of the bounded totals: the clicks that came too late."""
+    return streams.log_read(_bounded(spark, sf)["late"])
 
 
 @register("top3_ads_per_area_bounded_stream", O.with_(O.CLICKS, _TOP_ADS) + "select * from top_ads")
 def _top3_ads_bounded_stream(spark, sf):
-    """Q5 with bounded state: update mode, only touched (day, area) groups re-ranked."""
-    job = streams.top_ads_job(spark, _click_stream(spark, sf), TOP_N_ADS, max_lateness=KEEP_ALL_LATENESS,
-                              state_partitions=_parts(spark))
-    streams.run_to_end(job.query)
-    return job.stores["ranks"].read()
+    """Q5 over many micro-batches: only the touched days are read, only touched (day, area) groups ranked."""
+    return _replayed(spark, sf, lambda c, base: streams.top_ads_job(spark, c, TOP_N_ADS, base=base))["ranks"].read()
 
 
 @register("top3_ads_per_area_stream", O.with_(O.CLICKS, _TOP_ADS) + "select * from top_ads")
 def _top3_ads_stream(spark, sf):
-    """Q5 as a stream (complete mode, ranked per micro-batch), read back."""
+    """Q5 as a stream, read back."""
     job = streams.top_ads_job(spark, _click_stream(spark, sf), TOP_N_ADS, state_partitions=_parts(spark))
     streams.run_to_end(job.query)
     return job.stores["ranks"].read()
 
 
-@register("trend_sliding_stream", O.with_(O.CLICKS, _TREND) + """
-select * from trend where window_end <= (select max(ts) from clicks) - interval 1 hour""")
+@register("trend_sliding_stream", O.with_(O.CLICKS, _TREND) + "select * from trend")
 def _trend_stream(spark, sf):
-    """Q6 as a stream: append mode emits each window once it is closed by the watermark."""
-    job = streams.trend_job(spark, _click_stream(spark, sf), TREND_W, TREND_S, TREND_B, TREND_LATENESS,
-                           state_partitions=_parts(spark))
-    streams.run_to_end(job.query)
-    return job.stores["flat"].read().select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "adid",
-        F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"), "click_count")
+    """Q6 as a stream over many micro-batches: panes are stored, windows (open ones too) expanded on read."""
+    stores = _replayed(spark, sf, lambda c, base: streams.trend_job(spark, c, TREND_W, TREND_S, TREND_B, base=base))
+    return streams.trend_windows(stores["panes"].read(), TREND_W, TREND_S)
 
 
 @register("clicks_accepted_stream", O.with_(O.CLICKS, _BAN_BATCH) + "select * from accepted")
 def _accepted_stream(spark, sf):
     """Q7a live: clicks replayed one micro-batch per ``batch_id``; the ban of
     batch b applies from batch b+1."""
-    clicks = fx.clicks(spark, sf)
-    folder = shared_dir(spark, "replay", "clicks")
-    write_batches(clicks, "batch_id", folder)
-    stream = file_stream(spark, folder, clicks.schema, max_files_per_trigger=1)
-    job = streams.ban_job(spark, stream, THRESHOLD, state_partitions=_parts(spark))
-    streams.run_to_end(job.query)
-    return job.stores["accepted"].read().withColumnRenamed("source_batch", "batch_id")
+    stores = _replayed(spark, sf, lambda c, base: streams.ban_job(spark, c, THRESHOLD, base=base))
+    return streams.log_read(stores["accepted"])
+
+
+@register("clicks_accepted_per_event_stream", O.with_(O.CLICKS, _BAN_EVENT) + "select * from accepted_ev")
+def _accepted_per_event_stream(spark, sf):
+    """Q7b live: each click is checked against the ones before it, in ts order within a batch."""
+    stores = _replayed(spark, sf, lambda c, base: streams.per_event_ban_job(spark, c, THRESHOLD, base=base))
+    return streams.log_read(stores["accepted"])
+
+
+# ------------------------------------------------------- jobs from raw lines
+
+def _clicks_from_lines(spark, sf):
+    return ads.clicks_from_lines(fx.ad_lines(spark, sf))
+
+
+def _on_lines(cte: str) -> str:
+    return cte.replace("from clicks", "from line_clicks")
+
+
+@register("daily_ad_totals_from_lines", O.with_(*_LINE_VIEWS, _on_lines(_DAILY)) + "select * from daily")
+def _daily_from_lines(spark, sf):
+    """Q4 from raw ad-log lines."""
+    return ads.daily_totals(_clicks_from_lines(spark, sf))
+
+
+@register("top3_ads_from_lines", O.with_(*_LINE_VIEWS, _on_lines(_TOP_ADS)) + "select * from top_ads")
+def _top3_from_lines(spark, sf):
+    """Q5 from raw ad-log lines."""
+    return ads.top_ads_per_area(_clicks_from_lines(spark, sf), TOP_N_ADS)
+
+
+@register("trend_from_lines", O.with_(*_LINE_VIEWS, _trend_cte("line_clicks", 60, 10, 10)) + "select * from trend")
+def _trend_from_lines(spark, sf):
+    """Q6 from raw ad-log lines, at the reference's widths."""
+    return ads.trend(_clicks_from_lines(spark, sf))
+
+
+def _line_stream(stream):
+    """Clicks of a stream of lines; no id, as in the reference's topic."""
+    return ads.clicks_from_lines(stream)
+
+
+def _only_lines(clicks):
+    return fx.ad_lines_from_clicks(clicks).select("value")
+
+
+_LINE_COLS = "ts, area, city, uid, adid"
+_LINE_BAN = _on_lines(_BAN_BATCH).replace("select c.* from clicks c", "select c.* from line_clicks c")
+
+
+def _lines_ban(spark, sf, job):
+    return _replayed(spark, sf, lambda lines, base: job(spark, _line_stream(lines), THRESHOLD, base=base), _only_lines)
+
+
+@register("clicks_accepted_from_lines_stream", O.with_(*_LINE_VIEWS, _LINE_BAN) +
+          f"select {_LINE_COLS} from accepted")
+def _accepted_from_lines(spark, sf):
+    """Q7a live from raw lines: the accepted log (equal clicks all count)."""
+    return streams.log_read(_lines_ban(spark, sf, streams.ban_job)["accepted"])
+
+
+@register("ban_counters_stream", O.with_(*_LINE_VIEWS, _LINE_BAN) + """
+select 'date:user:advert:clickcount' as hash_key,
+       concat_ws(':', cast(cast(ts as date) as varchar), uid, adid) as field, cast(count(*) as varchar) as value
+from accepted group by cast(ts as date), uid, adid""")
+def _ban_counters_stream(spark, sf):
+    """Q7a's counter hash as the live job leaves it, from raw lines."""
+    return ads.counters_kv(_lines_ban(spark, sf, streams.ban_job)["counters"].read())
+
+
+@register("blacklist_stream", O.with_(*_LINE_VIEWS, _LINE_BAN) +
+          "select distinct 'blacklist' as set_key, uid as member from bans")
+def _blacklist_stream(spark, sf):
+    """Q7a's blacklist set as the live job leaves it, from raw lines."""
+    return ads.blacklist_members(_lines_ban(spark, sf, streams.ban_job)["blacklist"].read())
+
+
+# Without ids, clicks equal in every field can stand for each other.
+_LINE_BAN_EVENT = """
+ordered as (
+  select *, row_number() over (partition by uid order by ts, area, city, adid) as place from line_clicks
+),
+nth as (
+  select uid, place, row_number() over (partition by cast(ts as date), uid, adid order by place) as r from ordered
+),
+ev_bans as (select uid, min(place) as ban from nth where r = 2 group by uid),
+accepted_ev as (select o.* from ordered o left join ev_bans b using (uid) where b.ban is null or o.place <= b.ban)"""
+
+
+@register("clicks_accepted_per_event_from_lines_stream", O.with_(*_LINE_VIEWS, _LINE_BAN_EVENT) +
+          f"select {_LINE_COLS} from accepted_ev")
+def _accepted_per_event_from_lines(spark, sf):
+    """Q7b live from raw lines, in (ts, other fields) order."""
+    return streams.log_read(_lines_ban(spark, sf, streams.per_event_ban_job)["accepted"])
+
+
+# -------------------------------------------------------- documents and keys
+
+@register("param_documents", """
+select event_id, cast(user_id as varchar) as user, cast(event_type as varchar) as kind, cast(null as varchar) as missing
+from events""")
+def _param_documents(spark, sf):
+    """Parameters looked up in a column of JSON documents (one for each event)."""
+    e = fx.read_table(spark, sf, "events")
+    doc = F.to_json(F.struct(F.col("user_id").alias("user"), F.col("event_type").alias("kind")))
+    docs = e.select("event_id", doc.alias("doc"))
+    return docs.select("event_id", *[param_column("doc", k).alias(k) for k in ("user", "kind", "missing")])
+
+
+@register("imported_total_keys", O.with_(O.CLICKS, _DAILY) + """
+select cast(day as varchar) as day, area, city, adid, cast(click_count as varchar) as value from daily""")
+def _imported_total_keys(spark, sf):
+    """Composite string keys of the totals hash, taken apart again."""
+    kv = ads.daily_totals_kv(ads.daily_totals(fx.clicks(spark, sf)))
+    return kv.select(*key_columns("field", ":", ["day", "area", "city", "adid"]), "value")
 
 
 # -------------------------------------------------------------------- sinks
@@ -518,15 +749,3 @@ def _snapshot_roundtrip(spark, sf):
     store.write(kv, 1)
     store.write(kv, 1)   # replay of batch 1
     return store.read()
-
-
-@register("clicks_accepted_per_event_stream", O.with_(O.CLICKS, _BAN_EVENT) + "select * from accepted_ev")
-def _accepted_per_event_stream(spark, sf):
-    """Q7b live: per-event ban with per-user state, clicks replayed in batches."""
-    clicks = fx.clicks(spark, sf)
-    folder = shared_dir(spark, "replay", "clicks")
-    write_batches(clicks, "batch_id", folder)
-    stream = file_stream(spark, folder, clicks.schema, max_files_per_trigger=1)
-    job = streams.per_event_ban_job(spark, stream, THRESHOLD, state_partitions=_parts(spark))
-    streams.run_to_end(job.query)
-    return job.stores["accepted"].read().withColumnRenamed("source_batch", "batch_id")

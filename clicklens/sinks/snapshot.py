@@ -8,24 +8,23 @@ wrote before and nothing is counted twice. Readers merge the partitions:
   batch that wrote the key;
 * ``add``    (increment, like HINCRBY): per key, the sum of all batch deltas;
 * ``member`` (idempotent set add, like SADD): each key once, with the first
-  batch that added it.
+  batch that added it;
+* ``log``    (append): every row of every batch, equal rows too.
 
 ``read(upto=b)`` gives the state as of the end of batch ``b``, which is what
-a batch needs to see of its predecessors. All merges are Spark aggregates
-over the stored partitions: nothing goes through the driver.
-
-Compaction: ``compact(b)`` writes the merged state as of batch ``b`` as a
-base version (``<path>_base/upto=<b>``). Reads start from the newest base at
-or before the requested batch and merge only the later batch partitions
-(partition pruning on ``batch_id``), so the cost of a read follows the
-state size plus the batches since the last compaction, not the stream's age.
-A base is visible only once its write has committed. ``compact(b, expire=True)``
-also deletes what lies before the previous base (opt-in).
+a batch needs to see of its predecessors. ``days`` keeps to partitions of those
+days, for stores that are partitioned by day.
+
+``compact(b)`` folds the state as of batch ``b`` into a base
+(``<path>_base/upto=<b>``) and deletes what lies before the previous base. Reads
+list the folder names once and open the newest base and the batches after it,
+by path, so their cost follows the state and the batches since, not the
+stream's age. A read from before the oldest base raises; a log is never folded.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,117 +32,99 @@ from pyspark.sql import types as T
 
 BATCH_COL = "batch_id"
 BASE_COL = "upto"
-MODES = ("set", "add", "member")
-
-
-def _missing(e: Exception) -> bool:
-    s = str(e)
-    return "PATH_NOT_FOUND" in s or "does not exist" in s or "UNABLE_TO_INFER_SCHEMA" in s
+MODES = ("set", "add", "member", "log")
 
 
 class KeyedSnapshot:
+    """``by_day``: the store also has a ``day`` partition level (a column of the schema)."""
+
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 schema: T.StructType, mode: str = "set"):
+                 schema: T.StructType, mode: str = "set", by_day: bool = False):
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
+        if BATCH_COL in schema.fieldNames():
+            raise ValueError(f"{BATCH_COL} is the store's own column")
         missing = [k for k in keys if k not in schema.fieldNames()]
         if missing:
             raise ValueError(f"keys not in schema: {missing}")
-        self.spark, self.path, self.keys, self.schema, self.mode = spark, path, list(keys), schema, mode
+        self.spark, self.path, self.keys, self.schema, self.mode = spark, path.rstrip("/"), list(keys), schema, mode
         self.values = [f for f in schema.fieldNames() if f not in self.keys]
-        self.base_path = f"{path.rstrip('/')}_base"
-        self._stored_schema = T.StructType(schema.fields + [T.StructField(BATCH_COL, T.LongType())])
-        self._base_schema = T.StructType(self._stored_schema.fields + [T.StructField(BASE_COL, T.LongType())])
+        self.base_path = f"{self.path}_base"
+        self.levels = ["day"] if by_day else []
+        self._stored = T.StructType(schema.fields + [T.StructField(BATCH_COL, T.LongType())])
 
     # ------------------------------------------------------------------ write
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Store ``df`` as batch ``batch_id`` (replaces an earlier write of that batch)."""
-        out = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields],
-                        F.lit(int(batch_id)).cast("long").alias(BATCH_COL))
-        self._overwrite_partition(out, self.path, BATCH_COL)
-
-    @staticmethod
-    def _overwrite_partition(df: DataFrame, path: str, col: str) -> None:
-        (df.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(col)
-         .parquet(path))
-
-    def compact(self, upto: int, expire: bool = False) -> None:
-        """Write the stored rows as of batch ``upto`` in merged form as a base.
-
-        With ``expire``, storage older than the *previous* base is deleted once
-        the new base has committed: batch partitions up to the previous base
-        and older bases. A replay of batch ``upto`` still reads the previous
-        base and the partitions after it, so recovery is unaffected; only
-        ``read(upto=b)`` for a ``b`` before the previous base is given up.
+        out = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+        out.write.mode("overwrite").partitionBy(*self.levels).parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
+
+    def compact(self, upto: int) -> None:
+        """Fold the state as of batch ``upto`` into a base; delete what the previous base replaced.
+
+        A replay of batch ``upto`` still finds the previous base and the batches
+        after it, so it folds the same rows again.
         """
-        previous = self._base_id(upto - 1) if expire else None
-        merged = self._merged_versions(upto).withColumn(BASE_COL, F.lit(int(upto)).cast("long"))
-        self._overwrite_partition(merged, self.base_path, BASE_COL)
-        if expire and previous is not None:
-            self._delete_partitions(self.path, BATCH_COL, lambda v: v <= previous)
-            self._delete_partitions(self.base_path, BASE_COL, lambda v: v < previous)
-
-    def _delete_partitions(self, path: str, col: str, drop) -> None:
-        """Delete ``col=<v>`` folders under ``path`` whose value passes ``drop``
-        (Hadoop file system of the path: HDFS, object stores, local)."""
+        if self.mode == "log":
+            return
+        previous = max((b for b in self._ids(self.base_path, BASE_COL) if b < upto), default=None)
+        (self._merged(upto).write.mode("overwrite").partitionBy(*self.levels)
+         .parquet(f"{self.base_path}/{BASE_COL}={int(upto)}"))
+        if previous is not None:
+            self._delete(self.path, BATCH_COL, lambda b: b <= previous)
+            self._delete(self.base_path, BASE_COL, lambda b: b < previous)
+
+    # ---------------------------------------------------------------- folders
+    def _folder(self, path: str):
         jvm = self.spark.sparkContext._jvm
         root = jvm.org.apache.hadoop.fs.Path(path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return
-        prefix = f"{col}="
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            if status.isDirectory() and name.startswith(prefix):
-                try:
-                    value = int(name[len(prefix):])
-                except ValueError:
-                    continue
-                if drop(value):
-                    fs.delete(status.getPath(), True)
+        return root, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _ids(self, path: str, col: str) -> list[int]:
+        """Numbers of the committed ``col=<n>`` folders."""
+        root, fs = self._folder(path)
+        names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+        ids = [int(n.partition("=")[2]) for n in names if n.startswith(f"{col}=")]
+        child = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        return [i for i in ids if fs.exists(child(f"{path}/{col}={i}/_SUCCESS"))]
+
+    def _delete(self, path: str, col: str, drop) -> None:
+        root, fs = self._folder(path)
+        child = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for i in self._ids(path, col):
+            if drop(i):
+                fs.delete(child(f"{path}/{col}={i}"), True)
 
     # ------------------------------------------------------------------- read
-    def _read(self, path: str, schema: T.StructType, part_col: str = BATCH_COL) -> DataFrame | None:
-        # Read through the partition folders only: a folder that exists but holds
-        # no partition yet counts as missing, so the partition column is always
-        # a real partition column (a later refresh of a cached plan then matches).
-        try:
-            return (self.spark.read.schema(schema).option("basePath", path)
-                    .parquet(f"{path}/{part_col}=*"))
-        except Exception as e:  # noqa: BLE001 - nothing written yet
-            if _missing(e):
-                return None
-            raise
-
-    def _base_id(self, upto: int | None) -> int | None:
-        bases = self._read(self.base_path, self._base_schema, BASE_COL)
-        if bases is None:
+    def _open(self, path: str, col: str, ids: Iterable[int]) -> DataFrame | None:
+        ids = sorted(ids)
+        if not ids:
             return None
-        ids = bases.select(BASE_COL)
-        if upto is not None:
-            ids = ids.where(F.col(BASE_COL) <= upto)
-        return ids.agg(F.max(BASE_COL)).first()[0]   # one number, from partition values
+        schema = self._stored if col == BATCH_COL else T.StructType([*self._stored.fields,
+                                                                     T.StructField(col, T.LongType())])
+        return self.spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{col}={i}" for i in ids])
 
     def versions(self, upto: int | None = None) -> DataFrame:
-        """Stored rows with their batch id as of batch ``upto`` (newest base +
-        later batch partitions)."""
-        base_id = self._base_id(upto)
-        parts = self._read(self.path, self._stored_schema)
-        if parts is None:
-            parts = self.spark.createDataFrame([], self._stored_schema)
-        if upto is not None:
-            parts = parts.where(F.col(BATCH_COL) <= upto)
-        if base_id is None:
-            return parts
-        base = (self._read(self.base_path, self._base_schema, BASE_COL)
-                .where(F.col(BASE_COL) == base_id).drop(BASE_COL))
-        return base.unionByName(parts.where(F.col(BATCH_COL) > base_id))
-
-    def _merged_versions(self, upto: int | None) -> DataFrame:
+        """Stored rows with their batch id as of batch ``upto``: newest base and later batches."""
+        bases = self._ids(self.base_path, BASE_COL)
+        base = max((b for b in bases if upto is None or b <= upto), default=None)
+        if bases and base is None:
+            raise ValueError(f"batch {upto} lies before the oldest base {min(bases)} of {self.path}")
+        later = [b for b in self._ids(self.path, BATCH_COL)
+                 if (upto is None or b <= upto) and (base is None or b > base)]
+        parts = self._open(self.path, BATCH_COL, later)
+        if base is not None:
+            old = self._open(self.base_path, BASE_COL, [base]).drop(BASE_COL)
+            parts = old if parts is None else old.unionByName(parts)
+        return self.spark.createDataFrame([], self._stored) if parts is None else parts
+
+    def _merged(self, upto: int | None, days: Sequence | None = None) -> DataFrame:
         """Merged state that keeps a ``batch_id`` column (so it can be merged again)."""
         s = self.versions(upto)
+        if days is not None:
+            s = s.where(F.col("day").isin(list(days)))
+        if self.mode == "log":
+            return s
         if self.mode == "add":
             return s.groupBy(*self.keys).agg(*[F.sum(v).cast(self.schema[v].dataType).alias(v)
                                                for v in self.values],
@@ -154,8 +135,8 @@ class KeyedSnapshot:
         latest = F.max(BATCH_COL).over(Window.partitionBy(*self.keys))
         return s.withColumn("_latest", latest).where(F.col(BATCH_COL) == F.col("_latest")).drop("_latest")
 
-    def read(self, upto: int | None = None) -> DataFrame:
-        m = self._merged_versions(upto)
+    def read(self, upto: int | None = None, days: Sequence | None = None) -> DataFrame:
+        m = self._merged(upto, days)
         if self.mode == "member":
             return m.select(*self.schema.fieldNames(), F.col(BATCH_COL).alias(f"first_{BATCH_COL}"))
         return m.select(*self.schema.fieldNames())

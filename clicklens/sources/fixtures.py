@@ -20,7 +20,8 @@ N_CATEGORIES = 20
 N_PAGES = 10
 N_ADS = 6
 N_CITIES = 25
-CLICK_BATCH_ROWS = 500   # event ids per replayed micro-batch of the ad stream
+BATCH_DAYS = 5           # days per replayed micro-batch of the ad stream; batches begin at noon
+NOON_MS, BATCH_MS = 43_200_000, BATCH_DAYS * 86_400_000
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -49,12 +50,11 @@ def _ids(event_id: Column, k: Column) -> Column:
 
 
 def visits_from_events(events: DataFrame) -> DataFrame:
-    """Visit log: one row per non-error event, one action kind per row."""
+    """Visit log: one row per event, one action kind per row; an ``error`` event is a plain page visit."""
     e = F.col("event_type")
     k = F.col("_k")
     ids = F.col("_ids")
     return (events
-            .where(e != "error")
             .withColumn("_k", _k(F.col("props")))
             .withColumn("_ids", _ids(F.col("event_id"), k))
             .select(
@@ -93,16 +93,29 @@ def clicks_from_events(events: DataFrame, nation: DataFrame, region: DataFrame)
             .select("event_id", "ts", "area", "city",
                     F.col("user_id").cast("string").alias("uid"),
                     (_k(F.col("props")) % N_ADS + 1).cast("string").alias("adid"),
-                    F.floor(F.col("event_id") / CLICK_BATCH_ROWS).cast("long").alias("batch_id")))
+                    batch_of("ts").alias("batch_id")))
+
+
+def batch_of(ts: Column | str) -> Column:
+    """The micro-batch of a click: ``BATCH_DAYS`` days from noon, so a calendar day can span two."""
+    return F.floor((ntz_epoch_millis(ts) + NOON_MS) / BATCH_MS).cast("long")
 
 
 def ad_lines_from_clicks(clicks: DataFrame) -> DataFrame:
-    """Ad-log lines ``epochMillis area city uid adid``; spaces in area become ``_``."""
-    return clicks.select(
-        "event_id",
-        F.concat_ws(" ", ntz_epoch_millis("ts").cast("string"),
-                    F.regexp_replace("area", " ", "_"), F.col("city"),
-                    F.col("uid"), F.col("adid")).alias("value"))
+    """Ad-log lines ``epochMillis area city uid adid``; spaces in names become ``_``.
+
+    Some lines are broken, as real ones are: a time that is no number, a line
+    cut after the city, a line end behind the last field.
+    """
+    e = F.col("event_id")
+    head = [ntz_epoch_millis("ts").cast("string"), F.regexp_replace("area", " ", "_"),
+            F.regexp_replace("city", " ", "_")]
+    whole = F.concat_ws(" ", *head, F.col("uid"), F.col("adid"))
+    value = (F.when(e % 97 == 0, F.concat(F.lit("x"), whole))
+             .when(e % 89 == 0, F.concat_ws(" ", *head))
+             .when(e % 83 == 0, F.concat(whole, F.lit("\n")))
+             .otherwise(whole))
+    return clicks.select("event_id", value.alias("value"), "batch_id")
 
 
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,3 +130,30 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad_lines_from_clicks(clicks(spark, sf_dir))
+
+
+def replayed(spark: SparkSession, sf_dir: str, job, shape=None) -> None:
+    """Run a stream job over the clicks, one micro-batch per ``batch_id``, in order.
+
+    ``job(stream)`` starts the job on a stream of the rows written so far, always
+    with the same checkpoint. A batch is written by an ordinary job that reads
+    its own time range only (pushed to the scan), as as many files as the job
+    likes; the driver sees the first and the last batch number. ``shape`` turns
+    the clicks into the stream's rows.
+    """
+    from clicklens.config import shared_dir
+    from clicklens.sources.stream import file_stream
+    from clicklens.streaming.ads_streams import run_to_end
+    shape = shape or (lambda df: df)
+    events = read_table(spark, sf_dir, "events")
+    first, last = (events.where(F.col("event_type") == "click").agg(F.min("ts"), F.max("ts"))
+                   .select(*[batch_of(c) for c in ("min(ts)", "max(ts)")]).first())
+    folder = shared_dir(spark, "replay")
+    geo = read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region")
+    schema = shape(clicks_from_events(events, *geo)).schema
+    for b in range(first, last + 1) if first is not None else ():
+        low, high = (F.timestamp_millis(F.lit(x * BATCH_MS - NOON_MS)).cast(events.schema["ts"].dataType)
+                     for x in (b, b + 1))
+        part = events.where((F.col("ts") >= low) & (F.col("ts") < high))
+        shape(clicks_from_events(part, *geo)).write.mode("append").parquet(folder)
+        run_to_end(job(file_stream(spark, folder, schema)).query)

@@ -1,25 +1,25 @@
 """The four ad-click streaming jobs on Structured Streaming.
 
-Each job = a stream of typed clicks -> the batch function of
-``plans.ads`` -> a ``foreachBatch`` write into a ``KeyedSnapshot`` keyed by
-the micro-batch id, so a batch replayed after a failure rewrites the same
-version instead of adding twice. Offsets and aggregation state live in the
-query checkpoint; a restarted query continues its totals.
-
-* totals: streaming count per (day, area, city, ad), ``update`` mode
-  (only changed keys are written; the snapshot keeps the latest per key).
-  With ``max_lateness`` the day becomes an event-time window with a
-  watermark, so finished days leave the state store.
-* top ads: streaming count per (day, area, ad) in ``complete`` mode, ranked
-  inside ``foreachBatch`` (a stream cannot rank directly).
-* trend: sliding event-time window + bucket, watermark, ``append`` mode:
-  each (window, ad, bucket) count is written once, when its window closes.
-* ban (``ban_job``): per-user state (banned flag, counters per day and ad)
-  in the state store via ``applyInPandasWithState``: a batch drops users
-  banned before it, counts the rest and bans users whose counter reached the
-  threshold, from the next batch on. ``ban_job_snapshot`` does the same with
-  the reference's shape (read the blacklist and counters each batch);
-  ``per_event_ban_job`` is the per-click variant.
+Each job = a stream of typed clicks -> the batch function of ``plans.ads`` ->
+a ``foreachBatch`` write into a ``KeyedSnapshot`` keyed by the micro-batch id,
+so a batch replayed after a failure rewrites the same version instead of
+adding twice. A restarted query continues from its checkpoint.
+
+* totals: count per (day, area, city, ad). ``state="spark"`` keeps the running
+  totals in the state store (``update`` mode); ``state="delta"`` stores each
+  batch's own counts and sums them on read; ``max_lateness`` is the delta form
+  with clicks older than the watermark set aside in a ``late`` log.
+* top ads: each batch's counts per (day, area, ad) go to a store partitioned by
+  day; only the (day, area) groups that the batch touched are ranked again,
+  from the touched days.
+* trend: each batch's counts per (ad, slide pane, bucket) go to a store; windows
+  are expanded from it on read, open ones too. No click is too late: an old one
+  shows as an old bucket.
+* ban: a batch drops the clicks of users banned before it, counts the rest per
+  (day, user, ad), and bans the users whose counter reached the threshold, from
+  the next batch on (``ban_job``) or after that very click
+  (``per_event_ban_job``). All in the JVM; counters are read for the batch's
+  days only. The accepted clicks are a log, so equal clicks all count.
 
 The jobs default to ``availableNow`` (process what is there, then stop);
 pass ``trigger="5 seconds"`` (``model.TOTALS_TRIGGER``) for a live job.
@@ -27,7 +27,9 @@ pass ``trigger="5 seconds"`` (``model.TOTALS_TRIGGER``) for a live job.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,7 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clicklens.config import shared_dir
-from clicklens.functions.columns import day_of, floor_instant, interval_seconds
+from clicklens.functions.columns import day_of, floor_time, interval_seconds
 from clicklens.model import BAN_THRESHOLD, TOP_ADS, TREND_BUCKET, TREND_SLIDE, TREND_WINDOW
 from clicklens.operators.lookup import drop_in
 from clicklens.plans import ads
@@ -46,33 +48,25 @@ AVAILABLE_NOW = "available_now"
 COMPACT_EVERY = 50
 
 
-# Delete snapshot storage older than the previous base after each compaction.
-EXPIRE_OLD = False
-
-
-def _compacting(sink, stores, every: int, expire: bool = EXPIRE_OLD):
+def _compacting(sink, stores, every: int):
     """Run ``sink``, then every ``every`` batches compact ``stores`` as of this
     batch. A replayed batch rewrites the same base, so this stays idempotent."""
     def run(df: DataFrame, batch_id: int) -> None:
         sink(df, batch_id)
         if every and (batch_id + 1) % every == 0:
             for s in stores:
-                s.compact(batch_id, expire=expire)
+                s.compact(batch_id)
     return run
 
 
-def _start(df: DataFrame, mode: str, sink, checkpoint: str, trigger: str, name: str | None,
-           stores=(), compact_every: int = COMPACT_EVERY,
-           state_partitions: int | None = None) -> StreamingQuery:
+def _start(df: DataFrame, mode: str, sink, checkpoint: str, trigger: str, stores=(),
+           compact_every: int = COMPACT_EVERY, state_partitions: int | None = None) -> StreamingQuery:
     """Start a ``foreachBatch`` query. ``state_partitions``: number of state
     store partitions (default: the session's ``spark.sql.shuffle.partitions``);
     a query keeps the number it first started with for its checkpoint's life."""
     sink = _compacting(sink, list(stores), compact_every)
-    w = (df.writeStream.outputMode(mode).foreachBatch(sink)
-         .option("checkpointLocation", checkpoint))
+    w = df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger == AVAILABLE_NOW else w.trigger(processingTime=trigger)
-    if name:
-        w = w.queryName(name)
     if state_partitions is None:
         return w.start()
     spark = df.sparkSession
@@ -85,387 +79,301 @@ def _start(df: DataFrame, mode: str, sink, checkpoint: str, trigger: str, name:
         spark.conf.set(key, old)
 
 
-def run_to_end(q: StreamingQuery, timeout_s: int = 1800) -> None:
-    """Wait for an ``availableNow`` query; fail loudly if it failed or hangs."""
-    done = q.awaitTermination(timeout_s)
-    if not done:
+def run_to_end(q: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait for an ``availableNow`` query; fail loudly if it failed. There is
+    no time limit unless the caller sets one."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream {q.name or q.id} still running after {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
 
-# ------------------------------------------------------------------ totals
-
-TOTALS_SCHEMA = T.StructType([
-    T.StructField("day", T.DateType()), T.StructField("area", T.StringType()),
-    T.StructField("city", T.StringType()), T.StructField("adid", T.StringType()),
-    T.StructField("click_count", T.LongType())])
-
-
 @dataclass
 class StreamJob:
     query: StreamingQuery
-    stores: dict[str, KeyedSnapshot]
+    stores: dict[str, KeyedSnapshot] = field(default_factory=dict)
+
+
+def _fields(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields])
+
+
+def _log_schema(clicks: DataFrame) -> T.StructType:
+    """The input's columns; its own ``batch_id`` is stored as ``source_batch``."""
+    return T.StructType([T.StructField("source_batch" if f.name == "batch_id" else f.name, f.dataType)
+                         for f in clicks.schema.fields])
+
 
-    def late_rows_dropped(self) -> int:
-        """Rows the watermark dropped as too late, over the query's recent
-        progress reports (the ``max_lateness`` / ``lateness`` options)."""
-        return sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
-                   for p in self.query.recentProgress for op in p.get("stateOperators", []))
+def _renamed(df: DataFrame) -> DataFrame:
+    return df.withColumnRenamed("batch_id", "source_batch")
+
+
+def log_read(store: KeyedSnapshot) -> DataFrame:
+    """The rows of a click log under the input's column names."""
+    return store.read().withColumnRenamed("source_batch", "batch_id")
+
+
+KV_SCHEMA = _fields(("hash_key", T.StringType()), ("field", T.StringType()), ("value", T.StringType()))
+
+# ------------------------------------------------------------------ totals
+
+TOTALS_SCHEMA = _fields(("day", T.DateType()), ("area", T.StringType()), ("city", T.StringType()),
+                        ("adid", T.StringType()), ("click_count", T.LongType()))
+NEWEST_SCHEMA = _fields(("newest", T.TimestampNTZType()))
+
+
+def split_late(batch: DataFrame, batch_id: int, newest: KeyedSnapshot, lateness: str) -> tuple[DataFrame, DataFrame]:
+    """(on time, late) clicks of a batch: late ones are older than the newest
+    click of all earlier batches less ``lateness``. Nothing is lost: the caller
+    stores both."""
+    seen = newest.read(upto=batch_id - 1).agg(F.max("newest")).first()[0]
+    newest.write(batch.agg(F.max(F.col("ts").cast("timestamp_ntz")).alias("newest")), batch_id)
+    if seen is None:
+        return batch, batch.where("false")
+    mark = F.lit(seen - dt.timedelta(seconds=interval_seconds(lateness))).cast("timestamp_ntz")
+    late = F.coalesce(F.col("ts").cast("timestamp_ntz") < mark, F.lit(False))
+    return batch.where(~late), batch.where(late)
 
 
 def daily_totals_job(spark: SparkSession, clicks: DataFrame, trigger: str = AVAILABLE_NOW,
-                     base: str | None = None, max_lateness: str | None = None,
-                     state: str = "spark",
+                     base: str | None = None, max_lateness: str | None = None, state: str = "spark",
                      state_partitions: int | None = None) -> StreamJob:
-    """``state="spark"``: running totals in the stream's state store, changed
-    keys upserted. ``state="delta"``: no stream state at all; each batch's own
-    counts are stored as an increment and the snapshot sums them on read."""
+    """Stores: ``totals``, ``kv`` (the key-value hash of the changed keys; ``state="spark"`` only) and, with
+    ``max_lateness``, ``late`` (clicks that came too late and are not counted)."""
     base = base or shared_dir(spark, "streams", "daily_totals")
-    if state == "delta":
-        store = KeyedSnapshot(spark, f"{base}/totals", ["day", "area", "city", "adid"], TOTALS_SCHEMA, "add")
+    keys = ["day", "area", "city", "adid"]
+    if state == "delta" or max_lateness:
+        store = KeyedSnapshot(spark, f"{base}/totals", keys, TOTALS_SCHEMA, "add", by_day=True)
+        newest = KeyedSnapshot(spark, f"{base}/newest", [], NEWEST_SCHEMA, "log")
+        late = KeyedSnapshot(spark, f"{base}/late", [], _log_schema(clicks), "log")
 
         def add(df: DataFrame, batch_id: int) -> None:
+            if max_lateness:
+                df, too_late = split_late(df, batch_id, newest, max_lateness)
+                late.write(_renamed(too_late), batch_id)
             store.write(ads.daily_totals(df), batch_id)
 
-        q = _start(clicks, "append", add, f"{base}/checkpoint", trigger, None, [store],
-                   state_partitions=state_partitions)
-        return StreamJob(q, {"totals": store})
-    store = KeyedSnapshot(spark, f"{base}/totals", ["day", "area", "city", "adid"], TOTALS_SCHEMA, "set")
-    if max_lateness:
-        c = clicks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", max_lateness)
-        totals = (c.groupBy(F.window("ts", "1 day").alias("_d"), "area", "city", "adid")
-                  .agg(F.count(F.lit(1)).alias("click_count"))
-                  .select(F.to_date(F.col("_d.start")).alias("day"), "area", "city", "adid", "click_count"))
-    else:
-        totals = ads.daily_totals(clicks)
+        q = _start(clicks, "append", add, f"{base}/checkpoint", trigger, [store], state_partitions=state_partitions)
+        return StreamJob(q, {"totals": store, "late": late} if max_lateness else {"totals": store})
+    store = KeyedSnapshot(spark, f"{base}/totals", keys, TOTALS_SCHEMA, "set")
+    kv = KeyedSnapshot(spark, f"{base}/kv", ["hash_key", "field"], KV_SCHEMA, "set")
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        store.write(df, batch_id)
+        df = df.persist()
+        try:
+            store.write(df, batch_id)
+            kv.write(ads.daily_totals_kv(df), batch_id)
+        finally:
+            df.unpersist()
 
-    q = _start(totals, "update", sink, f"{base}/checkpoint", trigger, None, [store],
+    q = _start(ads.daily_totals(clicks), "update", sink, f"{base}/checkpoint", trigger, [store, kv],
                state_partitions=state_partitions)
-    return StreamJob(q, {"totals": store})
+    return StreamJob(q, {"totals": store, "kv": kv})
 
 
 # ---------------------------------------------------------------- top ads
 
-TOP_SCHEMA = T.StructType([
-    T.StructField("day", T.DateType()), T.StructField("area", T.StringType()),
-    T.StructField("adid", T.StringType()), T.StructField("click_count", T.LongType()),
-    T.StructField("rk", T.IntegerType())])
-KV_SCHEMA = T.StructType([
-    T.StructField("hash_key", T.StringType()), T.StructField("field", T.StringType()),
-    T.StructField("value", T.StringType())])
-
-
-AREA_COUNT_SCHEMA = T.StructType([
-    T.StructField("day", T.DateType()), T.StructField("area", T.StringType()),
-    T.StructField("adid", T.StringType()), T.StructField("click_count", T.LongType())])
+TOP_SCHEMA = _fields(("day", T.DateType()), ("area", T.StringType()), ("adid", T.StringType()),
+                     ("click_count", T.LongType()), ("rk", T.IntegerType()))
+AREA_COUNT_SCHEMA = _fields(("day", T.DateType()), ("area", T.StringType()), ("adid", T.StringType()),
+                            ("click_count", T.LongType()))
 
 
 def top_ads_job(spark: SparkSession, clicks: DataFrame, n: int = TOP_ADS, trigger: str = AVAILABLE_NOW,
-                base: str | None = None, max_lateness: str | None = None,
-                state_partitions: int | None = None) -> StreamJob:
-    """Without ``max_lateness``: running counts in ``complete`` mode, every
-    (day, area) re-ranked each batch, as the reference does. With it: the day
-    is an event-time window under a watermark (``update`` mode, finished days
-    leave the state store); changed counts go to a snapshot and only the
-    (day, area) groups the batch touched are re-ranked from it."""
+                base: str | None = None, state_partitions: int | None = None) -> StreamJob:
+    """Stores: ``counts`` (increments, by day), ``ranks`` and ``kv`` of the groups that changed."""
     base = base or shared_dir(spark, "streams", "top_ads")
+    counts = KeyedSnapshot(spark, f"{base}/counts", ["day", "area", "adid"], AREA_COUNT_SCHEMA, "add", by_day=True)
     ranks = KeyedSnapshot(spark, f"{base}/ranks", ["day", "area"], TOP_SCHEMA, "set")
     kv = KeyedSnapshot(spark, f"{base}/kv", ["hash_key", "field"], KV_SCHEMA, "set")
 
-    def publish(current: DataFrame, batch_id: int) -> None:
-        ranked = ads.rank_area_ads(current, n).persist()
+    def sink(df: DataFrame, batch_id: int) -> None:
+        delta = ads.area_ad_counts(df).persist()
         try:
+            counts.write(delta, batch_id)
+            days = [r[0] for r in delta.select("day").distinct().collect()]
+            touched = delta.select("day", "area").distinct()
+            current = counts.read(upto=batch_id, days=days).join(touched, ["day", "area"], "left_semi")
+            ranked = ads.rank_area_ads(current, n).persist()
             ranks.write(ranked, batch_id)
             kv.write(ads.top_ads_json(ranked), batch_id)
-        finally:
             ranked.unpersist()
+        finally:
+            delta.unpersist()
 
-    if not max_lateness:
-        q = _start(ads.area_ad_counts(clicks), "complete", publish, f"{base}/checkpoint", trigger, None,
-                   [ranks, kv], state_partitions=state_partitions)
-        return StreamJob(q, {"ranks": ranks, "kv": kv})
-
-    counts_store = KeyedSnapshot(spark, f"{base}/counts", ["day", "area", "adid"], AREA_COUNT_SCHEMA, "set")
-    c = clicks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", max_lateness)
-    counts = (c.groupBy(F.window("ts", "1 day").alias("_d"), "area", "adid")
-              .agg(F.count(F.lit(1)).alias("click_count"))
-              .select(F.to_date(F.col("_d.start")).alias("day"), "area", "adid", "click_count"))
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        counts_store.write(df, batch_id)
-        touched = df.select("day", "area").distinct()
-        publish(counts_store.read(upto=batch_id).join(touched, ["day", "area"], "left_semi"), batch_id)
-
-    q = _start(counts, "update", sink, f"{base}/checkpoint", trigger, None, [counts_store, ranks, kv],
+    q = _start(clicks, "append", sink, f"{base}/checkpoint", trigger, [counts, ranks, kv],
                state_partitions=state_partitions)
-    return StreamJob(q, {"ranks": ranks, "kv": kv, "counts": counts_store})
+    return StreamJob(q, {"ranks": ranks, "kv": kv, "counts": counts})
 
 
 # ------------------------------------------------------------------ trend
 
-TREND_SCHEMA = T.StructType([
-    T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType()),
-    T.StructField("adid", T.StringType()), T.StructField("bucket_start", T.TimestampType()),
-    T.StructField("click_count", T.LongType())])
-
+PANE_SCHEMA = _fields(("day", T.DateType()), ("adid", T.StringType()), ("pane_start", T.TimestampNTZType()),
+                      ("bucket_start", T.TimestampNTZType()), ("click_count", T.LongType()))
 
-def trend_stream(clicks: DataFrame, window: str = TREND_WINDOW, slide: str = TREND_SLIDE,
-                 bucket: str = TREND_BUCKET, lateness: str = "10 seconds",
-                 window_col: str = "ts") -> DataFrame:
-    """Streaming form of ``plans.ads.trend`` (watermark ``lateness``).
 
-    Buckets always use the click's own time ``ts``. The sliding window uses
-    ``window_col``: ``ts`` (event time, the default) or an arrival time such
-    as the Kafka record timestamp (``arrival_ts`` of ``ad_line_stream``),
-    which is what the reference's window is over.
-    """
-    ads._check_trend(window, slide, bucket)
-    c = clicks.withColumn("ts", F.col("ts").cast("timestamp"))
-    if window_col != "ts":
-        c = c.withColumn(window_col, F.col(window_col).cast("timestamp"))
-    c = c.withWatermark(window_col, lateness)
-    return (c.groupBy(F.window(window_col, window, slide).alias("_w"), "adid",
-                      floor_instant("ts", interval_seconds(bucket)).alias("bucket_start"))
+def trend_panes(clicks: DataFrame, slide: str, bucket: str, window_col: str = "ts") -> DataFrame:
+    """Clicks per ad, pane of ``window_col`` (as wide as the slide) and bucket of ``ts``."""
+    pane = floor_time(window_col, interval_seconds(slide))
+    return (clicks.groupBy("adid", pane.alias("pane_start"),
+                           floor_time("ts", interval_seconds(bucket)).alias("bucket_start"))
             .agg(F.count(F.lit(1)).alias("click_count"))
-            .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-                    "adid", "bucket_start", "click_count"))
+            .withColumn("day", F.to_date("pane_start")))
+
+
+def trend_windows(panes: DataFrame, window: str, slide: str) -> DataFrame:
+    """``(window_start, window_end, adid, bucket_start, click_count)``: every pane in its windows."""
+    w, s = interval_seconds(window), interval_seconds(slide)
+    back = F.explode(F.sequence(F.lit(0), F.lit(w - s), F.lit(s)))
+    return (panes.select("*", back.alias("_back"))
+            .select((F.timestamp_add("SECOND", -F.col("_back"), F.col("pane_start"))).alias("window_start"),
+                    (F.timestamp_add("SECOND", F.lit(w) - F.col("_back"), F.col("pane_start"))).alias("window_end"),
+                    "adid", "bucket_start", "click_count")
+            .groupBy("window_start", "window_end", "adid", "bucket_start")
+            .agg(F.sum("click_count").alias("click_count")))
 
 
 def trend_job(spark: SparkSession, clicks: DataFrame, window: str = TREND_WINDOW, slide: str = TREND_SLIDE,
-              bucket: str = TREND_BUCKET, lateness: str = "10 seconds", trigger: str = AVAILABLE_NOW,
-              base: str | None = None, window_col: str = "ts",
-              state_partitions: int | None = None) -> StreamJob:
+              bucket: str = TREND_BUCKET, trigger: str = AVAILABLE_NOW, base: str | None = None,
+              window_col: str = "ts", state_partitions: int | None = None) -> StreamJob:
+    """Stores: ``panes`` (increments, by day; ``trend_windows`` expands them) and ``kv`` (the trend
+    hash: per ad, its buckets in the newest window so far).
+
+    Buckets always use the click's own time ``ts``. The sliding window is over
+    ``window_col``: ``ts``, or an arrival time such as the Kafka record
+    timestamp, which is what the reference's window is over.
+    """
+    ads._check_trend(window, slide, bucket)
     base = base or shared_dir(spark, "streams", "trend")
-    flat = KeyedSnapshot(spark, f"{base}/flat", ["window_start", "adid", "bucket_start"], TREND_SCHEMA, "set")
+    panes = KeyedSnapshot(spark, f"{base}/panes", ["day", "adid", "pane_start", "bucket_start"], PANE_SCHEMA, "add",
+                          by_day=True)
     kv = KeyedSnapshot(spark, f"{base}/kv", ["hash_key", "field"], KV_SCHEMA, "set")
+    span = dt.timedelta(seconds=interval_seconds(window) - interval_seconds(slide))
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
-        try:
-            flat.write(df, batch_id)
-            # Latest closed window per ad, as the trend hash holds it.
-            js = ads.trend_json(df)
-            latest = F.max("window_start").over(Window.partitionBy("field"))
-            js = js.withColumn("_latest", latest).where(F.col("window_start") == F.col("_latest"))
-            kv.write(js.select("hash_key", "field", "value"), batch_id)
-        finally:
-            df.unpersist()
+        panes.write(trend_panes(df, slide, bucket, window_col), batch_id)
+        newest = df.agg(F.max(floor_time(window_col, interval_seconds(slide)))).first()[0]
+        if newest is None:
+            return
+        first = newest - span
+        days = [first.date() + dt.timedelta(days=i) for i in range((newest.date() - first.date()).days + 1)]
+        inside = (panes.read(upto=batch_id, days=days)
+                  .where(F.col("pane_start").between(F.lit(first), F.lit(newest)))
+                  .groupBy("adid", "bucket_start").agg(F.sum("click_count").alias("click_count"))
+                  .select(F.lit(first).alias("window_start"), F.lit(first + dt.timedelta(
+                      seconds=interval_seconds(window))).alias("window_end"), "adid", "bucket_start", "click_count"))
+        kv.write(ads.trend_json(inside).select("hash_key", "field", "value"), batch_id)
 
-    q = _start(trend_stream(clicks, window, slide, bucket, lateness, window_col), "append", sink,
-               f"{base}/checkpoint", trigger, None, [kv], state_partitions=state_partitions)
-    return StreamJob(q, {"flat": flat, "kv": kv})
+    q = _start(clicks, "append", sink, f"{base}/checkpoint", trigger, [panes, kv], state_partitions=state_partitions)
+    return StreamJob(q, {"panes": panes, "kv": kv})
 
 
 # -------------------------------------------------------------------- ban
 
-COUNTER_SCHEMA = T.StructType([
-    T.StructField("day", T.DateType()), T.StructField("uid", T.StringType()),
-    T.StructField("adid", T.StringType()), T.StructField("click_count", T.LongType())])
-MEMBER_SCHEMA = T.StructType([T.StructField("uid", T.StringType())])
+COUNTER_SCHEMA = _fields(("day", T.DateType()), ("uid", T.StringType()), ("adid", T.StringType()),
+                         ("click_count", T.LongType()))
+MEMBER_SCHEMA = _fields(("uid", T.StringType()))
+KEY = ["day", "uid", "adid"]
+
+
+def _ban_stores(spark: SparkSession, clicks: DataFrame, base: str) -> dict[str, KeyedSnapshot]:
+    return {"counters": KeyedSnapshot(spark, f"{base}/counters", KEY, COUNTER_SCHEMA, "add", by_day=True),
+            "blacklist": KeyedSnapshot(spark, f"{base}/blacklist", ["uid"], MEMBER_SCHEMA, "member"),
+            "accepted": KeyedSnapshot(spark, f"{base}/accepted", [], _log_schema(clicks), "log")}
+
+
+def _counts_before(stores: dict[str, KeyedSnapshot], delta: DataFrame, days: Sequence, batch_id: int) -> DataFrame:
+    """``delta`` (counts of this batch) with ``before``, the count of earlier batches."""
+    before = stores["counters"].read(upto=batch_id - 1, days=days).withColumnRenamed("click_count", "before")
+    return delta.join(before, KEY, "left").withColumn("before", F.coalesce("before", F.lit(0).cast("long")))
 
 
-def ban_step(batch: DataFrame, batch_id: int, counters: KeyedSnapshot, blacklist: KeyedSnapshot,
-             accepted: KeyedSnapshot, threshold: int = BAN_THRESHOLD) -> None:
+def ban_step(batch: DataFrame, batch_id: int, stores: dict[str, KeyedSnapshot],
+             threshold: int = BAN_THRESHOLD) -> None:
     """One micro-batch of the ban job (idempotent for a given ``batch_id``).
 
     Reads only the state as of the previous batch, so a replay sees exactly
-    what the first run saw and rewrites the same three partitions.
+    what the first run saw and rewrites the same three partitions. No broadcast
+    hint: the blacklist has no size bound; AQE sizes it at runtime. A hot
+    user's clicks are counted where they are read.
     """
-    banned = blacklist.read(upto=batch_id - 1).select("uid")
-    # No broadcast hint: the blacklist has no size bound; AQE sizes it at runtime.
-    ok = drop_in(batch, banned, "uid").persist()
+    ok = drop_in(batch, stores["blacklist"].read(upto=batch_id - 1).select("uid"), "uid").persist()
     try:
-        delta = (ok.groupBy(day_of("ts").alias("day"), "uid", "adid")
-                 .agg(F.count(F.lit(1)).alias("click_count")))
-        before = (counters.read(upto=batch_id - 1)
-                  .join(delta.select("day", "uid", "adid"), ["day", "uid", "adid"], "left_semi")
-                  .withColumnRenamed("click_count", "before"))
-        total = (delta.join(before, ["day", "uid", "adid"], "left")
-                 .select("uid", (F.col("click_count") + F.coalesce("before", F.lit(0))).alias("total")))
-        new_bans = total.where(F.col("total") >= threshold).select("uid").distinct()
-        # The blacklist goes last: writing a path refreshes cached plans that
-        # read it, and ``ok`` (cached) reads the blacklist.
-        accepted.write(ok, batch_id)
-        counters.write(delta, batch_id)
-        blacklist.write(new_bans, batch_id)
+        delta = ads.user_day_ad_counts(ok).persist()
+        days = [r[0] for r in delta.select("day").distinct().collect()]
+        total = _counts_before(stores, delta, days, batch_id)
+        new_bans = total.where(F.col("click_count") + F.col("before") >= threshold).select("uid").distinct()
+        stores["accepted"].write(_renamed(ok), batch_id)
+        stores["blacklist"].write(new_bans, batch_id)
+        stores["counters"].write(delta, batch_id)
+        delta.unpersist()
     finally:
         ok.unpersist()
 
 
-ACCEPTED_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("area", T.StringType()), T.StructField("city", T.StringType()),
-    T.StructField("uid", T.StringType()), T.StructField("adid", T.StringType()),
-    T.StructField("batch_id", T.LongType())])
-
-
-def ban_job_snapshot(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHOLD,
-                     trigger: str = AVAILABLE_NOW, base: str | None = None,
-                     compact_every: int = COMPACT_EVERY,
-                     state_partitions: int | None = None) -> StreamJob:
-    """The ban job shaped like the reference's: each batch reads the blacklist
-    and the counters it touches from the snapshots. Each read scans the
-    stored state (compaction bounds the versions, not the state size);
-    ``ban_job`` keeps the same state in the stream's state store instead."""
-    base = base or shared_dir(spark, "streams", "ban")
-    counters = KeyedSnapshot(spark, f"{base}/counters", ["day", "uid", "adid"], COUNTER_SCHEMA, "add")
-    blacklist = KeyedSnapshot(spark, f"{base}/blacklist", ["uid"], MEMBER_SCHEMA, "member")
-    acc_schema = T.StructType([f for f in ACCEPTED_SCHEMA.fields if f.name in clicks.columns])
-    # The accepted log keeps every row: it is keyed by the click itself.
-    acc_keys = ["event_id"] if "event_id" in clicks.columns else [f.name for f in acc_schema.fields]
-    accepted = KeyedSnapshot(spark, f"{base}/accepted", acc_keys, _renamed(acc_schema), "set")
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        ban_step(df.withColumnRenamed("batch_id", "source_batch") if "batch_id" in df.columns else df,
-                 batch_id, counters, blacklist, accepted, threshold)
-
-    q = _start(clicks, "append", sink, f"{base}/checkpoint", trigger, None, [counters, blacklist],
-               compact_every, state_partitions=state_partitions)
-    return StreamJob(q, {"counters": counters, "blacklist": blacklist, "accepted": accepted})
+def ban_step_per_event(batch: DataFrame, batch_id: int, stores: dict[str, KeyedSnapshot],
+                       threshold: int = BAN_THRESHOLD, tie: Sequence[str] | None = None) -> None:
+    """One micro-batch of the per-click ban: a click is accepted unless its user
+    was banned by an earlier one, in (``ts``, ``tie``) order within the batch.
 
+    ``tie`` defaults to ``event_id``, or else to all columns: clicks equal in all
+    of them can stand for each other, and as many of them are accepted as it
+    takes to reach the threshold. Only clicks of keys that reach it are ranked.
+    """
+    tie = list(tie or (["event_id"] if "event_id" in batch.columns else [c for c in batch.columns if c != "ts"]))
+    place = F.struct("ts", *tie)
+    ok = drop_in(batch, stores["blacklist"].read(upto=batch_id - 1).select("uid"), "uid").persist()
+    try:
+        counted = ads.user_day_ad_counts(ok).persist()
+        days = [r[0] for r in counted.select("day").distinct().collect()]
+        reach = (_counts_before(stores, counted, days, batch_id)
+                 .where(F.col("click_count") + F.col("before") >= threshold)
+                 .select(*KEY, (F.lit(threshold) - F.col("before")).alias("need")))
+        bans = ads.first_bans(ok, reach, place, threshold).persist()
+        accepted = ads.accepted_up_to(ok, bans, place).persist()
+        stores["accepted"].write(_renamed(accepted), batch_id)
+        stores["blacklist"].write(bans.select("uid"), batch_id)
+        stores["counters"].write(ads.user_day_ad_counts(accepted), batch_id)
+        for df in (counted, bans, accepted):
+            df.unpersist()
+    finally:
+        ok.unpersist()
 
-def _renamed(schema: T.StructType) -> T.StructType:
-    """The input's own ``batch_id`` column is stored as ``source_batch``."""
-    return T.StructType([T.StructField("source_batch" if f.name == "batch_id" else f.name, f.dataType)
-                         for f in schema.fields])
-
-
-# ------------------------------------------------------ per-event ban (state)
-
-BAN_STATE = T.StructType([
-    T.StructField("banned", T.BooleanType()),
-    T.StructField("keys", T.ArrayType(T.StringType())),
-    T.StructField("counts", T.ArrayType(T.LongType()))])
 
+def _ban_job(step, spark, clicks, threshold, trigger, base, compact_every, state_partitions) -> StreamJob:
+    stores = _ban_stores(spark, clicks, base)
+    q = _start(clicks, "append", lambda df, batch_id: step(df, batch_id, stores, threshold), f"{base}/checkpoint",
+               trigger, [stores["counters"], stores["blacklist"]], compact_every, state_partitions)
+    return StreamJob(q, stores)
 
-def _per_event_ban(threshold: int, columns: list[str]):
-    """State per user: banned flag and click counts per ``day:ad``.
 
-    Rows of one user in one micro-batch are taken in ``(ts, event_id)`` order;
-    every click counts until one makes a ``(day, ad)`` counter reach the
-    threshold; that click is the last one accepted, for ever. Vectorised with
-    pandas (cumulative counts per key); the ordering needs the user's rows of
-    the batch in one frame, which the trigger's batch size bounds.
-    """
-    import pandas as pd
-
-    def fn(key, pdfs, state):
-        if state.exists:
-            banned, keys, counts = state.get
-        else:
-            banned, keys, counts = False, [], []
-        if banned:
-            for _ in pdfs:      # drain: everything of a banned user is dropped
-                pass
-            return
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
-        pdf = pdf.reset_index(drop=True)
-        k = pdf["ts"].dt.strftime("%Y-%m-%d") + ":" + pdf["adid"].astype(str)
-        prior = dict(zip(keys or [], counts or []))
-        running = pdf.groupby(k).cumcount() + 1 + k.map(prior).fillna(0).astype("int64")
-        hit = (running >= threshold).to_numpy().nonzero()[0]
-        if len(hit):
-            pdf, k = pdf.iloc[: hit[0] + 1], k.iloc[: hit[0] + 1]
-            banned = True
-        for name, n in k.value_counts().items():
-            prior[name] = prior.get(name, 0) + int(n)
-        state.update((banned, list(prior.keys()), [int(v) for v in prior.values()]))
-        yield pdf[columns]
-
-    return fn
+def ban_job(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHOLD,
+            trigger: str = AVAILABLE_NOW, base: str | None = None, compact_every: int = COMPACT_EVERY,
+            state_partitions: int | None = None) -> StreamJob:
+    """Live ban per micro-batch. Stores: ``accepted`` (log), ``counters`` (increments per day, user and ad)
+    and ``blacklist`` (users with the batch that banned them)."""
+    return _ban_job(ban_step, spark, clicks, threshold, trigger, base or shared_dir(spark, "streams", "ban"),
+                    compact_every, state_partitions)
 
 
 def per_event_ban_job(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHOLD,
-                      trigger: str = AVAILABLE_NOW, base: str | None = None,
+                      trigger: str = AVAILABLE_NOW, base: str | None = None, compact_every: int = COMPACT_EVERY,
                       state_partitions: int | None = None) -> StreamJob:
-    """Per-event ban on a live stream (the reference's commented variant),
-    keyed by user with ``applyInPandasWithState``. A micro-batch's rows of one
-    user are one pandas frame, so ``maxOffsetsPerTrigger`` / file limits bound it."""
-    base = base or shared_dir(spark, "streams", "ban_per_event")
-    cols = clicks.columns
-    out = clicks.groupBy("uid").applyInPandasWithState(
-        _per_event_ban(threshold, cols), clicks.schema, BAN_STATE, "append", "NoTimeout")
-    acc_schema = _renamed(T.StructType([f for f in ACCEPTED_SCHEMA.fields if f.name in cols]))
-    accepted = KeyedSnapshot(spark, f"{base}/accepted", ["event_id"], acc_schema, "set")
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        accepted.write(df.withColumnRenamed("batch_id", "source_batch"), batch_id)
-
-    q = _start(out, "append", sink, f"{base}/checkpoint", trigger, None, state_partitions=state_partitions)
-    return StreamJob(q, {"accepted": accepted})
-
-
-# ------------------------------------------ per-batch ban (state store)
-
-def _per_batch_ban(threshold: int, columns: list[str]):
-    """State per user: banned flag and click counts per ``day:ad``.
-
-    A user banned in an earlier batch loses all rows; otherwise every row of
-    this batch is accepted and counted, and the user is banned (from the next
-    batch on) when a counter reaches the threshold. Chunks are handled one at
-    a time, so a hot user's rows are never gathered in one frame.
-    """
-    import pandas as pd
-
-    def fn(key, pdfs, state):
-        if state.exists:
-            banned, keys, counts = state.get
-        else:
-            banned, keys, counts = False, [], []
-        if banned:
-            for _ in pdfs:      # drain: everything of a banned user is dropped
-                pass
-            return
-        totals = dict(zip(keys or [], counts or []))
-        for pdf in pdfs:
-            k = pdf["ts"].dt.strftime("%Y-%m-%d") + ":" + pdf["adid"].astype(str)
-            for name, n in k.value_counts().items():
-                totals[name] = totals.get(name, 0) + int(n)
-            yield pdf[columns].assign(ban_now=False)
-        now = any(v >= threshold for v in totals.values())
-        state.update((now, list(totals.keys()), [int(v) for v in totals.values()]))
-        if now:
-            marker = {c: [None] for c in columns}
-            marker["uid"] = [key[0]]
-            yield pd.DataFrame(marker).assign(ban_now=True)
-
-    return fn
+    """Live ban per click (the reference's commented variant); the same stores."""
+    return _ban_job(ban_step_per_event, spark, clicks, threshold, trigger,
+                    base or shared_dir(spark, "streams", "ban_per_event"), compact_every, state_partitions)
 
 
-def ban_job(spark: SparkSession, clicks: DataFrame, threshold: int = BAN_THRESHOLD,
-            trigger: str = AVAILABLE_NOW, base: str | None = None,
-            state_partitions: int | None = None) -> StreamJob:
-    """Per-batch ban with the per-user state in Spark's state store.
-
-    Same results as ``ban_job_snapshot``; a batch costs work for the users in
-    it only. Outputs (write-only snapshots keyed by batch id): accepted
-    clicks, counter increments (``add``), blacklist (``member``).
-    """
-    base = base or shared_dir(spark, "streams", "ban_state")
-    cols = clicks.columns
-    out_schema = T.StructType(clicks.schema.fields + [T.StructField("ban_now", T.BooleanType())])
-    out = clicks.groupBy("uid").applyInPandasWithState(
-        _per_batch_ban(threshold, cols), out_schema, BAN_STATE, "append", "NoTimeout")
-    counters = KeyedSnapshot(spark, f"{base}/counters", ["day", "uid", "adid"], COUNTER_SCHEMA, "add")
-    blacklist = KeyedSnapshot(spark, f"{base}/blacklist", ["uid"], MEMBER_SCHEMA, "member")
-    acc_schema = _renamed(T.StructType([f for f in ACCEPTED_SCHEMA.fields if f.name in cols]))
-    accepted = KeyedSnapshot(spark, f"{base}/accepted", ["event_id"], acc_schema, "set")
+# ------------------------------------------------------------------- lines
 
-    def sink(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
-        try:
-            rows = df.where(~F.col("ban_now")).drop("ban_now")
-            accepted.write(rows.withColumnRenamed("batch_id", "source_batch"), batch_id)
-            counters.write(ads.user_day_ad_counts(rows), batch_id)
-            blacklist.write(df.where(F.col("ban_now")).select("uid"), batch_id)
-        finally:
-            df.unpersist()
-
-    q = _start(out, "append", sink, f"{base}/checkpoint", trigger, None, [counters, blacklist],
-               state_partitions=state_partitions)
-    return StreamJob(q, {"counters": counters, "blacklist": blacklist, "accepted": accepted})
+def quarantine_job(spark: SparkSession, lines: DataFrame, trigger: str = AVAILABLE_NOW,
+                   base: str | None = None) -> StreamJob:
+    """Stores the ad lines that no job can read (``quarantined``, a log)."""
+    base = base or shared_dir(spark, "streams", "quarantine")
+    bad = ads.parse_lines(lines)[1]
+    store = KeyedSnapshot(spark, f"{base}/quarantined", [], _log_schema(bad), "log")
+    q = _start(bad, "append", lambda df, batch_id: store.write(_renamed(df), batch_id), f"{base}/checkpoint", trigger)
+    return StreamJob(q, {"quarantined": store})

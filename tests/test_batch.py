@@ -6,7 +6,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from clicklens.operators.adjacent import time_chunks, with_next
+from clicklens.operators.adjacent import with_next
 from clicklens.plans import categories as cat
 from clicklens.plans import conversion as conv
 
@@ -77,7 +77,8 @@ def test_top_sessions(spark):
     assert [(r["category_id"], r["session_id"], r["click_count"]) for r in got] == [
         ("1", "x", 3), ("1", "y", 3), ("2", "x", 2)]
     stored = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "a")], "category_id string, task_id string")
-    assert sorted(tuple(r) for r in cat.top_list(stored).collect()) == [("1", "b"), ("2", "a")]
+    assert sorted(tuple(r) for r in cat.top_list(stored, all_runs=True).collect()) == [("1", "b"), ("2", "a")]
+    assert [tuple(r) for r in cat.top_list(stored).collect()] == [("1", "b")]      # the latest run
     assert cat.top_list(stored, "a").count() == 2
 
 
@@ -106,51 +107,59 @@ def test_conversion_edges(spark):
     assert conv.flow_pairs("1,2,3,2,3") == [(1, 2), (2, 3), (3, 2)]
 
 
-def test_with_next_equals_plain_lead(spark):
-    """Chunked next-row equals a plain per-session lead, for chunks far
-    smaller than sessions (every session crosses many chunks)."""
+def plain_lead(v, order):
+    return v.withColumn("nxt", F.lead("page_id").over(Window.partitionBy("session_id").orderBy(*order)))
+
+
+def test_with_next_equals_plain_lead_for_any_hot_rows(spark):
+    """Hot sessions (a NULL one too), NULL pages, bursts and one shared
+    timestamp: the result is the plain per-session lead for any cut."""
     rnd = random.Random(7)
     rows = []
     for e in range(3000):
-        s = rnd.choice(["hot"] * 6 + ["a", "b", "c", "d"])
-        rows.append((e, s, rnd.randint(1, 6), rnd.randint(0, 400), -1, None, None))
-    v = visits(spark, rows).select("session_id", "action_time", "event_id", "page_id")
+        s = rnd.choice(["burst"] * 3 + [None] * 4 + ["a", "b", "c", "d"])
+        t = 100 if s == "burst" else rnd.randint(0, 400)
+        rows.append((e, s, rnd.choice([1, 2, 3, None]), t, -1, None, None))
+    v = visits(spark, rows).select("session_id", "action_time", "event_id", "page_id").repartition(3)
     order = ["action_time", "event_id"]
-    chunked = with_next(v, "session_id", order, "page_id",
-                        F.floor(F.unix_micros(F.col("action_time").cast("timestamp")) / 7_000_000),
-                        next_col="nxt")
-    plain = v.withColumn("nxt", F.lead("page_id").over(Window.partitionBy("session_id").orderBy(*order)))
-    a = sorted(tuple(r) for r in chunked.collect())
-    b = sorted(tuple(r) for r in plain.collect())
-    assert len(a) == 3000 and a == b
-
-
-def test_hot_sessions_get_narrow_chunks_and_same_pairs(spark):
-    rnd = random.Random(11)
-    rows = [(e, rnd.choice(["hot"] * 8 + ["a", "b"]), rnd.randint(1, 6), rnd.randint(0, 3600), -1, None, None)
-            for e in range(2000)]
-    v = visits(spark, rows).select("session_id", "action_time", "event_id", "page_id")
-    c = time_chunks(v, "session_id", "action_time", 3600, max_rows=300)
-    per = {r["session_id"]: r["n"] for r in c.groupBy("session_id").agg(F.countDistinct("_chunk").alias("n")).collect()}
-    assert per["hot"] >= 4 and per["a"] <= 2      # only the hot session is split
-    order = ["action_time", "event_id"]
-    chunked = with_next(c, "session_id", order, "page_id", F.col("_chunk"), next_col="nxt")
-    plain = v.withColumn("nxt", F.lead("page_id").over(Window.partitionBy("session_id").orderBy(*order)))
-    assert sorted(tuple(r) for r in chunked.collect()) == sorted(tuple(r) for r in plain.collect())
+    want = sorted(map(str, plain_lead(v, order).collect()))
+    for hot_rows in (10, 300, 1000, 10_000):
+        got = with_next(v, "session_id", order, "page_id", "nxt", hot_rows=hot_rows)
+        assert sorted(map(str, got.drop("has_next").collect())) == want
+        # Only a session's last row has no next one, whatever the pages.
+        assert got.where(~F.col("has_next")).count() == v.select("session_id").distinct().count()
+
+
+def test_a_hot_session_is_cut_even_within_one_timestamp(spark):
+    v = visits(spark, [(e, "hot", e % 5, 7, -1, None, None) for e in range(2000)]).select(
+        "session_id", "action_time", "event_id", "page_id")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")       # the rows are few: AQE would put them together again
+    try:
+        spread = v.repartitionByRange("session_id", "action_time", "event_id")
+        per = [r["n"] for r in spread.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set(key, "true")
+    assert len(per) >= 3 and max(per) <= 1200
 
 
-def test_conversion_result_does_not_depend_on_chunking(spark):
-    """On the sf0.01 visit log: every session hot (narrow chunks) or tiny
-    fixed chunks give exactly the default result."""
+def test_conversion_result_does_not_depend_on_the_cut(spark):
     from clicklens.sources import fixtures as fx
     v = fx.visits(spark, "/root/testdata/sf0.01")
     cols = ["from_page", "to_page", "pair_count", "page_count", "rate", "rate_pct"]
     base = sorted(tuple(r) for r in conv.page_conversion(v, percent=True).select(*cols).collect())
     hot = sorted(tuple(r) for r in conv.page_conversion(v, percent=True, hot_rows=5).select(*cols).collect())
-    tiny = sorted(tuple(r) for r in conv.page_conversion(v, percent=True, chunk_seconds=60).select(*cols).collect())
-    assert len(base) == 5 and base == hot == tiny
+    assert len(base) == 5 and base == hot
     n = conv.page_transitions(v, hot_rows=5).count()
-    assert n == conv.page_transitions(v).count() == 7836
+    assert n == conv.page_transitions(v).count() == v.count() - v.select("session_id").distinct().count()
+
+
+def test_flow_of_one_page_has_no_pairs(spark):
+    v = visits(spark, [(1, "s", 1, 0, -1, None, None), (2, "s", 2, 1, -1, None, None)])
+    for flow in ("1", "", []):
+        out = conv.page_conversion(v, flow, percent=True)
+        assert out.columns == ["from_page", "to_page", "pair_count", "page_count", "rate", "rate_pct"]
+        assert out.count() == 0
 
 
 def test_lookup_joins_hint_only_bounded_sides(spark):

@@ -3,11 +3,15 @@
 import pathlib
 import re
 
+import pytest
+
 PKG = pathlib.Path(__file__).resolve().parent.parent / "clicklens"
 
 
 def sources():
-    return {p.relative_to(PKG).as_posix(): p.read_text() for p in PKG.rglob("*.py")}
+    """Modules of the library; the training-data operators have rules and tests of their own."""
+    names = {p.relative_to(PKG).as_posix(): p for p in PKG.rglob("*.py")}
+    return {n: p.read_text() for n, p in names.items() if not n.startswith("llm/")}
 
 
 def test_no_local_checkpoint_sampling_or_rdd():
@@ -28,3 +32,16 @@ def test_machine_local_temp_folder_only_as_unset_fallback():
     assert users == ["config.py"]
     text = sources()["config.py"]
     assert 'spark.conf.get("spark.checkpoint.dir"' in text
+
+
+def test_no_temporary_folder_on_a_cluster():
+    from types import SimpleNamespace
+    from clicklens.config import shared_dir
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session, "x")
+
+
+def test_nothing_else_imports_the_training_data_operators():
+    assert not [n for n, t in sources().items() if "clicklens.llm" in t or "corpus_pipeline" in t]

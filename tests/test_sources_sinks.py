@@ -54,7 +54,8 @@ def test_processing_time_trigger_and_console(spark, scratch):
 
 
 def test_line_stream_quarantines_short_lines(spark, scratch):
-    lines = fx.ad_lines(spark, SF001).select("value")
+    # A text file cannot hold a line end inside a line.
+    lines = fx.ad_lines(spark, SF001).select("value").where("not contains(value, '\n')")
     bad = spark.createDataFrame([("1704067200000 AFRICA NATION_0 5",), ("",)], "value string")
     lines.coalesce(1).write.text(f"{scratch}/lines")
     bad.coalesce(1).write.mode("append").text(f"{scratch}/lines")
@@ -66,5 +67,6 @@ def test_line_stream_quarantines_short_lines(spark, scratch):
     cols = ["day", "area", "city", "adid", "click_count"]
     assert sorted(tuple(r) for r in job.stores["totals"].read().select(*cols).collect()) == \
         sorted(tuple(r) for r in want.select(*cols).collect())
-    assert ads.parse_lines(spark.read.text(f"{scratch}/lines"))[1].count() == 2
+    broken = ads.parse_lines(lines)[1].count()
+    assert broken > 0 and ads.parse_lines(spark.read.text(f"{scratch}/lines"))[1].count() == broken + 2
     assert job.stores["totals"].read().where(F.col("day") == dt.date(2024, 1, 1)).count() > 0

@@ -9,9 +9,9 @@ from clicklens.sinks.snapshot import KeyedSnapshot
 from clicklens.sources import fixtures as fx
 from clicklens.sources.stream import file_stream
 from clicklens.streaming import ads_streams as S
-from clicklens.streaming.replay import write_batches
 
 from conftest import SF001
+from stream_tools import write_batches
 
 SCHEMA = ("event_id long, ts timestamp_ntz, area string, city string, uid string, "
           "adid string, batch_id long")
@@ -68,8 +68,7 @@ def test_snapshot_replay_is_idempotent(spark, scratch):
 import pytest
 
 
-@pytest.mark.parametrize("job", ["ban_job", "ban_job_snapshot"])
-def test_ban_stream_equals_batch_twin(spark, scratch, job):
+def test_ban_stream_equals_batch_twin(spark, scratch):
     th = 2
     t = dt.datetime(2024, 1, 1, 12)
     rows = [(1, t, "N", "c", "u1", "1", 0), (2, t, "N", "c", "u1", "1", 0), (3, t, "N", "c", "u1", "1", 0),
@@ -78,7 +77,7 @@ def test_ban_stream_equals_batch_twin(spark, scratch, job):
             (8, t, "N", "c", "u2", "1", 2), (9, t, "N", "c", "u2", "3", 2), (10, t, "N", "c", "u3", "1", 2)]
     c = spark.createDataFrame(rows, SCHEMA)
     write_batches(c, "batch_id", f"{scratch}/in")
-    job = getattr(S, job)(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), th,
+    job = S.ban_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), th,
                           base=f"{scratch}/job")
     S.run_to_end(job.query)
     acc = {r["event_id"] for r in job.stores["accepted"].read().collect()}
@@ -93,32 +92,44 @@ def test_ban_stream_equals_batch_twin(spark, scratch, job):
         ("u1", 0), ("u2", 2), ("u3", 2)]
 
 
-def test_trend_stream_emits_closed_windows(spark, scratch):
+WINDOW_COLS = ["window_start", "window_end", "adid", "bucket_start", "click_count"]
+
+
+def test_trend_stream_holds_every_window_and_late_click(spark, scratch):
+    """Open windows are there, and a click of an old batch shows in its old buckets."""
+    c = fx.clicks(spark, SF001).withColumn("batch_id", F.col("event_id") % 3)      # no order in time at all
+    write_batches(c, "batch_id", f"{scratch}/in")
+    job = S.trend_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1),
+                      "6 hours", "2 hours", "1 hour", base=f"{scratch}/job")
+    S.run_to_end(job.query)
+    got = S.trend_windows(job.stores["panes"].read(), "6 hours", "2 hours")
+    assert rows_of(got, WINDOW_COLS) == rows_of(ads.trend(c, "6 hours", "2 hours", "1 hour"), WINDOW_COLS)
+    assert job.stores["kv"].read().count() > 0
+
+
+def test_trend_hash_has_the_newest_window(spark, scratch):
     c = fx.clicks(spark, SF001)
     c.coalesce(1).write.parquet(f"{scratch}/in")
     job = S.trend_job(spark, file_stream(spark, f"{scratch}/in", c.schema), "6 hours", "1 hour", "1 hour",
-                      "1 hour", base=f"{scratch}/job")
+                      base=f"{scratch}/job")
     S.run_to_end(job.query)
-    got = job.stores["flat"].read().select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "adid",
-        F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"), "click_count")
-    wm = c.agg(F.max("ts")).first()[0] - dt.timedelta(hours=1)
-    want = ads.trend(c, "6 hours", "1 hour", "1 hour").where(F.col("window_end") <= F.lit(wm))
-    cols = ["window_start", "window_end", "adid", "bucket_start", "click_count"]
-    assert rows_of(got, cols) == rows_of(want, cols)
-    assert job.stores["kv"].read().count() > 0
+    all_windows = ads.trend(c, "6 hours", "1 hour", "1 hour")
+    newest = c.agg(F.max(F.date_trunc("hour", "ts"))).first()[0] - dt.timedelta(hours=5)
+    want = ads.trend_json(all_windows.where(F.col("window_start") == F.lit(newest)))
+    cols = ["hash_key", "field", "value"]
+    assert rows_of(job.stores["kv"].read(), cols) == rows_of(want, cols) != []
 
 
 def test_snapshot_compaction_keeps_every_mode_equal(spark, scratch):
     d = dt.date(2024, 1, 1)
     batches = [[(d, "u", "1", 1), (d, "v", "1", 2)], [(d, "u", "1", 3)], [(d, "w", "2", 1)],
                [(d, "u", "1", 5), (d, "v", "1", 1)], [(d, "w", "2", 4)]]
-    for mode in ("set", "add", "member"):
+    for mode in ("set", "add", "member", "log"):
         schema = S.COUNTER_SCHEMA if mode != "member" else S.MEMBER_SCHEMA
-        keys = ["day", "uid", "adid"] if mode != "member" else ["uid"]
+        keys = {"member": ["uid"], "log": []}.get(mode, ["day", "uid", "adid"])
+        day = mode in ("add", "log")
         plain = KeyedSnapshot(spark, f"{scratch}/{mode}/plain", keys, schema, mode)
-        comp = KeyedSnapshot(spark, f"{scratch}/{mode}/comp", keys, schema, mode)
+        comp = KeyedSnapshot(spark, f"{scratch}/{mode}/comp", keys, schema, mode, by_day=day)
         for b, rows in enumerate(batches):
             df = spark.createDataFrame(rows if mode != "member" else [(r[1],) for r in rows], schema)
             plain.write(df, b)
@@ -127,25 +138,85 @@ def test_snapshot_compaction_keeps_every_mode_equal(spark, scratch):
                 comp.compact(2)
         comp.write(spark.createDataFrame(batches[3] if mode != "member" else [(r[1],) for r in batches[3]],
                                          schema), 3)   # replay after the compaction
-        for upto in (None, 1, 2, 3):
+        for upto in (None, 2, 3):
             a = sorted(tuple(r) for r in plain.read(upto).collect())
             b = sorted(tuple(r) for r in comp.read(upto).collect())
             assert a == b, (mode, upto)
+        if mode != "log":
+            with pytest.raises(ValueError, match="oldest base"):
+                comp.read(1)
     got = {r["uid"]: r["click_count"] for r in KeyedSnapshot(
-        spark, f"{scratch}/add/comp", ["day", "uid", "adid"], S.COUNTER_SCHEMA, "add").read().collect()}
+        spark, f"{scratch}/add/comp", ["day", "uid", "adid"], S.COUNTER_SCHEMA, "add", by_day=True).read().collect()}
     assert got == {"u": 9, "v": 3, "w": 5}
 
 
-def test_ban_stream_with_frequent_compaction(spark, scratch):
-    c = fx.clicks(spark, SF001).withColumn("batch_id", F.floor(F.col("event_id") / 100).cast("long"))
+def test_a_log_keeps_equal_rows_and_a_replayed_batch_once(spark, scratch):
+    log = KeyedSnapshot(spark, f"{scratch}/log", [], S.MEMBER_SCHEMA, "log")
+    twice = spark.createDataFrame([("u",), ("u",)], S.MEMBER_SCHEMA)
+    for b in (0, 1, 1):
+        log.write(twice, b)
+    assert log.read().count() == 4
+    with pytest.raises(ValueError):
+        KeyedSnapshot(spark, f"{scratch}/x", [], S.TOTALS_SCHEMA.add("batch_id", "long"), "log")
+
+
+def test_reads_open_only_the_days_asked_for(spark, scratch):
+    store = KeyedSnapshot(spark, f"{scratch}/days", ["day", "uid", "adid"], S.COUNTER_SCHEMA, "add", by_day=True)
+    days = [dt.date(2024, 1, i) for i in range(1, 6)]
+    store.write(spark.createDataFrame([(d, "u", "1", 1) for d in days], S.COUNTER_SCHEMA), 0)
+    some = store.read(days=days[:2])
+    assert some.count() == 2
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [day" in plan or "day" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("job", ["ban_job", "per_event_ban_job"])
+def test_ban_stream_with_frequent_compaction(spark, scratch, job):
+    c = fx.clicks(spark, SF001).orderBy("ts").withColumn("batch_id", F.floor(F.unix_millis(
+        F.col("ts").cast("timestamp")) / 200_000_000).cast("long"))
     write_batches(c, "batch_id", f"{scratch}/in")
-    job = S.ban_job_snapshot(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), 2,
-                             base=f"{scratch}/job", compact_every=3)
-    S.run_to_end(job.query)
-    acc = {r["event_id"] for r in job.stores["accepted"].read().collect()}
-    assert acc == {r["event_id"] for r in ads.accepted_per_batch(c, 2).collect()}
-    bans = {r["uid"]: r["first_batch_id"] for r in job.stores["blacklist"].read().collect()}
-    assert len(bans) > 0
+    job_ = getattr(S, job)(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), 2,
+                           base=f"{scratch}/job", compact_every=3)
+    S.run_to_end(job_.query)
+    want = ads.accepted_per_batch(c, 2) if job == "ban_job" else ads.accepted_per_event(c, 2)
+    assert rows_of(S.log_read(job_.stores["accepted"]), c.columns) == rows_of(want, c.columns)
+
+
+LINE_SCHEMA = "ts timestamp_ntz, area string, city string, uid string, adid string"
+
+
+@pytest.mark.parametrize("job", ["ban_job", "per_event_ban_job"])
+def test_ban_jobs_take_parsed_lines_and_count_equal_clicks(spark, scratch, job):
+    """No event id, as in the real topic: equal clicks all count, in one batch and across batches."""
+    ms = 1_704_110_400_000
+    first = [f"{ms} N c u1 7"] * 2 + [f"{ms} N c u2 7", "short line", f"x{ms} N c u3 7"]
+    second = [f"{ms} N c u1 7"] * 3 + [f"{ms} N c u2 7"]
+    for batch in (first, second):
+        spark.createDataFrame([(v,) for v in batch], "value string").coalesce(1).write.mode("append").parquet(
+            f"{scratch}/in")
+    lines = file_stream(spark, f"{scratch}/in", spark.read.parquet(f"{scratch}/in").schema, max_files_per_trigger=1)
+    got = getattr(S, job)(spark, ads.clicks_from_lines(lines), 4, base=f"{scratch}/job")
+    S.run_to_end(got.query)
+    users = sorted(r["uid"] for r in got.stores["accepted"].read().collect())
+    # u1 reaches 4 in the second batch: the live job counts all five, the per-click one stops at four.
+    assert users == ["u1"] * (5 if job == "ban_job" else 4) + ["u2"] * 2
+    assert [tuple(r) for r in got.stores["blacklist"].read().collect()] == [("u1", 1)]
+    counts = {(r["uid"], r["adid"]): r["click_count"] for r in got.stores["counters"].read().collect()}
+    assert counts == {("u1", "7"): users.count("u1"), ("u2", "7"): 2}
+
+
+def test_one_user_with_a_third_of_all_rows(spark, scratch):
+    t = dt.datetime(2024, 1, 1, 12)
+    rows = [(i, t + dt.timedelta(seconds=i), "N", "c", "hot" if i % 3 == 0 else f"u{i}", "1", i // 1000)
+            for i in range(3000)]
+    c = spark.createDataFrame(rows, SCHEMA)
+    write_batches(c, "batch_id", f"{scratch}/in")
+    for name, batch in (("ban_job", ads.accepted_per_batch), ("per_event_ban_job", ads.accepted_per_event)):
+        job = getattr(S, name)(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), 500,
+                               base=f"{scratch}/{name}")
+        S.run_to_end(job.query)
+        got = rows_of(S.log_read(job.stores["accepted"]), c.columns)
+        assert got == rows_of(batch(c, 500), c.columns) and len(got) < 3000
 
 
 def test_per_event_ban_stream_equals_batch(spark, scratch):
@@ -179,20 +250,6 @@ def test_top_ads_stream_ranks_running_totals(spark, scratch):
     assert len(kv) == ads.top_ads_per_area(c, 3).select("day", "area").distinct().count()
 
 
-def test_bounded_state_variants_equal_batch(spark, scratch):
-    c = fx.clicks(spark, SF001).withColumn("batch_id", F.floor(F.col("event_id") / 250).cast("long"))
-    write_batches(c, "batch_id", f"{scratch}/in")
-    src = lambda: file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1)
-    top = S.top_ads_job(spark, src(), 3, base=f"{scratch}/top", max_lateness="400 days")
-    S.run_to_end(top.query)
-    cols = ["day", "area", "adid", "click_count", "rk"]
-    assert rows_of(top.stores["ranks"].read(), cols) == rows_of(ads.top_ads_per_area(c, 3), cols)
-    tot = S.daily_totals_job(spark, src(), base=f"{scratch}/tot", max_lateness="400 days")
-    S.run_to_end(tot.query)
-    cols = ["day", "area", "city", "adid", "click_count"]
-    assert rows_of(tot.stores["totals"].read(), cols) == rows_of(ads.daily_totals(c), cols)
-
-
 @pytest.mark.parametrize("job", ["ban_job", "daily_totals_job"])
 def test_crash_mid_batch_then_restart(spark, scratch, monkeypatch, job):
     """A batch that dies after writing part of its output is run again on
@@ -237,55 +294,34 @@ def test_trend_stream_over_arrival_time(spark, scratch):
     c = fx.clicks(spark, SF001).withColumn("arrival_ts", F.col("ts") + F.expr("interval 1 hour"))
     c.coalesce(1).write.parquet(f"{scratch}/in")
     job = S.trend_job(spark, file_stream(spark, f"{scratch}/in", c.schema), "6 hours", "1 hour", "1 hour",
-                      "1 hour", base=f"{scratch}/job", window_col="arrival_ts", state_partitions=2)
+                      base=f"{scratch}/job", window_col="arrival_ts", state_partitions=2)
     S.run_to_end(job.query)
-    got = job.stores["flat"].read().select(
-        F.col("window_start").cast("timestamp_ntz").alias("ws"), "adid",
-        F.col("bucket_start").cast("timestamp_ntz").alias("b"), "click_count")
+    got = S.trend_windows(job.stores["panes"].read(), "6 hours", "1 hour").select(
+        F.col("window_start").alias("ws"), "adid", F.col("bucket_start").alias("b"), "click_count")
     shifted = (ads.trend(c, "6 hours", "1 hour", "1 hour")
                .select((F.col("window_start") + F.expr("interval 1 hour")).alias("ws"), "adid",
                        F.col("bucket_start").alias("b"), "click_count"))
-    wm = c.agg(F.max("arrival_ts")).first()[0] - dt.timedelta(hours=1)
-    want = shifted.where(F.col("ws") + F.expr("interval 6 hours") <= F.lit(wm))
     cols = ["ws", "adid", "b", "click_count"]
-    assert rows_of(got, cols) == rows_of(want, cols) and len(rows_of(got, cols)) > 0
-
-
-def test_ban_stream_on_rocksdb_state(spark, scratch):
-    """The state store the cluster profile recommends (RocksDB) gives the same result."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        c = fx.clicks(spark, SF001).withColumn("batch_id", F.floor(F.col("event_id") / 250).cast("long"))
-        write_batches(c, "batch_id", f"{scratch}/in")
-        job = S.ban_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1), 2,
-                        base=f"{scratch}/job", state_partitions=2)
-        S.run_to_end(job.query)
-    finally:
-        spark.conf.set(key, old)
-    acc = sorted(r["event_id"] for r in job.stores["accepted"].read().collect())
-    assert acc == sorted(r["event_id"] for r in ads.accepted_per_batch(c, 2).collect())
+    assert rows_of(got, cols) == rows_of(shifted, cols) != []
 
 
-def test_bounded_state_reports_late_rows(spark, scratch):
-    """With max_lateness, a click older than the watermark is dropped, and the job says how many."""
-    # Spark judges lateness against the watermark of the batch before, so the
-    # late click comes in the third micro-batch.
+def test_bounded_totals_set_late_clicks_aside(spark, scratch):
+    """With max_lateness, a click older than the newest one before less the lateness is stored, not lost."""
     t = dt.datetime(2024, 1, 10, 12)
-    on_time = spark.createDataFrame([(1, t, "N", "c", "u1", "1", 0), (2, t, "N", "c", "u2", "1", 1)], SCHEMA)
-    late = spark.createDataFrame([(3, t - dt.timedelta(days=2), "N", "c", "u3", "1", 2),
-                                  (4, t, "N", "c", "u3", "1", 2)], SCHEMA)
-    write_batches(on_time.unionByName(late), "batch_id", f"{scratch}/in")
-    job = S.daily_totals_job(spark, file_stream(spark, f"{scratch}/in", on_time.schema, max_files_per_trigger=1),
+    rows = [(1, t, "N", "c", "u1", "1", 0), (2, t, "N", "c", "u2", "1", 1),
+            (3, t - dt.timedelta(days=2), "N", "c", "u3", "1", 1), (4, t, "N", "c", "u3", "1", 2),
+            (5, t - dt.timedelta(minutes=59), "N", "c", "u3", "1", 2)]
+    c = spark.createDataFrame(rows, SCHEMA)
+    write_batches(c, "batch_id", f"{scratch}/in")
+    job = S.daily_totals_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1),
                              base=f"{scratch}/job", max_lateness="1 hour", state_partitions=2)
     S.run_to_end(job.query)
     got = {(str(r["day"]), r["adid"]): r["click_count"] for r in job.stores["totals"].read().collect()}
-    assert got == {("2024-01-10", "1"): 3}
-    assert job.late_rows_dropped() == 1
+    assert got == {("2024-01-10", "1"): 4}
+    assert rows_of(S.log_read(job.stores["late"]), c.columns) == [rows[2]]
 
 
-def test_compaction_with_expiry_keeps_reads_and_drops_old_storage(spark, scratch):
+def test_compaction_drops_what_the_previous_base_replaced(spark, scratch):
     import os
     d = dt.date(2024, 1, 1)
     plain = KeyedSnapshot(spark, f"{scratch}/plain", ["day", "uid", "adid"], S.COUNTER_SCHEMA, "add")
@@ -295,10 +331,12 @@ def test_compaction_with_expiry_keeps_reads_and_drops_old_storage(spark, scratch
         plain.write(df, b)
         comp.write(df, b)
         if b in (3, 7):
-            comp.compact(b, expire=True)
+            comp.compact(b)
     for upto in (None, 9, 7, 5):
         assert sorted(tuple(r) for r in comp.read(upto).collect()) == \
             sorted(tuple(r) for r in plain.read(upto).collect()), upto
+    with pytest.raises(ValueError):
+        comp.read(2)
     local = comp.path.replace("file://", "").replace("file:", "")
     kept = sorted(int(n.split("=")[1]) for n in os.listdir(local) if n.startswith("batch_id="))
     assert kept == [4, 5, 6, 7, 8, 9]       # up to the previous base (3) is gone
