@@ -41,8 +41,9 @@ from clicklens.llm.common import blocks
 
 WORD = 8
 SHALLOW = 40
-BLOCK = 4 << 20
+BLOCK, SCAN = 8 << 20, 2 << 20
 BUCKET = 20 << 20
+LEVEL = 6
 #: Regions take about 1 + length / spacing times the text.
 SPREAD = 3.3
 NO_ID = (1 << 63) - 1
@@ -127,7 +128,7 @@ def regions(buffer: np.ndarray, piece_start: np.ndarray, piece_end: np.ndarray,
 
 def pack(arrays: list[np.ndarray]) -> bytes:
     head = np.array([len(a) for a in arrays], "<i8")
-    return zstandard.compress(b"".join([head.tobytes(), *(a.tobytes() for a in arrays)]), 3)
+    return zstandard.compress(b"".join([head.tobytes(), *(a.tobytes() for a in arrays)]), LEVEL)
 
 
 KINDS = ["<i8", "<i4", "<i4", "<u2", "<u2", "<u4", "<i8", "u1", "<i4", "<i8", "<i8"]
@@ -151,7 +152,16 @@ def block_rows(rank: np.ndarray, mark: np.ndarray, pieces: list[tuple[int, int,
     buffer = np.frombuffer(b"".join(p[2] for p in pieces), np.uint8)
     if len(buffer) < length:
         return
-    first, n, name = regions(buffer, starts, ends, length)
+    parts, at = [], 0
+    while at < len(pieces):
+        # A few pieces at a time: the scan keeps several numbers for each byte.
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + SCAN, "right")))
+        a, b = int(starts[at]), int(ends[to - 1])
+        if b - a >= length:
+            f, n, w = regions(buffer[a:b], starts[at:to] - a, ends[at:to] - a, length)
+            parts.append((f + a, n, w + a))
+        at = to
+    first, n, name = (np.concatenate([p[i] for p in parts] or [np.zeros(0, np.int64)]) for i in range(3))
     if not len(first):
         return
     words = words_at(buffer)
@@ -193,6 +203,7 @@ def block_rows(rank: np.ndarray, mark: np.ndarray, pieces: list[tuple[int, int,
     edges = np.searchsorted(bucket[by_bucket], [filled, filled + 1])
     for b, i, j in zip(filled.tolist(), *edges.tolist()):
         e, mine = by_bucket[i:j], told.get(b, [])
+        e = e[np.lexsort((start[entries[e]], doc[entries[e]]))]      # in page order they pack best
         r = entries[e]
         docs, local = np.unique(np.concatenate([doc[r], [m[0] for m in mine]]).astype(np.int64), return_inverse=True)
         to = np.cumsum(span[r])
@@ -201,7 +212,7 @@ def block_rows(rank: np.ndarray, mark: np.ndarray, pieces: list[tuple[int, int,
         ends_ = np.cumsum(runs)
         take = np.repeat(count_end[e] - runs - (ends_ - runs), runs) + np.arange(int(ends_[-1]) if len(ends_) else 0)
         yield b, pack([
-            rank[docs].astype("<i8"), mark[docs].astype("<i4"), local[:len(r)].astype("<i4"), span[r].astype("<u2"),
+            rank[docs].astype("<i8"), mark[docs].astype("<i4"), np.diff(local[:len(r)], prepend=0).astype("<i4"), span[r].astype("<u2"),
             (name[r] - first[r]).astype("<u2"), runs.astype("<u4"), own_start[take].astype("<i8"), buffer[source],
             np.repeat(local[len(r):], [len(m[1]) for m in mine]).astype("<i4"),
             np.concatenate([m[1] for m in mine] or [[]]).astype("<i8"),
@@ -332,7 +343,7 @@ def bucket_hits(packed: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     parts = [unpack(p) for p in packed]
     base = np.cumsum([0, *(len(p[0]) for p in parts)])
     rank, mark = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    doc = np.concatenate([p[2] + o for p, o in zip(parts, base)])
+    doc = np.concatenate([np.cumsum(p[2]) + o for p, o in zip(parts, base)])
     span, name = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (3, 4))
     count = np.concatenate([p[5] for p in parts]).astype(np.int64)
     starts, buffer = np.concatenate([p[6] for p in parts]), np.concatenate([p[7] for p in parts])
@@ -451,9 +462,11 @@ def removed(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
     result; further columns are not read.
     """
     kind = docs.schema[id_col].dataType
+    again = docs.groupBy(F.col(id_col).alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Only rows that share an id need more than it to be told apart.
+    mark = F.lit(0) if again.isEmpty() else F.hash(text_col)
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("rank"),
-                       F.hash(text_col).alias("mark"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+                       mark.alias("mark"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = repeats(base.select("rank", "mark", "text"), length)
     per_doc = found.groupBy("rank", "mark").agg(F.collect_list(F.struct("start", "end")).alias("hits"))
     schema = T.StructType([
@@ -462,12 +475,19 @@ def removed(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
                                                          T.StructField("end", T.LongType())]))),
         T.StructField("kept", T.BinaryType())])
 
+    def press(batches):
+        for batch in batches:
+            for b in blocks(batch, 3):
+                small = zstandard.ZstdCompressor(level=3)
+                packed = pa.array([small.compress(t.encode()) for t in b.column(3).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*b.columns[:3], packed], names=["id", "rank", "mark", "packed"])
+
     def run(batches):
         for batch in batches:
-            for b in blocks(batch, 1):
+            for b in blocks(batch, 1, 2 << 20):
                 sizes, spans, kept = [], [], []
-                for text, hits in zip(b.column(1).to_pylist(), b.column(2)):
-                    raw = text.encode()
+                for packed, hits in zip(b.column(1).to_pylist(), b.column(2)):
+                    raw = zstandard.decompress(packed)
                     sizes.append(len(raw))
                     if hits.values is None:
                         spans.append([])
@@ -482,4 +502,7 @@ def removed(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                     pa.array(kept, pa.binary())], names=schema.names)
 
-    return base.join(per_doc, ["rank", "mark"], "left").select("id", "text", "hits").mapInArrow(run, schema)
+    # The texts are shuffled once more, to their hits; packed, they are less than half.
+    pressed = base.mapInArrow(press, T.StructType([*(base.schema[c] for c in ("id", "rank", "mark")),
+                                                   T.StructField("packed", T.BinaryType())]))
+    return pressed.join(per_doc, ["rank", "mark"], "left").select("id", "packed", "hits").mapInArrow(run, schema)
