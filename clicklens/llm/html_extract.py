@@ -106,6 +106,10 @@ class TreeBuilder(HTMLParser):
 
 
 def parse(html: str) -> Node:
+    """The tree of a page; a tag that the page's end cuts off is no text."""
+    last = html.rfind("<")
+    if last > html.rfind(">") and re.match(r"[a-zA-Z/!]", html[last + 1:last + 2]):
+        html = html[:last]
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
