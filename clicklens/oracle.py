@@ -32,7 +32,7 @@ CLICKS = """
 clicks as (
   select event_id, ts, r_name as area, n_name as city, cast(user_id as varchar) as uid,
          cast(cast(regexp_extract(props, '([0-9]+)', 1) as bigint) % 6 + 1 as varchar) as adid,
-         cast(floor((epoch_ms(ts) + 43200000) / 432000000) as bigint) as batch_id
+         cast(floor((floor(epoch_us(ts) / 1000) + 43200000) / 432000000) as bigint) as batch_id
   from events join nation on n_nationkey = user_id % 25
               join region on r_regionkey = n_regionkey
   where event_type = 'click'
