@@ -134,17 +134,6 @@ def interval_seconds(text: str) -> int:
     return int(m.group(1)) * _UNIT_SECONDS[m.group(2).lower()]
 
 
-
-def floor_instant(ts: Column | str, seconds: int) -> Column:
-    """Bucket start of a ``timestamp`` by arithmetic on epoch microseconds.
-
-    Same value as ``floor_time``, but usable next to a ``window()`` in one
-    streaming ``groupBy`` (Spark allows only one window expression there).
-    """
-    us = int(seconds) * 1_000_000
-    return F.timestamp_micros(F.floor(F.unix_micros(_c(ts)) / F.lit(us)).cast("long") * F.lit(us))
-
-
 def key_columns(key: Column | str, sep: str, names: list[str]) -> list[Column]:
     """Columns of a composite string key (``'2024-01-01:AREA:CITY:3'``), for
     keys imported from a key-value store; keys built here stay real columns."""

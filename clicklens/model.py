@@ -68,13 +68,6 @@ CATEGORY_TOP10_SCHEMA = T.StructType([
     T.StructField("pay_count", T.LongType()),
 ])
 
-CATEGORY_SESSION_SCHEMA = T.StructType([
-    T.StructField("task_id", T.StringType()),
-    T.StructField("category_id", T.StringType()),
-    T.StructField("session_id", T.StringType()),
-    T.StructField("click_count", T.LongType()),
-])
-
 # Schema of the driver's `events` table (streams need it up front).
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),

@@ -1,7 +1,7 @@
 """Membership joins (keep / drop rows by a key list) with a checked broadcast.
 
 A side is broadcast by hint only when its size is bounded or was measured: it
-is a top-n result or a parameter list of at most ``MAX_BROADCAST_ROWS`` rows, or
+is a top-n result or a parameter list whose rows fit ``MAX_BROADCAST_BYTES``, or
 ``checked_side`` has materialised it and its table is small. Any other side (a
 blacklist that grows for ever) gets no hint: Catalyst's statistics and AQE's
 runtime sizes decide, and fall back to a shuffled join.
@@ -16,23 +16,18 @@ from pyspark.sql import functions as F
 
 from clicklens.config import shared_dir
 
-# Bytes of a materialised side's files up to which it is broadcast.
+# Bytes up to which a side is broadcast: of a materialised side's files, or of a
+# bounded number of rows at the width of a lookup row (a few ids and counts).
 MAX_BROADCAST_BYTES = 16 << 20
-MAX_BROADCAST_ROWS = 1_000_000
+ROW_BYTES = 256
 
 
 def _side(small: DataFrame, max_rows: int | None) -> DataFrame:
-    if max_rows is not None and max_rows <= MAX_BROADCAST_ROWS:
+    if max_rows is not None and max_rows * ROW_BYTES <= MAX_BROADCAST_BYTES:
         return F.broadcast(small)
     return small
 
 
-def keep_in(df: DataFrame, keys: DataFrame, on: str | Sequence[str],
-            max_rows: int | None = None) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys`` (left semi join)."""
-    return df.join(_side(keys, max_rows), on=on, how="left_semi")
-
-
 def drop_in(df: DataFrame, keys: DataFrame, on: str | Sequence[str],
             max_rows: int | None = None) -> DataFrame:
     """Rows of ``df`` whose key is not in ``keys`` (left anti join)."""

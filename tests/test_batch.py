@@ -162,18 +162,21 @@ def test_flow_of_one_page_has_no_pairs(spark):
         assert out.count() == 0
 
 
-def test_lookup_joins_hint_only_bounded_sides(spark):
-    from clicklens.operators.lookup import MAX_BROADCAST_ROWS, drop_in, keep_in
+def test_lookup_joins_hint_only_bounded_or_measured_sides(spark):
+    from clicklens.operators.lookup import MAX_BROADCAST_BYTES, ROW_BYTES, attach, checked_side, drop_in
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # only our hint may broadcast
     try:
         big = spark.range(1000).withColumnRenamed("id", "k")
         small = spark.range(0, 1000, 100).withColumnRenamed("id", "k")
-        kept = keep_in(big, small, "k", max_rows=10)
-        assert sorted(r["k"] for r in kept.collect()) == list(range(0, 1000, 100))
-        assert "BroadcastHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(attach(big, small, "k", max_rows=10))
         dropped = drop_in(big, small, "k", max_rows=None)             # no bound: no hint
         assert dropped.count() == 990
-        assert "BroadcastHashJoin" not in dropped._jdf.queryExecution().executedPlan().toString()
-        assert keep_in(big, small, "k", max_rows=MAX_BROADCAST_ROWS + 1).count() == 10
+        assert "BroadcastHashJoin" not in plan(dropped)
+        too_many = MAX_BROADCAST_BYTES // ROW_BYTES + 1
+        assert "BroadcastHashJoin" not in plan(attach(big, small, "k", max_rows=too_many))
+        assert "BroadcastHashJoin" in plan(big.join(checked_side(small), "k"))
+        over = big.join(checked_side(small, max_bytes=10), "k")
+        assert "BroadcastHashJoin" not in plan(over) and over.count() == 10
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
