@@ -79,7 +79,8 @@ class Vocabulary:
         # No cut: before white space that may share a token with the last byte of the character
         # before it. Beyond the basic plane, no cut is the simple choice.
         space = " \t\n\r\x0b\x0c"
-        kept = ["[" + re.escape("".join(c for c in map(chr, range(0x10000)) if c.isspace() and c not in space)) + "]"]
+        rare = "".join(c for c in map(chr, range(0x10000)) if c.isspace() and c not in space)
+        kept = [f"[{re.escape(rare)}]"]
         for s in space:
             if last := [c for b in np.flatnonzero(inside[:, ord(s)]).tolist() for c in ending_with(b) if not c.isspace()]:
                 kept.append(f"(?<=[{re.escape(''.join(last))}\U00010000-\U0010ffff]){re.escape(s)}")

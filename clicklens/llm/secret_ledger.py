@@ -37,6 +37,7 @@ EITHER_CASE = {"assign"}
 
 FINDINGS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
                                      T.StructField("end", T.IntegerType())]))
+ARROW_FINDINGS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 LEDGER = T.StructType([T.StructField("blob", T.BinaryType()), T.StructField("rules", T.StringType()),
                        T.StructField("findings", FINDINGS)])
 
@@ -64,8 +65,7 @@ def _scan(unseen: DataFrame, rules) -> DataFrame:
     def run(batches):
         for batch in batches:
             for b in blocks(batch, 1):
-                found = pa.array([find(t or "", rules) for t in b.column(1).to_pylist()],
-                                 pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))
+                found = pa.array([find(t or "", rules) for t in b.column(1).to_pylist()], ARROW_FINDINGS)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array([version] * b.num_rows, pa.string()), found], names=LEDGER.names)
 

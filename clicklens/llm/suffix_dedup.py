@@ -210,9 +210,10 @@ def block_rows(rank: np.ndarray, mark: np.ndarray, pieces: list[tuple[int, int,
         source = np.repeat(first[r] - (to - span[r]), span[r]) + np.arange(int(to[-1]) if len(to) else 0)
         runs = count[e]
         ends_ = np.cumsum(runs)
-        take = np.repeat(count_end[e] - runs - (ends_ - runs), runs) + np.arange(int(ends_[-1]) if len(ends_) else 0)
+        take = np.repeat(count_end[e] - ends_, runs) + np.arange(int(ends_[-1]) if len(ends_) else 0)
         yield b, pack([
-            rank[docs].astype("<i8"), mark[docs].astype("<i4"), np.diff(local[:len(r)], prepend=0).astype("<i4"), span[r].astype("<u2"),
+            rank[docs].astype("<i8"), mark[docs].astype("<i4"),
+            np.diff(local[:len(r)], prepend=0).astype("<i4"), span[r].astype("<u2"),
             (name[r] - first[r]).astype("<u2"), runs.astype("<u4"), own_start[take].astype("<i8"), buffer[source],
             np.repeat(local[len(r):], [len(m[1]) for m in mine]).astype("<i4"),
             np.concatenate([m[1] for m in mine] or [[]]).astype("<i8"),
