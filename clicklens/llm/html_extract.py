@@ -5,8 +5,9 @@ first: by element (scripts, menus, forms, ...) or by a word of their class or
 id (advert, sidebar, comments, ...). Each block with text of its own is a
 paragraph; it passes points for its length and commas to its parent and half of
 them to its grandparent, and each container's sum is discounted by the share of
-its text that stands in links. The best container is kept with those of its
-siblings that score well beside it, or are plain paragraphs beside it.
+its text that stands in links. The best container, or the article element around
+it, is kept with those of its siblings that score well beside it, or are plain
+paragraphs beside it.
 
 Text of the kept elements is read in page order: references decoded, blocks
 split at block elements and line breaks, white space within a block turned
@@ -188,6 +189,12 @@ def main_nodes(root: Node) -> list[Node]:
     if not scored:
         return [root]
     best = max(scored, key=lambda n: n.points)
+    # Sections of one article share its paragraphs: what holds them together is the container.
+    around, up = None, best
+    while up:
+        around = up if up.tag == "article" or (up.tag == "main" and not around) else around
+        up = up.parent
+    best = around or best
     if not best.parent:
         return [best]
     kept = []

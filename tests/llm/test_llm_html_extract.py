@@ -49,6 +49,11 @@ def test_links_discount_a_container():
     assert "b" in max((n for n in scored if n.words), key=lambda n: n.points).words
 
 
+def test_small_sections_of_an_article_stay():
+    page = f"<body><article><section>{f'<p>{LONG}</p>' * 9}</section><section><p>Short end.</p></section></article></body>"
+    assert main_text(page).endswith("Short end.") and main_text(page).count(LONG) == 9
+
+
 def test_a_sibling_that_scores_well_is_kept():
     two = f"<div id=x><p>{LONG}</p><p>{LONG}</p></div>"
     assert main_text(f"<body><div><a href=/>x</a></div>{two}{two}</body>").count(LONG) == 4
