@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from clicklens.llm.common import written
 
+SALTS = 16
+
 
 def _with_least(edges: DataFrame) -> DataFrame:
     """Edges (u, v) with ``m``, the least neighbour of u or u itself.
 
-    The minimum is pre-aggregated; the join back can be split by AQE where one
-    vertex has very many neighbours.
+    The minimum is pre-aggregated. In the join back, the neighbours of a vertex
+    are dealt to ``SALTS`` parts, so the centre of a large star is no single task.
     """
     least = edges.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m"))
-    return edges.join(least, "u")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = edges.withColumn("salt", F.pmod(F.hash("v"), F.lit(SALTS)))
+    return salted.join(least.withColumn("salt", salts), ["u", "salt"]).drop("salt")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
