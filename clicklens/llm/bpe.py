@@ -203,12 +203,6 @@ def _vocabulary(file: bytes) -> Vocabulary:
     return Vocabulary(file)
 
 
-@lru_cache(maxsize=2)
-def _encoder(file: bytes) -> Encoder:
-    """A Python worker's memo, kept from task to task."""
-    return Encoder(_vocabulary(file))
-
-
 def _file(df: DataFrame, path: str):
     with open(path, "rb") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
@@ -226,7 +220,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids") -
     file = _file(df, path)
 
     def run(batches):
-        memo = _encoder(file.value)
+        memo = Encoder(_vocabulary(file.value))
         for batch in batches:
             for b in blocks(batch, len(rest)):
                 made = [memo.encode(t) for t in b.column(len(rest)).to_pylist()]

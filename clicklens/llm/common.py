@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,10 @@ from pyspark.sql import functions as F
 from clicklens.config import shared_dir
 
 
+#: glibc's call that returns freed memory to the system; None where the C library has none.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -42,6 +48,10 @@ def written(df: DataFrame, *name: str) -> DataFrame:
 
 def blocks(batch, col: int, limit: int = 8 << 20):
     """An Arrow batch in slices of about ``limit`` bytes of its string column, one row at least."""
+    # A worker keeps what it once freed; hand it back, so that idle ones stay small.
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
     size, start = 0, 0
     lengths = pc.fill_null(pc.binary_length(batch.column(col)), 0).to_pylist()
     for i, n in enumerate(lengths):

@@ -42,7 +42,7 @@ from clicklens.llm.common import blocks
 WORD = 8
 SHALLOW = 40
 BLOCK, SCAN = 8 << 20, 2 << 20
-BUCKET = 20 << 20
+BUCKET = 12 << 20
 LEVEL = 6
 #: Regions take about 1 + length / spacing times the text.
 SPREAD = 3.3
