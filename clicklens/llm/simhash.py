@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -58,18 +58,24 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) of every document; ``bytes.lower`` and ``bytes.split`` are the contract's ASCII rules."""
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                 mark: Column | None = None) -> DataFrame:
+    """(id, fp) of every document, and ``mark`` if one is given; ``bytes.lower`` and ``bytes.split`` are the contract's
+    ASCII rules."""
     kind = docs.schema[id_col].dataType
+    more = [] if mark is None else [mark.alias("mark")]
+    names = ["id", "fp", "mark"][:2 + len(more)]
 
     def run(batches):
         for batch in batches:
             for b in blocks(batch, 1):
                 fps = pa.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0), fps], names=["id", "fp"])
+                yield pa.RecordBatch.from_arrays([b.column(0), fps, *b.columns[2:]], names=names)
 
-    schema = T.StructType([T.StructField("id", kind), T.StructField("fp", T.LongType())])
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *more)
+    schema = T.StructType([T.StructField("id", kind), T.StructField("fp", T.LongType()),
+                           *([read.schema["mark"]] if more else [])])
+    return read.mapInArrow(run, schema)
 
 
 def _signed(x: int) -> int:
@@ -102,6 +108,16 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
         F.greatest("fp", "hub").alias("u"), F.least("fp", "hub").alias("v")).distinct()
 
 
+def _best(own: DataFrame, low: Column, radius: int) -> DataFrame:
+    """(fp, best) of every distinct fingerprint: the least ``low`` of its component."""
+    distinct = own.groupBy("fp").agg(low.alias("low"))
+    part = components(links(distinct.select("fp"), radius), "simhash")
+    named = distinct.join(part, distinct["fp"] == part["vertex"], "left").select(
+        "fp", "low", F.coalesce("component", "fp").alias("component"))
+    least = named.groupBy("component").agg(F.min("low").alias("best"))
+    return named.join(least, "component").select("fp", "best")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per document: id, fingerprint (16 hex digits), component_id.
@@ -114,34 +130,34 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
     further columns are not read.
     """
     own = written(fingerprints(docs, shingle, id_col, text_col), "simhash", "fingerprints")
-    distinct = own.groupBy("fp").agg(F.min("id").alias("low"))
-    part = components(links(distinct.select("fp"), radius), "simhash")
-    named = distinct.join(part, distinct["fp"] == part["vertex"], "left").select(
-        "fp", "low", F.coalesce("component", "fp").alias("component"))
-    least = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    by_fp = named.join(least, "component").select("fp", "component_id")
+    by_fp = _best(own, F.min("id"), radius).withColumnRenamed("best", "component_id")
     return own.join(by_fp, "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def representatives(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """The documents that give their component its id, one per component, with their columns as they were.
+    """One document of each component, that with its smallest id, with the columns as they were.
 
-    Only ids are looked up. Rows that share an id which stays are told apart by
-    nothing but their text, and the one with the least text stays.
+    Rows are looked up by id and SHA-256 of the text, so documents that share an
+    id, or have none, are judged apart. Of a component's rows with the smallest
+    id, the one with the least digest stays; a null id stays only in a component
+    without another. Where a whole pair of id and text is repeated (a null text
+    is an empty one), one of its rows stays.
     """
-    groups = written(near_duplicates(docs, shingle, radius, id_col, text_col).select(
-        F.col(id_col).alias("_id"), "component_id"), "simhash", "groups")
-    stay = F.col("_id").eqNullSafe(F.col("component_id"))
-    gone = groups.where(~stay).select("_id").distinct()
-    twice = groups.where(stay).groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_id")
-    marked = docs.withColumn("_own_id", F.col(id_col))
-    same = F.col("_own_id").eqNullSafe(F.col("_id"))
+    mark = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    own = written(fingerprints(docs, shingle, id_col, text_col, mark), "simhash", "fingerprints")
+    by_fp = _best(own, F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")), radius)
+    stay = F.col("id").eqNullSafe(F.col("best")["id"]) & (F.col("mark") == F.col("best")["mark"])
+    groups = written(own.join(by_fp, "fp").select(
+        F.col("id").alias("_id"), F.col("mark").alias("_mark"), stay.alias("stay")), "simhash", "groups")
+    gone = groups.where("not stay").select("_id", "_mark").distinct()
+    twice = groups.where("stay").groupBy("_id", "_mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "_id", "_mark")
+    marked = docs.withColumns({"_own_id": F.col(id_col), "_own_mark": mark})
+    same = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_mark") == F.col("_mark"))
     if twice.isEmpty():
-        return marked.join(gone, same, "left_anti").drop("_own_id")
+        return marked.join(gone, same, "left_anti").drop("_own_id", "_own_mark")
     once = marked.join(gone.unionByName(twice), same, "left_anti")
-    first = W.partitionBy("_own_id").orderBy(F.col(text_col).asc_nulls_last())
-    one = (marked.join(twice, same, "left_semi").withColumn("_nth", F.row_number().over(first))
-           .where("_nth = 1").drop("_nth"))
-    return once.unionByName(one).drop("_own_id")
+    one = marked.join(twice, same, "left_semi").dropDuplicates(["_own_id", "_own_mark"])
+    return once.unionByName(one).drop("_own_id", "_own_mark")

@@ -97,6 +97,24 @@ def test_representatives_leave_one_of_each_component(spark):
     assert np.all(sorted(r.doc_id for r in stay.collect() if r.doc_id == 73) == [73])
 
 
+def test_rows_that_share_an_id_or_have_none_are_judged_apart(spark):
+    rnd = random.Random(6)
+    text = [" ".join(rnd.choices(["alpha", "beta", "gamma", "delta", "eps"], k=400)) for _ in range(8)]
+    near = text[0] + " tail"
+    assert len(set(groups({plain(t) for t in [*text, near, text[5] + " tail"]}, 3).values())) == len(text)
+    alone = [(None, text[1]), (None, text[2]), (5, text[3]), (5, text[4])]
+    # A row without an id and one of id 5 are near document 1; a pair of null ids is near, another repeated.
+    linked = [(1, text[0]), (None, near), (5, near)]
+    pair = [(None, text[5]), (None, text[5] + " tail")]
+    again = [(None, text[6])] * 3 + [(7, text[7])] * 2
+    docs = frame(spark, "doc_id long, text string", alone + linked + pair + again)
+    got = [tuple(r) for r in representatives(docs).collect()]
+    one = [r for r in got if r in pair]
+    assert len(one) == 1
+    want = alone + linked[:1] + [(None, text[6]), (7, text[7])]
+    assert sorted(map(str, got)) == sorted(map(str, want + one))
+
+
 def test_empty_table(spark):
     df = frame(spark, "doc_id long, text string", [])
     assert near_duplicates(df).count() == 0 and representatives(df).count() == 0
