@@ -11,7 +11,12 @@ they are dealt by content: of the 8-byte strings inside a suffix's first
 bucket. Equal suffixes have the same one. Neighbouring suffixes mostly share
 it, so they travel as one *region*, the bytes from the first one's start to the
 last one's end: about 3.2 times the text, packed and compressed per bucket. The
-number of buckets follows the size of the corpus.
+number of buckets follows the size of the corpus. A naming string that is
+frequent (by a sample of the texts, which settles where suffixes go and never
+what is found) is too much for one bucket. The suffixes it names are dealt by it
+and the bytes beside it, those on its left if it stands in the right half of the
+suffix, else those on its right; where that is frequent too, by all their bytes.
+Equal suffixes have the name at the same place, so they still meet.
 
 *Before the shuffle* equal regions of a block of documents are merged: the
 block's smallest document with the region stands for all, and the others are
@@ -44,6 +49,10 @@ SHALLOW = 40
 BLOCK, SCAN = 8 << 20, 2 << 20
 BUCKET = 12 << 20
 LEVEL = 6
+#: Bytes of regions from which a naming string is frequent; one text in so many, and every long one, is looked at.
+HOT = BUCKET // 4
+SAMPLE, LONG = 64, 1 << 20
+COLD = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
 #: Regions take about 1 + length / spacing times the text.
 SPREAD = 3.3
 NO_ID = (1 << 63) - 1
@@ -51,6 +60,8 @@ ORDER, DEAL, MIX = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4
 LOW = np.uint64((1 << 27) - 1)
 
 REGIONS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("packed", T.BinaryType())])
+WEIGHTS = T.StructType([T.StructField("beside", T.BooleanType()), T.StructField("key", T.LongType()),
+                        T.StructField("weight", T.LongType())])
 HITS = T.StructType([T.StructField("rank", T.LongType()), T.StructField("mark", T.IntegerType()),
                      T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 
@@ -126,6 +137,17 @@ def regions(buffer: np.ndarray, piece_start: np.ndarray, piece_end: np.ndarray,
     return first, np.bincount(run, minlength=len(first)), owner[first]
 
 
+def sides(words: np.ndarray, first: np.ndarray, n: np.ndarray, name: np.ndarray, length: int):
+    """(region, offset, number of suffixes, key) of regions cut by the side of the naming string that fills the key."""
+    half = (length - WORD) // 2
+    left = np.clip(name - half - first + 1, 0, n)
+    of = np.repeat(np.arange(len(first)), 2)
+    offset, num, start = (np.stack(x, 1).ravel() for x in ((left * 0, left), (left, n - left), (name - half, name)))
+    some = num > 0
+    of, offset, num, start = of[some], offset[some], num[some], start[some]
+    return of, offset, num, hashed(words, start, np.full(len(of), half + WORD))
+
+
 def pack(arrays: list[np.ndarray]) -> bytes:
     head = np.array([len(a) for a in arrays], "<i8")
     return zstandard.compress(b"".join([head.tobytes(), *(a.tobytes() for a in arrays)]), LEVEL)
@@ -144,8 +166,8 @@ def unpack(packed: bytes) -> list[np.ndarray]:
 
 
 def block_rows(rank: np.ndarray, mark: np.ndarray, pieces: list[tuple[int, int, bytes]], length: int,
-               buckets: int) -> Iterator[tuple[int, bytes]]:
-    """(bucket, packed regions) of a block; ``pieces`` are (document, offset in it, bytes)."""
+               buckets: int, hot: tuple[np.ndarray, np.ndarray] = COLD) -> Iterator[tuple[int, bytes]]:
+    """(bucket, packed regions) of a block; ``pieces`` are (document, offset in it, bytes), ``hot`` is of ``frequent``."""
     size = np.array([len(p[2]) for p in pieces], np.int64)
     ends = np.cumsum(size)
     starts = ends - size
@@ -188,9 +210,39 @@ def block_rows(rank: np.ndarray, mark: np.ndarray, pieces: list[tuple[int, int,
     by_entry = np.argsort(of, kind="stable")
     own_start, count = own_start[by_entry], np.bincount(of, minlength=len(entries))
     count_end = np.cumsum(count)
-    bucket = ((words[name[entries]] ^ MIX) * DEAL >> np.uint64(33)) % np.uint64(buckets)
-    bucket = bucket.astype(np.int64)
     hit_doc, hit_start, hit_end = doc[order][hit], start[order][hit], (start + span)[order][hit]
+    # What travels: (entry, offset in it, suffixes, key); entries of frequent names are cut.
+    of, offset, num, key = np.arange(len(entries)), np.zeros(len(entries), np.int64), n[entries], words[name[entries]]
+    often = np.isin(key, hot[0])
+    if often.any():
+        cut = np.flatnonzero(often)
+        at = entries[cut]
+        side = sides(words, first[at], n[at], name[at], length)
+        side = (cut[side[0]], *side[1:])
+        very = np.isin(side[3], hot[1])
+        each = np.repeat(side[0][very], side[2][very])
+        nth = np.arange(len(each)) - np.repeat(np.cumsum(side[2][very]) - side[2][very], side[2][very])
+        nth += np.repeat(side[1][very], side[2][very])
+        at = first[entries[each]] + nth
+        full = np.full(len(each), length)
+        whole = hashed(words, at, full)
+        # Of equal suffixes those of the smallest document stay, as with regions.
+        own = rank[doc[entries[each]]]
+        by = np.lexsort((own, whole))
+        head = by[np.maximum.accumulate(np.where(np.r_[True, whole[by][1:] != whole[by][:-1]], np.arange(len(by)), 0))
+                  ] if len(by) else by
+        later = same_bytes(words, at[by], at[head], full) & (own[by] > own[head])
+        lost, stay = by[later], np.sort(by[~later])
+        c = count[each[lost]]
+        s = own_start[np.repeat(count_end[each[lost]] - np.cumsum(c), c) + np.arange(int(c.sum()))]
+        s = s + np.repeat(nth[lost], c)
+        hit_doc, hit_start, hit_end = (np.r_[hit_doc, np.repeat(doc[entries[each[lost]]], c)], np.r_[hit_start, s],
+                                       np.r_[hit_end, s + length])
+        of, offset, num, key = (np.concatenate(x) for x in zip(
+            (of[~often], offset[~often], num[~often], key[~often]), (x[~very] for x in side),
+            (each[stay], nth[stay], np.ones(len(stay), np.int64), whole[stay])))
+    bucket = ((key ^ MIX) * DEAL >> np.uint64(33)) % np.uint64(buckets)
+    bucket = bucket.astype(np.int64)
     known = np.lexsort((hit_start, hit_doc))
     hit_doc, hit_start, hit_end = hit_doc[known], hit_start[known], hit_end[known]
     cut = np.r_[0, np.flatnonzero(np.diff(hit_doc)) + 1, len(hit_doc)] if len(hit_doc) else np.zeros(1, int)
@@ -203,18 +255,20 @@ def block_rows(rank: np.ndarray, mark: np.ndarray, pieces: list[tuple[int, int,
     edges = np.searchsorted(bucket[by_bucket], [filled, filled + 1])
     for b, i, j in zip(filled.tolist(), *edges.tolist()):
         e, mine = by_bucket[i:j], told.get(b, [])
-        e = e[np.lexsort((start[entries[e]], doc[entries[e]]))]      # in page order they pack best
-        r = entries[e]
+        e = e[np.lexsort((start[entries[of[e]]] + offset[e], doc[entries[of[e]]]))]      # in page order they pack best
+        r = entries[of[e]]
+        from_, size = first[r] + offset[e], num[e] + length - 1
         docs, local = np.unique(np.concatenate([doc[r], [m[0] for m in mine]]).astype(np.int64), return_inverse=True)
-        to = np.cumsum(span[r])
-        source = np.repeat(first[r] - (to - span[r]), span[r]) + np.arange(int(to[-1]) if len(to) else 0)
-        runs = count[e]
+        to = np.cumsum(size)
+        source = np.repeat(from_ - (to - size), size) + np.arange(int(to[-1]) if len(to) else 0)
+        runs = count[of[e]]
         ends_ = np.cumsum(runs)
-        take = np.repeat(count_end[e] - ends_, runs) + np.arange(int(ends_[-1]) if len(ends_) else 0)
+        take = np.repeat(count_end[of[e]] - ends_, runs) + np.arange(int(ends_[-1]) if len(ends_) else 0)
+        own = own_start[take] + np.repeat(offset[e], runs)
         yield b, pack([
             rank[docs].astype("<i8"), mark[docs].astype("<i4"),
-            np.diff(local[:len(r)], prepend=0).astype("<i4"), span[r].astype("<u2"),
-            (name[r] - first[r]).astype("<u2"), runs.astype("<u4"), own_start[take].astype("<i8"), buffer[source],
+            np.diff(local[:len(r)], prepend=0).astype("<i4"), size.astype("<u2"),
+            (name[r] - from_).astype("<u2"), runs.astype("<u4"), own.astype("<i8"), buffer[source],
             np.repeat(local[len(r):], [len(m[1]) for m in mine]).astype("<i4"),
             np.concatenate([m[1] for m in mine] or [[]]).astype("<i8"),
             np.concatenate([m[2] for m in mine] or [[]]).astype("<i8")])
@@ -413,7 +467,50 @@ def bucket_hits(packed: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     return rank[d], mark[d], s - d * apart, e - d * apart
 
 
-def _packed(docs: DataFrame, buckets: int, length: int) -> DataFrame:
+def weights(texts: list[bytes], length: int) -> Iterator[tuple[bool, np.ndarray, np.ndarray]]:
+    """(whether with the bytes beside, keys, bytes of regions) of naming strings; equal regions of a scan count once."""
+    texts = [t[at:at + SCAN] for t in texts if len(t) >= length for at in range(0, len(t) - length + 1, SCAN - length + 1)]
+    at = 0
+    while at < len(texts):
+        to, held = at, 0
+        while to < len(texts) and (to == at or held + len(texts[to]) <= SCAN):
+            held += len(texts[to])
+            to += 1
+        ends = np.cumsum([len(t) for t in texts[at:to]])
+        buffer = np.frombuffer(b"".join(texts[at:to]), np.uint8)
+        first, n, name = regions(buffer, np.r_[0, ends[:-1]], ends, length)
+        words = words_at(buffer)
+        one = np.unique(hashed(words, first, n + length - 1), return_index=True)[1]
+        first, n, name = first[one], n[one], name[one]
+        of, _, num, beside = sides(words, first, n, name, length)
+        for kind, keys, size in ((False, words[name], n), (True, beside, num)):
+            keys, place = np.unique(keys, return_inverse=True)
+            yield kind, keys, np.bincount(place, size + length - 1, len(keys)).astype(np.int64)
+        at = to
+
+
+def frequent(docs: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Naming strings of (text) whose regions take over ``HOT`` bytes, and such keys of one with the bytes beside it."""
+    share, long_, least = SAMPLE, F.octet_length("text") >= LONG, HOT
+    looked = docs.where(long_ | (F.rand(1) < 1 / share)).select(
+        F.when(long_, 1).otherwise(share).cast("long").alias("times"), "text")
+
+    def run(batches):
+        for batch in batches:
+            for b in blocks(batch, 1, BLOCK):
+                times, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+                for n in set(times):
+                    for kind, keys, size in weights([x.encode() for x, m in zip(texts, times) if m == n and x], length):
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(np.full(len(keys), kind)), pa.array(keys.view(np.int64)), pa.array(size * n)],
+                            names=WEIGHTS.names)
+
+    heavy = looked.mapInArrow(run, WEIGHTS).groupBy("beside", "key").agg(F.sum("weight").alias("weight")).where(
+        F.col("weight") > least).collect()
+    return tuple(np.array(sorted(r.key for r in heavy if r.beside == k), np.int64).view(np.uint64) for k in (False, True))
+
+
+def _packed(docs: DataFrame, buckets: int, length: int, hot: tuple[np.ndarray, np.ndarray] = COLD) -> DataFrame:
     def run(batches):
         for batch in batches:
             for b in blocks(batch, 2, BLOCK):
@@ -425,7 +522,7 @@ def _packed(docs: DataFrame, buckets: int, length: int) -> DataFrame:
                 group, held = [], 0
                 for piece in [*pieces, None]:
                     if group and (piece is None or held + len(piece[2]) > BLOCK):
-                        rows = list(block_rows(rank, mark, group, length, buckets))
+                        rows = list(block_rows(rank, mark, group, length, buckets, hot))
                         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
                                                           pa.array([r[1] for r in rows], pa.binary())],
                                                          names=REGIONS.names)
@@ -449,7 +546,8 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         return pa.table([pa.array(rank, pa.int64()), pa.array(mark, pa.int32()), pa.array(start, pa.int64()),
                          pa.array(end, pa.int64())], names=HITS.names)
 
-    dealt = _packed(docs, buckets, length).repartition(buckets, "bucket")
+    hot = frequent(docs, length) if buckets > 1 else COLD
+    dealt = _packed(docs, buckets, length, hot).repartition(buckets, "bucket")
     return dealt.groupBy("bucket").applyInArrow(run, HITS)
 
 

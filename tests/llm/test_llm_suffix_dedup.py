@@ -52,6 +52,53 @@ def test_blocks_and_buckets_equal_brute_force():
         assert all((got[d[0]] == gone).all() for d, gone in zip(docs, brute(docs, length)))
 
 
+def packed_rows(docs, length, buckets, per_block, hot):
+    rows = {}
+    for k in range(0, len(docs), per_block):
+        part = docs[k:k + per_block]
+        pieces = [(n, 0, t) for n, (_, t) in enumerate(part) if len(t) >= length]
+        for b, packed in block_rows(np.array([d[0] for d in part]), np.zeros(len(part), np.int32), pieces, length,
+                                    buckets, hot):
+            rows.setdefault(b, []).append(packed)
+    return rows
+
+
+def keys_of(docs, length):
+    found = [list(suffix_dedup.weights([t], length)) for _, t in docs]
+    return [np.unique(np.concatenate([x[1] for f in found for x in f if x[0] == k] or [suffix_dedup.COLD[0]]))
+            for k in (False, True)]
+
+
+def test_frequent_names_are_dealt_finer_with_the_same_result():
+    rnd = random.Random(12)
+    for _ in range(40):
+        length = rnd.choice([16, 24, 50, 51])
+        docs = [(i, t.encode()) for i, t in made(rnd, length)]
+        names, beside = keys_of(docs, length)
+        hot = (names[::rnd.choice([1, 2])], beside[::rnd.choice([1, 2, 10 ** 6])])
+        got = {i: np.zeros(len(t), bool) for i, t in docs}
+        for packed in packed_rows(docs, length, 7, rnd.choice([1, 4, 100]), hot).values():
+            for i, _, s, e in zip(*bucket_hits(packed, length)):
+                got[int(i)][s:e] = True
+        assert all((got[d[0]] == gone).all() for d, gone in zip(docs, brute(docs, length)))
+
+
+def test_a_frequent_name_is_not_one_bucket(spark, monkeypatch):
+    rnd = random.Random(4)
+    order = lambda w: int(np.frombuffer(w, "<u8")[0]) * int(suffix_dedup.ORDER) % 2 ** 64
+    mix = lambda h: (h ^ h >> 31) * int(suffix_dedup.MIX) % 2 ** 64
+    name = min((f"t{i:06} ".encode() for i in range(20000)), key=lambda w: mix(order(w)))
+    word = lambda: "".join(rnd.choices("abcdefghij", k=45)).encode()
+    docs = [(i, b"".join(word() + name for _ in range(40)) + word()) for i in range(50)]
+    for limit in ("SAMPLE", 1), ("HOT", 20000):
+        monkeypatch.setattr(suffix_dedup, *limit)
+    hot = suffix_dedup.frequent(frame(spark, "text string", [(t.decode(),) for _, t in docs]), 50)
+    assert int(np.frombuffer(name, "<u8")[0]) in hot[0].tolist() and len(hot[1]) == 0
+    most = [max(sum(len(p) for p in x) for x in packed_rows(docs, 50, 16, 10, h).values())
+            for h in (suffix_dedup.COLD, hot)]
+    assert most[0] > 3 * most[1]
+
+
 def test_sorting_equals_sorted_and_groups_equal_suffixes():
     rnd = random.Random(8)
     text = "".join(rnd.choice(["x" * 45 + "abc", "x" * 45 + "abd", "yz", "q" * 60]) for _ in range(60)).encode()
