@@ -2,7 +2,9 @@
 
 The page becomes a tree of elements. Parts that never belong to an article go
 first: by element (scripts, menus, forms, ...) or by a word of their class or
-id (advert, sidebar, comments, ...). Each block with text of its own is a
+id (advert, sidebar, comments, ...) unless that speaks of the page's layout or
+of an article's part (has-sidebar, entry-header), or the element holds an
+article or nearly all text of the page. Each block with text of its own is a
 paragraph; it passes points for its length and commas to its parent and half of
 them to its grandparent, and each container's sum is discounted by the share of
 its text that stands in links. The best container, or the article element around
@@ -42,15 +44,20 @@ NOT_MAIN = set("ad ads advert adverts advertisement advertising banner breadcrum
                "pager pagination popup promo related replies respond share sharing sidebar social sponsor sponsored "
                "subscribe toolbar widget".split())
 MAIN_WORDS = set("article body content entry main post story text".split())
+#: A name that starts with one of these tells what stands in the element or beside it, not what it is.
+STATE = set("has have is no not with without show shows hide hides hidden enable enabled disable disabled".split())
 NAME = re.compile(r"[a-z0-9]+")
+NEARLY_ALL = 0.8
 LEAST_LENGTH, SIBLING_SHARE, SIBLING_LENGTH = 25, 0.2, 80
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "words", "points")
+    __slots__ = ("tag", "parent", "items", "words", "points", "names")
 
-    def __init__(self, tag: str, parent: Node | None, words: frozenset = frozenset()):
-        self.tag, self.parent, self.words = tag, parent, words
+    def __init__(self, tag: str, parent: Node | None, named: str = ""):
+        self.tag, self.parent = tag, parent
+        self.words = frozenset(NAME.findall(named)) if named else frozenset()
+        self.names = named.split() if self.words & NOT_MAIN else []
         self.items: list[Node | str] = []
         self.points = 0.0
 
@@ -70,7 +77,7 @@ class TreeBuilder(HTMLParser):
         if tag in CLOSES:
             self._close(CLOSES[tag])
         named = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower()
-        node = Node(tag, self.at, frozenset(NAME.findall(named)) if named else frozenset())
+        node = Node(tag, self.at, named)
         self.at.items.append(node)
         if tag not in VOID:
             self.at = node
@@ -117,24 +124,60 @@ def parse(html: str) -> Node:
     return builder.root
 
 
+def _within_article(node: Node) -> bool:
+    up = node.parent
+    while up and up.tag not in ("article", "main"):
+        up = up.parent
+    return up is not None
+
+
 def _unwanted(node: Node) -> bool:
-    if node.tag in NEVER:
-        return True
-    if node.tag == "header":
-        up = node.parent
-        while up and up.tag not in ("article", "main"):
-            up = up.parent
-        return up is None
-    return bool(node.words & NOT_MAIN) and node.tag not in ("html", "body", "article", "main")
+    """Whether the element itself is of no article."""
+    return node.tag in NEVER or node.tag == "header" and not _within_article(node)
+
+
+def _ill_named(node: Node) -> bool:
+    """Whether a class, id or role says that the element is no part of an article."""
+    if not node.names or node.tag in ("html", "body"):
+        return False
+    plain, parts = False, False
+    for name in node.names:
+        words = NAME.findall(name)
+        bad = set(words) & NOT_MAIN
+        if not bad or words[0] in STATE:
+            continue
+        if bad == {"header"} and (set(words) & MAIN_WORDS or _within_article(node)):
+            continue
+        plain |= len(words) == 1
+        parts = True
+    # Beside a name like post, only a plain one such as sidebar counts.
+    return plain or parts and not any(n in MAIN_WORDS for n in node.names)
 
 
 def prune(root: Node) -> None:
     """Take unwanted elements out of the tree."""
-    todo = [root]
+    order, todo = [], [root]
     while todo:
         node = todo.pop()
+        order.append(node)
         node.items = [x for x in node.items if isinstance(x, str) or not _unwanted(x)]
         todo += [x for x in node.items if not isinstance(x, str)]
+    ill = {n for n in order if n.names and n.tag not in ("article", "main") and _ill_named(n)}
+    if not ill:
+        return
+    size, holds = dict.fromkeys(order, 0), set()
+    for node in reversed(order):
+        if node.tag != "a":
+            size[node] += sum(len(x.strip()) for x in node.items if isinstance(x, str))
+            if node.parent:
+                size[node.parent] += size[node]
+        if node.parent and (node in holds or node.tag in ("article", "main") and not _ill_named(node)):
+            holds.add(node.parent)
+    # A compound name on what holds nearly all text is that of a wrapper.
+    ill = {n for n in ill if n not in holds and (
+        any(x in NOT_MAIN for x in n.names) or size[n] < max(LEAST_LENGTH, NEARLY_ALL * size[root]))}
+    for node in order:
+        node.items = [x for x in node.items if isinstance(x, str) or x not in ill]
 
 
 def _block_of(node: Node) -> Node:

@@ -41,6 +41,24 @@ def test_unwanted_parts_go_and_blocks_are_joined():
     assert main_text(PAGE) == f"Head\xadline {LONG} One twothree four five <6> {LONG} item one item two"
 
 
+@pytest.mark.parametrize("start, end", [
+    ('<div class="content has-sidebar">', "</div>"), ('<div id="page" class="with-header">', "</div>"),
+    ('<section class="post no-comments">', "</section>"), ('<div class="post comments-open">', "</div>"),
+    ('<div class="two-column-sidebar">', "</div>"), ("<div class=widget><article>", "</article></div>"),
+])
+def test_wrappers_keep_the_article_inside(start, end):
+    page = f"<body>{start}<p>{LONG}</p><p>{LONG}</p><div class=sidebar><p>{LONG}</p></div>{end}</body>"
+    assert main_text(page) == f"{LONG} {LONG}"
+
+
+def test_headers_of_an_entry_stay_and_parts_beside_go():
+    for head in ("entry-header", "header"):
+        page = f"""<body><article><div class="{head}"><h1>Title</h1></div><p>{LONG}</p><p>{LONG}</p>
+<div class="post-comments"><p>{LONG}</p></div></article><div id=comments><article class=comment><p>{LONG}</p></article>
+</div></body>"""
+        assert main_text(page) == f"Title {LONG} {LONG}"
+
+
 def test_links_discount_a_container():
     links = "".join(f"<p><a href=/{i}>{LONG}</a></p>" for i in range(9))
     root = parse(f"<body><div id=a>{links}</div><div id=b><p>{LONG}</p><p>{LONG}</p></div></body>")
