@@ -9,7 +9,8 @@ paragraph; it passes points for its length and commas to its parent and half of
 them to its grandparent, and each container's sum is discounted by the share of
 its text that stands in links. The best container, or the article element around
 it, is kept with those of its siblings that score well beside it, or are plain
-paragraphs beside it.
+paragraphs beside it. Beside a container that is no article element, headings,
+lists, short paragraphs and bare text with few links stay too.
 
 Text of the kept elements is read in page order: references decoded, blocks
 split at block elements and line breaks, white space within a block turned
@@ -48,6 +49,8 @@ MAIN_WORDS = set("article body content entry main post story text".split())
 STATE = set("has have is no not with without show shows hide hides hidden enable enabled disable disabled".split())
 NAME = re.compile(r"[a-z0-9]+")
 NEARLY_ALL = 0.8
+#: Elements that stay beside the best container, if few of their words are links.
+BESIDE = set("h1 h2 h3 h4 h5 h6 hgroup p ul ol dl blockquote pre table figure".split())
 LEAST_LENGTH, SIBLING_SHARE, SIBLING_LENGTH = 25, 0.2, 80
 
 
@@ -225,7 +228,7 @@ def measure(root: Node):
     return [n for n in order if n.points > 0], length, linked
 
 
-def main_nodes(root: Node) -> list[Node]:
+def main_nodes(root: Node) -> list[Node | str]:
     """The best container with the siblings that are kept, in page order."""
     prune(root)
     scored, length, linked = measure(root)
@@ -240,18 +243,27 @@ def main_nodes(root: Node) -> list[Node]:
     best = around or best
     if not best.parent:
         return [best]
-    kept = []
-    for x in best.parent.items:
-        if isinstance(x, str):
+    plain = best.tag not in ("article", "main")
+    kept: list[Node | str] = []
+    run: list[Node | str] = []
+    for x in [*best.parent.items, None]:
+        node = isinstance(x, Node)
+        few_links = node and linked[x] <= 0.25 * length[x]
+        good = node and (x is best or x.points >= max(SIBLING_SHARE * best.points, 0.5))
+        if isinstance(x, str) or node and not good and (x.tag == "br" or x.tag not in BLOCK):
+            run.append(x)
             continue
-        few_links = linked[x] <= 0.25 * length[x]
-        if x is best or x.points >= max(SIBLING_SHARE * best.points, 0.5) or (
-                x.tag == "p" and few_links and length[x] >= SIBLING_LENGTH):
+        # Bare text and the inline elements in it are one paragraph.
+        size = sum(len(r.strip()) if isinstance(r, str) else length[r] for r in run)
+        if plain and size and sum(linked[r] for r in run if isinstance(r, Node)) <= 0.25 * size:
+            kept += run
+        run = []
+        if good or few_links and (x.tag == "p" and length[x] >= SIBLING_LENGTH or plain and x.tag in BESIDE):
             kept.append(x)
     return kept
 
 
-def text_of(nodes: list[Node]) -> str:
+def text_of(nodes: list[Node | str]) -> str:
     """Blocks in page order, joined by one blank."""
     parts: list[str] = []
     todo: list[Node | str] = nodes[::-1]

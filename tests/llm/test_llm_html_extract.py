@@ -77,6 +77,15 @@ def test_a_sibling_that_scores_well_is_kept():
     assert main_text(f"<body><div><a href=/>x</a></div>{two}{two}</body>").count(LONG) == 4
 
 
+def test_headings_and_short_parts_beside_the_container_stay():
+    text = f"<div class=text><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+    menu = "<ul><li><a href=/1>One</a><li><a href=/2>Two</a></ul><p><a href=/3>Next page</a></p> <a href=/4>Up</a>"
+    page = f"""<body><div id=post><h1>Title</h1>By <b>A</b>uthor<br>today, on <a href=/m>may</a> the first of the year
+{text}<ul><li>item</ul>{menu}<p>Short end.</p>Bare end</div><div>elsewhere</div></body>"""
+    assert main_text(page) == (f"Title By Author today, on may the first of the year {LONG} {LONG} {LONG} item "
+                               "Short end. Bare end")
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("plain", "plain"), ("<p>a<p>b", "a b"), ("<div class=ad>x</div>", ""), ("<p", ""),
     ("<p>cut &am", "cut &am"), ("</p></div>stray", "stray"), ("<script>x</script>", ""), ("<!-- c --><p>d</p>", "d"),
