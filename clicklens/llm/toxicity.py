@@ -6,15 +6,16 @@ for, and what is no word becomes one blank. An entry of the lexicon is the
 beginning of a word. Entries and weights are learned from labelled documents:
 word beginnings that mark label 1 far more often than chance, with their log
 odds as weight. Longer beginnings of an entry that mark clean documents are its
-exceptions: where one matches, the entry does not count. Phrases can be given
-as exceptions too.
+exceptions: where one matches, the entry does not count. Pairs and triples of
+words around an entry that mark clean documents are exceptions too, and further
+phrases can be given.
 
 The score is a logistic function of the matched weight, plain and normalised by
 the text's length, fitted on the same labelled documents.
 
 Learning uses ``per_label`` documents of each label at most, chosen by a hash of
-their ids. Their word beginnings are counted on the executors; what reaches the
-driver are the entries that pass the test and one row of features for each of
+their ids. Their word beginnings and phrases are counted on the executors; what reaches the
+driver are the entries and phrases that pass the test and one row of features for each of
 those documents.
 """
 
@@ -39,6 +40,9 @@ SHORTEST, LONGEST = 3, 12
 #: label 1. An exception: that share at most.
 LEAST_DOCS, LEAST_STRENGTH, LEAST_PRECISION, CLEAN_PRECISION = 5, 5.0, 0.4, 0.1
 
+#: A phrase marks clean documents as a word does, and is that far from its entry's share of label 1 besides.
+LEAST_CONTRAST = 2.5
+
 #: Look-alikes of other scripts, then digits and signs, with the letters they stand for.
 LOOK_ALIKE = str.maketrans("аесорхуіјѕԁһклмтвнαεικνορτυχωｇ", "aecopxyijsdhklmtbhaeiknoptuxwg")
 DIGIT = str.maketrans("0134578@$!", "oieastbasi")
@@ -84,9 +88,14 @@ class Lexicon:
             self._automaton.make_automaton()
         hits: dict[int, float] = {}
         not_at = set()
-        for end, (size, weight) in self._automaton.iter(" " + " ".join(words)):
+        text = " " + " ".join(words) + " "
+        for end, (size, weight) in self._automaton.iter(text):
             if weight is None:
-                not_at.add(end - size)
+                # An entry that starts at any word of a phrase is inside of it.
+                at = end - size + 1
+                while at >= 0:
+                    not_at.add(at - 1)
+                    at = text.find(" ", at + 1, end)
             else:
                 hits[end - size] = max(weight, hits.get(end - size, 0.0))
         return [w for at, w in hits.items() if at not in not_at]
@@ -121,6 +130,35 @@ def _beginnings(labelled: DataFrame) -> DataFrame:
             .groupBy("term").agg(F.sum("ones").alias("ones"), F.sum("docs").alias("docs")))
 
 
+def _phrases(labelled: DataFrame, entries: dict[str, float], not_words: list[str]) -> DataFrame:
+    """(entry, phrase, ones, docs): as above, of the pairs and triples of words around an entry."""
+    known = set(not_words)
+
+    def run(batches):
+        for batch in batches:
+            ones, docs = Counter(), Counter()
+            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words, found = folded(text), set()
+                for i, w in enumerate(words):
+                    heads = [w[:k] for k in range(SHORTEST, min(LONGEST, len(w)) + 1)]
+                    entry = next((h for h in heads if h in entries), None)
+                    if entry is None or not known.isdisjoint(heads):
+                        continue
+                    found.update((entry, " ".join(words[a:b])) for a, b in (
+                        (i - 1, i + 1), (i, i + 2), (i - 2, i + 1), (i - 1, i + 2), (i, i + 3))
+                        if a >= 0 and b <= len(words))
+                docs.update(found)
+                if label:
+                    ones.update(found)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([k[0] for k in docs], pa.string()), pa.array([k[1] for k in docs], pa.string()),
+                pa.array([ones[k] for k in docs], pa.int64()), pa.array(list(docs.values()), pa.int64())],
+                names=["entry", "phrase", "ones", "docs"])
+
+    return (labelled.select("text", "label").mapInArrow(run, "entry string, phrase string, ones long, docs long")
+            .groupBy("entry", "phrase").agg(F.sum("ones").alias("ones"), F.sum("docs").alias("docs")))
+
+
 def _strength(ones: int, docs: int, share: float) -> float:
     """Root of the likelihood ratio against a term that marks label 1 as often as any document has it."""
     clean = docs - ones
@@ -185,6 +223,13 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .select("term", "ones", "docs").distinct())
     rows = strong.collect() + below.collect()
     entries, not_words = _select(rows, n.get(1, 0), n.get(0, 0))
+    if entries:
+        share = {r["term"]: min(r["ones"] / r["docs"], 0.99) for r in rows if r["term"] in entries}
+        found = _phrases(labelled, entries, not_words).where(
+            (F.col("docs") - F.col("ones") >= LEAST_DOCS) & (F.col("ones") <= CLEAN_PRECISION * F.col("docs"))).collect()
+        # The blank after a phrase makes its last word a whole one.
+        not_words += sorted({r["phrase"] + " " for r in found
+                             if _strength(r["ones"], r["docs"], share[r["entry"]]) >= LEAST_CONTRAST})
     lexicon = Lexicon(entries, [*not_words, *(" ".join(folded(e)) for e in exceptions)], [0.0] * 4)
 
     def features(batches):

@@ -89,6 +89,18 @@ def test_clean_texts_and_exceptions(lexicon, text):
     assert lexicon.score(text) < 0.5
 
 
+def test_phrases_of_clean_documents_are_exceptions(spark):
+    texts = [f"you are such an idiot number{i}" for i in range(60)]
+    texts += [f"an idiot proof design number{i}" for i in range(20)] + [f"the useful idiot of history number{i}" for i in range(20)]
+    texts += [f"plain text number{i}" for i in range(100)]
+    docs = frame(spark, "doc_id long, text string, toxic int", [(i, t, int(i < 60)) for i, t in enumerate(texts)])
+    learned = toxicity.learn(docs, docs.select("doc_id", "toxic"))
+    assert any(e.startswith("idiot proof") for e in learned.exceptions)
+    assert learned.matched("an idiot proof cover".split()) == learned.matched("one useful idiot".split()) == []
+    assert len(learned.matched("idiot proofs of one idiot".split())) == 2
+    assert learned.score("an idiot proof cover") < learned.score("one idiot")
+
+
 def test_toxicity_cases(spark, lexicon):
     df = frame(spark, "doc_id long, text string, score string", [(1, None, "a"), (1, None, "a"), (None, "idiot", "b")])
     out = toxicity.scores(df, lexicon)
