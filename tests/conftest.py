@@ -1,14 +1,8 @@
-import os
-import sys
 import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+import paths  # noqa: F401  (puts the repository on sys.path)
 
 
 @pytest.fixture(scope="session")

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from clicklens import registry
 
-from conftest import ROOT, SF01, SF001
+from paths import ROOT, SF01, SF001
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 from oracle_check import compare  # noqa: E402

@@ -11,7 +11,7 @@ from clicklens.sources import fixtures as fx
 from clicklens.sources.tables import from_rows, scan, typed
 from clicklens.streaming import ads_streams as S
 
-from conftest import SF001
+from paths import SF001
 
 
 def test_scan_path_and_catalog(spark, scratch):

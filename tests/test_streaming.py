@@ -10,7 +10,7 @@ from clicklens.sources import fixtures as fx
 from clicklens.sources.stream import file_stream
 from clicklens.streaming import ads_streams as S
 
-from conftest import SF001
+from paths import SF001
 from stream_tools import write_batches
 
 SCHEMA = ("event_id long, ts timestamp_ntz, area string, city string, uid string, "
