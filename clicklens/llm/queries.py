@@ -23,6 +23,8 @@ from clicklens.llm.langid import learn as learn_languages
 from clicklens.llm.langid import predictions
 from clicklens.llm.pii_crf import find as find_personal_data
 from clicklens.llm.pii_crf import learn as learn_personal_data
+from clicklens.llm.quality import learn as learn_quality
+from clicklens.llm.quality import scores as quality_scores
 from clicklens.llm.secret_ledger import scan
 from clicklens.llm.simhash import near_duplicates
 from clicklens.llm.suffix_dedup import removed
@@ -161,6 +163,16 @@ window g as (partition by t)
 """
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11 over ``documents``; learns from rows of ``labels`` outside fold 1 of 3."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = learn_quality(docs, labels.where(~held_out))
+    out = quality_scores(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_bpe_round_trip": (op1_bpe_round_trip, None),
     "op2_language_id": (op2_language_id, None),
@@ -172,6 +184,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_benchmark_decontamination": (op9_benchmark_decontamination, OP9_SQL),
     "op10_exact_dedup": (op10_exact_dedup, OP10_SQL),
+    "op11_quality": (op11_quality, None),
 }
 
 
