@@ -21,6 +21,7 @@ from clicklens.llm.exact_dedup import exact_groups
 from clicklens.llm.html_extract import extract
 from clicklens.llm.langid import learn as learn_languages
 from clicklens.llm.langid import predictions
+from clicklens.llm.lexical_search import search
 from clicklens.llm.pii_crf import find as find_personal_data
 from clicklens.llm.pii_crf import learn as learn_personal_data
 from clicklens.llm.quality import learn as learn_quality
@@ -173,6 +174,39 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12: the 50 best of ``documents`` for each row of ``benchmark``."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=50)
+
+
+TERMS = "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'"
+OP12_SQL = f"""
+with d as (
+  select row_number() over () as r, doc_id, regexp_extract_all({LOWER}, {TERMS}) as w from documents
+),
+totals as (select count(*) filter (where len(w) > 0) as big_n, sum(len(w)) as big_l from d),
+i as (
+  select distinct item_id, unnest(regexp_extract_all({LOWER}, {TERMS})) as term from benchmark
+),
+tf as (
+  select r, doc_id, n, term, count(*) as tf
+  from (select r, doc_id, len(w) as n, unnest(w) as term from d) where term in (select term from i) group by all
+),
+weight as (
+  select term, cast(floor(1000 * ln((2.0 * max(big_n) + 2) / (2 * count(*) + 1))) as bigint) as weight
+  from tf, totals group by term
+),
+scored as (
+  select item_id, r, doc_id, cast(sum(weight * ((1000000000 * tf) //
+    (1000 * tf + 20 * (50 + (50 * n * cast(big_n as bigint)) // cast(big_l as bigint))))) as bigint) as score
+  from tf join weight using (term) join i using (term), totals group by item_id, r, doc_id
+)
+select item_id, cast(rk as integer) as rank, doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rk from scored where score > 0)
+where rk <= 50
+"""
+
+
 _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_bpe_round_trip": (op1_bpe_round_trip, None),
     "op2_language_id": (op2_language_id, None),
@@ -185,6 +219,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op9_benchmark_decontamination": (op9_benchmark_decontamination, OP9_SQL),
     "op10_exact_dedup": (op10_exact_dedup, OP10_SQL),
     "op11_quality": (op11_quality, None),
+    "op12_lexical_search": (op12_lexical_search, OP12_SQL),
 }
 
 
