@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from clicklens.config import shared_dir
 from clicklens.llm.bpe import encoded_and_decoded
 from clicklens.llm.common import table
+from clicklens.llm.conversation_repair import damaged, repair
 from clicklens.llm.decontaminate import contamination
 from clicklens.llm.exact_dedup import exact_groups
 from clicklens.llm.html_extract import extract
@@ -207,6 +208,12 @@ where rk <= 50
 """
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13 over ``conversations``, damaged by the contract's rule; every conversation has a row."""
+    given = table(spark, sf_dir, "conversations")
+    return repair(damaged(given), every=given.select("conv_id"))
+
+
 _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_bpe_round_trip": (op1_bpe_round_trip, None),
     "op2_language_id": (op2_language_id, None),
@@ -220,6 +227,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op10_exact_dedup": (op10_exact_dedup, OP10_SQL),
     "op11_quality": (op11_quality, None),
     "op12_lexical_search": (op12_lexical_search, OP12_SQL),
+    "op13_conversation_repair": (op13_conversation_repair, None),
 }
 
 
