@@ -3,6 +3,7 @@
 import functools
 import hashlib
 import random
+import sys
 import zlib
 
 import pytest
@@ -14,6 +15,7 @@ from llm_tools import frame
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 NEVER = C.INFINITE
+sys.setrecursionlimit(20_000)  # the plain search goes down once for each row
 
 
 def cheapest(kinds, faults):
