@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clicklens.llm.bpe import Decoder, Encoder, Vocabulary, decode, encode, encoded_and_decoded
+from clicklens.llm.queries import op1_bpe_round_trip
 from llm_tools import frame
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,7 +26,7 @@ def check(made, texts):
     for t, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
         ids = np.frombuffer(encoder.encode(t), "<i4")
         assert ids.tolist() == want.ids, t[:80]
-        assert decoder.decode(ids).tobytes().decode() == library.decode(want.ids, skip_special_tokens=False)
+        assert decoder.decode(ids)[0].tobytes().decode() == library.decode(want.ids, skip_special_tokens=False)
 
 
 def test_equals_the_library_on_random_texts(made):
@@ -45,9 +47,39 @@ def test_special_token_and_long_texts_without_a_cut(made):
 
 def test_forced_boundaries_are_never_merged_across(made):
     v = made[0].v
-    part = "zqxjkvwq".encode()
-    assert [x for p in v.parts(part) for x in v.merged(p)] == v.merged(part)
-    assert v._merged_long([v.single[b] for b in part * 20]) == v.merged(part * 20)
+    piece = "zqxjkvwq".encode()
+    whole = v._merged_long([v.single[b] for b in piece])
+    ids, number = v.encoded([piece, b"a", piece * 20, b"the"])
+    assert ids[:number[0]].tolist() == whole and number.sum() == len(ids)
+    assert ids[number[:2].sum():number[:3].sum()].tolist() == v._merged_long([v.single[b] for b in piece * 20])
+    held = {bytes([a, b]) for t in v.bytes.values() for a, b in zip(t, t[1:])}
+    for a, b in zip(piece, piece[1:]):
+        assert v.cut[a, b] == (bytes([a, b]) not in held)
+
+
+def test_memo_generations_change_nothing(made, monkeypatch):
+    monkeypatch.setattr("clicklens.llm.bpe.MEMO_BYTES", 2000)
+    small = Encoder(made[0].v)
+    rnd = random.Random(8)
+    words = ["".join(rnd.choices("abcdeé", k=rnd.randint(1, 9))) for _ in range(300)]
+    texts = [" ".join(rnd.choices(words, k=40)) for _ in range(200)]
+    got = [x for i in range(0, 200, 7) for x in small.encode_all(texts[i:i + 7])]
+    assert got == made[0].encode_all(texts) and small.old and len(small) < 300
+
+
+def test_query_digests(spark):
+    sf = "/root/testdata/sf0.001"
+    library = Tokenizer.from_file(PATH)
+    library.no_truncation()
+    library.no_padding()
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    want = {}
+    for r in rows:
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False)
+        want[r.doc_id] = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                          hashlib.sha256(back.encode()).hexdigest())
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in op1_bpe_round_trip(spark, sf).collect()} == want
 
 
 def test_rows_nulls_clashing_columns_and_repeats(spark):
