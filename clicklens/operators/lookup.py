@@ -2,7 +2,8 @@
 
 A side is broadcast by hint only when its size is bounded or was measured: it
 is a top-n result or a parameter list whose rows fit ``MAX_BROADCAST_BYTES``, or
-``checked_side`` has materialised it and its table is small. Any other side (a
+all files it is made from are small, or ``checked_side`` has materialised it and
+its table is small. Any other side (a
 blacklist that grows for ever) gets no hint: Catalyst's statistics and AQE's
 runtime sizes decide, and fall back to a shuffled join.
 """
@@ -20,6 +21,15 @@ from clicklens.config import shared_dir
 # bounded number of rows at the width of a lookup row (a few ids and counts).
 MAX_BROADCAST_BYTES = 16 << 20
 ROW_BYTES = 256
+# How much larger than its compressed file a column may be in memory, for sides that are not materialised.
+UNPACKED = 4
+
+
+def file_bytes(df: DataFrame) -> int:
+    """Bytes of the files (or stored partitions) that ``df`` is made from, as the optimizer knows
+    them; a source of unknown size counts as huge."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def _side(small: DataFrame, max_rows: int | None) -> DataFrame:
@@ -41,12 +51,15 @@ def attach(df: DataFrame, small: DataFrame, on: str | Sequence[str], how: str =
 
 
 def checked_side(side: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """``side`` as a written table in the shared folder, with a broadcast hint if
-    its files are at most ``max_bytes``; joined by shuffle otherwise.
+    """``side`` with a broadcast hint if it is at most ``max_bytes``; joined by shuffle otherwise.
 
-    The side is computed once, before the join that needs it, so the other
-    side is not shuffled only to find that it need not be.
+    A side whose input files are small needs no other check: it is an aggregate
+    or a choice of their rows. Any other side becomes a table in the shared folder
+    and its files are measured: it is computed once, before the join that needs
+    it, so the other side is not shuffled only to find that it need not be.
     """
+    if file_bytes(side) * UNPACKED <= max_bytes:
+        return F.broadcast(side)
     spark = side.sparkSession
     path = shared_dir(spark, "sides")
     side.write.parquet(path)

@@ -143,12 +143,17 @@ def trend(clicks: DataFrame, window: str = TREND_WINDOW, slide: str = TREND_SLID
     multiple of the slide and ``t+B-W <= s <= t``: the same windows as
     ``window(ts, W, slide)`` gives each of its clicks.
     """
+    return bucket_windows(trend_buckets(clicks, bucket), window, slide, bucket)
+
+
+def bucket_windows(buckets: DataFrame, window: str, slide: str, bucket: str) -> DataFrame:
+    """Every row (adid, bucket_start, click_count) in the windows that its bucket lies in."""
     w, s, b = _check_trend(window, slide, bucket)
     t = _epoch_seconds(F.col("bucket_start"))
     first = F.ceil((t + F.lit(b - w)) / F.lit(s)) * s
     last = F.floor(t / F.lit(s)) * s
     starts = F.explode(F.sequence(first.cast("long"), last.cast("long"), F.lit(s).cast("long")))
-    return (trend_buckets(clicks, bucket)
+    return (buckets
             .select("adid", "bucket_start", "click_count", starts.alias("_ws"))
             .select(_from_epoch_seconds(F.col("_ws")).alias("window_start"),
                     _from_epoch_seconds(F.col("_ws") + F.lit(w)).alias("window_end"),

@@ -5,8 +5,8 @@ visit and the next one form a transition. A transition counts when it is a
 consecutive pair of the target flow. Rate = transitions ``a -> b`` / all
 visits of page ``a``.
 
-Plan: one scan of four columns -> ``with_next`` (``lead`` by session, hot
-sessions in pieces, see ``operators.adjacent``) -> one partial/final aggregate keyed by the source
+Plan: one scan of four columns -> ``with_next`` (``lead`` by session for
+small inputs, ranges of the visits for all others, see ``operators.adjacent``) -> one partial/final aggregate keyed by the source
 page, which yields the page totals and the pair counts together (the flow's
 pairs are a parameter, so each is a conditional count) -> one row per seen
 pair. No whole session is ever in one task, and nothing is collected to the
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicklens.model import DEFAULT_FLOW
-from clicklens.operators.adjacent import HOT_ROWS, with_next
+from clicklens.operators.adjacent import PLAIN_BYTES, with_next
 
 
 def flow_pages(flow: str | Sequence[int]) -> list[int]:
@@ -47,30 +47,30 @@ def _is_target(frm: Column, to: Column, pairs: list[tuple[int, int]]) -> Column:
     return reduce(lambda a, b: a | b, [(frm == a) & (to == b) for a, b in pairs])
 
 
-def _next_page(visits: DataFrame, next_col: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def _next_page(visits: DataFrame, next_col: str, plain_bytes: int = PLAIN_BYTES) -> DataFrame:
     return with_next(visits.select("session_id", "action_time", "event_id", "page_id"),
-                     "session_id", ["action_time", "event_id"], "page_id", next_col, hot_rows)
+                     "session_id", ["action_time", "event_id"], "page_id", next_col, plain_bytes)
 
 
-def page_transitions(visits: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def page_transitions(visits: DataFrame, plain_bytes: int = PLAIN_BYTES) -> DataFrame:
     """Every adjacent visit pair: ``(session_id, event_id, from_page, to_page)``
     (``event_id`` of the first visit of the pair)."""
-    nx = _next_page(visits, "to_page", hot_rows)
+    nx = _next_page(visits, "to_page", plain_bytes)
     return (nx.where(F.col("to_page").isNotNull())
             .select("session_id", "event_id", F.col("page_id").alias("from_page"), "to_page"))
 
 
 def target_transitions(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_FLOW,
-                       hot_rows: int = HOT_ROWS) -> DataFrame:
+                       plain_bytes: int = PLAIN_BYTES) -> DataFrame:
     """The transitions that are consecutive pairs of the flow."""
-    t = page_transitions(visits, hot_rows)
+    t = page_transitions(visits, plain_bytes)
     return t.where(_is_target(F.col("from_page"), F.col("to_page"), flow_pairs(flow)))
 
 
 def target_transition_counts(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_FLOW,
-                             hot_rows: int = HOT_ROWS) -> DataFrame:
+                             plain_bytes: int = PLAIN_BYTES) -> DataFrame:
     """``(from_page, to_page, pair_count)``; pairs never seen are absent."""
-    return (target_transitions(visits, flow, hot_rows)
+    return (target_transitions(visits, flow, plain_bytes)
             .groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("pair_count")))
 
 
@@ -81,10 +81,10 @@ def target_page_visits(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_FL
 
 
 def page_conversion(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_FLOW,
-                    percent: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+                    percent: bool = False, plain_bytes: int = PLAIN_BYTES) -> DataFrame:
     """``(from_page, to_page, pair_count, page_count, rate)`` (+ ``rate_pct`` int,
     truncated, when ``percent``). A flow of fewer than two pages has no pairs:
-    the result is empty. ``hot_rows`` only changes how sessions are spread over
+    the result is empty. ``plain_bytes`` only changes how sessions are spread over
     tasks, never the result."""
     pairs = flow_pairs(flow)
     sources = sorted({a for a, _ in pairs})
@@ -92,7 +92,7 @@ def page_conversion(visits: DataFrame, flow: str | Sequence[int] = DEFAULT_FLOW,
     if not pairs:
         fields = ["from_page long", "to_page long", "pair_count long", "page_count long", "rate double"]
         return visits.sparkSession.createDataFrame([], ", ".join(fields + ["rate_pct int"] * percent))
-    nx = _next_page(visits, "next_page", hot_rows)
+    nx = _next_page(visits, "next_page", plain_bytes)
     frm, nxt = F.col("page_id"), F.col("next_page")
     hit = _is_target(frm, nxt, pairs)
     # One aggregate per source page gives its visit total and, per target page

@@ -21,6 +21,7 @@ from clicklens.model import (CATEGORY_TOP10_SCHEMA, DEFAULT_FLOW, TOP_CATEGORIES
 from clicklens.plans import ads
 from clicklens.plans import categories as cat
 from clicklens.plans import conversion as conv
+from clicklens.sinks.hash_source import read_hash
 from clicklens.sinks.tables import append_rows, overwrite_table
 from clicklens.sources import fixtures as fx
 from clicklens.functions.columns import key_columns
@@ -356,10 +357,13 @@ def _top3_ads(spark, sf):
     return ads.top_ads_per_area(fx.clicks(spark, sf), TOP_N_ADS)
 
 
-@register("top3_ads_json", O.with_(O.CLICKS, _TOP_ADS) + """
+_TOP_ADS_JSON = """
 select concat('top3_ads_per_day:', cast(day as varchar)) as hash_key, area as field,
        to_json(map_from_entries(list(struct_pack(k := adid, v := click_count) order by rk))) as value
-from top_ads group by day, area""")
+from top_ads group by day, area"""
+
+
+@register("top3_ads_json", O.with_(O.CLICKS, _TOP_ADS) + _TOP_ADS_JSON)
 def _top3_ads_json(spark, sf):
     """Q5 key-value form: ``{"ad":count,...}`` per (day, area) in rank order."""
     return ads.top_ads_json(ads.top_ads_per_area(fx.clicks(spark, sf), TOP_N_ADS))
@@ -534,9 +538,39 @@ def _daily_ad_totals_delta_stream(spark, sf):
     return job.stores["totals"].read()
 
 
+@register("daily_ad_totals_emissions_stream", O.with_(O.CLICKS) + """
+select b.batch_id - f.first as emission, cast(c.ts as date) as day, c.area, c.city, c.adid, count(*) as click_count
+from (select unnest(range(min(batch_id), max(batch_id) + 1)) as batch_id from clicks) b
+join clicks c on c.batch_id <= b.batch_id, (select min(batch_id) as first from clicks) f
+group by all""")
+def _daily_ad_totals_emissions(spark, sf):
+    """Q4 as the reference emits it: all running totals after every micro-batch (complete mode)."""
+    return _replayed(spark, sf, lambda c, base: streams.emissions_job(
+        spark, c, base=base, state_partitions=_parts(spark)))["emissions"].read()
+
+
+@register("daily_ad_totals_hash_stream", O.with_(O.CLICKS, _DAILY) + """
+select 'date:area:city:ads' as hash_key, concat_ws(':', cast(day as varchar), area, city, adid) as field,
+       cast(click_count as varchar) as value from daily""")
+def _daily_ad_totals_hash(spark, sf):
+    """Q4's hash through the data source whose partitions write by themselves and whose batches commit once."""
+    out = shared_dir(spark, "streams", "hash")
+
+    def job(stream, base):
+        return streams.StreamJob(streams.hash_job(spark, stream, out, f"{base}/checkpoint",
+                                                  state_partitions=_parts(spark)))
+
+    _replayed(spark, sf, job)
+    return read_hash(spark, out)
+
+
 # Every tenth click arrives two batches (ten days) after its time.
 _ARRIVALS = """
-arrivals as (select *, batch_id + case when event_id % 10 = 0 then 2 else 0 end as arrival from clicks),
+arrivals as (
+  select *, batch_id + case when event_id % 10 = 0 then 2 else 0 end as arrival,
+         ts + case when event_id % 10 = 0 then interval 10 day else interval 0 day end as arrival_ts
+  from clicks
+),
 marks as (
   select a.arrival, (select max(ts) from arrivals b where b.arrival < a.arrival) - interval 3 day as mark
   from (select distinct arrival from arrivals) a
@@ -544,22 +578,28 @@ marks as (
 late as (select a.* from arrivals a join marks m using (arrival) where m.mark is not null and a.ts < m.mark)"""
 
 
-def _bounded(spark, sf):
-    """The totals' stores after the clicks came in order of arrival, one micro-batch for each."""
-    base, folder = shared_dir(spark, "streams", "bounded"), shared_dir(spark, "replay", "arrivals")
+def _arrived(spark, sf, start):
+    """The stores of a job after the clicks came in order of arrival, one micro-batch for each."""
+    base, folder = shared_dir(spark, "streams", "arrived"), shared_dir(spark, "replay", "arrivals")
     clicks = fx.clicks(spark, sf)
-    late = F.when(F.col("event_id") % 10 == 0, 2).otherwise(0)
+    late = F.col("event_id") % 10 == 0
+    arrival_ts = F.when(late, F.col("ts") + F.expr("interval 10 days")).otherwise(F.col("ts"))
     first, last = clicks.agg(F.min("batch_id"), F.max("batch_id")).first()
     job = None
     for b in range(first, last + 3):
-        some = clicks.where(F.col("batch_id").isin(b, b - 2) & (F.col("batch_id") + late == b))
+        some = clicks.where((F.col("batch_id") == b) & ~late | (F.col("batch_id") == b - 2) & late)
+        some = some.withColumn("arrival_ts", arrival_ts)
         some.write.mode("append").parquet(folder)
-        job = streams.daily_totals_job(spark, file_stream(spark, folder, clicks.schema), base=base,
-                                       max_lateness=LATENESS)
+        job = start(file_stream(spark, folder, some.schema), base)
         streams.run_to_end(job.query)
     return job.stores
 
 
+def _bounded(spark, sf):
+    return _arrived(spark, sf, lambda c, base: streams.daily_totals_job(
+        spark, c.drop("arrival_ts"), base=base, max_lateness=LATENESS))
+
+
 @register("daily_ad_totals_bounded_stream", O.with_(O.CLICKS, _ARRIVALS) + """
 select cast(ts as date) as day, area, city, adid, count(*) as click_count
 from arrivals where event_id not in (select event_id from late) group by 1, 2, 3, 4""")
@@ -581,6 +621,12 @@ def _top3_ads_bounded_stream(spark, sf):
     return _replayed(spark, sf, lambda c, base: streams.top_ads_job(spark, c, TOP_N_ADS, base=base))["ranks"].read()
 
 
+@register("top3_ads_json_stream", O.with_(O.CLICKS, _TOP_ADS) + _TOP_ADS_JSON)
+def _top3_ads_json_stream(spark, sf):
+    """Q5's hash as the stream leaves it, over clicks of which every tenth comes ten days late."""
+    return _arrived(spark, sf, lambda c, base: streams.top_ads_job(spark, c, TOP_N_ADS, base=base))["kv"].read()
+
+
 @register("top3_ads_per_area_stream", O.with_(O.CLICKS, _TOP_ADS) + "select * from top_ads")
 def _top3_ads_stream(spark, sf):
     """Q5 as a stream, read back."""
@@ -596,6 +642,79 @@ def _trend_stream(spark, sf):
     return streams.trend_windows(stores["panes"].read(), TREND_W, TREND_S)
 
 
+# The watermark of the windowed trend stays this much behind the newest click.
+TREND_LATENESS = "1 day"
+_TREND_MARK = "(select max(ts) - interval 1 day from clicks)"
+
+
+def _trend_windows(spark, sf):
+    return _replayed(spark, sf, lambda c, base: streams.trend_windows_job(
+        spark, c, TREND_W, TREND_S, TREND_B, TREND_LATENESS, base=base, state_partitions=_parts(spark)))
+
+
+@register("trend_closed_windows_stream", O.with_(O.CLICKS, _TREND) +
+          f"select * from trend where window_end <= {_TREND_MARK}")
+def _trend_closed_windows(spark, sf):
+    """Q6 by watermark, two aggregations in a chain: the windows that are closed, each emitted once."""
+    return _trend_windows(spark, sf)["closed"].read()
+
+
+@register("trend_open_windows_stream", O.with_(O.CLICKS, _TREND) +
+          f"select * from trend where window_end > {_TREND_MARK}")
+def _trend_open_windows(spark, sf):
+    """The other windows of the same job, as far as they are filled: what its two operators keep as state."""
+    return _trend_windows(spark, sf)["open"].read()
+
+
+_ARRIVED_TREND = """
+arrived_panes as (
+  select adid, date_trunc('hour', arrival_ts) as pane, date_trunc('hour', ts) as bucket_start, count(*) as click_count
+  from arrivals group by all
+)"""
+
+
+def _arrived_trend(spark, sf):
+    return _arrived(spark, sf, lambda c, base: streams.trend_job(
+        spark, c, TREND_W, TREND_S, TREND_B, base=base, window_col="arrival_ts"))
+
+
+@register("trend_arrival_stream", O.with_(O.CLICKS, _ARRIVALS, _ARRIVED_TREND) + """
+select ws as window_start, ws + interval 6 hour as window_end, adid, bucket_start,
+       cast(sum(click_count) as bigint) as click_count
+from (select adid, bucket_start, click_count, unnest([pane - to_hours(i) for i in range(0, 6)]) as ws from arrived_panes)
+group by ws, adid, bucket_start""")
+def _trend_arrival(spark, sf):
+    """Q6 over arrival time, as the reference's window is: late clicks show as old buckets of the present window."""
+    return streams.trend_windows(_arrived_trend(spark, sf)["panes"].read(), TREND_W, TREND_S)
+
+
+def _trend_hash_sql(panes: str) -> str:
+    """Per ad, its buckets in the last window, of those begun up to the newest pane, that holds a click of it."""
+    return f"""
+select 'time:advert:click:trend' as hash_key, adid as field,
+       to_json(list(map_from_entries([struct_pack(k := strftime(bucket_start, '%M:%S'), v := n)])
+                    order by bucket_start)) as value
+from (select adid, bucket_start, cast(sum(click_count) as bigint) as n
+      from (select *, max(pane) over (partition by adid) as own, max(pane) over () as newest from {panes})
+      where pane >= least(own, newest - interval 5 hour) group by adid, bucket_start)
+group by adid"""
+
+
+@register("trend_hash_arrival_stream", O.with_(O.CLICKS, _ARRIVALS, _ARRIVED_TREND) + _trend_hash_sql("arrived_panes"))
+def _trend_hash_arrival(spark, sf):
+    """Q6's hash over arrival time, with late clicks among the present ones."""
+    return _arrived_trend(spark, sf)["kv"].read()
+
+
+@register("trend_hash_stream", O.with_(O.CLICKS, _ARRIVALS) + _trend_hash_sql("""(
+  select adid, date_trunc('hour', ts) as pane, date_trunc('hour', ts) as bucket_start, count(*) as click_count
+  from arrivals group by all)"""))
+def _trend_hash(spark, sf):
+    """Q6's hash over event time; the last two micro-batches bring old clicks only and leave it as it is."""
+    return _arrived(spark, sf, lambda c, base: streams.trend_job(
+        spark, c, TREND_W, TREND_S, TREND_B, base=base))["kv"].read()
+
+
 @register("clicks_accepted_stream", O.with_(O.CLICKS, _BAN_BATCH) + "select * from accepted")
 def _accepted_stream(spark, sf):
     """Q7a live: clicks replayed one micro-batch per ``batch_id``; the ban of

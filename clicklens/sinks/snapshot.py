@@ -1,8 +1,7 @@
 """KeyedSnapshot: the reference's key-value result store as a versioned table.
 
-Each micro-batch writes its rows into its own ``batch_id=<b>`` partition with
-dynamic partition overwrite, so a replayed batch replaces exactly what it
-wrote before and nothing is counted twice. Readers merge the partitions:
+Each micro-batch overwrites its own ``batch_id=<b>`` folder, so a replayed batch
+replaces exactly what it wrote before and nothing is counted twice. Readers merge the partitions:
 
 * ``set``    (absolute upsert, like HSET): per key, the rows of the latest
   batch that wrote the key;
@@ -12,8 +11,8 @@ wrote before and nothing is counted twice. Readers merge the partitions:
 * ``log``    (append): every row of every batch, equal rows too.
 
 ``read(upto=b)`` gives the state as of the end of batch ``b``, which is what
-a batch needs to see of its predecessors. ``days`` keeps to partitions of those
-days, for stores that are partitioned by day.
+a batch needs to see of its predecessors. ``days`` and ``buckets`` keep to the
+partitions of those days and hash buckets, for stores that are partitioned so.
 
 ``compact(b)`` folds the state as of batch ``b`` into a base
 (``<path>_base/upto=<b>``) and deletes what lies before the previous base. Reads
@@ -26,20 +25,22 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH_COL = "batch_id"
 BASE_COL = "upto"
+BUCKET_COL = "bucket"
 MODES = ("set", "add", "member", "log")
 
 
 class KeyedSnapshot:
-    """``by_day``: the store also has a ``day`` partition level (a column of the schema)."""
+    """``by_day``: the store also has a ``day`` partition level (a column of the schema).
+    ``bucketed``: (columns, number) of a hash bucket level below it."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 schema: T.StructType, mode: str = "set", by_day: bool = False):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType, mode: str = "set",
+                 by_day: bool = False, bucketed: tuple[Sequence[str], int] | None = None):
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
         if BATCH_COL in schema.fieldNames():
@@ -50,13 +51,22 @@ class KeyedSnapshot:
         self.spark, self.path, self.keys, self.schema, self.mode = spark, path.rstrip("/"), list(keys), schema, mode
         self.values = [f for f in schema.fieldNames() if f not in self.keys]
         self.base_path = f"{self.path}_base"
-        self.levels = ["day"] if by_day else []
-        self._stored = T.StructType(schema.fields + [T.StructField(BATCH_COL, T.LongType())])
+        self.bucketed = bucketed
+        self.levels = ["day"] * by_day + [BUCKET_COL] * bool(bucketed)
+        own = [T.StructField(BUCKET_COL, T.IntegerType())] if bucketed else []
+        self._stored = T.StructType(schema.fields + own + [T.StructField(BATCH_COL, T.LongType())])
+
+    def bucket(self) -> Column:
+        """The hash bucket of a row with the store's bucket columns."""
+        columns, n = self.bucketed
+        return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
 
     # ------------------------------------------------------------------ write
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Store ``df`` as batch ``batch_id`` (replaces an earlier write of that batch)."""
         out = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+        if self.bucketed:
+            out = out.withColumn(BUCKET_COL, self.bucket())
         out.write.mode("overwrite").partitionBy(*self.levels).parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
 
     def compact(self, upto: int) -> None:
@@ -118,15 +128,18 @@ class KeyedSnapshot:
             parts = old if parts is None else old.unionByName(parts)
         return self.spark.createDataFrame([], self._stored) if parts is None else parts
 
-    def _merged(self, upto: int | None, days: Sequence | None = None) -> DataFrame:
+    def _merged(self, upto: int | None, days: Sequence | None = None, buckets: Sequence | None = None) -> DataFrame:
         """Merged state that keeps a ``batch_id`` column (so it can be merged again)."""
         s = self.versions(upto)
         if days is not None:
             s = s.where(F.col("day").isin(list(days)))
+        if buckets is not None:
+            s = s.where(F.col(BUCKET_COL).isin(list(buckets)))
         if self.mode == "log":
             return s
         if self.mode == "add":
-            return s.groupBy(*self.keys).agg(*[F.sum(v).cast(self.schema[v].dataType).alias(v)
+            own = [F.first(BUCKET_COL).alias(BUCKET_COL)] if self.bucketed else []
+            return s.groupBy(*self.keys).agg(*own, *[F.sum(v).cast(self.schema[v].dataType).alias(v)
                                                for v in self.values],
                                              F.max(BATCH_COL).alias(BATCH_COL))
         if self.mode == "member":
@@ -135,8 +148,9 @@ class KeyedSnapshot:
         latest = F.max(BATCH_COL).over(Window.partitionBy(*self.keys))
         return s.withColumn("_latest", latest).where(F.col(BATCH_COL) == F.col("_latest")).drop("_latest")
 
-    def read(self, upto: int | None = None, days: Sequence | None = None) -> DataFrame:
-        m = self._merged(upto, days)
+    def read(self, upto: int | None = None, days: Sequence | None = None,
+             buckets: Sequence | None = None) -> DataFrame:
+        m = self._merged(upto, days, buckets)
         if self.mode == "member":
             return m.select(*self.schema.fieldNames(), F.col(BATCH_COL).alias(f"first_{BATCH_COL}"))
         return m.select(*self.schema.fieldNames())

@@ -111,7 +111,7 @@ def plain_lead(v, order):
     return v.withColumn("nxt", F.lead("page_id").over(Window.partitionBy("session_id").orderBy(*order)))
 
 
-def test_with_next_equals_plain_lead_for_any_hot_rows(spark):
+def test_with_next_equals_plain_lead_for_any_plan(spark):
     """Hot sessions (a NULL one too), NULL pages, bursts and one shared
     timestamp: the result is the plain per-session lead for any cut."""
     rnd = random.Random(7)
@@ -123,11 +123,16 @@ def test_with_next_equals_plain_lead_for_any_hot_rows(spark):
     v = visits(spark, rows).select("session_id", "action_time", "event_id", "page_id").repartition(3)
     order = ["action_time", "event_id"]
     want = sorted(map(str, plain_lead(v, order).collect()))
-    for hot_rows in (10, 300, 1000, 10_000):
-        got = with_next(v, "session_id", order, "page_id", "nxt", hot_rows=hot_rows)
+    from clicklens.operators.adjacent import PLAIN_BYTES
+    some = v.where("event_id < 40")
+    for df, plain_bytes in ((v, 0), (v, 1 << 70), (v.repartition(7), 0), (v.coalesce(1), PLAIN_BYTES)):
+        got = with_next(df, "session_id", order, "page_id", "nxt", plain_bytes=plain_bytes)
         assert sorted(map(str, got.drop("has_next").collect())) == want
         # Only a session's last row has no next one, whatever the pages.
         assert got.where(~F.col("has_next")).count() == v.select("session_id").distinct().count()
+    got = with_next(some, "session_id", order, "page_id", "nxt", plain_bytes=0).drop("has_next")
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain_lead(some, order).collect()))
+    assert with_next(v.where("false"), "session_id", order, "page_id", "nxt", plain_bytes=0).count() == 0
 
 
 def test_a_hot_session_is_cut_even_within_one_timestamp(spark):
@@ -148,9 +153,9 @@ def test_conversion_result_does_not_depend_on_the_cut(spark):
     v = fx.visits(spark, "/root/testdata/sf0.01")
     cols = ["from_page", "to_page", "pair_count", "page_count", "rate", "rate_pct"]
     base = sorted(tuple(r) for r in conv.page_conversion(v, percent=True).select(*cols).collect())
-    hot = sorted(tuple(r) for r in conv.page_conversion(v, percent=True, hot_rows=5).select(*cols).collect())
+    hot = sorted(tuple(r) for r in conv.page_conversion(v, percent=True, plain_bytes=0).select(*cols).collect())
     assert len(base) == 5 and base == hot
-    n = conv.page_transitions(v, hot_rows=5).count()
+    n = conv.page_transitions(v, plain_bytes=0).count()
     assert n == conv.page_transitions(v).count() == v.count() - v.select("session_id").distinct().count()
 
 
@@ -176,7 +181,9 @@ def test_lookup_joins_hint_only_bounded_or_measured_sides(spark):
         too_many = MAX_BROADCAST_BYTES // ROW_BYTES + 1
         assert "BroadcastHashJoin" not in plan(attach(big, small, "k", max_rows=too_many))
         assert "BroadcastHashJoin" in plan(big.join(checked_side(small), "k"))
+        assert "Scan parquet" not in plan(checked_side(small))         # small input: not written first
         over = big.join(checked_side(small, max_bytes=10), "k")
+        assert "Scan parquet" in plan(over).replace("FileScan", "Scan")
         assert "BroadcastHashJoin" not in plan(over) and over.count() == 10
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -3,6 +3,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clicklens.plans import ads
 from clicklens.sinks.snapshot import KeyedSnapshot
@@ -17,6 +18,9 @@ SCHEMA = ("event_id long, ts timestamp_ntz, area string, city string, uid string
           "adid string, batch_id long")
 
 
+MEMBERS = T.StructType([T.StructField("uid", T.StringType())])
+
+
 def rows_of(df, cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
@@ -58,10 +62,10 @@ def test_snapshot_replay_is_idempotent(spark, scratch):
     got = {r["uid"]: r["click_count"] for r in store.read().collect()}
     assert got == {"u": 5, "v": 1}
     assert {r["uid"]: r["click_count"] for r in store.read(upto=0).collect()} == {"u": 2, "v": 1}
-    members = KeyedSnapshot(spark, f"{scratch}/members", ["uid"], S.MEMBER_SCHEMA, "member")
+    members = KeyedSnapshot(spark, f"{scratch}/members", ["uid"], MEMBERS, "member")
     assert members.read().count() == 0      # nothing written yet
-    members.write(spark.createDataFrame([("u",)], S.MEMBER_SCHEMA), 3)
-    members.write(spark.createDataFrame([("u",), ("w",)], S.MEMBER_SCHEMA), 4)
+    members.write(spark.createDataFrame([("u",)], MEMBERS), 3)
+    members.write(spark.createDataFrame([("u",), ("w",)], MEMBERS), 4)
     assert sorted(tuple(r) for r in members.read().collect()) == [("u", 3), ("w", 4)]
 
 
@@ -117,7 +121,39 @@ def test_trend_hash_has_the_newest_window(spark, scratch):
     newest = c.agg(F.max(F.date_trunc("hour", "ts"))).first()[0] - dt.timedelta(hours=5)
     want = ads.trend_json(all_windows.where(F.col("window_start") == F.lit(newest)))
     cols = ["hash_key", "field", "value"]
-    assert rows_of(job.stores["kv"].read(), cols) == rows_of(want, cols) != []
+    got = rows_of(job.stores["kv"].read(), cols)
+    assert set(rows_of(want, cols)) <= set(got) and rows_of(want, cols)
+    assert len(got) == c.select("adid").distinct().count()       # the others keep their last window
+
+
+def trend_hash(spark, scratch, batches, window_col="ts"):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(i, t + dt.timedelta(seconds=s), "N", "c", "u", ad, b, t + dt.timedelta(seconds=a))
+            for b, batch in enumerate(batches) for i, (ad, s, a) in enumerate(batch)]
+    c = spark.createDataFrame(rows, SCHEMA + ", arrival_ts timestamp_ntz")
+    write_batches(c, "batch_id", f"{scratch}/in")
+    job = S.trend_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1),
+                      base=f"{scratch}/job", window_col=window_col)
+    S.run_to_end(job.query)
+    return {r["field"]: r["value"] for r in job.stores["kv"].read().collect()}
+
+
+def test_trend_hash_never_goes_back(spark, scratch):
+    """A batch of old clicks leaves the newest window's value; an ad seen in it alone gets its own last window."""
+    noon = 43_200
+    got = trend_hash(spark, scratch, [[("1", noon + 5, 0), ("1", noon + 15, 0)],
+                                      [("1", noon - 3600, 0), ("2", noon - 3595, 0), ("2", noon - 3580, 0)]])
+    assert got == {"1": '[{"00:00":1},{"00:10":1}]', "2": '[{"00:20":1}]'}
+
+
+def test_trend_hash_over_arrival_shows_the_old_bucket(spark, scratch):
+    noon = 43_200
+    got = trend_hash(spark, scratch, [[("1", noon + 5, noon + 5)],
+                                      [("1", noon - 3590, noon + 25), ("2", noon, noon + 25)],
+                                      [("3", noon + 200, noon + 200)]], "arrival_ts")
+    assert got["3"] == '[{"03:20":1}]'
+    # Ads that left the present window keep the last one that held a click of theirs.
+    assert got["2"] == '[{"00:00":1}]' and got["1"] == '[{"00:10":1}]'
 
 
 def test_snapshot_compaction_keeps_every_mode_equal(spark, scratch):
@@ -125,7 +161,7 @@ def test_snapshot_compaction_keeps_every_mode_equal(spark, scratch):
     batches = [[(d, "u", "1", 1), (d, "v", "1", 2)], [(d, "u", "1", 3)], [(d, "w", "2", 1)],
                [(d, "u", "1", 5), (d, "v", "1", 1)], [(d, "w", "2", 4)]]
     for mode in ("set", "add", "member", "log"):
-        schema = S.COUNTER_SCHEMA if mode != "member" else S.MEMBER_SCHEMA
+        schema = S.COUNTER_SCHEMA if mode != "member" else MEMBERS
         keys = {"member": ["uid"], "log": []}.get(mode, ["day", "uid", "adid"])
         day = mode in ("add", "log")
         plain = KeyedSnapshot(spark, f"{scratch}/{mode}/plain", keys, schema, mode)
@@ -151,8 +187,8 @@ def test_snapshot_compaction_keeps_every_mode_equal(spark, scratch):
 
 
 def test_a_log_keeps_equal_rows_and_a_replayed_batch_once(spark, scratch):
-    log = KeyedSnapshot(spark, f"{scratch}/log", [], S.MEMBER_SCHEMA, "log")
-    twice = spark.createDataFrame([("u",), ("u",)], S.MEMBER_SCHEMA)
+    log = KeyedSnapshot(spark, f"{scratch}/log", [], MEMBERS, "log")
+    twice = spark.createDataFrame([("u",), ("u",)], MEMBERS)
     for b in (0, 1, 1):
         log.write(twice, b)
     assert log.read().count() == 4
@@ -321,6 +357,157 @@ def test_bounded_totals_set_late_clicks_aside(spark, scratch):
     assert rows_of(S.log_read(job.stores["late"]), c.columns) == [rows[2]]
 
 
+def test_bounded_totals_keep_open_days_only_and_two_folders(spark, scratch):
+    """Whatever the number of batches, a batch opens one folder of each carried state and closed days have left it."""
+    import os
+    t = dt.datetime(2024, 1, 1, 12)
+    rows = [(i, t + dt.timedelta(hours=8 * i), "N", "c", "u", str(i % 2), i) for i in range(24)]
+    c = spark.createDataFrame(rows, SCHEMA)
+    write_batches(c, "batch_id", f"{scratch}/in")
+    job = S.daily_totals_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1),
+                             base=f"{scratch}/job", max_lateness="1 hour", state_partitions=2)
+    S.run_to_end(job.query)
+    cols = ["day", "area", "city", "adid", "click_count"]
+    assert rows_of(job.stores["totals"].read(), cols) == rows_of(ads.daily_totals(c), cols)
+    days = {r["day"] for r in job.stores["open"].read().collect()}
+    assert days == {(t + dt.timedelta(hours=8 * 23)).date()}
+    local = f"{scratch}/job".replace("file://", "").replace("file:", "")
+    for state in ("newest", "open"):
+        assert sorted(os.listdir(f"{local}/{state}")) == ["turn=0", "turn=1"]
+
+
+def test_a_replayed_batch_carries_the_same_state(spark, scratch):
+    from clicklens.sinks.carried import Carried
+    schema = T.StructType([T.StructField("n", T.LongType())])
+    state = Carried(spark, f"{scratch}/state", schema)
+    for batch in (0, 1, 1, 2, 2, 3):          # 1 and 2 are run twice
+        before = state.read(batch).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        state.write(spark.range(1).select(F.lit(before + 10 ** batch).alias("n")), batch)
+    assert [r["n"] for r in state.latest().collect()] == [1111]
+    state.write(spark.createDataFrame([], schema), 4)
+    assert state.latest().count() == 0 and state.read(5).count() == 0
+
+
+def test_members_are_read_from_the_buckets_asked_for(spark, scratch):
+    from clicklens.sinks.members import BucketedSet
+    members = BucketedSet(spark, f"{scratch}/members", "uid", buckets=16)
+    assert members.read().count() == 0 and members.among([3]).count() == 0
+    members.add(spark.createDataFrame([(f"u{i}",) for i in range(200)], MEMBERS), 0)
+    members.add(spark.createDataFrame([("u5",), ("v",), ("v",)], MEMBERS), 4)
+    members.add(spark.createDataFrame([("u5",), ("v",), ("v",)], MEMBERS), 4)     # replay
+    got = {r["uid"]: r["first_batch_id"] for r in members.read().collect()}
+    assert len(got) == 201 and got["u5"] == 0 and got["v"] == 4
+    bucket = spark.createDataFrame([("v",)], MEMBERS).select(members.bucket()).first()[0]
+    near = members.among([bucket])
+    assert all(f"bucket={bucket}/" in f or "bucket=-1/" in f for f in near.inputFiles())
+    assert near.where("uid = 'v'").count() == 1
+    assert members.among([bucket], before=4).where("uid = 'v'").count() == 0
+
+
+def test_a_batch_reads_only_the_buckets_of_its_groups(spark, scratch):
+    c = fx.clicks(spark, SF001)
+    base = f"{scratch}/job"
+    c.where("event_id < 600").coalesce(1).write.parquet(f"{scratch}/in")
+    job = S.top_ads_job(spark, file_stream(spark, f"{scratch}/in", c.schema), 3, base=base)
+    S.run_to_end(job.query)
+    counts = job.stores["counts"]
+    one = c.where("event_id < 600").select(F.to_date("ts").alias("day"), "area").limit(1)
+    day, bucket = one.select("day", counts.bucket()).first()
+    files = counts.read(days=[day], buckets=[bucket])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in files and "bucket" in files.split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_emissions_hold_every_key_after_every_batch(spark, scratch):
+    c = fx.clicks(spark, SF001).withColumn("batch_id", F.floor(F.col("event_id") / 300).cast("long"))
+    n = write_batches(c, "batch_id", f"{scratch}/in")
+    job = S.emissions_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1),
+                          base=f"{scratch}/job", state_partitions=2)
+    S.run_to_end(job.query)
+    cols = ["day", "area", "city", "adid", "click_count"]
+    for b in range(n):
+        got = job.stores["emissions"].read().where(F.col("emission") == b)
+        assert rows_of(got, cols) == rows_of(ads.daily_totals(c.where(F.col("batch_id") <= b)), cols)
+
+
+def test_hash_source_commits_by_batch(spark, scratch):
+    """Partitions write files of their own; a batch counts when its list is written, and once."""
+    from clicklens.sinks.hash_source import HashReader, HashWriter, read_hash
+    out = f"{scratch}/hash"
+    writer = HashWriter(out)
+
+    def rows(*pairs):
+        return iter([{"hash_key": "h", "field": f, "value": v} for f, v in pairs])
+
+    first = [writer.write(rows(("a", "1"), ("b", "1"))), writer.write(rows())]
+    assert read_hash(spark, out).count() == 0                     # nothing is committed yet
+    writer.commit(first, 0)
+    lost = writer.write(rows(("a", "9")))
+    writer.abort([lost, None], 1)
+    for _ in range(2):                                            # batch 1 runs again
+        writer.commit([writer.write(rows(("a", "2"), ("c", "1")))], 1)
+    assert {r["field"]: r["value"] for r in read_hash(spark, out).collect()} == {"a": "2", "b": "1", "c": "1"}
+    assert len(HashReader(out).partitions()) == 2
+
+
+def test_hash_stream_equals_the_totals(spark, scratch):
+    from clicklens.sinks.hash_source import read_hash
+    c = fx.clicks(spark, SF001).withColumn("batch_id", F.floor(F.col("event_id") / 300).cast("long"))
+    write_batches(c, "batch_id", f"{scratch}/in")
+    S.run_to_end(S.hash_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1),
+                            f"{scratch}/hash", f"{scratch}/checkpoint", state_partitions=2))
+    cols = ["hash_key", "field", "value"]
+    assert rows_of(read_hash(spark, f"{scratch}/hash"), cols) == rows_of(ads.daily_totals_kv(ads.daily_totals(c)), cols)
+
+
+def test_closed_and_open_windows_are_all_windows(spark, scratch):
+    """Chained aggregations: what the watermark passed is emitted once and has left the state, the rest is the state."""
+    c = fx.clicks(spark, SF001).withColumn("batch_id", F.floor(F.col("event_id") / 250).cast("long"))
+    write_batches(c, "batch_id", f"{scratch}/in")
+    job = S.trend_windows_job(spark, file_stream(spark, f"{scratch}/in", c.schema, max_files_per_trigger=1),
+                              "6 hours", "2 hours", "1 hour", "12 hours", base=f"{scratch}/job", state_partitions=2)
+    S.run_to_end(job.query)
+    mark = c.agg(F.max("ts")).first()[0] - dt.timedelta(hours=12)
+    every = ads.trend(c, "6 hours", "2 hours", "1 hour")
+    closed, still = job.stores["closed"].read(), job.stores["open"].read()
+    assert rows_of(closed, WINDOW_COLS) == rows_of(every.where(F.col("window_end") <= F.lit(mark)), WINDOW_COLS) != []
+    assert rows_of(still, WINDOW_COLS) == rows_of(every.where(F.col("window_end") > F.lit(mark)), WINDOW_COLS) != []
+
+
+def test_live_trigger_with_batch_log_and_orderly_stop(spark, scratch):
+    """A processing-time trigger picks up files as they come; the log has rows, late rows and lag of every batch."""
+    import time
+    from clicklens.streaming.monitor import BatchLog, stop
+    t = dt.datetime(2024, 1, 10, 12)
+    click = lambda i, ts: (i, ts, "N", "c", "u", "1", 0)
+    parts = [[click(1, t), click(2, t)], [click(3, t + dt.timedelta(hours=3))],
+             [click(4, t - dt.timedelta(days=1)), click(5, t + dt.timedelta(hours=4))]]
+    schema = spark.createDataFrame([], SCHEMA).schema
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{scratch}/in")
+    log = BatchLog().attach(spark)
+    try:
+        job = S.trend_windows_job(spark, file_stream(spark, f"{scratch}/in", schema), "2 hours", "1 hour", "1 hour",
+                                  "30 minutes", trigger="200 milliseconds", base=f"{scratch}/job", state_partitions=2)
+        seen = 0
+        for part in parts:
+            spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+            seen += len(part)
+            until = time.monotonic() + 60
+            while sum(b.rows for b in log.of(job.query)) < seen and time.monotonic() < until:
+                time.sleep(0.1)
+        assert job.query.isActive
+        stop(job.query)
+        assert not job.query.isActive
+        until = time.monotonic() + 20
+        while str(job.query.id) not in log.ended and time.monotonic() < until:
+            time.sleep(0.1)
+    finally:
+        log.detach(spark)
+    batches = log.of(job.query)
+    assert sum(b.rows for b in batches) == 5 and log.late_rows(job.query) == 1
+    assert all(b.lag_seconds > 0 for b in batches if b.rows) and log.ended[str(job.query.id)] is None
+    assert {r["bucket_start"] for r in job.stores["closed"].read().collect()} == {t}
+
+
 def test_compaction_drops_what_the_previous_base_replaced(spark, scratch):
     import os
     d = dt.date(2024, 1, 1)
