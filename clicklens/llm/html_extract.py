@@ -2,15 +2,21 @@
 
 The page becomes a tree of elements. Parts that never belong to an article go
 first: by element (scripts, menus, forms, ...) or by a word of their class or
-id (advert, sidebar, comments, ...) unless that speaks of the page's layout or
+id (advert, sidebar, ...) unless that speaks of the page's layout or
 of an article's part (has-sidebar, entry-header), or the element holds an
-article or nearly all text of the page. Each block with text of its own is a
+article or nearly all text of the page. Elements named for readers' comments go
+first of all, article elements among them, whatever they hold. Each block with text of its own is a
 paragraph; it passes points for its length and commas to its parent and half of
 them to its grandparent, and each container's sum is discounted by the share of
 its text that stands in links. The best container, or the article element around
 it, is kept with those of its siblings that score well beside it, or are plain
 paragraphs beside it. Beside a container that is no article element, headings,
-lists, short paragraphs and bare text with few links stay too.
+lists, short paragraphs and bare text with few links stay too, and so does every
+block with few links between two kept ones.
+
+A page is cut where a tag begins that never ends, as readers of markup do, and
+elements nest ``DEEPEST`` levels deep at most, further ones stand beside each
+other; no text is lost by the latter. Time is linear in the page.
 
 Text of the kept elements is read in page order: references decoded, blocks
 split at block elements and line breaks, white space within a block turned
@@ -20,6 +26,7 @@ into one blank, blocks joined by one blank. Nothing else is dropped.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -44,9 +51,16 @@ NOT_MAIN = set("ad ads advert adverts advertisement advertising banner breadcrum
                "cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices "
                "pager pagination popup promo related replies respond share sharing sidebar social sponsor sponsored "
                "subscribe toolbar widget".split())
+COMMENTS = set("comment comments disqus replies respond".split())
 MAIN_WORDS = set("article body content entry main post story text".split())
 #: A name that starts with one of these tells what stands in the element or beside it, not what it is.
-STATE = set("has have is no not with without show shows hide hides hidden enable enabled disable disabled".split())
+STATE = set("has have is no not with without show shows hide hides hidden enable enabled disable disabled "
+            "open closed".split())
+DEEPEST = 400
+#: Elements whose content is no markup.
+RAW = set("script style textarea title xmp iframe noembed noframes".split())
+TAG_END = re.compile(r"[>\"']")
+TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 NAME = re.compile(r"[a-z0-9]+")
 NEARLY_ALL = 0.8
 #: Elements that stay beside the best container, if few of their words are links.
@@ -55,10 +69,14 @@ LEAST_LENGTH, SIBLING_SHARE, SIBLING_LENGTH = 25, 0.2, 80
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "words", "points", "names")
+    __slots__ = ("tag", "parent", "items", "words", "points", "names", "block", "within", "depth")
 
     def __init__(self, tag: str, parent: Node | None, named: str = ""):
         self.tag, self.parent = tag, parent
+        # The block that the element's text belongs to, whether it stands in an article, and how deep.
+        self.block = self if tag in BLOCK or parent is None else parent.block
+        self.within = parent is not None and (parent.within or parent.tag in ("article", "main"))
+        self.depth = 0 if parent is None else parent.depth + 1
         self.words = frozenset(NAME.findall(named)) if named else frozenset()
         self.names = named.split() if self.words & NOT_MAIN else []
         self.items: list[Node | str] = []
@@ -71,6 +89,12 @@ class TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
+        self.open: Counter[str] = Counter()
+
+    def _leave(self, to):
+        while self.at is not to:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
 
     def handle_starttag(self, tag, attrs):
         if tag == "html":
@@ -80,63 +104,102 @@ class TreeBuilder(HTMLParser):
         if tag in CLOSES:
             self._close(CLOSES[tag])
         named = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower()
+        if self.at.depth >= DEEPEST:
+            self._leave(self.at.parent)
         node = Node(tag, self.at, named)
         self.at.items.append(node)
         if tag not in VOID:
             self.at = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and self.at.tag == tag and tag not in BLOCK:
-            self.at = self.at.parent
+            self._leave(self.at.parent)
 
     def _close(self, tags):
+        if not any(self.open[t] for t in tags):
+            return
         node = self.at
         while node.parent and node.tag not in tags:
             if node.tag in BARRIER:
                 return
             node = node.parent
         if node.parent:
-            self.at = node.parent
+            self._leave(node.parent)
 
     def handle_endtag(self, tag):
         if tag in VOID:
             if tag == "br":
                 self.at.items.append(Node("br", self.at))
             return
+        if not self.open[tag]:
+            return
         node = self.at
         while node.parent and node.tag != tag:
             if node.tag in BARRIER and tag not in BARRIER:
                 return
             node = node.parent
         if node.parent:
-            self.at = node.parent
+            self._leave(node.parent)
 
     def handle_data(self, data):
         self.at.items.append(data)
 
 
+def _tag_end(html: str, at: int) -> int:
+    """Behind the tag that begins at ``at``; -1 if the page ends before it does. Signs in quoted values end nothing."""
+    while m := TAG_END.search(html, at):
+        if m[0] == ">":
+            return m.end()
+        before = m.start() - 1
+        while html[before].isspace():
+            before -= 1
+        at = m.end()
+        if html[before] == "=":
+            at = html.find(m[0], at) + 1
+            if not at:
+                return -1
+    return -1
+
+
+def whole_tags(html: str) -> str:
+    """The page up to a tag or comment that never ends; what follows is part of that, and no text."""
+    at = html.find("<")
+    while at >= 0:
+        sign = html[at + 1:at + 2]
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4) + 3
+            if end < 3:
+                return html[:at]
+        elif sign in ("!", "?"):
+            end = html.find(">", at) + 1
+            if not end:
+                return html[:at]
+        elif name := TAG_NAME.match(html, at + 1 + (sign == "/")):
+            end = _tag_end(html, name.end())
+            if end < 0:
+                return html[:at]
+            if sign != "/" and name[0].lower() in RAW:
+                close = re.compile(f"</{name[0]}", re.IGNORECASE).search(html, end)
+                end = close.start() if close else len(html)
+        else:
+            end = at + 1
+        at = html.find("<", end)
+    return html
+
+
 def parse(html: str) -> Node:
-    """The tree of a page; a tag that the page's end cuts off is no text."""
-    last = html.rfind("<")
-    if last > html.rfind(">") and re.match(r"[a-zA-Z/!]", html[last + 1:last + 2]):
-        html = html[:last]
+    """The tree of a page."""
     builder = TreeBuilder()
-    builder.feed(html)
+    builder.feed(whole_tags(html))
     builder.close()
     return builder.root
 
 
-def _within_article(node: Node) -> bool:
-    up = node.parent
-    while up and up.tag not in ("article", "main"):
-        up = up.parent
-    return up is not None
-
-
 def _unwanted(node: Node) -> bool:
     """Whether the element itself is of no article."""
-    return node.tag in NEVER or node.tag == "header" and not _within_article(node)
+    return node.tag in NEVER or node.tag == "header" and not node.within
 
 
 def _ill_named(node: Node) -> bool:
@@ -147,9 +210,9 @@ def _ill_named(node: Node) -> bool:
     for name in node.names:
         words = NAME.findall(name)
         bad = set(words) & NOT_MAIN
-        if not bad or words[0] in STATE:
+        if not bad or words[0] in STATE or words[-1] in STATE:
             continue
-        if bad == {"header"} and (set(words) & MAIN_WORDS or _within_article(node)):
+        if bad == {"header"} and (set(words) & MAIN_WORDS or node.within):
             continue
         plain |= len(words) == 1
         parts = True
@@ -157,13 +220,24 @@ def _ill_named(node: Node) -> bool:
     return plain or parts and not any(n in MAIN_WORDS for n in node.names)
 
 
+def _of_comments(node: Node) -> bool:
+    """Whether a class or id says that readers wrote the element."""
+    if node.tag in ("html", "body", "main"):
+        return False
+    for name in node.names:
+        words = NAME.findall(name)
+        if set(words) & COMMENTS and not set(words) & STATE:
+            return True
+    return False
+
+
 def prune(root: Node) -> None:
     """Take unwanted elements out of the tree."""
     order, todo = [], [root]
     while todo:
         node = todo.pop()
         order.append(node)
-        node.items = [x for x in node.items if isinstance(x, str) or not _unwanted(x)]
+        node.items = [x for x in node.items if isinstance(x, str) or not (_unwanted(x) or _of_comments(x))]
         todo += [x for x in node.items if not isinstance(x, str)]
     ill = {n for n in order if n.names and n.tag not in ("article", "main") and _ill_named(n)}
     if not ill:
@@ -183,12 +257,6 @@ def prune(root: Node) -> None:
         node.items = [x for x in node.items if isinstance(x, str) or x not in ill]
 
 
-def _block_of(node: Node) -> Node:
-    while node.parent and node.tag not in BLOCK:
-        node = node.parent
-    return node
-
-
 def measure(root: Node):
     """Score the containers; returns (containers by points, text length and linked length of each node)."""
     own: dict[Node, list] = {}
@@ -204,7 +272,7 @@ def measure(root: Node):
             if isinstance(x, str):
                 if size := len(x.strip()):
                     n += size
-                    got = own.setdefault(_block_of(node), [0, 0])
+                    got = own.setdefault(node.block, [0, 0])
                     got[0] += size
                     got[1] += x.count(",")
             else:
@@ -246,6 +314,8 @@ def main_nodes(root: Node) -> list[Node | str]:
     plain = best.tag not in ("article", "main")
     kept: list[Node | str] = []
     run: list[Node | str] = []
+    # Blocks with few links that are kept only if a kept one follows.
+    between: list[Node | str] = []
     for x in [*best.parent.items, None]:
         node = isinstance(x, Node)
         few_links = node and linked[x] <= 0.25 * length[x]
@@ -256,10 +326,14 @@ def main_nodes(root: Node) -> list[Node | str]:
         # Bare text and the inline elements in it are one paragraph.
         size = sum(len(r.strip()) if isinstance(r, str) else length[r] for r in run)
         if plain and size and sum(linked[r] for r in run if isinstance(r, Node)) <= 0.25 * size:
-            kept += run
+            kept += between + run
+            between = []
         run = []
         if good or few_links and (x.tag == "p" and length[x] >= SIBLING_LENGTH or plain and x.tag in BESIDE):
-            kept.append(x)
+            kept += [*between, x]
+            between = []
+        elif plain and few_links and kept and length[x]:
+            between.append(x)
     return kept
 
 

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -86,7 +87,36 @@ def test_headings_and_short_parts_beside_the_container_stay():
                                "Short end. Bare end")
 
 
+@pytest.mark.parametrize("start, end", [
+    ('<section id="comments"><article>', "</article></section>"), ('<article class="comment">', "</article>"),
+    ('<div class="entry-comments body">', "</div>"), ("<ol class=comment-list><li>", "</ol>"),
+])
+def test_comments_of_readers_go(start, end):
+    said = f"{start}<p>{LONG}</p><p>{LONG}</p><p>{LONG}</p>{end}"
+    for tag in ("article", "main", "div class=post"):
+        page = f"<body><{tag}><p>First. {LONG}</p><p>{LONG}</p></{tag.split()[0]}>{said}</body>"
+        assert main_text(page) == f"First. {LONG} {LONG}", tag
+
+
+def test_a_short_block_between_two_stays():
+    page = (f"<body><div id=w><div><p>{LONG}</p><p>{LONG}</p></div><div>Short.</div><div><a href=/>Menu</a></div>"
+            f"<div><p>{LONG}</p><p>{LONG}</p></div><div>After.</div></div></body>")
+    assert main_text(page) == f"{LONG} {LONG} Short. {LONG} {LONG}"
+
+
+@pytest.mark.parametrize("part, rest", [
+    ("<a href='", ""), ("<a href='", "'>"), ("<b>", "x"), ("<i><div>", "x"), ("<!--", ""), ("</b>", ""), ("<p", ">"),
+    ("<b>", "</i>" * 100_000), ("<i><b>", "</i>" * 50_000), ("<script>", ""), ("<", ""), ("&#", ""), ("<b a=\"", ">"),
+])
+def test_a_megabyte_of_hostile_markup_takes_seconds(part, rest):
+    began = time.process_time()
+    main_text(part * (1_000_000 // len(part)) + rest)
+    assert time.process_time() - began < 30          # some 5 s where nothing else runs
+
+
 @pytest.mark.parametrize("page, text", [
+    ("<p>a</p><p title='>'>b</p>", "a b"), ("<p>a</p><p title='never ends>b</p>", "a"), ("<p>1 < 2</p>", "1 < 2"),
+    ("<p>a</p><script>if (a<b) '</script><p>b</p>", "a b"), ("<p>a</p><!-- never", "a"), ("<p it's>a</p>", "a"),
     (None, ""), ("", ""), ("plain", "plain"), ("<p>a<p>b", "a b"), ("<div class=ad>x</div>", ""), ("<p", ""),
     ("<p>cut &am", "cut &am"), ("</p></div>stray", "stray"), ("<script>x</script>", ""), ("<!-- c --><p>d</p>", "d"),
     ("<b>a</b>b", "ab"), ("<p>x</p>" * 20000, " ".join("x" * 20000)), ("<div>" * 3000 + "deep", "deep"),
