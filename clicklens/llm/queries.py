@@ -27,7 +27,7 @@ from clicklens.llm.pii_crf import find as find_personal_data
 from clicklens.llm.pii_crf import learn as learn_personal_data
 from clicklens.llm.quality import learn as learn_quality
 from clicklens.llm.quality import scores as quality_scores
-from clicklens.llm.secret_ledger import scan
+from clicklens.llm.secret_ledger import BASE_KINDS, findings, scan_unseen
 from clicklens.llm.simhash import near_duplicates
 from clicklens.llm.suffix_dedup import removed
 from clicklens.llm.toxicity import learn as learn_toxicity
@@ -71,11 +71,19 @@ def _number(spans, kind: str):
 
 
 def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Operator 4 over ``documents``: every document a path, against a ledger of this run's own."""
-    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), shared_dir(spark, "llm", "ledger"))
-    spans = F.col("findings")
-    return found.select("doc_id", *[_number(spans, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
-                        F.sha2(_joined(spans), 256).alias("base_sha256"), _joined(spans).alias("spans"))
+    """Operator 4 over ``documents``: every document a path, against a ledger of this run's own.
+
+    The documents come as two batches of the history; the second one scans the
+    blobs that the first did not bring.
+    """
+    docs, ledger = table(spark, sf_dir, "documents").select("doc_id", "text"), shared_dir(spark, "llm", "ledger")
+    second = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1
+    for batch in (docs.where(~second), docs.where(second)):
+        scan_unseen(batch, ledger)
+    found, spans = findings(docs, ledger), F.col("findings")
+    base = F.filter(spans, lambda s: s["kind"].isin(*BASE_KINDS))
+    return found.select("doc_id", *[_number(spans, k).alias(f"n_{k}") for k in BASE_KINDS],
+                        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(spans).alias("spans"))
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
