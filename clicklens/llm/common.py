@@ -34,6 +34,40 @@ def ascii_lower(text: Column) -> Column:
         F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without(docs: DataFrame, keys: list[Column], gone: DataFrame, twice: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` whose ``keys`` are no row of ``gone``; of those in ``twice``, one for each of its rows.
+
+    Keys are compared by position and null-safely; ``docs`` keeps its columns, whatever their names.
+    """
+    own = fresh(docs, *[f"own_{i}" for i in range(len(keys))])
+    names = [f"{name}_there" for name in own]
+    names = fresh(docs, *names)
+    gone = gone.toDF(*names)
+    same = None
+    for a, b in zip(own, names):
+        equal = F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`"))
+        same = equal if same is None else same & equal
+    marked = docs.withColumns(dict(zip(own, keys)))
+    if twice is None or twice.isEmpty():
+        return marked.join(gone, same, "left_anti").drop(*own)
+    twice = twice.toDF(*names)
+    once = marked.join(gone.unionByName(twice), same, "left_anti")
+    one = marked.join(twice, same, "left_semi").dropDuplicates(own)
+    return once.unionByName(one).drop(*own)
+
+
 def written(df: DataFrame, *name: str) -> DataFrame:
     """``df`` as a table in the shared folder of ``spark.checkpoint.dir``.
 

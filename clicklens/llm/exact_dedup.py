@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import ascii_lower, written
+from clicklens.llm.common import ascii_lower, without, written
 
 KEY = ["digest", "check", "n_bytes"]
 
@@ -79,16 +79,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeated, one of its rows stays.
     """
     groups = written(exact_groups(docs, id_col, text_col, keep, fan_in)
-                     .select(F.col(id_col).alias("_id"), "keep_id", "kept", F.col("text_sha256").alias("_sha")),
+                     .select(F.col(id_col).alias("id"), "keep_id", "kept", F.col("text_sha256").alias("sha")),
                      "exact", "groups").where(~F.col("kept"))
-    again = F.col("_id").eqNullSafe(F.col("keep_id"))
-    gone = groups.where(~again).select("_id", "_sha").distinct()
-    twice = groups.where(again).select("_id", "_sha").distinct()
+    again = F.col("id").eqNullSafe(F.col("keep_id"))
     sha = F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256)
-    marked = docs.withColumns({"_own_id": F.col(id_col), "_own_sha": sha})
-    same = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_sha") == F.col("_sha"))
-    if twice.isEmpty():
-        return marked.join(gone, same, "left_anti").drop("_own_id", "_own_sha")
-    once = marked.join(gone.unionByName(twice), same, "left_anti")
-    one = marked.join(twice, same, "left_semi").dropDuplicates(["_own_id", "_own_sha"])
-    return once.unionByName(one).drop("_own_id", "_own_sha")
+    return without(docs, [F.col(id_col), sha], groups.where(~again).select("id", "sha").distinct(),
+                   groups.where(again).select("id", "sha").distinct())

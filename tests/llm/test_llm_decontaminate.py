@@ -39,11 +39,11 @@ def made(seed=2):
     return docs, bench
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
+@pytest.mark.parametrize("limit", [16 << 20, 0])
 def test_equals_brute_force_broadcast_or_shuffled(spark, limit):
     docs, bench = made()
     out = contamination(frame(spark, "doc_id long, text string", docs),
-                        frame(spark, "item_id long, text string", bench), n=5, max_broadcast_windows=limit)
+                        frame(spark, "item_id long, text string", bench), n=5, max_bytes=limit)
     got = {(r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in out.collect()}
     assert got == brute(docs, bench, 5)
 
@@ -75,3 +75,27 @@ def test_empty_tables(spark):
     assert contamination(none_d, frame(spark, "item_id long, text string", bench)).count() == 0
     out = contamination(frame(spark, "doc_id long, text string", docs), none_b)
     assert as_set(out, "n_hit", "contaminated") == {(0, False)}
+
+
+def test_clashing_column_names_stay(spark):
+    docs, bench = made()
+    names = ["_id", "_mark", "own_0", "own_id", "_own_id", "hit", "gone", "w", "at"]
+    d = frame(spark, "doc_id long, text string, " + ", ".join(f"{n} long" for n in names),
+              [(*x, *range(len(names))) for x in docs])
+    b = frame(spark, "item_id long, text string", bench)
+    bad = {r[0] for r in brute(docs, bench, 5) if r[4]}
+    left = without_contaminated(d, b, n=5)
+    assert left.columns == d.columns
+    assert {tuple(r)[0::2] for r in left.collect()} == {(x[0], 0, 2, 4, 6, 8)[:1] + tuple(range(0, 9, 2)) for x in docs
+                                                         if x[0] not in bad}
+    assert without_spans(d, b, n=5).columns == [*d.columns, "clean_words"]
+
+
+def test_a_long_text_takes_time_in_proportion_and_one_scan_finds_all_sizes(spark):
+    bench = frame(spark, "item_id long, text string", [(1, "x1 x2 x3 x4 x5"), (2, "y1 y2"), (3, "z")])
+    words_ = [f"w{i % 997}" for i in range(300_000)]
+    words_[200_000:200_005] = ["x1", "x2", "x3", "x4", "x5"]
+    docs = frame(spark, "doc_id long, text string", [(1, " ".join(words_)), (2, "y1 y2 and z")])
+    out = contamination(docs, bench, n=5)
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in out.collect()}
+    assert got == {1: (300_000, 5, ["1"], False), 2: (4, 3, ["2", "3"], True)}

@@ -66,3 +66,10 @@ def test_empty_table_and_wrong_arguments(spark):
         exact_groups(df, keep="middle")
     with pytest.raises(ValueError):
         exact_groups(df, fan_in=1)
+
+
+def test_clashing_column_names_stay(spark):
+    df = frame(spark, "doc_id long, text string, _id long, _own_id long, own_0 string, keep_id string, kept int, id int", [
+        (1, "A", 1, 2, "x", "y", 3, 4), (2, "a", 5, 6, "z", "w", 7, 8), (2, "a", 5, 6, "z", "w", 7, 8)])
+    out = deduplicated(df, keep="largest")
+    assert out.columns == df.columns and [tuple(r) for r in out.collect()] == [(2, "a", 5, 6, "z", "w", 7, 8)]
