@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from clicklens.llm.common import blocks, written
+from clicklens.llm.common import blocks, without, written
 from clicklens.llm.components import components
 
 BITS = 64
@@ -96,9 +96,11 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
     near, far = masks(radius)
     even = F.bit_count("fp") % 2 == 0
     flips = F.when(even, F.lit(np.array(near + far, np.int64))).otherwise(F.lit(np.array(near, np.int64)))
-    # The fingerprints are small and their variants are not: spread them before they multiply.
+    # The fingerprints are small and their variants are not: spread them before they multiply. They come
+    # partitioned by ``fp`` and put together in few tasks, and a number of partitions alone would be dropped
+    # as needless; by another key it is a shuffle of its own.
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    emitted = fps.repartition(parts, "fp").select("fp", F.explode(flips).alias("mask")).select(
+    emitted = fps.repartition(parts, F.xxhash64("fp")).select("fp", F.explode(flips).alias("mask")).select(
         "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"))
     away = F.bit_count(F.col("fp").bitwiseXOR(F.col("variant"))) > radius // 2
     order = W.partitionBy("variant").orderBy(away, "fp")
@@ -154,10 +156,4 @@ def representatives(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
     gone = groups.where("not stay").select("_id", "_mark").distinct()
     twice = groups.where("stay").groupBy("_id", "_mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
         "_id", "_mark")
-    marked = docs.withColumns({"_own_id": F.col(id_col), "_own_mark": mark})
-    same = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_mark") == F.col("_mark"))
-    if twice.isEmpty():
-        return marked.join(gone, same, "left_anti").drop("_own_id", "_own_mark")
-    once = marked.join(gone.unionByName(twice), same, "left_anti")
-    one = marked.join(twice, same, "left_semi").dropDuplicates(["_own_id", "_own_mark"])
-    return once.unionByName(one).drop("_own_id", "_own_mark")
+    return without(docs, [F.col(id_col), mark], gone, twice)

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from clicklens.llm.components import components
 from clicklens.llm.simhash import fingerprint, links, masks, near_duplicates, representatives
@@ -118,3 +119,13 @@ def test_rows_that_share_an_id_or_have_none_are_judged_apart(spark):
 def test_empty_table(spark):
     df = frame(spark, "doc_id long, text string", [])
     assert near_duplicates(df).count() == 0 and representatives(df).count() == 0
+
+
+def test_clashing_column_names_and_the_spread_of_fingerprints(spark):
+    df = frame(spark, "doc_id long, text string, _id long, _mark string, own_0 string, fp int", [
+        (1, "one two three four", 1, "a", "b", 2), (2, "one two three four", 3, "c", "d", 4)])
+    out = representatives(df)
+    assert out.columns == df.columns and [tuple(r) for r in out.collect()] == [(1, "one two three four", 1, "a", "b", 2)]
+    distinct = df.select(F.xxhash64("text").alias("fp")).groupBy("fp").agg(F.count(F.lit(1))).select("fp")
+    plan = links(distinct)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
