@@ -40,7 +40,7 @@ from clicklens.llm.common import blocks, written
 KINDS = ("email", "ip", "card", "phone", "name", "address")
 LABELS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
 #: Sentences of the labelled table; documents, lines and characters of a line beside them.
-TRAIN_SENTENCES, TRAIN_DOCS, TRAIN_LINES, TRAIN_LINE = 1500, 300, 300, 240
+TRAIN_SENTENCES, TRAIN_DOCS, TRAIN_LINES, TRAIN_LINE = 1700, 300, 300, 240
 EPOCHS, RATE, RIDGE = 40, 0.3, 0.02
 #: What a span has to score above no label.
 LEAST_GAIN = 3.0
@@ -62,7 +62,9 @@ TEMPLATES = (
     "me llamo {name}", "Señor {name} {word}", "name: {name}", "name: {name} phone: {phone}",
     "I live at {address}.", "ship to {address}", "address: {address}", "visit us at {address}, {word}", "wohnhaft {address}",
     "Adresse: {address}", "j'habite {address}", "dirección: {address}", "{word} {word} {address} {word}",
-    "{word} {ip} {word} {word}", "{word} {word} {card} {word}", "card {card}", "{word} {name16} {word} {word}",
+    "{word} {ip} {word} {word}", "{Word} {word} {ip}", "{word} {ip} {card} {word}", "{word} {word} {card} {word}", "card {card}",
+    "{card} {word} {word}", "{word} {name16} {card} {word}", "{Word} {word} {ip} {phone} {word}", "{word} {phone} {ip}.",
+    "{word} {word}.{mail} {word}", "{word} {mail} {ip} {word}", "{word} {word} {intl} {word}", "{Word} {word} {intl} {card}", "{word} {name16} {word} {word}",
     "{Word} {word} {word}.", "{word} {word} at {word} {word}", "{Word} {word}, at {word} of {word}.", "{word} dot {word}",
     "look at the dot on page {small}", "version {version} of the {word}", "chapter {small} {word} {word}", "in {year} {word}",
     "Licensed under CC BY-NC {version}.", "room {small} at noon", "a {word} of {small} {word}", "it cost {price} {word}",
@@ -172,6 +174,10 @@ def _slot(kind: str, rng: random.Random) -> str:
     if kind == "name16":
         body = digits(15)
         return next(body + c for c in "5167420938" if not luhn(body + c))
+    if kind == "mail":
+        return f"{rng.choice((word, digits(2)))}@{rng.choice((word, 'mail' + digits(1)))}.{rng.choice(HOSTS)}.{rng.choice(ENDINGS)}"
+    if kind == "intl":
+        return f"+{rng.choice(('1', '49', '33', '34'))} ({digits(3)}) {digits(3)}-{digits(4)}"
     if kind == "twice":
         return " ".join([rng.choice((word, name, name + "."))] * rng.randint(4, 12))
     return {"WORD": word.upper(), "ip": ".".join(str(rng.randint(1, 255)) for _ in range(4)), "word": word, "Word": name,
@@ -191,7 +197,8 @@ def labelled_table(size: int = TRAIN_SENTENCES, seed: int = 1) -> list[tuple[lis
             m = re.search(r"\{(\w+)\}", part)
             value = part[:m.start()] + _slot(m[1], rng) + part[m.end():] if m else part
             own = value.split(" ")
-            kind = KINDS.index(m[1]) if m and m[1] in KINDS else -1
+            name = {"mail": "email", "intl": "phone"}.get(m[1], m[1]) if m else ""
+            kind = KINDS.index(name) if name in KINDS else -1
             tokens += own
             gold += [1 + 2 * kind + (j > 0) if kind >= 0 else 0 for j in range(len(own))]
         before = [_word(rng) for _ in range(rng.randint(0, 4))]
