@@ -1,8 +1,9 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton on folded text.
 
-Folding undoes disguises: letters are lowered, look-alike letters of other
-scripts and digits or signs inside words become the Latin letters they stand
-for, and what is no word becomes one blank. An entry of the lexicon is the
+Folding undoes disguises: letters are lowered and brought to their plain form
+without marks, look-alike letters of other scripts in words that mix scripts, and
+digits or signs inside words, become the Latin letters they stand for, and what is
+no word becomes one blank. An entry of the lexicon is the
 beginning of a word. Entries and weights are learned from labelled documents:
 word beginnings that mark label 1 far more often than chance, with their log
 odds as weight. Longer beginnings of an entry that mark clean documents are its
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 
 import ahocorasick
@@ -43,23 +45,71 @@ LEAST_DOCS, LEAST_STRENGTH, LEAST_PRECISION, CLEAN_PRECISION = 5, 5.0, 0.4, 0.1
 #: A phrase marks clean documents as a word does, and is that far from its entry's share of label 1 besides.
 LEAST_CONTRAST = 2.5
 
-#: Look-alikes of other scripts, then digits and signs, with the letters they stand for.
-LOOK_ALIKE = str.maketrans("аесорхуіјѕԁһклмтвнαεικνορτυχωｇ", "aecopxyijsdhklmtbhaeiknoptuxwg")
+#: Small letters of other scripts that look like Latin ones (Cyrillic, Greek, Armenian), a line for each
+#: Latin letter; then digits and signs with the letters they stand for.
+LOOK_ALIKE = str.maketrans({c: line[0] for line in (
+    "aаαɑ", "bьвβ", "cсϲ", "dԁժ", "eеєε", "gɡց", "hһнհη", "iіιɩ", "jјϳ", "kкκ", "lӏ", "mмϻ", "nпոռν", "oоοσօ",
+    "pрρ", "qԛզգ", "rгя", "sѕտ", "tтτ", "uυцսμ", "vѵ", "wԝшωա", "xхχ", "yуүγ", "zʐ") for c in line[1:]})
 DIGIT = str.maketrans("0134578@$!", "oieastbasi")
 HIDDEN = re.compile("[­​-‏⁠﻿]")
-OTHER_SCRIPT = re.compile("[Ͱ-ӿԀ-ԯａ-ｚ]")
+MARK = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
+OTHER_SCRIPT = re.compile("[Ͱ-ӿԀ-֏]")
+LATIN = re.compile("[a-z]")
 WORD = re.compile(r"(?:[@$!](?=[^\W\d_])|[^\W_])+")
 MIXED = re.compile(r"[\d@$!]")
+#: Three or more single letters with one sign between each two.
+SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[.\-_*·][^\W\d_]){2,}(?![^\W_])")
+SIGN = re.compile(r"[.\-_*·]")
+
+#: Names of letters that are a Latin letter in another shape and have no decomposition.
+LATIN_SHAPE = re.compile(r"LATIN (?:SMALL|CAPITAL) LETTER (?:SCRIPT |DOTLESS )?([A-Z])(?: WITH .*)?$"
+                         r"|LATIN LETTER SMALL CAPITAL ([A-Z])$"
+                         r"|(?:NEGATIVE )?(?:SQUARED|CIRCLED) LATIN CAPITAL LETTER ([A-Z])$"
+                         r"|REGIONAL INDICATOR SYMBOL LETTER ([A-Z])$")
+
+
+def _shapes() -> dict[int, str]:
+    """Code point -> Latin letter, by the names of the characters."""
+    out = {}
+    for c in (*range(0xC0, 0x300), *range(0x1D00, 0x1F00), *range(0x2C60, 0x2C80), *range(0xA720, 0xA800),
+              *range(0x1F110, 0x1F200)):
+        if m := LATIN_SHAPE.match(unicodedata.name(chr(c), "")):
+            out[c] = next(filter(None, m.groups())).lower()
+    return out
+
+
+SHAPE = _shapes()
+
+
+def _one_script(word: str, latin: bool) -> str:
+    """A word that mixes scripts in Latin letters; in a Latin text one of nothing but look-alikes too."""
+    if not OTHER_SCRIPT.search(word):
+        return word
+    if LATIN.search(word) or (latin and all(ord(c) in LOOK_ALIKE for c in word if c.isalpha())):
+        return word.translate(LOOK_ALIKE)
+    return word
 
 
 def folded(text: str | None) -> list[str]:
-    """The words of a text without their disguises."""
+    """The words of a text without their disguises.
+
+    Compatibility forms (full-width, mathematical, circled letters) become plain
+    ones, diacritical marks and hidden characters go, Latin letters of another
+    shape become the plain ones, single letters with a sign between each two are
+    put together. Letters of other scripts become the Latin ones that they look
+    like only in words that mix scripts (and, in a text of mostly Latin letters, in words of
+    nothing but look-alikes): texts in other scripts stay as they are.
+    """
     t = (text or "").lower()
-    if not t.isascii():
-        t = HIDDEN.sub("", t)
-        if OTHER_SCRIPT.search(t):
-            t = t.translate(LOOK_ALIKE)
+    plain = t.isascii()
+    if not plain:
+        t = unicodedata.normalize("NFC", MARK.sub("", unicodedata.normalize("NFKD", HIDDEN.sub("", t)))).lower()
+        t = t.translate(SHAPE)
+    t = SPACED.sub(lambda m: SIGN.sub("", m[0]), t)
     words = WORD.findall(t)
+    if not plain and (other := len(OTHER_SCRIPT.findall(t))):
+        latin = len(LATIN.findall(t)) > other
+        words = [_one_script(w, latin) for w in words]
     if MIXED.search(t):
         words = [w.translate(DIGIT) if not w.isalpha() and any(map(str.isalpha, w)) else w for w in words]
     return words

@@ -81,7 +81,9 @@ def lexicon(spark):
     return toxicity.learn(docs, docs.select("doc_id", "toxic"), exceptions=("Idiot-proof",))
 
 
-@pytest.mark.parametrize("text", ["IDIOT!", "an 1d10t", "аn іdiоt", "i­diot", "x " * 20 + "idiots"])
+@pytest.mark.parametrize("text", ["IDIOT!", "an 1d10t", "аn іdiоt", "i­diot", "x " * 20 + "idiots",
+                                  "ｉｄｉｏｔ", "𝐢𝐝𝐢𝐨𝐭", "ídïôt", "ıđiøt", "ⓘⓓⓘⓞⓣ", "🅸🅳🅸🅾🆃", "an i.d.i.o.t here", "i-d-i-o-t",
+                                  "i\u0336d\u0336i\u0336o\u0336t", "you are such an ідіот".replace("д", "d")])
 def test_folding_finds_disguised_words(lexicon, text):
     assert lexicon.score(text) >= 0.5
 
@@ -91,6 +93,33 @@ def test_clean_texts_and_exceptions(lexicon, text):
     assert lexicon.score(text) < 0.5
 
 
+def plain_matches(lexicon, words):
+    """Weights by trying every entry and every exception at every word."""
+    text = " ".join(words) + " "
+    starts = [sum(len(w) + 1 for w in words[:i]) for i in range(len(words))]
+    inside = {s for e in lexicon.exceptions for at in starts if text.startswith(e, at)
+              for s in starts if at <= s < at + len(e)}
+    return [max(w for e, w in lexicon.entries.items() if text.startswith(e, s)) for s in starts
+            if s not in inside and any(text.startswith(e, s) for e in lexicon.entries)]
+
+
+def test_automaton_equals_plain_matching():
+    rng = np.random.default_rng(5)
+    draw = lambda n: ["".join(rng.choice(list("ab"), rng.integers(1, 5))) for _ in range(n)]
+    for _ in range(300):
+        entries = {e: float(rng.integers(1, 9)) for e in draw(4)}
+        exceptions = [*(e for e in draw(2) if e not in entries), " ".join(draw(2)) + " "]
+        lexicon, words = toxicity.Lexicon(entries, exceptions, [0.0] * 4), draw(30)
+        assert sorted(lexicon.matched(words)) == sorted(plain_matches(lexicon, words)), (entries, exceptions, words)
+
+
+def test_texts_in_other_scripts_stay():
+    for t in ("московские новости и погода", "η ελληνική γλώσσα είναι αρχαία", "շատ լավ", "東京 タワー", "한국어 문장"):
+        assert not any(c.isascii() for w in toxicity.folded(t) for c in w), toxicity.folded(t)
+    assert toxicity.folded("a соре of words") == ["a", "cope", "of", "words"]
+    assert toxicity.folded("e.g. end. A b. 3.4 x") == ["e", "g", "end", "a", "b", "3", "4", "x"]
+
+
 def test_phrases_of_clean_documents_are_exceptions(spark):
     texts = [f"you are such an idiot number{i}" for i in range(60)]
     texts += [f"an idiot proof design number{i}" for i in range(20)] + [f"the useful idiot of history number{i}" for i in range(20)]
