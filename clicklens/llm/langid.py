@@ -1,16 +1,15 @@
 """Language identification with a bidirectional gated recurrent network over bytes.
 
 The network reads the bytes of a segment in both directions and labels every
-position with a distribution over the learned languages. A segment is a word of
-the lowered text between two blanks, or the next ``LONGEST`` bytes of a longer one;
-the state starts anew with each. A document's distribution is the pooled (mean)
-distribution of all its positions. As segments are independent, equal ones are
-run once for a batch of texts, from a bounded memo.
-
-Training is backpropagation through time in numpy, on the driver, over words of
-``DOCS_PER_LANG`` documents of each language at most and ``WORDS_PER_DOC`` words of
+position with a distribution over the learned languages. A segment is several
+words of the lowered text, up to ``LONGEST`` bytes of them with one blank between
+each two; a longer word is cut between characters. The state starts anew with
+each segment. A document's distribution is the pooled (mean) distribution of all its positions.
+
+Training is backpropagation through time in numpy, on the driver, over segments of
+``DOCS_PER_LANG`` documents of each language at most and ``SEGMENTS_PER_DOC`` of
 each, spread over the whole text. Inference runs on the executors over all of
-every text.
+every text; equal segments of a block of texts are run once.
 """
 
 from __future__ import annotations
@@ -18,31 +17,45 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicklens.llm.common import blocks, written
 
-DOCS_PER_LANG, WORDS_PER_DOC = 1000, 60
-LONGEST = 24
-HIDDEN = 20
-STEPS, BATCH, RATE = 900, 192, 0.01
-MEMO = 300_000
+DOCS_PER_LANG, SEGMENTS_PER_DOC = 1000, 8
+LONGEST = 64
+HIDDEN = 16
+STEPS, BATCH, RATE = 300, 192, 0.01
+#: Segments that run at a time: their states stay in the processor's cache.
+ROWS = 1024
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
 
 def segments(text: str) -> list[bytes]:
-    """The words of a lowered text as bytes, long ones in pieces."""
-    words = text.lower().encode().split()
-    if max(map(len, words), default=0) <= LONGEST:
-        return words
-    return [w[i:i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+    """A lowered text in pieces of whole words, a word of more than ``LONGEST`` bytes in pieces of whole characters."""
+    t, at, out = b" ".join(text.lower().encode().split()), 0, []
+    while len(t) - at > LONGEST:
+        cut = t.rfind(b" ", at, at + LONGEST + 1)
+        if cut > at:
+            out.append(t[at:cut])
+            at = cut + 1
+            continue
+        cut = at + LONGEST
+        while t[cut] & 0xC0 == 0x80:
+            cut -= 1
+        out.append(t[at:cut])
+        at = cut
+    if at < len(t):
+        out.append(t[at:])
+    return out
 
 
 def _sigmoid(x):
-    return 0.5 * (1 + np.tanh(0.5 * x))
+    """By the exponential, which numpy has faster than tanh; it may overflow to infinity, which gives 0."""
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(-x))
 
 
 class Direction:
@@ -60,11 +73,11 @@ class Direction:
         h = np.zeros((n, k), np.float32)
         states, kept = np.empty((steps, n, k), np.float32), []
         for t in range(steps):
-            a, b = self.table[x[:, t]], h @ self.back
+            a, b = self.table.take(x[:, t], axis=0), h @ self.back
             gate = _sigmoid(a[:, :2 * k] + b[:, :2 * k])
             z, r = gate[:, :k], gate[:, k:]
             inner = b[:, 2 * k:] + self.bias
-            new = np.tanh(a[:, 2 * k:] + r * inner)
+            new = 2 * _sigmoid(2 * (a[:, 2 * k:] + r * inner)) - 1
             if keep:
                 kept.append((h, z, r, inner, new))
             h = new + z * (h - new)
@@ -108,10 +121,15 @@ class Network:
         """Probabilities (steps, batch, languages) and what the backward pass needs."""
         f, kept_f = self.there.forward(x, keep)
         b, kept_b = self.here.forward(x[:, ::-1], keep)
-        both = np.concatenate([f, b[::-1]], 2)
-        logits = both @ self.out + self.bias
-        p = np.exp(logits - logits.max(2, keepdims=True))
-        return p / p.sum(2, keepdims=True), (both, kept_f, kept_b)
+        k, shape = f.shape[2], f.shape[:2]
+        logits = f.reshape(-1, k) @ self.out[:k]
+        logits.reshape(*shape, -1)[:] += (b.reshape(-1, k) @ self.out[k:]).reshape(*shape, -1)[::-1]
+        # Languages first, so that sums over them run along whole rows.
+        p = np.ascontiguousarray(logits.T) + self.bias[:, None]
+        p = np.exp(p - p.max(0))
+        p /= p.sum(0)
+        both = np.concatenate([f, b[::-1]], 2) if keep else None
+        return np.moveaxis(p.reshape(-1, *shape), 0, 2), (both, kept_f, kept_b)
 
     def gradients(self, x, y):
         """Of the mean cross entropy of all positions."""
@@ -130,13 +148,13 @@ class Network:
         """For each segment, the sum of its positions' probabilities."""
         out = np.zeros((len(words), len(self.langs)))
         for at, x in same_length(words):
-            for i in range(0, len(at), 4096):
-                out[at[i:i + 4096]] = self.positions(x[i:i + 4096])[0].sum(0, dtype=np.float64)
+            for i in range(0, len(at), ROWS):
+                out[at[i:i + ROWS]] = self.positions(x[i:i + ROWS])[0].sum(0, dtype=np.float64)
         return out
 
 
 def same_length(words: list[bytes]):
-    """(indexes, byte matrix with a blank on both sides) of the words of each length."""
+    """(indexes, byte matrix with a blank on both sides) of the segments of each length."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     for n in np.unique(sizes).tolist():
         at = np.flatnonzero(sizes == n)
@@ -146,7 +164,7 @@ def same_length(words: list[bytes]):
 
 
 def train(words: list[bytes], langs: list[int], names: list[str], steps: int = STEPS, seed: int = 7) -> Network:
-    """Adam on batches of words of one length; each language is drawn as often as any other."""
+    """Adam on batches of segments of one length; each language is drawn as often as any other."""
     net, rng = Network(names, seed=seed), np.random.default_rng(seed)
     y = np.array(langs)
     groups = [(x, y[at], x.size) for at, x in same_length(words)]
@@ -170,32 +188,29 @@ def train(words: list[bytes], langs: list[int], names: list[str], steps: int = S
 
 
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-          docs_per_lang: int = DOCS_PER_LANG, words_per_doc: int = WORDS_PER_DOC) -> Network:
+          docs_per_lang: int = DOCS_PER_LANG, per_doc: int = SEGMENTS_PER_DOC) -> Network:
     """A network from the rows with a language and a text; rows are chosen by a hash of their ids."""
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    names = sorted(r["lang"] for r in known.select("lang").distinct().collect())
-    ids = None
-    for name in names:
-        some = (known.where(F.col("lang") == name).select("id", "lang")
-                .orderBy(F.xxhash64("id"), "id").limit(docs_per_lang))
-        ids = some if ids is None else ids.unionByName(some)
+    # One scan for all languages; each task keeps docs_per_lang rows of a language before the shuffle.
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    chosen = written(known.select("id", "lang", F.row_number().over(first).alias("nth"))
+                     .where(F.col("nth") <= docs_per_lang).select("id", "lang"), "langid", "chosen")
+    names = sorted(r["lang"] for r in chosen.select("lang").distinct().collect())
 
     def draw(batches):
         for batch in batches:
             langs, words = [], []
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 got = segments(text)
-                picked = [got[i * len(got) // words_per_doc] for i in range(words_per_doc)] if len(
-                    got) > words_per_doc else got
+                picked = [got[i * len(got) // per_doc] for i in range(per_doc)] if len(got) > per_doc else got
                 words += picked
                 langs += [lang] * len(picked)
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(langs, pa.string())],
                                              names=["word", "lang"])
 
-    if ids is None:
+    if not names:
         return Network([])
-    chosen = written(ids, "langid", "chosen")
     # docs_per_lang ids for each language at most, so the broadcast is bounded.
     rows = known.join(F.broadcast(chosen.select("id", "lang").distinct()), ["id", "lang"]).select("text", "lang")
     got = rows.mapInArrow(draw, "word binary, lang string").orderBy("lang", "word").toArrow()
@@ -219,22 +234,13 @@ def predictions(docs: DataFrame, net: Network, text_col: str = "text") -> DataFr
 
     def run(batches):
         net = model.value
-        place: dict[bytes, int] = {}
-        table, used = np.zeros((0, len(net.langs))), 0
         for batch in batches:
             for b in blocks(batch, len(rest), 4 << 20):
                 texts = [t if t and LETTER.search(t) and net.langs else "" for t in b.column(len(rest)).to_pylist()]
                 parts = [segments(t) for t in texts]
                 words = [w for p in parts for w in p]
-                new = list(dict.fromkeys(w for w in words if w not in place))
-                if used + len(new) > MEMO and used:
-                    place, used = {}, 0
-                    new = list(dict.fromkeys(words))
-                if used + len(new) > len(table):
-                    table = np.concatenate([table[:used], np.zeros((max(len(new), used), len(net.langs)))])
-                table[used:used + len(new)] = net.summed(new)
-                place.update(zip(new, range(used, used + len(new))))
-                used += len(new)
+                place = {w: i for i, w in enumerate(dict.fromkeys(words))}
+                table = net.summed(list(place))
                 at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
                 sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
                 ends = np.cumsum([0, *map(len, parts)])
