@@ -35,56 +35,6 @@ def test_gradients_of_the_recurrent_network():
         assert abs((up - down) / 2e-2 - g[i]) < 2e-3 + 0.05 * abs(g[i])
 
 
-def test_segments_hold_the_whole_text_in_whole_words_and_characters():
-    rng = np.random.default_rng(2)
-    for _ in range(500):
-        t = "".join(rng.choice(list("abÄß語\U0001F600 \n"), rng.integers(0, 400), p=[.2, .2, .1, .1, .1, .1, .1, .1]))
-        got = langid.segments(t)
-        assert b"".join(got).replace(b" ", b"") == b"".join(t.lower().encode().split())
-        assert all(0 < len(s) <= langid.LONGEST and s == s.strip() and s.decode() for s in got)
-    words = [w * 7 for w in ("ab", "cde", "f") * 40]
-    assert b" ".join(langid.segments(" ".join(words))).decode().split() == words
-    assert len(langid.segments(" ".join(words))) <= len(words) / 3
-    assert all(len(s) == langid.LONGEST for s in langid.segments("x" * langid.LONGEST * 3))
-
-
-def plain_states(layer, data):
-    """One recurrent layer, a byte at a time."""
-    k, h, out = len(layer.bias), np.zeros(len(layer.bias)), []
-    for c in data:
-        a, b = layer.table[c].astype(float), h @ layer.back.astype(float)
-        z, r = (1 / (1 + np.exp(-(a[i:i + k] + b[i:i + k]))) for i in (0, k))
-        new = np.tanh(a[2 * k:] + r * (b[2 * k:] + layer.bias))
-        h = z * h + (1 - z) * new
-        out.append(h)
-    return np.array(out)
-
-
-def test_predictions_equal_a_plain_network(spark):
-    net = langid.Network(["a", "b", "c"], hidden=5, seed=3)
-    for p in net.parameters():
-        p *= 3
-    texts = ["one two", "x" * 200 + " and words behind it " * 9, "Ünï cödé 語", "one two"]
-    df = frame(spark, "doc_id long, text string, id long, word string", [(i, t, 7, "w") for i, t in enumerate(texts)])
-    rows = {r.doc_id: r for r in langid.predictions(df, net).collect()}
-    assert rows[0].asDict().keys() == {"doc_id", "id", "word", "lang_pred", "score"} and rows[0].word == "w"
-    for i, t in enumerate(texts):
-        ps = []
-        for s in langid.segments(t):
-            data = b" " + s + b" "
-            both = np.concatenate([plain_states(net.there, data), plain_states(net.here, data[::-1])[::-1]], 1)
-            e = np.exp(both @ net.out + net.bias)
-            ps.append(e / e.sum(1, keepdims=True))
-        mean = np.concatenate(ps).mean(0)
-        assert rows[i].lang_pred == net.langs[mean.argmax()] and abs(rows[i].score - mean.max()) < 1e-4
-
-
-def test_languages_are_those_of_rows_with_id_and_text(spark):
-    rows = [(i, f"text {i} aaab", "xx" if i % 3 else "yy") for i in range(90)] + [(None, "q", "xx"), (91, None, "zz")]
-    net = langid.learn(frame(spark, "doc_id long, text string, lang string", rows), docs_per_lang=5, per_doc=2)
-    assert net.langs == ["xx", "yy"]
-
-
 def test_language_of_held_out_documents(spark):
     out = queries.op2_language_id(spark, SF).where("held_out")
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
