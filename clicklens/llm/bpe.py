@@ -49,6 +49,8 @@ TOGETHER, LONG = 1 << 16, 64
 WORD = r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[\x00-@\[-`{-\x7f]|\Z)"
 NO_MERGE = 1 << 62
 READ_AT_ONCE = 1 << 16
+#: Bytes of text encoded together, about, and ids decoded together: what they need beside the memo grows with these.
+BLOCK, IDS_AT_ONCE = 1 << 20, 1 << 16
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -263,9 +265,14 @@ class Decoder:
         """(bytes, number of bytes of each id); ids that the vocabulary lacks, and nulls as -1, give none."""
         ids = np.where((ids < 0) | (ids >= self.n), self.n, ids)
         length = self.length[ids]
-        end = np.cumsum(length)
-        shift = np.repeat(self.start[ids] - (end - length), length)
-        return self.buffer[shift + np.arange(shift.size)], length
+        raw, at = np.empty(int(length.sum()), np.uint8), 0
+        for i in range(0, len(ids), IDS_AT_ONCE):
+            own = length[i:i + IDS_AT_ONCE]
+            end = np.cumsum(own)
+            shift = np.repeat(self.start[ids[i:i + IDS_AT_ONCE]] - (end - own), own)
+            raw[at:at + shift.size] = self.buffer[shift + np.arange(shift.size)]
+            at += shift.size
+        return raw, length
 
 
 @lru_cache(maxsize=2)
@@ -298,8 +305,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids") -
     def run(batches):
         memo = _encoder(file.value)
         for batch in batches:
-            for b in blocks(batch, len(rest)):
-                lists = _id_lists(memo.encode_all(b.column(len(rest)).to_pylist()))
+            for b, lists in _encoded(memo, batch, len(rest)):
                 yield pa.RecordBatch.from_arrays([*b.columns[:len(rest)], lists], names=schema.names)
 
     return df.select(*[F.col(f"`{c}`") for c in rest], F.col(text_col)).mapInArrow(run, schema)
@@ -311,6 +317,12 @@ def _id_lists(made: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
 
 
+def _encoded(memo: Encoder, batch, col: int):
+    """(slice of the batch, the ids of its texts), a block at a time."""
+    for b in blocks(batch, col, BLOCK):
+        yield b, _id_lists(memo.encode_all(b.column(col).to_pylist()))
+
+
 def _texts(decoder: Decoder, lists) -> pa.Array:
     """The texts of lists of ids: all ids in one gather, then cut by the lengths of their tokens."""
     number = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -359,8 +371,7 @@ def encoded_and_decoded(docs: DataFrame, path: str, text_col: str = "text") -> D
     def run(batches):
         memo, decoder = _encoder(file.value), Decoder(_vocabulary(file.value))
         for batch in batches:
-            for b in blocks(batch, len(rest)):
-                lists = _id_lists(memo.encode_all(b.column(len(rest)).to_pylist()))
+            for b, lists in _encoded(memo, batch, len(rest)):
                 yield pa.RecordBatch.from_arrays([*b.columns[:len(rest)], lists, _texts(decoder, lists)],
                                                  names=schema.names)
 

@@ -1,12 +1,15 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from clicklens.llm import bpe
 from clicklens.llm.bpe import Decoder, Encoder, Vocabulary, decode, encode, encoded_and_decoded
 from clicklens.llm.queries import op1_bpe_round_trip
 from llm_tools import frame
@@ -67,6 +70,39 @@ def test_memo_generations_change_nothing(made, monkeypatch):
     assert got == made[0].encode_all(texts) and small.old and len(small) < 300
 
 
+def most_bytes(run):
+    tracemalloc.start()
+    try:
+        out = run()
+        return tracemalloc.get_traced_memory()[1], out
+    finally:
+        tracemalloc.stop()
+
+
+def test_decoding_needs_little_beside_the_text(made):
+    ids = np.frombuffer(made[0].encode("the quick brown fox " * 20), "<i4")
+    many = np.tile(ids, 6000)
+    most, (raw, length) = most_bytes(lambda: made[1].decode(many))
+    assert len(raw) == 6000 * 400 and raw.tobytes() == ("the quick brown fox " * 20 * 6000).encode()
+    # The text, its ids as 64-bit numbers and their lengths, and a slice's work; before: 24 bytes for each of the text.
+    assert most < len(raw) + 16 * len(many) + (16 << 20)
+
+
+def test_a_batch_of_texts_needs_memory_for_a_block_only(made):
+    rnd = random.Random(6)
+    words = ["".join(rnd.choices("abcdefgh", k=rnd.randint(2, 9))) for _ in range(500)]
+    texts = [" ".join(rnd.choices(words, k=300)) for _ in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    memo = Encoder(made[0].v)
+
+    def run():
+        return sum(b.num_rows for b, lists in bpe._encoded(memo, batch, 0) if bpe._texts(made[1], lists).equals(b.column(0)))
+
+    most, rows = most_bytes(run)
+    assert rows == len(texts) and batch.nbytes > 6 << 20
+    assert most < 48 << 20   # 1 MB blocks: about 25 MB; 8 MB blocks need over 150 MB
+
+
 def test_query_digests(spark):
     sf = "/root/testdata/sf0.001"
     library = Tokenizer.from_file(PATH)
