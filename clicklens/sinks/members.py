@@ -36,9 +36,10 @@ class BucketedSet:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
     def add(self, df: DataFrame, batch_id: int) -> None:
-        """The keys of ``df`` as members since batch ``batch_id``."""
+        """The keys of ``df`` as members since batch ``batch_id``: one file for each bucket, however many tasks made them."""
         (df.select(F.col(self.key).cast(self.schema[0].dataType)).distinct()
          .withColumns({BUCKET_COL: self.bucket(), BATCH_COL: F.lit(int(batch_id)).cast("long")})
+         .repartition(BUCKET_COL)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET_COL, BATCH_COL).parquet(self.path))
 

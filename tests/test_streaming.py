@@ -529,3 +529,23 @@ def test_compaction_drops_what_the_previous_base_replaced(spark, scratch):
     assert kept == [4, 5, 6, 7, 8, 9]       # up to the previous base (3) is gone
     bases = sorted(n for n in os.listdir(local + "_base") if n.startswith("upto="))
     assert bases == ["upto=3", "upto=7"]
+
+
+def test_bucketed_set_writes_a_file_for_each_bucket_and_batch_however_many_tasks(spark, scratch):
+    from collections import Counter
+
+    from clicklens.sinks.members import BucketedSet
+    key = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")   # as many write tasks as shuffle partitions, as with large batches
+    try:
+        members = BucketedSet(spark, f"{scratch}/set", "uid", buckets=3)
+        for b in (0, 1):
+            members.add(spark.range(b * 200, b * 200 + 300, 1, 8).select(F.col("id").cast("string").alias("uid")), b)
+        members.add(spark.range(200, 500, 1, 8).select(F.col("id").cast("string").alias("uid")), 1)   # a replay
+    finally:
+        spark.conf.set(key, old)
+    stored = spark.read.parquet(f"{scratch}/set").where("batch_id >= 0").select("bucket", "batch_id", F.input_file_name().alias("f"))
+    files = Counter((r.bucket, r.batch_id) for r in stored.distinct().collect())
+    assert files == {(k, b): 1 for k in range(3) for b in (0, 1)}
+    assert {(int(r.uid), r.first_batch_id) for r in members.read().collect()} == {(i, int(i >= 300)) for i in range(500)}
